@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 from revlens.operators import quality as Q
+from revlens.operators import sampling as S
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +87,50 @@ def q_dedup_first(spark, sf_dir):
             .agg(first, F.count(F.lit(1)).alias("n_copies"))
             .select(F.col("_f.doc_id").alias("doc_id"), F.col("_f.source").alias("source"),
                     "n_copies"))
+
+
+# --- ids, split, samples ---------------------------------------------------------
+
+def ided_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.assign_ids(cleaned_reviews(spark, sf_dir))
+
+
+def split_of(spark: SparkSession, sf_dir: str):
+    ided = ided_reviews(spark, sf_dir)
+    return ided, S.stratified_split(ided)
+
+
+@query("row_ids")
+def q_row_ids(spark, sf_dir):
+    return ided_reviews(spark, sf_dir).select("review_key", "review_id")
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return split_of(spark, sf_dir)[1]
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    ided, split = split_of(spark, sf_dir)
+    return S.split_counts(ided, split)
+
+
+@query("split_leak")
+def q_split_leak(spark, sf_dir):
+    ided, split = split_of(spark, sf_dir)
+    return S.split_checks(ided, split)
+
+
+@query("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    ided, split = split_of(spark, sf_dir)
+    pool = S.attach_split(ided.select("review_id", "label"), split, "train")
+    return S.stratified_sample(pool, 100).select("review_id", "label")
+
+
+@query("simple_sample")
+def q_simple_sample(spark, sf_dir):
+    ided, split = split_of(spark, sf_dir)
+    test = S.attach_split(ided.select("review_id", "label"), split, "test")
+    return S.simple_sample(test, 200).select("review_id", "label")

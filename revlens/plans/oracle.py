@@ -94,3 +94,45 @@ SELECT doc_id, source, n_copies FROM (
   SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn,
          count(*) OVER (PARTITION BY text) AS n_copies
   FROM documents) WHERE rn = 1""")
+
+
+# --- ids, split, samples ---------------------------------------------------------
+
+oracle("row_ids", f"""
+WITH {S.cleaned_cte('reviews')}
+SELECT review_key, CAST(row_number() OVER (ORDER BY review_key) - 1 AS BIGINT) AS review_id FROM cleaned""")
+
+oracle("stratified_split", f"""
+WITH {S.split_cte()}
+SELECT review_id, split FROM split""")
+
+oracle("split_counts", f"""
+WITH {S.split_cte()}
+SELECT s.split, i.label, count(*) AS n FROM ided i JOIN split s ON i.review_id = s.review_id
+GROUP BY s.split, i.label""")
+
+oracle("split_leak", f"""
+WITH {S.split_cte()},
+j AS (SELECT i.review_id, i.review_text, s.split FROM ided i JOIN split s ON i.review_id = s.review_id)
+SELECT 'train_rows' AS "check", CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS value FROM split
+UNION ALL SELECT 'test_rows', CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) FROM split
+UNION ALL SELECT 'unmatched_ids', CAST(count(*) AS BIGINT) FROM ided i FULL OUTER JOIN split s
+  ON i.review_id = s.review_id WHERE i.review_id IS NULL OR s.review_id IS NULL
+UNION ALL SELECT 'overlap_ids', CAST(count(*) AS BIGINT) FROM (
+  SELECT review_id FROM split GROUP BY review_id HAVING count(DISTINCT split) > 1)
+UNION ALL SELECT 'leaked_test_rows', CAST(count(*) AS BIGINT) FROM j
+  WHERE split = 'test' AND review_text IN (SELECT review_text FROM j WHERE split = 'train')""")
+
+oracle("stratified_sample", f"""
+WITH {S.split_cte()},
+pool AS (SELECT i.review_id, i.label FROM ided i JOIN split s ON i.review_id = s.review_id WHERE s.split = 'train'),
+pc AS (SELECT label, count(*) AS c FROM pool GROUP BY label),
+pq AS (SELECT label, CAST(round_even(100 * c / sum(c) OVER (), 0) AS BIGINT) AS quota FROM pc),
+pr AS (SELECT review_id, label, row_number() OVER (
+         PARTITION BY label ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id) AS rk FROM pool)
+SELECT pr.review_id, pr.label FROM pr JOIN pq ON pr.label = pq.label WHERE rk <= quota""")
+
+oracle("simple_sample", f"""
+WITH {S.split_cte()}
+SELECT i.review_id, i.label FROM ided i JOIN split s ON i.review_id = s.review_id WHERE s.split = 'test'
+ORDER BY md5(concat('42', ':', CAST(i.review_id AS VARCHAR))), i.review_id LIMIT 200""")

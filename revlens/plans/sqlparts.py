@@ -100,3 +100,21 @@ def cleaned_cte(source: str = "reviews", name: str = "cleaned") -> str:
   SELECT review_key, review_text, rating, CAST(rating >= 4 AS INTEGER) AS label,
     {heavy('review_text')} AS text_heavy_clean, {light('review_text')} AS text_light_clean
   FROM {name}_first WHERE rating <> 3 AND NOT {blank(heavy('review_text'))})"""
+
+
+def split_cte(source: str = "reviews") -> str:
+    """cleaned -> ided -> split (stratified, md5 order), as CTE text."""
+    return f"""{cleaned_cte(source)},
+ided AS (SELECT *, CAST(row_number() OVER (ORDER BY review_key) - 1 AS BIGINT) AS review_id FROM cleaned),
+lc AS (SELECT label, count(*) AS c FROM ided GROUP BY label),
+q0 AS (SELECT label, c, sum(c) OVER () AS n FROM lc),
+q1 AS (SELECT *, n - CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS n_train FROM q0),
+q2 AS (SELECT *, (n_train * c) // n AS fl, n_train * c - ((n_train * c) // n) * n AS rem FROM q1),
+q3 AS (SELECT label, c, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, label)
+                                   <= n_train - sum(fl) OVER () THEN 1 ELSE 0 END AS train_q FROM q2),
+quota AS (SELECT label, c - train_q AS test_quota FROM q3),
+ranked AS (SELECT review_id, label, row_number() OVER (
+             PARTITION BY label ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id) AS rk
+           FROM ided),
+split AS (SELECT r.review_id, CASE WHEN rk <= test_quota THEN 'test' ELSE 'train' END AS split
+          FROM ranked r JOIN quota q ON r.label = q.label)"""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
+from revlens.operators import tfidf as TF
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +135,67 @@ def q_simple_sample(spark, sf_dir):
     ided, split = split_of(spark, sf_dir)
     test = S.attach_split(ided.select("review_id", "label"), split, "test")
     return S.simple_sample(test, 200).select("review_id", "label")
+
+
+# --- TF-IDF -----------------------------------------------------------------------
+
+def train_test_docs(spark: SparkSession, sf_dir: str):
+    """Cleaned rows with ids and split attached (the store's row set)."""
+    ided, split = split_of(spark, sf_dir)
+    docs = S.attach_split(ided, split)
+    return docs, docs.filter(F.col("split") == "train")
+
+
+def fitted(spark, sf_dir, **kw):
+    docs, train = train_test_docs(spark, sf_dir)
+    model = TF.fit(train, **kw)
+    return model, docs
+
+
+@query("term_stats")
+def q_term_stats(spark, sf_dir):
+    _, train = train_test_docs(spark, sf_dir)
+    return TF.term_stats(TF.term_counts(train, ngram_max=2))
+
+
+@query("vocab_topn")
+def q_vocab_topn(spark, sf_dir):
+    model, _ = fitted(spark, sf_dir, ngram_max=1, max_features=5000)
+    return model.vocab.select("term", "idx", "cf", "df", F.round("idf", 6).alias("idf"))
+
+
+def _weights(spark, sf_dir, **kw):
+    model, docs = fitted(spark, sf_dir, **kw)
+    w = TF.transform(model, docs)
+    return w.select("review_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("tfidf_plain")
+def q_tfidf_plain(spark, sf_dir):
+    return _weights(spark, sf_dir, ngram_max=1, max_features=5000)
+
+
+@query("tfidf_bigram")
+def q_tfidf_bigram(spark, sf_dir):
+    return _weights(spark, sf_dir, ngram_max=2, max_features=20000)
+
+
+@query("tfidf_sublinear")
+def q_tfidf_sublinear(spark, sf_dir):
+    return _weights(spark, sf_dir, ngram_max=2, max_features=20000, sublinear=True)
+
+
+@query("top_terms_per_doc")
+def q_top_terms_per_doc(spark, sf_dir):
+    model, docs = fitted(spark, sf_dir, ngram_max=1, max_features=5000)
+    top = TF.top_terms(TF.transform(model, docs), 8)
+    return top.select("review_id", "rank", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("sequence_encode")
+def q_sequence_encode(spark, sf_dir):
+    model, docs = fitted(spark, sf_dir, ngram_max=1, max_features=5000)
+    enc = TF.sequence_encode(docs, model.vocab)
+    return enc.select("review_id", "n_tokens", "truncated",
+                      F.array_join("input_ids", " ").alias("input_ids"),
+                      F.array_join("attention_mask", " ").alias("attention_mask"))

@@ -136,3 +136,48 @@ oracle("simple_sample", f"""
 WITH {S.split_cte()}
 SELECT i.review_id, i.label FROM ided i JOIN split s ON i.review_id = s.review_id WHERE s.split = 'test'
 ORDER BY md5(concat('42', ':', CAST(i.review_id AS VARCHAR))), i.review_id LIMIT 200""")
+
+
+# --- TF-IDF -----------------------------------------------------------------------
+
+oracle("term_stats", f"""
+WITH {S.docs_cte()},
+{S.counts_cte('train_counts', 'train', 2)}
+SELECT term, CAST(sum(tf) AS BIGINT) AS cf, count(*) AS df FROM train_counts GROUP BY term""")
+
+oracle("vocab_topn", f"""
+WITH {S.tfidf_cte(1, 5000, False)}
+SELECT term, idx, cf, df, round(idf, 6) AS idf FROM vocab""")
+
+oracle("tfidf_plain", f"""
+WITH {S.tfidf_cte(1, 5000, False)}
+SELECT review_id, term, round(weight, 6) AS weight FROM weights""")
+
+oracle("tfidf_bigram", f"""
+WITH {S.tfidf_cte(2, 20000, False)}
+SELECT review_id, term, round(weight, 6) AS weight FROM weights""")
+
+oracle("tfidf_sublinear", f"""
+WITH {S.tfidf_cte(2, 20000, True)}
+SELECT review_id, term, round(weight, 6) AS weight FROM weights""")
+
+oracle("top_terms_per_doc", f"""
+WITH {S.tfidf_cte(1, 5000, False)},
+r AS (SELECT review_id, term, weight,
+        CAST(row_number() OVER (PARTITION BY review_id ORDER BY weight DESC, term) AS INTEGER) AS rank FROM weights)
+SELECT review_id, rank, term, round(weight, 6) AS weight FROM r WHERE rank <= 8""")
+
+oracle("sequence_encode", f"""
+WITH {S.tfidf_cte(1, 5000, False)},
+toks AS (SELECT review_id, {S.tfidf_tokens('text_heavy_clean')} AS t FROM docs),
+base AS (SELECT review_id, CAST(len(t) AS INTEGER) AS n_tokens, t[1:126] AS t FROM toks),
+ex AS (SELECT review_id, unnest(t) AS term, unnest(range(len(t))) AS pos FROM base),
+ids AS (SELECT e.review_id, e.pos, coalesce(v.idx + 4, 1) AS tid FROM ex e LEFT JOIN vocab v ON e.term = v.term),
+seqs AS (SELECT review_id, list(tid ORDER BY pos) AS s FROM ids GROUP BY review_id),
+enc AS (SELECT b.review_id, b.n_tokens, list_concat([2], coalesce(s.s, []), [3]) AS s
+        FROM base b LEFT JOIN seqs s ON b.review_id = s.review_id),
+lens AS (SELECT *, len(s) AS l, max(len(s)) OVER (PARTITION BY review_id // 64) AS m FROM enc)
+SELECT review_id, n_tokens, CAST(n_tokens > 126 AS INTEGER) AS truncated,
+  array_to_string(list_concat(s, list_transform(range(m - l), lambda i: 0)), ' ') AS input_ids,
+  array_to_string(list_concat(list_transform(range(l), lambda i: 1), list_transform(range(m - l), lambda i: 0)), ' ') AS attention_mask
+FROM lens""")

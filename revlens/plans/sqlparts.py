@@ -118,3 +118,39 @@ ranked AS (SELECT review_id, label, row_number() OVER (
            FROM ided),
 split AS (SELECT r.review_id, CASE WHEN rk <= test_quota THEN 'test' ELSE 'train' END AS split
           FROM ranked r JOIN quota q ON r.label = q.label)"""
+
+
+def docs_cte() -> str:
+    """split + the cleaned rows with their split (docs) and train rows."""
+    return f"""{split_cte()},
+docs AS (SELECT i.*, s.split FROM ided i JOIN split s ON i.review_id = s.review_id),
+train AS (SELECT * FROM docs WHERE split = 'train')"""
+
+
+def grams(x: str, ngram_max: int) -> str:
+    toks = tfidf_tokens(x)
+    if ngram_max == 1:
+        return toks
+    return (f"list_concat({toks}, list_transform(range(1, len({toks})), "
+            f"lambda i: {toks}[i] || ' ' || {toks}[i + 1]))")
+
+
+def counts_cte(name: str, src: str, ngram_max: int) -> str:
+    return f"""{name} AS (
+  SELECT review_id, term, count(*) AS tf FROM (
+    SELECT review_id, unnest({grams('text_heavy_clean', ngram_max)}) AS term FROM {src})
+  GROUP BY review_id, term)"""
+
+
+def tfidf_cte(ngram_max: int, max_features: int, sublinear: bool) -> str:
+    """docs/train -> vocab(term, idx, cf, df, idf) -> weights(review_id, term, weight)."""
+    tfw = "(1 + ln(c.tf))" if sublinear else "c.tf"
+    return f"""{docs_cte()},
+{counts_cte('train_counts', 'train', ngram_max)},
+{counts_cte('all_counts', 'docs', ngram_max)},
+stats AS (SELECT term, sum(tf) AS cf, count(*) AS df FROM train_counts GROUP BY term),
+capped AS (SELECT * FROM stats ORDER BY cf DESC, term LIMIT {max_features}),
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, CAST(cf AS BIGINT) AS cf, df,
+            ln((1.0 + (SELECT count(*) FROM train)) / (1.0 + df)) + 1.0 AS idf FROM capped),
+raw AS (SELECT c.review_id, c.term, v.idx, {tfw} * v.idf AS w FROM all_counts c JOIN vocab v ON c.term = v.term),
+weights AS (SELECT review_id, term, idx, w / sqrt(sum(w * w) OVER (PARTITION BY review_id)) AS weight FROM raw)"""

@@ -73,12 +73,13 @@ def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
             .filter(~T.is_blank("review_text")))                   # P4
     first = first_per_text(kept, key)                               # W2
     labelled = label_sentiment(first)                               # P5, P6
-    return (labelled
-            .withColumn("text_heavy_clean", T.heavy_clean("review_text"))   # F5
-            .withColumn("text_light_clean", T.light_clean("review_text"))   # F6
-            .filter(~T.is_blank("text_heavy_clean"))                          # P7
+    # The token array is produced by a one-row generator so that the P7 filter
+    # on it is not substituted back into (and re-run by) the projection.
+    toks = labelled.select("*", F.explode(F.array(T.heavy_tokens("review_text"))).alias("_tok"))
+    return (toks.filter(F.size("_tok") > 0)                                   # P7
             .select(key, "review_text", "rating", "label",
-                    "text_heavy_clean", "text_light_clean"))
+                    F.array_join("_tok", " ").alias("text_heavy_clean"),     # F5
+                    T.light_clean("review_text").alias("text_light_clean")))  # F6
 
 
 # --- per-text pre-aggregation shared by report and ledger ---------------------
@@ -158,7 +159,7 @@ def attrition_ledger(df: DataFrame, key: str = "review_key") -> DataFrame:
     g = _per_text(df, key)
     first_rating = F.col("_first.rating")
     has_first = F.col("_first").isNotNull()
-    heavy_empty = T.is_blank(T.heavy_clean("review_text"))
+    heavy_empty = F.size(T.heavy_tokens("review_text")) == 0
     s = g.agg(
         F.sum("n").alias("total"),
         F.sum("n_null").alias("r1"),

@@ -16,6 +16,7 @@ from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
 from revlens.operators import tfidf as TF
+from revlens.session import materialize
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -92,13 +93,24 @@ def q_dedup_first(spark, sf_dir):
 
 # --- ids, split, samples ---------------------------------------------------------
 
+def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage tables, as the reference keeps its cleaned file and split file:
+    cleaned rows are written once, ids and the split are assigned over the
+    written rows, and the joined result is written partitioned by split."""
+    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=sf_dir)
+    ided = S.assign_ids(cleaned)
+    split = S.stratified_split(ided)
+    return materialize(ided.join(split, "review_id"), "reviews_split", memo=sf_dir,
+                       partition_by="split")
+
+
 def ided_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.assign_ids(cleaned_reviews(spark, sf_dir))
+    return review_store(spark, sf_dir).drop("split")
 
 
 def split_of(spark: SparkSession, sf_dir: str):
-    ided = ided_reviews(spark, sf_dir)
-    return ided, S.stratified_split(ided)
+    store = review_store(spark, sf_dir)
+    return store.drop("split"), store.select("review_id", "split")
 
 
 @query("row_ids")
@@ -140,9 +152,9 @@ def q_simple_sample(spark, sf_dir):
 # --- TF-IDF -----------------------------------------------------------------------
 
 def train_test_docs(spark: SparkSession, sf_dir: str):
-    """Cleaned rows with ids and split attached (the store's row set)."""
-    ided, split = split_of(spark, sf_dir)
-    docs = S.attach_split(ided, split)
+    """Cleaned rows with ids and split attached (the store's row set); the
+    train filter prunes the split partition."""
+    docs = review_store(spark, sf_dir)
     return docs, docs.filter(F.col("split") == "train")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="revlens-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -59,3 +62,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint location for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_STAGES: dict[tuple, str] = {}
+
+
+def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
+    """Write ``df`` as a parquet table under the checkpoint folder and read it
+    back: the lineage is cut there (an executor lost later recomputes from the
+    written files, not from raw input), and later scans get column pruning and
+    filter / partition pushdown.
+
+    ``memo`` (any hashable) lets one session reuse a stage already written.
+    """
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, name, memo) if memo is not None else None
+    if key is not None and key in _STAGES:
+        return spark.read.parquet(_STAGES[key])
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    if key is not None:
+        _STAGES[key] = path
+    return spark.read.parquet(path)
+
+
+def forget_stages() -> None:
+    """Drop the memo (the bench uses it so every query pays for its stages)."""
+    _STAGES.clear()

@@ -16,6 +16,8 @@ from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
 from revlens.operators import tfidf as TF
+from revlens.operators import evaluate as EV
+from revlens.sources import fingerprint as FP
 from revlens.session import materialize
 from revlens.sources import tables as V
 
@@ -211,3 +213,92 @@ def q_sequence_encode(spark, sf_dir):
     return enc.select("review_id", "n_tokens", "truncated",
                       F.array_join("input_ids", " ").alias("input_ids"),
                       F.array_join("attention_mask", " ").alias("attention_mask"))
+
+
+# --- evaluation ---------------------------------------------------------------------
+
+def _r6(*cols):
+    return [F.round(c, 6).alias(c) for c in cols]
+
+
+@query("confusion")
+def q_confusion(spark, sf_dir):
+    return EV.confusion(V.scored(spark, sf_dir))
+
+
+@query("metric_bundle")
+def q_metric_bundle(spark, sf_dir):
+    m = EV.metric_bundle(V.scored(spark, sf_dir))
+    return m.select("model", "n", *_r6("accuracy", "macro_f1", "roc_auc",
+                                       "negative_precision", "negative_recall"))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    r = EV.classification_report(V.scored(spark, sf_dir))
+    return r.select("model", "row_name", *_r6("precision", "recall", "f1"), "support")
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return EV.roc_auc(V.scored(spark, sf_dir)).select("model", *_r6("roc_auc"))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf_dir):
+    c = EV.pr_curve(V.scored(spark, sf_dir))
+    return c.select("model", "threshold", "flagged", "hits", "positives",
+                    *_r6("precision", "recall"))
+
+
+@query("precision_at_recall")
+def q_precision_at_recall(spark, sf_dir):
+    a = EV.at_recall(EV.pr_curve(V.scored(spark, sf_dir)))
+    return a.select("model", "target", "threshold", *_r6("precision", "recall"))
+
+
+@query("false_alarms")
+def q_false_alarms(spark, sf_dir):
+    a = EV.at_recall(EV.pr_curve(V.scored(spark, sf_dir)))
+    return a.select("model", "target", "caught", "false_alarms")
+
+
+def scored_runs(spark, sf_dir) -> DataFrame:
+    """One run per scored model: five metrics plus a fingerprint of its test ids."""
+    sc = V.scored(spark, sf_dir)
+    m = EV.metric_bundle(sc)
+    fp = FP.content_hash(sc.select("model", "id"), ["id"], group_cols=["model"])
+    return (m.join(fp.select("model", F.col("content_hash").alias("test_fingerprint")), "model")
+            .withColumnRenamed("model", "run_name"))
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    lb = EV.leaderboard(scored_runs(spark, sf_dir))
+    return lb.select("run_name", "rank", *_r6("accuracy", "macro_f1", "roc_auc",
+                                              "negative_precision", "negative_recall"))
+
+
+@query("best_run")
+def q_best_run(spark, sf_dir):
+    b = EV.best_run(scored_runs(spark, sf_dir))
+    return b.select("best_run", *_r6("macro_f1"))
+
+
+@query("promotion_gate")
+def q_promotion_gate(spark, sf_dir):
+    g = EV.promotion_gate(scored_runs(spark, sf_dir), candidate="b", incumbent="a")
+    return g.select("candidate", "incumbent", *_r6("cand_f1", "inc_f1"),
+                    "same_test_rows", "promote")
+
+
+@query("dataset_fingerprint")
+def q_dataset_fingerprint(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents")
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    a = FP.content_hash(docs, cols).withColumn("dataset", F.lit("documents"))
+    cl = cleaned_reviews(spark, sf_dir)
+    b = (FP.content_hash(cl, ["review_key", "review_text", "rating", "label",
+                              "text_heavy_clean", "text_light_clean"])
+         .withColumn("dataset", F.lit("cleaned_reviews")))
+    return a.unionByName(b).select("dataset", "n_rows", "content_hash")

@@ -181,3 +181,125 @@ SELECT review_id, n_tokens, CAST(n_tokens > 126 AS INTEGER) AS truncated,
   array_to_string(list_concat(s, list_transform(range(m - l), lambda i: 0)), ' ') AS input_ids,
   array_to_string(list_concat(list_transform(range(l), lambda i: 1), list_transform(range(m - l), lambda i: 0)), ' ') AS attention_mask
 FROM lens""")
+
+
+# --- evaluation ---------------------------------------------------------------------
+
+_CONF = f"""{S.VIEWS['scored']},
+conf AS (
+  SELECT model, count(*) AS n,
+    count(*) FILTER (WHERE prob_neg > 0.5 AND label = 0) AS caught,
+    count(*) FILTER (WHERE NOT (prob_neg > 0.5) AND label = 0) AS missed,
+    count(*) FILTER (WHERE prob_neg > 0.5 AND label = 1) AS false_alarms,
+    count(*) FILTER (WHERE NOT (prob_neg > 0.5) AND label = 1) AS true_positives
+  FROM scored GROUP BY model),
+m0 AS (
+  SELECT *,
+    CASE WHEN caught + false_alarms <> 0 THEN caught / (caught + false_alarms) ELSE 0 END AS p0,
+    CASE WHEN caught + missed <> 0 THEN caught / (caught + missed) ELSE 0 END AS r0,
+    CASE WHEN true_positives + missed <> 0 THEN true_positives / (true_positives + missed) ELSE 0 END AS p1,
+    CASE WHEN true_positives + false_alarms <> 0 THEN true_positives / (true_positives + false_alarms) ELSE 0 END AS r1
+  FROM conf),
+m AS (
+  SELECT *,
+    CASE WHEN p0 + r0 <> 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0 END AS f0,
+    CASE WHEN p1 + r1 <> 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END AS f1,
+    (caught + true_positives) / n AS accuracy
+  FROM m0),
+g AS (SELECT model, prob_neg AS score, count(*) AS n_rows,
+        count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg
+      FROM scored GROUP BY model, prob_neg),
+auc AS (
+  SELECT model, sum(n_neg * (below + n_pos * 0.5)) / (sum(n_pos) * sum(n_neg)) AS roc_auc FROM (
+    SELECT *, coalesce(sum(n_pos) OVER (PARTITION BY model ORDER BY score
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+  GROUP BY model),
+bundle AS (
+  SELECT m.model, m.n, m.accuracy, (f0 + f1) / 2 AS macro_f1, a.roc_auc,
+    p0 AS negative_precision, r0 AS negative_recall
+  FROM m JOIN auc a ON m.model = a.model),
+curve AS (
+  SELECT model, score AS threshold,
+    CAST(sum(n_rows) OVER w AS BIGINT) AS flagged, CAST(sum(n_neg) OVER w AS BIGINT) AS hits,
+    CAST(sum(n_neg) OVER (PARTITION BY model) AS BIGINT) AS positives
+  FROM g WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+targets AS (SELECT * FROM (VALUES (0.80), (0.85), (0.90), (0.9094), (0.93), (0.95)) v(target)),
+matched AS (
+  SELECT * FROM (
+    SELECT c.*, t.target, row_number() OVER (PARTITION BY c.model, t.target ORDER BY c.threshold DESC) AS rn
+    FROM curve c JOIN targets t ON c.hits >= t.target * c.positives) WHERE rn = 1),
+runs AS (
+  SELECT b.*, f.fp AS test_fingerprint FROM bundle b JOIN (
+    SELECT model, sum(CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS fp
+    FROM scored GROUP BY model) f ON b.model = f.model)"""
+
+R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)
+
+oracle("confusion", f"""
+WITH {_CONF}
+SELECT model, n, caught, missed, false_alarms, true_positives FROM conf""")
+
+oracle("metric_bundle", f"""
+WITH {_CONF}
+SELECT model, n, {R6('accuracy', 'macro_f1', 'roc_auc', 'negative_precision', 'negative_recall')} FROM bundle""")
+
+oracle("classification_report", f"""
+WITH {_CONF}
+SELECT model, 'negative' AS row_name, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1,
+  CAST(caught + missed AS BIGINT) AS support FROM m
+UNION ALL SELECT model, 'positive', round(p1, 6), round(r1, 6), round(f1, 6),
+  CAST(true_positives + false_alarms AS BIGINT) FROM m
+UNION ALL SELECT model, 'accuracy', NULL, NULL, round(accuracy, 6), n FROM m
+UNION ALL SELECT model, 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n FROM m
+UNION ALL SELECT model, 'weighted avg',
+  round((p0 * (caught + missed) + p1 * (true_positives + false_alarms)) / n, 6),
+  round((r0 * (caught + missed) + r1 * (true_positives + false_alarms)) / n, 6),
+  round((f0 * (caught + missed) + f1 * (true_positives + false_alarms)) / n, 6), n FROM m""")
+
+oracle("roc_auc", f"""
+WITH {_CONF}
+SELECT model, round(roc_auc, 6) AS roc_auc FROM auc""")
+
+oracle("pr_curve", f"""
+WITH {_CONF}
+SELECT model, threshold, flagged, hits, positives, round(hits / flagged, 6) AS precision,
+  round(hits / positives, 6) AS recall FROM curve""")
+
+oracle("precision_at_recall", f"""
+WITH {_CONF}
+SELECT model, CAST(target AS DOUBLE) AS target, threshold, round(hits / flagged, 6) AS precision,
+  round(hits / positives, 6) AS recall FROM matched""")
+
+oracle("false_alarms", f"""
+WITH {_CONF}
+SELECT model, CAST(target AS DOUBLE) AS target, hits AS caught, flagged - hits AS false_alarms FROM matched""")
+
+oracle("leaderboard", f"""
+WITH {_CONF}
+SELECT model AS run_name, CAST(rank() OVER (ORDER BY macro_f1 DESC) AS INTEGER) AS rank,
+  {R6('accuracy', 'macro_f1', 'roc_auc', 'negative_precision', 'negative_recall')} FROM runs""")
+
+oracle("best_run", f"""
+WITH {_CONF}
+SELECT arg_max(model, macro_f1) AS best_run, round(max(macro_f1), 6) AS macro_f1 FROM runs""")
+
+oracle("promotion_gate", f"""
+WITH {_CONF}
+SELECT 'b' AS candidate, 'a' AS incumbent, round(c.macro_f1, 6) AS cand_f1, round(i.macro_f1, 6) AS inc_f1,
+  c.test_fingerprint = i.test_fingerprint AS same_test_rows,
+  c.test_fingerprint = i.test_fingerprint AND c.macro_f1 > i.macro_f1 AS promote
+FROM runs c JOIN runs i ON c.model = 'b' AND i.model = 'a'""")
+
+
+def _fp(cols: list[str]) -> str:
+    txt = "concat_ws(chr(31), " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    return (f"count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substr(md5({txt}), 1, 15) AS BIGINT) "
+            f"AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS content_hash")
+
+
+oracle("dataset_fingerprint", f"""
+WITH {S.cleaned_cte('reviews')}
+SELECT 'documents' AS dataset, {_fp(['doc_id', 'text', 'lang', 'source', 'n_chars'])} FROM documents
+UNION ALL
+SELECT 'cleaned_reviews', {_fp(['review_key', 'review_text', 'rating', 'label', 'text_heavy_clean', 'text_light_clean'])}
+FROM cleaned""")

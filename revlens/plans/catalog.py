@@ -17,6 +17,7 @@ from revlens.operators import quality as Q
 from revlens.operators import sampling as S
 from revlens.operators import tfidf as TF
 from revlens.operators import evaluate as EV
+from revlens.operators import monitor as MO
 from revlens.sources import fingerprint as FP
 from revlens.session import materialize
 from revlens.sources import tables as V
@@ -302,3 +303,60 @@ def q_dataset_fingerprint(spark, sf_dir):
                               "text_heavy_clean", "text_light_clean"])
          .withColumn("dataset", F.lit("cleaned_reviews")))
     return a.unionByName(b).select("dataset", "n_rows", "content_hash")
+
+
+# --- monitoring and drift --------------------------------------------------------
+
+def _signals(spark, sf_dir):
+    return MO.signals(MO.last_n(V.prediction_log(spark, sf_dir)))
+
+
+@query("monitor_signals")
+def q_monitor_signals(spark, sf_dir):
+    s = _signals(spark, sf_dir)
+    return s.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
+                                                 "positive_share", "median_word_count",
+                                                 "p95_latency_ms"))
+
+
+@query("health_checks")
+def q_health_checks(spark, sf_dir):
+    h = MO.health_checks(_signals(spark, sf_dir))
+    return h.select("model", "check", *_r6("value"), "limit", "ok", "state")
+
+
+@query("retrain_trigger")
+def q_retrain_trigger(spark, sf_dir):
+    r = MO.retrain_trigger(_signals(spark, sf_dir))
+    return r.select("model", "predictions", *_r6("low_confidence_rate"), "retrain", "reason")
+
+
+@query("hard_examples")
+def q_hard_examples(spark, sf_dir):
+    w = MO.last_n(V.prediction_log(spark, sf_dir))
+    return MO.hard_examples(w).select("model", "id", "ts", "confidence")
+
+
+@query("drift_metrics")
+def q_drift_metrics(spark, sf_dir):
+    d = MO.drift_metrics(V.labelled_batch(spark, sf_dir))
+    return d.select("batch", "drift_type", "level", "n", "scored", "rejected",
+                    *_r6("accuracy", "mean_confidence", "low_confidence_rate"))
+
+
+@query("drift_delta")
+def q_drift_delta(spark, sf_dir):
+    d = MO.drift_delta(MO.drift_metrics(V.labelled_batch(spark, sf_dir), by_type=False))
+    return d.select("metric", *_r6("baseline", "drifted", "change"))
+
+
+@query("misclassified")
+def q_misclassified(spark, sf_dir):
+    m = MO.misclassified(V.labelled_batch(spark, sf_dir))
+    return m.select("id", "batch", "drift_type", "confidence", "pred", "truth")
+
+
+@query("request_validation")
+def q_request_validation(spark, sf_dir):
+    r = MO.validate_text(V.requests(spark, sf_dir))
+    return r.select("request_id", "accepted", "reject_reason", "text_light_clean", "word_count")

@@ -303,3 +303,94 @@ SELECT 'documents' AS dataset, {_fp(['doc_id', 'text', 'lang', 'source', 'n_char
 UNION ALL
 SELECT 'cleaned_reviews', {_fp(['review_key', 'review_text', 'rating', 'label', 'text_heavy_clean', 'text_light_clean'])}
 FROM cleaned""")
+
+
+# --- monitoring and drift --------------------------------------------------------
+
+_SIG = f"""{S.VIEWS['prediction_log']},
+win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts DESC, id DESC) AS rn
+                       FROM prediction_log) WHERE rn <= 100),
+sig AS (
+  SELECT model, count(*) AS predictions, avg(confidence) AS mean_confidence,
+    count(*) FILTER (WHERE confidence < 0.8) / count(*) AS low_confidence_rate,
+    count(*) FILTER (WHERE label = 'positive') / count(*) AS positive_share,
+    quantile_cont(word_count, 0.5) AS median_word_count,
+    list_sort(list(latency_ms))[CAST(least(floor(count(*) * 0.95), count(*) - 1) AS BIGINT) + 1] AS p95_latency_ms
+  FROM win GROUP BY model)"""
+
+oracle("monitor_signals", f"""
+WITH {_SIG}
+SELECT model, predictions, {R6('mean_confidence', 'low_confidence_rate', 'positive_share',
+                              'median_word_count', 'p95_latency_ms')} FROM sig""")
+
+oracle("health_checks", f"""
+WITH {_SIG},
+h AS (
+  SELECT model, 'low confidence rate' AS "check", low_confidence_rate AS value, 0.25::DOUBLE AS "limit",
+    low_confidence_rate <= 0.25 AS ok FROM sig
+  UNION ALL SELECT model, 'mean confidence', mean_confidence, 0.90::DOUBLE, mean_confidence >= 0.90 FROM sig
+  UNION ALL SELECT model, 'positive share', positive_share, 0.15::DOUBLE,
+    abs(positive_share - 0.843::DOUBLE) <= 0.15::DOUBLE FROM sig
+  UNION ALL SELECT model, 'p95 latency', p95_latency_ms, 200.0::DOUBLE, p95_latency_ms <= 200.0 FROM sig)
+SELECT model, "check", round(value, 6) AS value, "limit", ok, CASE WHEN ok THEN 'OK' ELSE 'ALERT' END AS state
+FROM h""")
+
+oracle("retrain_trigger", f"""
+WITH {_SIG}
+SELECT model, predictions, round(low_confidence_rate, 6) AS low_confidence_rate,
+  predictions >= 100 AND low_confidence_rate > 0.25 AS retrain,
+  CASE WHEN predictions < 100 THEN 'only ' || predictions || ' predictions, need 100 before judging'
+       WHEN low_confidence_rate > 0.25 THEN printf('%.1f%%', low_confidence_rate * 100)
+            || ' of the last 100 predictions fell below 0.8 confidence'
+       ELSE 'low confidence rate ' || printf('%.1f%%', low_confidence_rate * 100) || ' is within the 25% limit'
+  END AS reason
+FROM sig""")
+
+oracle("hard_examples", f"""
+WITH {_SIG}
+SELECT model, id, ts, confidence FROM win WHERE confidence < 0.8""")
+
+_DRIFT_AGGS = """count(*) AS n, count(confidence) AS scored, count(*) - count(confidence) AS rejected,
+    CASE WHEN count(confidence) > 0 THEN count(*) FILTER (WHERE confidence IS NOT NULL AND pred = truth)
+         / count(confidence) END AS accuracy,
+    avg(confidence) AS mean_confidence,
+    CASE WHEN count(confidence) > 0 THEN count(*) FILTER (WHERE confidence < 0.8) / count(confidence) END
+      AS low_confidence_rate"""
+
+oracle("drift_metrics", f"""
+WITH {S.VIEWS['labelled_batch']}
+SELECT batch, drift_type, CASE WHEN GROUPING(drift_type) = 0 THEN 'batch_type' ELSE 'batch' END AS level,
+  n, scored, rejected, {R6('accuracy', 'mean_confidence', 'low_confidence_rate')}
+FROM (SELECT batch, drift_type, {_DRIFT_AGGS}, GROUPING(drift_type) AS g
+      FROM labelled_batch GROUP BY GROUPING SETS ((batch), (batch, drift_type))) x
+GROUP BY ALL""".replace("GROUPING(drift_type) = 0", "g = 0"))
+
+oracle("drift_delta", f"""
+WITH {S.VIEWS['labelled_batch']},
+b AS (SELECT batch, {_DRIFT_AGGS} FROM labelled_batch GROUP BY batch),
+l AS (SELECT batch, 'accuracy' AS metric, accuracy AS value FROM b
+      UNION ALL SELECT batch, 'mean_confidence', mean_confidence FROM b
+      UNION ALL SELECT batch, 'low_confidence_rate', low_confidence_rate FROM b),
+p AS (SELECT metric, max(value) FILTER (WHERE batch = 'baseline') AS baseline,
+        max(value) FILTER (WHERE batch = 'drifted') AS drifted FROM l GROUP BY metric)
+SELECT metric, round(baseline, 6) AS baseline, round(drifted, 6) AS drifted,
+  round(drifted - baseline, 6) AS change FROM p""")
+
+oracle("misclassified", f"""
+WITH {S.VIEWS['labelled_batch']}
+SELECT id, batch, drift_type, confidence, pred, truth FROM labelled_batch
+WHERE confidence IS NOT NULL AND pred <> truth""")
+
+oracle("request_validation", f"""
+WITH {S.VIEWS['requests']},
+r AS (
+  SELECT request_id, {S.light('text')} AS lt,
+    CASE WHEN text IS NULL THEN 'Input should be a valid string'
+         WHEN length(text) > 5000 THEN 'String should have at most 5000 characters'
+         WHEN NOT regexp_matches({S.light('text')}, '[A-Za-z0-9]') THEN 'text must contain at least one letter or digit'
+    END AS reject_reason
+  FROM requests)
+SELECT request_id, reject_reason IS NULL AS accepted, reject_reason,
+  CASE WHEN reject_reason IS NULL THEN lt END AS text_light_clean,
+  CASE WHEN reject_reason IS NULL THEN {S.word_count('lt')} END AS word_count
+FROM r""")

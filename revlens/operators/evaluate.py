@@ -159,7 +159,8 @@ def at_recall(curve: DataFrame, targets=TARGET_RECALLS, model: str = "model") ->
     point = F.struct("threshold", "precision", "recall", "flagged", "hits")
     aggs = []
     for t in targets:
-        ok = F.col("hits") >= F.lit(Decimal(t)) * F.col("positives")
+        # recall is undefined without negatives: no point qualifies then
+        ok = (F.col("positives") > 0) & (F.col("hits") >= F.lit(Decimal(t)) * F.col("positives"))
         aggs.append(F.struct(F.lit(Decimal(t)).cast("double").alias("target"),
                              F.max(F.when(ok, point)).alias("p")))
     best = curve.groupBy(model).agg(F.array(*aggs).alias("_a"))

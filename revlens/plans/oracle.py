@@ -227,7 +227,7 @@ targets AS (SELECT * FROM (VALUES (0.80), (0.85), (0.90), (0.9094), (0.93), (0.9
 matched AS (
   SELECT * FROM (
     SELECT c.*, t.target, row_number() OVER (PARTITION BY c.model, t.target ORDER BY c.threshold DESC) AS rn
-    FROM curve c JOIN targets t ON c.hits >= t.target * c.positives) WHERE rn = 1),
+    FROM curve c JOIN targets t ON c.positives > 0 AND c.hits >= t.target * c.positives) WHERE rn = 1),
 runs AS (
   SELECT b.*, f.fp AS test_fingerprint FROM bundle b JOIN (
     SELECT model, sum(CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS fp

@@ -18,8 +18,13 @@ from revlens.operators import sampling as S
 from revlens.operators import tfidf as TF
 from revlens.operators import evaluate as EV
 from revlens.operators import monitor as MO
+from revlens.operators import models as MD
+from revlens.operators import store as ST
+from revlens.operators import vectors as VEC
 from revlens.sources import fingerprint as FP
-from revlens.session import materialize
+import uuid
+
+from revlens.session import materialize, scratch_path, stage_known
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -360,3 +365,119 @@ def q_misclassified(spark, sf_dir):
 def q_request_validation(spark, sf_dir):
     r = MO.validate_text(V.requests(spark, sf_dir))
     return r.select("request_id", "accepted", "reject_reason", "text_light_clean", "word_count")
+
+
+# --- features, models, runs (checked by row count; numerics in pytest) ------------
+
+STORE_SETTINGS = dict(max_features=20000, ngram_max=2, sublinear=True, k=32)
+
+
+_STORES: dict = {}
+
+
+def feature_store_of(spark, sf_dir, **over):
+    """Store rows + fitted transformer; the store table is written once per
+    session and settings (the transformer is kept beside it)."""
+    settings = dict(STORE_SETTINGS, **over)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(settings.items())))
+    if key in _STORES and stage_known(_STORES[key][0]):
+        path, tr = _STORES[key]
+        return spark.read.parquet(path), tr
+    docs, _ = train_test_docs(spark, sf_dir)
+    store, tr = ST.build_store(docs, **settings)
+    path = scratch_path(spark, f"feature_store-{uuid.uuid4().hex}")
+    ST.write_store(store, path)
+    _STORES[key] = (path, tr)
+    return spark.read.parquet(path), tr
+
+
+@query("feature_store")
+def q_feature_store(spark, sf_dir):
+    return feature_store_of(spark, sf_dir)[0]
+
+
+@query("store_manifest")
+def q_store_manifest(spark, sf_dir):
+    store, tr = feature_store_of(spark, sf_dir)
+    return ST.manifest(spark, store, tr)
+
+
+@query("store_conformance")
+def q_store_conformance(spark, sf_dir):
+    store, tr = feature_store_of(spark, sf_dir)
+    return ST.conformance(store, ST.manifest(spark, store, tr))
+
+
+def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
+    train = store.filter(F.col("split") == "train")
+    if sample is not None:
+        train = S.stratified_sample(train, sample)
+    data = lambda d: d.withColumn("fv", VEC.dense("features"))
+    model = MD.fit_lr(data(train), features="fv", C=C, balanced=balanced, max_iter=1000)
+    scored = MD.score(model, data(store.filter(F.col("split") == "test")), run_name=run_name)
+    return model, scored
+
+
+@query("train_from_store")
+def q_train_from_store(spark, sf_dir):
+    store, _ = feature_store_of(spark, sf_dir)
+    _, scored = _lr_on_store(store, "logreg-feature-store")
+    return MD.run_metrics(scored)
+
+
+@query("ablation")
+def q_ablation(spark, sf_dir):
+    """One knob at a time against the base store configuration."""
+    base = dict(max_features=20000, ngram_max=2, sublinear=False, k=16)
+    configs = [("store-base", base, 1.0), ("store-sublinear", dict(base, sublinear=True), 1.0),
+               ("store-svd32", dict(base, k=32), 1.0), ("store-C4", base, 4.0)]
+    out = None
+    for name, cfg, C in configs:
+        store, _ = feature_store_of(spark, sf_dir, **cfg)
+        _, scored = _lr_on_store(store, name, C=C)
+        m = MD.run_metrics(scored)
+        out = m if out is None else out.unionByName(m)
+    return MD.with_delta(out, "store-base")
+
+
+@query("controlled_comparison")
+def q_controlled_comparison(spark, sf_dir):
+    """Same stratified sample and test rows; balanced vs unweighted LR on
+    inline TF-IDF bigrams; ranked (T7)."""
+    docs, train = train_test_docs(spark, sf_dir)
+    sample = S.stratified_sample(train, 200)
+    tf = TF.fit(sample, ngram_max=2, max_features=20000)
+    size = tf.vocab.count()
+    vec = lambda d: TF.to_vectors(TF.transform(tf, d), d.select("review_id", "label"), size)
+    tr_v, te_v = vec(sample), vec(docs.filter(F.col("split") == "test"))
+    out = None
+    for name, bal in (("logreg-balanced", True), ("logreg-unweighted", False)):
+        model = MD.fit_lr(tr_v, balanced=bal)
+        m = MD.run_metrics(MD.score(model, te_v, run_name=name))
+        out = m if out is None else out.unionByName(m)
+    return EV.leaderboard(out)
+
+
+@query("drift_experiment")
+def q_drift_experiment(spark, sf_dir):
+    """Serve a seeded sample of test reviews and the same kind of reviews
+    wrapped in markup noise; compare accuracy and confidence (A17 -> A19)."""
+    store, tr = feature_store_of(spark, sf_dir)
+    model, _ = _lr_on_store(store, "served")
+    docs, _ = train_test_docs(spark, sf_dir)
+    test = docs.filter(F.col("split") == "test")
+    base = S.simple_sample(test, 200).select(
+        F.col("review_id").alias("request_id"), F.col("review_text").alias("text"),
+        F.col("label").alias("truth"), F.lit("baseline").alias("batch"))
+    noisy = V.dirty_reviews(spark, sf_dir).filter(F.col("review_key") % 5 == 0).select(
+        "review_key", F.col("review_text").alias("text"))
+    drifted = (noisy.join(docs.select("review_key", "review_id", "label"), "review_key")
+               .select(F.col("review_id").alias("request_id"), "text",
+                       F.col("label").alias("truth"), F.lit("drifted").alias("batch")))
+    batches = base.unionByName(drifted)                                       # U1
+    served = ST.serve(tr, model, batches.select("request_id", "text"))        # M12
+    joined = served.join(batches.select("request_id", "batch", "truth"), "request_id")  # J5
+    rows = joined.select("request_id", "batch", F.lit(None).cast("string").alias("drift_type"),
+                         (F.col("label") == "positive").cast("int").alias("pred"), "truth",
+                         "confidence")
+    return MO.drift_delta(MO.drift_metrics(rows, by_type=False))             # A17, A19

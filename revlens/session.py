@@ -92,3 +92,15 @@ def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
 def forget_stages() -> None:
     """Drop the memo (the bench uses it so every query pays for its stages)."""
     _STAGES.clear()
+    _FORGOTTEN.add(len(_FORGOTTEN))
+
+
+_FORGOTTEN: set = set()
+_EPOCH_SEEN: dict = {}
+
+
+def stage_known(path: str) -> bool:
+    """False once ``forget_stages`` ran after ``path`` was first seen."""
+    epoch = len(_FORGOTTEN)
+    first = _EPOCH_SEEN.setdefault(path, epoch)
+    return first == epoch

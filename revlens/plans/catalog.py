@@ -481,3 +481,41 @@ def q_drift_experiment(spark, sf_dir):
                          (F.col("label") == "positive").cast("int").alias("pred"), "truth",
                          "confidence")
     return MO.drift_delta(MO.drift_metrics(rows, by_type=False))             # A17, A19
+
+
+# --- streams (batch twins above) ------------------------------------------------------
+
+@query("monitor_stream")
+def q_monitor_stream(spark, sf_dir):
+    """R2: the prediction log replayed as files through the count-window state;
+    the latest emitted signals per model equal the batch twin."""
+    from revlens.streaming import monitor_stream as MS
+    base = scratch_path(spark, f"monitor-stream-{uuid.uuid4().hex}")
+    log = V.prediction_log(spark, sf_dir)
+    # four files by id range -> four micro-batches
+    (log.repartitionByRange(4, "id").write.mode("overwrite")
+     .option("timestampNTZFormat", MS.TS_FORMAT).json(f"{base}/log"))
+    sig = MS.run_to_table(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt")
+    return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
+                                                   "positive_share", "median_word_count",
+                                                   "p95_latency_ms"))
+
+
+@query("scoring_stream")
+def q_scoring_stream(spark, sf_dir):
+    """Request bodies streamed through validation and the served model;
+    accepted rows land in the log, rejected rows in quarantine."""
+    from revlens.streaming import scoring_stream as SS
+    store, tr = feature_store_of(spark, sf_dir)
+    model, _ = _lr_on_store(store, "served")
+    base = scratch_path(spark, f"scoring-stream-{uuid.uuid4().hex}")
+    SS.bodies(V.requests(spark, sf_dir)).repartition(2).write.mode("overwrite").json(f"{base}/in")
+    q = SS.start(spark, tr, model, "logreg-feature-store", f"{base}/in", f"{base}/log",
+                 f"{base}/quarantine", f"{base}/ckpt")
+    q.awaitTermination()
+    log = spark.read.parquet(f"{base}/log").select(
+        "request_id", F.lit(None).cast("string").alias("reject_reason"), "label", "confidence")
+    bad = spark.read.parquet(f"{base}/quarantine").select(
+        "request_id", "reject_reason", F.lit(None).cast("string").alias("label"),
+        F.lit(None).cast("double").alias("confidence"))
+    return log.unionByName(bad)

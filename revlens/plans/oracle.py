@@ -394,3 +394,6 @@ SELECT request_id, reject_reason IS NULL AS accepted, reject_reason,
   CASE WHEN reject_reason IS NULL THEN lt END AS text_light_clean,
   CASE WHEN reject_reason IS NULL THEN {S.word_count('lt')} END AS word_count
 FROM r""")
+
+# the streamed count window must end where the batch twin does
+ORACLE["monitor_stream"] = ORACLE["monitor_signals"]

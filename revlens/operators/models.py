@@ -47,7 +47,7 @@ def fit_lr(train: DataFrame, features: str = "features", label: str = "label",
     parts = max(1, -(-n // ROWS_PER_PARTITION))
     if data.rdd.getNumPartitions() > parts:
         data = data.coalesce(parts)
-    lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight",
+    lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", family="binomial",
                             regParam=1.0 / (C * n), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=tol)
     return lr.fit(data)

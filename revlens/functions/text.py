@@ -24,9 +24,12 @@ LABEL_NAMES = {0: "negative", 1: "positive"}
 # ---------------------------------------------------------------------------
 
 # The set of characters Python's str.split()/strip()/re "\s" treat as
-# whitespace, spelled for Java regex (Spark) and RE2 (DuckDB oracles).
-_WS_JAVA = (r"\s\x0B\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A"
-            r"\u2028\u2029\u202F\u205F\u3000")
+# whitespace, spelled for Java regex (Spark) and RE2 (DuckDB oracles). In Java,
+# \s covers tab, newline, vertical tab, form feed, return and space, and \p{Z}
+# every Unicode space / line / paragraph separator; together with \x1C-\x1F
+# and \x85 that is exactly Python's set (checked over all code points), and it
+# matches about three times faster than listing the separators one by one.
+_WS_JAVA = r"\s\p{Z}\x1C-\x1F\x85"
 _WS_RE2 = (r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 

@@ -24,7 +24,7 @@ from revlens.operators import vectors as VEC
 from revlens.sources import fingerprint as FP
 import uuid
 
-from revlens.session import materialize, scratch_path, stage_known
+from revlens.session import materialize, memo_get, memo_put, scratch_path
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -372,22 +372,20 @@ def q_request_validation(spark, sf_dir):
 STORE_SETTINGS = dict(max_features=20000, ngram_max=2, sublinear=True, k=32)
 
 
-_STORES: dict = {}
-
-
 def feature_store_of(spark, sf_dir, **over):
     """Store rows + fitted transformer; the store table is written once per
     session and settings (the transformer is kept beside it)."""
     settings = dict(STORE_SETTINGS, **over)
     key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(settings.items())))
-    if key in _STORES and stage_known(_STORES[key][0]):
-        path, tr = _STORES[key]
+    hit = memo_get(key)
+    if hit is not None:
+        path, tr = hit
         return spark.read.parquet(path), tr
     docs, _ = train_test_docs(spark, sf_dir)
     store, tr = ST.build_store(docs, **settings)
     path = scratch_path(spark, f"feature_store-{uuid.uuid4().hex}")
     ST.write_store(store, path)
-    _STORES[key] = (path, tr)
+    memo_put(key, (path, tr))
     return spark.read.parquet(path), tr
 
 

@@ -89,18 +89,19 @@ def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
     return spark.read.parquet(path)
 
 
-def forget_stages() -> None:
-    """Drop the memo (the bench uses it so every query pays for its stages)."""
-    _STAGES.clear()
-    _FORGOTTEN.add(len(_FORGOTTEN))
+_MEMO: dict = {}
+
 
+def memo_get(key):
+    """A stage object (for example a fitted transformer) kept for this session."""
+    return _MEMO.get(key)
 
-_FORGOTTEN: set = set()
-_EPOCH_SEEN: dict = {}
 
+def memo_put(key, value) -> None:
+    _MEMO[key] = value
 
-def stage_known(path: str) -> bool:
-    """False once ``forget_stages`` ran after ``path`` was first seen."""
-    epoch = len(_FORGOTTEN)
-    first = _EPOCH_SEEN.setdefault(path, epoch)
-    return first == epoch
+
+def forget_stages() -> None:
+    """Drop the memos (the bench uses it so every query pays for its stages)."""
+    _STAGES.clear()
+    _MEMO.clear()

@@ -66,3 +66,10 @@ def test_sql_functions(spark):
     df = spark.createDataFrame([(s,) for s in HOSTILE], "t string")
     got = [r[0] for r in df.select(F.expr("heavy_clean(t)")).collect()]
     assert got == [py_heavy(s) for s in HOSTILE]
+
+
+def test_whitespace_class_equals_python_everywhere(spark):
+    s = "".join(chr(c) for c in range(1, 0x110000) if not (0xD800 <= c <= 0xDFFF))
+    df = spark.createDataFrame([(s,)], "t string")
+    got = df.select(F.regexp_replace("t", T.WS_RUN, "#")).first()[0]
+    assert got == re.sub(r"\s+", "#", s)

@@ -33,7 +33,6 @@ def fit_transformer(train: DataFrame, max_features: int = 20000, ngram_max: int
                     sublinear: bool = True, k: int = 600, seed: int = 42) -> Transformer:
     """M5: fit TF-IDF and SVD on the training rows."""
     tf = TF.fit(train, ngram_max=ngram_max, sublinear=sublinear, max_features=max_features)
-    tf.vocab = tf.vocab.persist()
     n_terms = tf.vocab.count()
     svd = SVD.fit(SVD.doc_arrays(TF.transform(tf, train)), n_terms, k)
     settings = {"tfidf_max_features": max_features, "tfidf_ngram_range": [1, ngram_max],

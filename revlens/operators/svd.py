@@ -1,11 +1,22 @@
 """M4: truncated SVD of the TF-IDF matrix and the projection of rows onto it.
 
-The decomposition is Spark's distributed ``RowMatrix.computeSVD`` (exact,
-uncentred - ml ``PCA`` would centre and change the meaning); it returns the
-right singular vectors V (terms x k) to the driver. V is bounded by
-``vocabulary cap x k`` (20,000 x 600 doubles = 96 MB at the published
-setting), so it is broadcast once and the projection ``X V`` runs per Arrow
-batch in ``mapInPandas`` with numpy; each row only touches its own non-zeros.
+Two solvers, both uncentred (ml ``PCA`` would centre and change the meaning):
+
+* ``randomized`` (default, the reference library's default algorithm):
+  block subspace iteration on the Gram operator A^T A with ``k + oversample``
+  columns and ``n_iter`` power passes. One pass is one ``mapInPandas`` job:
+  every partition accumulates its rows' contribution a^T (a Q) into a dense
+  terms x l block with numpy, the blocks are cut into row chunks and summed
+  per chunk by a grouped aggregation, and only the summed terms x l matrix
+  (bounded by vocabulary cap x (k + oversample)) reaches the driver, where a
+  QR and a small l x l eigenproblem finish the step. About n_iter + 1 passes.
+* ``exact``: Spark's distributed ``RowMatrix.computeSVD`` (ARPACK; one small
+  Spark job per matrix-vector product, so hundreds of jobs).
+
+V is bounded by ``vocabulary cap x k`` (20,000 x 600 doubles = 96 MB at the
+published setting), so it is broadcast once and the projection ``X V`` runs
+per Arrow batch in ``mapInPandas`` with numpy; each row only touches its own
+non-zeros.
 """
 
 from __future__ import annotations
@@ -45,18 +56,82 @@ def fix_signs(v: np.ndarray) -> np.ndarray:
     return v * signs
 
 
-def fit(arrays: DataFrame, n_terms: int, k: int) -> SvdModel:
-    """Distributed SVD of the rows in ``arrays`` (fit on training rows)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
+def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 4096) -> np.ndarray:
+    """A^T A Q for the sparse rows of ``arrays`` (one distributed pass)."""
+    import pandas as pd
+    spark = arrays.sparkSession
+    bq = spark.sparkContext.broadcast(q)
+    n_terms, width = q.shape
 
+    def partial(batches):
+        qv = bq.value
+        z = np.zeros_like(qv)
+        for pdf in batches:
+            for idx, val in zip(pdf["idx"], pdf["val"]):
+                if idx is None or len(idx) == 0:
+                    continue
+                i = np.asarray(idx, dtype=np.int64)
+                w = np.asarray(val, dtype=np.float64)
+                z[i] += np.outer(w, w @ qv[i])     # indices are distinct within a row
+        for c in range(0, n_terms, chunk_rows):
+            blk = z[c:c + chunk_rows]
+            if blk.any():
+                yield pd.DataFrame({"chunk": [c // chunk_rows], "data": [blk.tobytes()]})
+
+    def add(pdf):
+        acc = None
+        for b in pdf["data"]:
+            m = np.frombuffer(b, dtype=np.float64)
+            acc = m.copy() if acc is None else acc + m
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "data": [acc.tobytes()]})
+
+    summed = (arrays.mapInPandas(partial, "chunk int, data binary")
+              .groupBy("chunk").applyInPandas(add, "chunk int, data binary"))
+    z = np.zeros((n_terms, width))
+    for r in summed.collect():        # bounded: n_terms x width doubles in total
+        c = r["chunk"] * chunk_rows
+        blk = np.frombuffer(r["data"], dtype=np.float64).reshape(-1, width)
+        z[c:c + blk.shape[0]] = blk
+    bq.unpersist()
+    return z
+
+
+def _fit_randomized(arrays: DataFrame, n_terms: int, k: int, n_iter: int,
+                    oversample: int, seed: int) -> SvdModel:
+    width = min(n_terms, k + oversample)
+    rng = np.random.default_rng(seed)
+    q, _ = np.linalg.qr(rng.standard_normal((n_terms, width)))
+    for _ in range(n_iter):
+        q, _ = np.linalg.qr(_gram_pass(arrays, q))
+    z = _gram_pass(arrays, q)
+    evals, w = np.linalg.eigh(q.T @ z)                # small width x width problem
+    order = np.argsort(evals)[::-1][:k]
+    v = fix_signs(q @ w[:, order])
+    return SvdModel(v, np.sqrt(np.clip(evals[order], 0.0, None)), n_terms)
+
+
+def fit(arrays: DataFrame, n_terms: int, k: int, method: str = "randomized",
+        n_iter: int = 5, oversample: int = 10, seed: int = 42) -> SvdModel:
+    """Distributed truncated SVD of the rows in ``arrays`` (fit on training rows)."""
     k = int(min(k, n_terms))
-    # ARPACK runs one distributed matrix-vector product per step: about one
-    # partition per ROWS_PER_PARTITION rows keeps tasks busy at scale without
-    # per-task overhead dominating small inputs
     n = arrays.count()
     parts = max(1, -(-n // ROWS_PER_PARTITION))
     src = arrays.coalesce(parts) if arrays.rdd.getNumPartitions() > parts else arrays
+    if method == "randomized":
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return _fit_randomized(src, n_terms, k, n_iter, oversample, seed)
+        finally:
+            src.unpersist()
+    return _fit_exact(src, n_terms, k)
+
+
+def _fit_exact(src: DataFrame, n_terms: int, k: int) -> SvdModel:
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.linalg.distributed import RowMatrix
+
+    # ARPACK runs one distributed matrix-vector product per step; the caller
+    # coalesced to about one partition per ROWS_PER_PARTITION rows
     rows = src.rdd.map(lambda r: Vectors.sparse(n_terms, r["idx"], r["val"]))
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -73,6 +73,10 @@ def fit(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_
     idx = F.row_number().over(Window.orderBy("term")) - 1
     idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
     vocab = capped.select("term", idx.cast("int").alias("idx"), "cf", "df", idf.alias("idf"))
+    if max_features is not None:
+        # bounded by max_features rows: write it once so every transform reuses it
+        from revlens.session import materialize
+        vocab = materialize(vocab, "vocab")
     return TfidfModel(vocab, n, ngram_max, sublinear, max_features)
 
 

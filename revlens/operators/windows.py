@@ -24,11 +24,20 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_OFFSET_ROWS = 2_000_000
 
 
+ROWS_PER_BUCKET = 250_000
+
+
 def default_buckets(df: DataFrame) -> int:
     spark = df.sparkSession
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Enough range buckets that one (group, bucket) window holds about
+    ``rows_per_bucket`` rows."""
+    return max(1, -(-int(n_rows) // rows_per_bucket))
+
+
 def md5_bucket(hex_col: Column, n_buckets: int) -> Column:
     """Bucket of an md5 hex digest: monotone in the digest's sort order and
     near uniform, because md5 output is."""

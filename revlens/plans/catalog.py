@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
+from revlens.operators import windows as WN
 from revlens.operators import tfidf as TF
 from revlens.operators import evaluate as EV
 from revlens.operators import monitor as MO
@@ -106,8 +107,10 @@ def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned rows are written once, ids and the split are assigned over the
     written rows, and the joined result is written partitioned by split."""
     cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=sf_dir)
-    ided = S.assign_ids(cleaned)
-    split = S.stratified_split(ided)
+    # row count of a written parquet table comes from file footers
+    nb = WN.buckets_for(cleaned.count())
+    ided = S.assign_ids(cleaned, n_buckets=nb)
+    split = S.stratified_split(ided, n_buckets=nb)
     return materialize(ided.join(split, "review_id"), "reviews_split", memo=sf_dir,
                        partition_by="split")
 

@@ -9,17 +9,20 @@ from revlens.operators import svd as SVD
 from .conftest import SF01
 
 
-def test_svd_matches_numpy(spark):
+# The embeddings' spectrum is almost flat (random vectors), the slowest case
+# for power iteration, so the randomized solver is given more passes here.
+@pytest.mark.parametrize("method,tol,n_iter", [("exact", 1e-6, 0), ("randomized", 1e-4, 60)])
+def test_svd_matches_numpy(spark, method, tol, n_iter):
     emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
     arr = emb.select(F.col("vec_id").alias("review_id"),
                      F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"),
                      F.col("embedding").cast("array<double>").alias("val"))
-    m = SVD.fit(arr, 64, 5)
+    m = SVD.fit(arr, 64, 5, method=method, n_iter=n_iter)
     x = np.array([r["embedding"] for r in emb.orderBy("vec_id").collect()], dtype=np.float64)
     _, s, vt = np.linalg.svd(x, full_matrices=False)
-    assert np.allclose(m.singular_values, s[:5], rtol=1e-6)
+    assert np.allclose(m.singular_values, s[:5], rtol=tol)
     v = SVD.fix_signs(vt[:5].T)
-    assert np.allclose(np.abs(m.components), np.abs(v), atol=1e-5)
+    assert np.allclose(np.abs(m.components), np.abs(v), atol=100 * tol)
     proj = SVD.project(m, arr.select("review_id"), arr).orderBy("review_id").collect()
     got = np.array([r["features"] for r in proj])
     assert np.allclose(got, (x @ m.components).astype(np.float32), atol=1e-4)

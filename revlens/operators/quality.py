@@ -196,3 +196,10 @@ def class_shares(cleaned: DataFrame) -> DataFrame:
         F.round(F.col("n") / total, 6).alias("share"),
         F.round(F.max("n").over(w) / F.min("n").over(w), 6).alias("imbalance_ratio"),
         F.round(F.max("n").over(w) / total, 6).alias("majority_accuracy"))
+
+
+def extend_training(cleaned: DataFrame, new_rows: DataFrame, key: str = "review_key") -> DataFrame:
+    """Add newly labelled rows to the cleaned table and clean the union
+    again (first occurrence of a text still wins)."""
+    base = cleaned.select(key, "review_text", "rating")
+    return clean_and_label(base.unionByName(new_rows.select(key, "review_text", "rating")), key)

@@ -80,3 +80,10 @@ def split_with_fallback(spark: SparkSession, store_path: str, recompute) -> Data
     if _exists(spark, store_path):
         return spark.read.parquet(store_path).select("review_id", "split")
     return recompute()
+
+
+def labelled_rows(spark: SparkSession, rows, batch: str = "inline") -> DataFrame:
+    """Caller-supplied (text, truth) pairs as a labelled batch."""
+    df = spark.createDataFrame([(i, t, int(y)) for i, (t, y) in enumerate(rows)],
+                               "id long, text string, truth int")
+    return df.withColumn("batch", F.lit(batch))

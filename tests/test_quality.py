@@ -69,3 +69,10 @@ def test_class_shares(spark):
     out = {r["label"]: r for r in Q.class_shares(Q.clean_and_label(df(spark, rows))).collect()}
     assert out[1]["n"] == 30 and out[0]["n"] == 10
     assert out[1]["imbalance_ratio"] == 3.0 and out[1]["majority_accuracy"] == 0.75
+
+
+def test_extend_training_keeps_first(spark):
+    base = Q.clean_and_label(df(spark, [(1, "good tasty snack", 5.0)]))
+    new = df(spark, [(2, "good tasty snack", 1.0), (3, "stale and awful", 1.0)])
+    out = sorted((r["review_key"], r["label"]) for r in Q.extend_training(base, new).collect())
+    assert out == [(1, 1), (3, 0)]

@@ -3,9 +3,9 @@
 Shape of the plan:
 
 * tokens and n-grams are array expressions; ``explode`` + ``groupBy(doc, term)``
-  counts term frequencies. When the input is already hash-partitioned by the
-  doc id (it is after the join with the split), that partitioning satisfies
-  the (doc, term) grouping and the count needs no further exchange;
+  counts term frequencies. The documents are hash-partitioned by id once, and
+  that partitioning satisfies both the (doc, term) grouping and the per-doc
+  norm window, so neither adds an exchange;
 * term statistics are one ``groupBy(term)`` with map-side partial
   aggregation, so a term present in every document is pre-summed per task;
 * the vocabulary is capped with a top-k (``orderBy(...).limit(k)`` plans as a
@@ -39,9 +39,15 @@ class TfidfModel:
 
 def term_counts(docs: DataFrame, id_col: str = "review_id",
                 text_col: str = "text_heavy_clean", ngram_max: int = 1) -> DataFrame:
-    """(id, term, tf) for every term occurrence in heavy-cleaned text."""
+    """(id, term, tf) for every term occurrence in heavy-cleaned text.
+
+    Documents are hash-partitioned by id first: that one exchange satisfies the
+    (id, term) count and the later per-document norm window, which then need
+    no exchange of their own.
+    """
     grams = T.ngrams(T.tfidf_tokens(text_col), ngram_max)
-    return (docs.select(id_col, F.explode(grams).alias("term"))
+    return (docs.select(id_col, text_col).repartition(id_col)
+            .select(id_col, F.explode(grams).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -42,7 +42,7 @@ def md5_bucket(hex_col: Column, n_buckets: int) -> Column:
     """Bucket of an md5 hex digest: monotone in the digest's sort order and
     near uniform, because md5 output is."""
     if n_buckets <= 1:
-        return F.lit(0)
+        return SINGLE
     prefix = F.conv(F.substring(hex_col, 1, 8), 16, 10).cast("double")
     return F.floor(prefix * n_buckets / float(16 ** 8)).cast("int")
 
@@ -52,12 +52,12 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int,
     """Bucket by approximate quantiles of ``col`` (one bounded sampling job;
     the driver receives ``n_buckets - 1`` numbers)."""
     if n_buckets <= 1:
-        return F.lit(0)
+        return SINGLE
     probs = [i / n_buckets for i in range(1, n_buckets)]
     err = rel_err if rel_err is not None else 1.0 / (10 * n_buckets)
     bounds = sorted(set(b for b in df.approxQuantile(col, probs, err) if b is not None))
     if not bounds:
-        return F.lit(0)
+        return SINGLE
     expr = F.lit(len(bounds))
     for i in range(len(bounds) - 1, -1, -1):
         expr = F.when(F.col(col) < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
@@ -70,6 +70,14 @@ def _bisect(col: str, bounds: list) -> Column:
     return F.size(F.filter(arr, lambda b: b <= F.col(col)))
 
 
+# bucket value meaning "everything in one bucket" (offsets are all zero)
+SINGLE = None
+
+
+def _single(bucket) -> bool:
+    return bucket is SINGLE
+
+
 def _offsets(counts: DataFrame, group_cols: list[str], bucket: str,
              value_cols: list[str], descending: bool) -> DataFrame:
     order = F.col(bucket).desc() if descending else F.col(bucket).asc()
@@ -88,6 +96,10 @@ def row_numbers(df: DataFrame, group_cols: list[str], order_cols: list[Column],
     total order), computed bucket by bucket. ``bucket`` must be monotone in the
     order (ascending, or descending when ``descending_bucket``)."""
     b = "_bucket"
+    if _single(bucket):
+        # one bucket: offsets are all zero, number rows directly
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(out, F.row_number().over(w))
     tagged = df.withColumn(b, bucket)
     counts = tagged.groupBy(*group_cols, b).agg(F.count(F.lit(1)).alias("_n"))
     offs = _offsets(counts, group_cols, b, ["_n"], descending_bucket)
@@ -105,6 +117,13 @@ def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[Column],
     """Inclusive running sums of ``value_cols`` within ``group_cols`` along
     ``order_cols`` (a total order over the rows of ``df``)."""
     b = "_bucket"
+    if _single(bucket):
+        w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, 0))
+        out = df
+        for v in value_cols:
+            out = out.withColumn(v + suffix, F.sum(v).over(w))
+        return out
     tagged = df.withColumn(b, bucket)
     counts = tagged.groupBy(*group_cols, b).agg(*[F.sum(v).alias(v) for v in value_cols])
     offs = _offsets(counts, group_cols, b, value_cols, descending_bucket)

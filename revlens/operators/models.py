@@ -41,16 +41,22 @@ def fit_lr(train: DataFrame, features: str = "features", label: str = "label",
     coalesced to about one partition per ``ROWS_PER_PARTITION`` rows: enough
     tasks at full scale, no per-task overhead dominating on small inputs.
     """
+    from pyspark import StorageLevel
     data = balanced_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
+    data = data.select(features, label, "weight").persist(StorageLevel.MEMORY_AND_DISK)
     # sum of balanced weights equals the row count, as does the unweighted sum
     n = data.count()
     parts = max(1, -(-n // ROWS_PER_PARTITION))
+    cached = data
     if data.rdd.getNumPartitions() > parts:
         data = data.coalesce(parts)
     lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", family="binomial",
                             regParam=1.0 / (C * n), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=tol)
-    return lr.fit(data)
+    try:
+        return lr.fit(data)
+    finally:
+        cached.unpersist()
 
 
 def score(model, df: DataFrame, id_col: str = "review_id", label: str = "label",

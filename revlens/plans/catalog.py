@@ -520,3 +520,16 @@ def q_scoring_stream(spark, sf_dir):
         "request_id", "reject_reason", F.lit(None).cast("string").alias("label"),
         F.lit(None).cast("double").alias("confidence"))
     return log.unionByName(bad)
+
+
+@query("tfidf_logreg")
+def q_tfidf_logreg(spark, sf_dir):
+    """M9 on inline TF-IDF: uni+bigram vocabulary (20k cap) fitted on the whole
+    train split, balanced LR, scored on the test split (the bigram run)."""
+    docs, train = train_test_docs(spark, sf_dir)
+    tf = TF.fit(train, ngram_max=2, max_features=20000)
+    size = tf.vocab.count()
+    vec = lambda d: TF.to_vectors(TF.transform(tf, d), d.select("review_id", "label"), size)
+    model = MD.fit_lr(vec(train), balanced=True)
+    return MD.run_metrics(MD.score(model, vec(docs.filter(F.col("split") == "test")),
+                                   run_name="logreg-tfidf-bigram"))

@@ -3,8 +3,8 @@
 State per model is the newest ``WINDOW`` predictions ordered by (ts, id),
 held in ``applyInPandasWithState`` (bounded: at most WINDOW rows per model).
 Each micro-batch merges its rows into the state and emits the model's current
-signals, stamped with the batch's newest (ts, id), so downstream code can keep
-the latest row per model. Rows older than the window's oldest member are
+signals, stamped with a per-model emission counter (and the window's newest
+(ts, id)), so downstream code can keep the latest row per model. Rows older than the window's oldest member are
 dropped on arrival - the window is a fixed count, not event time.
 
 The batch twin is ``operators.monitor.last_n`` + ``signals``; on the same rows
@@ -24,10 +24,10 @@ from revlens.operators.monitor import LOW_CONFIDENCE, WINDOW
 LOG_SCHEMA = ("id long, ts timestamp_ntz, model string, label string, confidence double, "
               "word_count int, latency_ms double")
 STATE_SCHEMA = ("ids array<long>, ts array<long>, label array<string>, conf array<double>, "
-                "words array<int>, latency array<double>")
+                "words array<int>, latency array<double>, seq long")
 OUT_SCHEMA = ("model string, predictions long, mean_confidence double, low_confidence_rate double, "
               "positive_share double, median_word_count double, p95_latency_ms double, "
-              "newest_ts long, newest_id long")
+              "newest_ts long, newest_id long, seq long")
 
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -38,7 +38,7 @@ def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
     Python workers by value (no package import needed there)."""
     cols = ["ids", "ts", "label", "conf", "words", "latency"]
 
-    def signals_of(model, w):
+    def signals_of(model, w, seq):
         n = len(w)
         lat = np.sort(w["latency"].to_numpy(dtype=np.float64))
         conf = w["conf"].to_numpy(dtype=np.float64)
@@ -50,14 +50,17 @@ def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
             "median_word_count": float(np.median(w["words"].to_numpy(dtype=np.float64))),
             "p95_latency_ms": float(lat[min(int(n * 0.95), n - 1)]),
             "newest_ts": int(w["ts"].iloc[-1]), "newest_id": int(w["ids"].iloc[-1]),
+            "seq": seq,
         }])
 
     def update(key, batches, state):
         (model,) = key
         parts = []
+        seq = 0
         if state.exists:
             s = state.get
             parts.append(pd.DataFrame({c: list(s[i]) for i, c in enumerate(cols)}))
+            seq = int(s[len(cols)]) + 1
         for pdf in batches:
             parts.append(pd.DataFrame({
                 "ids": pdf["id"].astype("int64").to_numpy(),
@@ -68,8 +71,8 @@ def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
         allr = pd.concat(parts, ignore_index=True)
         allr = allr.sort_values(["ts", "ids"], kind="mergesort").tail(window).reset_index(drop=True)
         state.update(tuple([v.item() if hasattr(v, "item") else v for v in allr[c].tolist()]
-                           for c in cols))
-        yield signals_of(model, allr)
+                           for c in cols) + (seq,))
+        yield signals_of(model, allr, seq)
 
     return update
 
@@ -81,10 +84,11 @@ def monitor_query(log_stream: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def latest(signals: DataFrame) -> DataFrame:
-    """Keep the newest emitted row per model (by the stamped newest ts, id)."""
-    top = F.max(F.struct("newest_ts", "newest_id", *[c for c in signals.columns
-                                                       if c not in ("newest_ts", "newest_id")]))
-    cols = [c for c in signals.columns if c not in ("newest_ts", "newest_id")]
+    """Keep the last emitted row per model (highest emission counter; files may
+    arrive out of time order, so the newest (ts, id) alone does not decide)."""
+    stamps = ("seq", "newest_ts", "newest_id")
+    cols = [c for c in signals.columns if c not in stamps]
+    top = F.max(F.struct("seq", *cols))
     return (signals.groupBy("model").agg(top.alias("_t"))
             .select(*[F.col(f"_t.{c}").alias(c) for c in cols]))
 

@@ -189,15 +189,14 @@ def best_run(runs: DataFrame) -> DataFrame:
 
 def promotion_gate(runs: DataFrame, candidate: str, incumbent: str) -> DataFrame:
     """Promote only if macro F1 improves on the same test rows
-    (equal test fingerprints)."""
-    c = runs.filter(F.col("run_name") == candidate).select(
-        F.col("macro_f1").alias("cand_f1"), F.col("test_fingerprint").alias("cand_fp"),
-        F.lit(1).alias("_k"))
-    i = runs.filter(F.col("run_name") == incumbent).select(
-        F.col("macro_f1").alias("inc_f1"), F.col("test_fingerprint").alias("inc_fp"),
-        F.lit(1).alias("_k"))
+    (equal test fingerprints). One conditional aggregation over the runs table."""
+    def pick(name, col):
+        return F.max(F.when(F.col("run_name") == name, F.col(col)))
+    g = runs.agg(pick(candidate, "macro_f1").alias("cand_f1"),
+                 pick(incumbent, "macro_f1").alias("inc_f1"),
+                 pick(candidate, "test_fingerprint").alias("cand_fp"),
+                 pick(incumbent, "test_fingerprint").alias("inc_fp"))
     same = F.col("cand_fp") == F.col("inc_fp")
-    return c.join(i, "_k").select(
-        F.lit(candidate).alias("candidate"), F.lit(incumbent).alias("incumbent"),
-        "cand_f1", "inc_f1", same.alias("same_test_rows"),
-        (same & (F.col("cand_f1") > F.col("inc_f1"))).alias("promote"))
+    return g.select(F.lit(candidate).alias("candidate"), F.lit(incumbent).alias("incumbent"),
+                    "cand_f1", "inc_f1", same.alias("same_test_rows"),
+                    (same & (F.col("cand_f1") > F.col("inc_f1"))).alias("promote"))

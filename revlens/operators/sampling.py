@@ -61,20 +61,24 @@ def split_quotas(df: DataFrame, label: str = "label",
 
 
 def stratified_split(ided: DataFrame, label: str = "label", test_size: float = TEST_SIZE,
-                     seed: int = SEED, n_buckets: int | None = None) -> DataFrame:
-    """(review_id, split) with exact per-label test quotas."""
+                     seed: int = SEED, n_buckets: int | None = None,
+                     keep_columns: bool = False) -> DataFrame:
+    """(review_id, split) with exact per-label test quotas.
+
+    ``keep_columns`` returns every input column plus ``split`` (one pass over
+    the rows instead of ranking ids and joining them back).
+    """
     nb = n_buckets if n_buckets is not None else W.default_buckets(ided)
     quotas = split_quotas(ided, label, test_size).select(label, "test_quota")
     h = seeded_hash("review_id", seed)
-    base = ided.select("review_id", label).withColumn("_h", h)
+    base = (ided if keep_columns else ided.select("review_id", label)).withColumn("_h", h)
     ranked = W.row_numbers(base, [label], [F.col("_h"), F.col("review_id")],
                            W.md5_bucket(F.col("_h"), nb), out="_rank",
                            bounded_groups=True)
     # the label rule yields two classes, so the quota table has two rows
-    return (ranked.join(F.broadcast(quotas), label)
-            .select("review_id",
-                    F.when(F.col("_rank") <= F.col("test_quota"), "test")
-                    .otherwise("train").alias("split")))
+    split = F.when(F.col("_rank") <= F.col("test_quota"), "test").otherwise("train").alias("split")
+    out_cols = [c for c in ided.columns] if keep_columns else ["review_id"]
+    return ranked.join(F.broadcast(quotas), label).select(*out_cols, split)
 
 
 def sample_quotas(pool: DataFrame, n: int, label: str = "label") -> DataFrame:

@@ -110,9 +110,8 @@ def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     # row count of a written parquet table comes from file footers
     nb = WN.buckets_for(cleaned.count())
     ided = S.assign_ids(cleaned, n_buckets=nb)
-    split = S.stratified_split(ided, n_buckets=nb)
-    return materialize(ided.join(split, "review_id"), "reviews_split", memo=sf_dir,
-                       partition_by="split")
+    with_split = S.stratified_split(ided, n_buckets=nb, keep_columns=True)
+    return materialize(with_split, "reviews_split", memo=sf_dir, partition_by="split")
 
 
 def ided_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

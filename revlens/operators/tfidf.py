@@ -45,9 +45,11 @@ def term_counts(docs: DataFrame, id_col: str = "review_id",
     (id, term) count and the later per-document norm window, which then need
     no exchange of their own.
     """
-    grams = T.ngrams(T.tfidf_tokens(text_col), ngram_max)
+    # tokens are projected once; the generator then reuses the column instead of
+    # re-splitting the text for every reference inside the n-gram expression
     return (docs.select(id_col, text_col).repartition(id_col)
-            .select(id_col, F.explode(grams).alias("term"))
+            .select(id_col, T.tfidf_tokens(text_col).alias("_tok"))
+            .select(id_col, F.explode(T.ngrams(F.col("_tok"), ngram_max)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

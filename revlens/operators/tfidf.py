@@ -121,6 +121,28 @@ def top_terms(weights: DataFrame, k: int = 8, id_col: str = "review_id") -> Data
             .filter(F.col("rank") <= k))
 
 
+def vectorize(model: TfidfModel, docs: DataFrame, text_col: str = "text_heavy_clean",
+              out: str = "features") -> DataFrame:
+    """TF-IDF rows as sparse ml Vectors, computed in the JVM with Spark ML:
+    counts over the fitted vocabulary (CountVectorizerModel; vocabulary and idf
+    collected once, bounded by ``max_features``), idf scaling
+    (ElementwiseProduct) and L2 normalisation (Normalizer). Index = the vocab
+    ``idx``. Sublinear tf has no ML transformer: use ``transform`` +
+    ``to_vectors`` for it."""
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+    if model.sublinear:
+        raise ValueError("vectorize supports raw tf; use to_vectors for sublinear tf")
+    rows = model.vocab.select("idx", "term", "idf").orderBy("idx").collect()
+    terms = [r["term"] for r in rows]
+    idf = Vectors.dense([r["idf"] for r in rows])
+    grams = docs.withColumn("_grams", T.ngrams(T.tfidf_tokens(text_col), model.ngram_max))
+    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="_grams", outputCol="_tf")
+    scaled = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_tfidf")
+    norm = Normalizer(p=2.0, inputCol="_tfidf", outputCol=out)
+    return norm.transform(scaled.transform(cv.transform(grams))).drop("_grams", "_tf", "_tfidf")
+
+
 def to_vectors(weights: DataFrame, docs: DataFrame, size: int,
                id_col: str = "review_id") -> DataFrame:
     """Long table to one sparse ml Vector per document; documents with no known

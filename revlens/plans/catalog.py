@@ -447,8 +447,7 @@ def q_controlled_comparison(spark, sf_dir):
     docs, train = train_test_docs(spark, sf_dir)
     sample = S.stratified_sample(train, 200)
     tf = TF.fit(sample, ngram_max=2, max_features=20000)
-    size = tf.vocab.count()
-    vec = lambda d: TF.to_vectors(TF.transform(tf, d), d.select("review_id", "label"), size)
+    vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
     tr_v, te_v = vec(sample), vec(docs.filter(F.col("split") == "test"))
     out = None
     for name, bal in (("logreg-balanced", True), ("logreg-unweighted", False)):
@@ -527,8 +526,7 @@ def q_tfidf_logreg(spark, sf_dir):
     train split, balanced LR, scored on the test split (the bigram run)."""
     docs, train = train_test_docs(spark, sf_dir)
     tf = TF.fit(train, ngram_max=2, max_features=20000)
-    size = tf.vocab.count()
-    vec = lambda d: TF.to_vectors(TF.transform(tf, d), d.select("review_id", "label"), size)
+    vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
     model = MD.fit_lr(vec(train), balanced=True)
     return MD.run_metrics(MD.score(model, vec(docs.filter(F.col("split") == "test")),
                                    run_name="logreg-tfidf-bigram"))

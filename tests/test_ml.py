@@ -70,3 +70,19 @@ def test_lr_matches_newton(spark, C):
     beta = newton_lr(x, y, w, 1.0 / (C * w.sum()))
     assert np.allclose(model.coefficients.toArray(), beta[:-1], atol=1e-4)
     assert abs(model.intercept - beta[-1]) < 1e-4
+
+
+def test_vectorize_equals_long_table(spark):
+    """JVM-side vectors (CountVectorizer + idf + L2) equal the long-table weights."""
+    from revlens.operators import tfidf as TF
+    rows = [(1, "good tasty snack good"), (2, "stale awful snack"), (3, "zz"), (4, "good good good")]
+    docs = spark.createDataFrame(rows, "review_id long, text_heavy_clean string")
+    tf = TF.fit(docs, ngram_max=2, max_features=6)
+    vocab = {r["term"]: r["idx"] for r in tf.vocab.collect()}
+    long = {(r["review_id"], vocab[r["term"]]): r["weight"] for r in TF.transform(tf, docs).collect()}
+    vec = {r["review_id"]: r["features"] for r in TF.vectorize(tf, docs).collect()}
+    for rid, v in vec.items():
+        got = {int(i): float(x) for i, x in zip(v.indices, v.values)}
+        want = {i: w for (d, i), w in long.items() if d == rid}
+        assert got.keys() == want.keys()
+        assert all(abs(got[i] - want[i]) < 1e-12 for i in got)

@@ -56,14 +56,25 @@ def fix_signs(v: np.ndarray) -> np.ndarray:
     return v * signs
 
 
-def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 4096) -> np.ndarray:
-    """A^T A Q for the sparse rows of ``arrays`` (one distributed pass)."""
+def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 512) -> np.ndarray:
+    """A^T A Q for the sparse rows of ``arrays`` (one distributed pass).
+
+    Every partition adds its rows into a dense terms x l block; the block is cut
+    into row chunks, and the chunks are summed as a two-level tree: first per
+    (chunk, partition group of about sqrt(P)), then per chunk. No group ever
+    holds more than about sqrt(P) chunks, whatever the partition count.
+    """
+    import math
+
     import pandas as pd
     spark = arrays.sparkSession
     bq = spark.sparkContext.broadcast(q)
     n_terms, width = q.shape
+    fan = max(1, math.isqrt(max(1, arrays.rdd.getNumPartitions())))
 
     def partial(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
         qv = bq.value
         z = np.zeros_like(qv)
         for pdf in batches:
@@ -76,17 +87,20 @@ def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 4096) -> np.n
         for c in range(0, n_terms, chunk_rows):
             blk = z[c:c + chunk_rows]
             if blk.any():
-                yield pd.DataFrame({"chunk": [c // chunk_rows], "data": [blk.tobytes()]})
+                yield pd.DataFrame({"chunk": [c // chunk_rows], "grp": [pid % fan],
+                                    "data": [blk.tobytes()]})
 
     def add(pdf):
         acc = None
         for b in pdf["data"]:
             m = np.frombuffer(b, dtype=np.float64)
             acc = m.copy() if acc is None else acc + m
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "data": [acc.tobytes()]})
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "grp": [0],
+                             "data": [acc.tobytes()]})
 
-    summed = (arrays.mapInPandas(partial, "chunk int, data binary")
-              .groupBy("chunk").applyInPandas(add, "chunk int, data binary"))
+    schema = "chunk int, grp int, data binary"
+    level1 = arrays.mapInPandas(partial, schema).groupBy("chunk", "grp").applyInPandas(add, schema)
+    summed = level1.groupBy("chunk").applyInPandas(add, schema)
     z = np.zeros((n_terms, width))
     for r in summed.collect():        # bounded: n_terms x width doubles in total
         c = r["chunk"] * chunk_rows

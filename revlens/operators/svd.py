@@ -70,7 +70,8 @@ def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 512) -> np.nd
     spark = arrays.sparkSession
     bq = spark.sparkContext.broadcast(q)
     n_terms, width = q.shape
-    fan = max(1, math.isqrt(max(1, arrays.rdd.getNumPartitions())))
+    n_parts = max(1, arrays.rdd.getNumPartitions())
+    fan = max(1, math.isqrt(n_parts))
 
     def partial(batches):
         from pyspark import TaskContext
@@ -99,8 +100,11 @@ def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 512) -> np.nd
                              "data": [acc.tobytes()]})
 
     schema = "chunk int, grp int, data binary"
-    level1 = arrays.mapInPandas(partial, schema).groupBy("chunk", "grp").applyInPandas(add, schema)
-    summed = level1.groupBy("chunk").applyInPandas(add, schema)
+    summed = arrays.mapInPandas(partial, schema)
+    if n_parts > 1:            # one partition: its block already is the sum
+        if fan > 1:
+            summed = summed.groupBy("chunk", "grp").applyInPandas(add, schema)
+        summed = summed.groupBy("chunk").applyInPandas(add, schema)
     z = np.zeros((n_terms, width))
     for r in summed.collect():        # bounded: n_terms x width doubles in total
         c = r["chunk"] * chunk_rows

@@ -73,3 +73,20 @@ def test_whitespace_class_equals_python_everywhere(spark):
     df = spark.createDataFrame([(s,)], "t string")
     got = df.select(F.regexp_replace("t", T.WS_RUN, "#")).first()[0]
     assert got == re.sub(r"\s+", "#", s)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ALPHABET = st.sampled_from(list("abcXYZ09 <>/!?'.,\t\n") + [" ", " ", "\u0085", "\x1c",
+                                                             "　", "é", "Ж", "​", "ß"])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=_ALPHABET, max_size=40), min_size=1, max_size=8))
+def test_cleaners_property(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("i", T.light_clean("t").alias("l"), T.heavy_clean("t").alias("h"),
+                       T.word_count("t").alias("wc")).collect():
+        s = texts[r["i"]]
+        assert (r["l"], r["h"], r["wc"]) == (py_light(s), py_heavy(s), len(s.split()))

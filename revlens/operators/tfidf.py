@@ -147,7 +147,6 @@ def to_vectors(weights: DataFrame, docs: DataFrame, size: int,
                id_col: str = "review_id") -> DataFrame:
     """Long table to one sparse ml Vector per document; documents with no known
     term become zero vectors (left join), so no row is lost."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (ml on path)
     per_doc = (weights.groupBy(id_col)
                .agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e")))
     # collect_list per document is bounded by that document's distinct terms

@@ -21,9 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_OFFSET_ROWS = 2_000_000
-
-
 ROWS_PER_BUCKET = 250_000
 
 
@@ -61,11 +58,12 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int,
     expr = F.lit(len(bounds))
     for i in range(len(bounds) - 1, -1, -1):
         expr = F.when(F.col(col) < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
-    return expr if len(bounds) <= 64 else _bisect(col, bounds)
+    return expr if len(bounds) <= 64 else _count_below(col, bounds)
 
 
-def _bisect(col: str, bounds: list) -> Column:
-    # many bounds: binary search over a literal array via aggregate over indices
+def _count_below(col: str, bounds: list) -> Column:
+    # many bounds: the bucket is the number of bounds <= value (one pass over a
+    # literal array of n_buckets - 1 numbers per row)
     arr = F.array(*[F.lit(b) for b in bounds])
     return F.size(F.filter(arr, lambda b: b <= F.col(col)))
 
@@ -145,7 +143,3 @@ def dense_ids(df: DataFrame, key: str, out: str = "review_id",
     bucket = quantile_bucket(df, key, nb)
     return (row_numbers(df, [], [F.col(key)], bucket, out="_rn")
             .withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
-
-
-def ceil_div(a: int, b: int) -> int:
-    return -(-a // b) if b else 0

@@ -76,3 +76,14 @@ def test_extend_training_keeps_first(spark):
     new = df(spark, [(2, "good tasty snack", 1.0), (3, "stale and awful", 1.0)])
     out = sorted((r["review_key"], r["label"]) for r in Q.extend_training(base, new).collect())
     assert out == [(1, 1), (3, 0)]
+
+
+def test_ledger_ends_at_cleaned_count(spark):
+    from revlens.sources.tables import dirty_reviews
+    from .conftest import SF001
+    d = dirty_reviews(spark, SF001)
+    led = sorted(Q.attrition_ledger(d).collect(), key=lambda r: r["step_no"])
+    assert led[0]["rows_before"] == d.count()
+    assert led[-1]["rows_remaining"] == Q.clean_and_label(d).count()
+    for a, b in zip(led, led[1:]):
+        assert a["rows_remaining"] == b["rows_before"]

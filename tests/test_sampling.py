@@ -59,3 +59,34 @@ def test_running_sums_match_window(spark):
 def test_simple_sample_exact_n(spark):
     d = labelled(spark, 100, 400)
     assert S.simple_sample(d, 200).count() == 200
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def brute_quotas(counts, test_size=0.2):
+    """Test quotas by the splitter's counting rule, written out directly."""
+    import math
+    n = sum(counts)
+    n_train = n - math.ceil(test_size * n)
+    floors = [n_train * c // n for c in counts]
+    rems = [n_train * c - f * n for c, f in zip(counts, floors)]
+    short = n_train - sum(floors)
+    order = sorted(range(len(counts)), key=lambda i: (-rems[i], i))
+    train = list(floors)
+    for i in order[:short]:
+        train[i] += 1
+    return [c - t for c, t in zip(counts, train)]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(min_value=1, max_value=3000), min_size=2, max_size=3))
+def test_split_quotas_property(spark, counts):
+    edges = [sum(counts[:i]) for i in range(1, len(counts))]
+    label = F.lit(0)
+    for e in edges:
+        label = label + (F.col("id") >= e).cast("int")
+    d = spark.range(sum(counts)).select(F.col("id").alias("review_id"), label.alias("label"))
+    got = {r["label"]: r["test_quota"] for r in S.split_quotas(d).collect()}
+    assert [got[i] for i in range(len(counts))] == brute_quotas(counts)

@@ -42,7 +42,9 @@ def fit_transformer(train: DataFrame, max_features: int = 20000, ngram_max: int
 
 
 def transform(tr: Transformer, docs: DataFrame, id_col: str = "review_id") -> DataFrame:
-    """Features for any rows holding ``text_heavy_clean`` (M12 reuses it)."""
+    """Features for any rows holding ``text_heavy_clean`` (M12 reuses it).
+    J3: the metadata columns and the feature array are put side by side by an
+    equi-join on the row id, not by position; features are float32 (F14)."""
     arrays = SVD.doc_arrays(TF.transform(tr.tfidf, docs, id_col=id_col), id_col)
     return SVD.project(tr.svd, docs, arrays, id_col=id_col)
 

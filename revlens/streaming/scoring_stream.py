@@ -19,7 +19,8 @@ BODY_SCHEMA = "request_id long, body string"
 
 
 def score_batch(tr, lr_model, model_name: str, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch: (log rows of accepted requests, quarantined rows)."""
+    """One micro-batch: (log rows of accepted requests, quarantined rows).
+    Log rows carry the processing time in UTC (F15)."""
     checked = MO.validate_bodies(batch)
     accepted = checked.filter(F.col("accepted"))
     served = ST.serve(tr, lr_model, accepted.select("request_id", "text"))

@@ -42,12 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     When it is unset (a local test run) a fresh local folder is created and
     registered, so ``DataFrame.checkpoint()`` works.
     """
-    configured = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = (sc.getConf().get("spark.checkpoint.dir", None)
                   or spark.conf.get("spark.checkpoint.dir", None))
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        # register once per context (each registration creates a new sub-folder)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current

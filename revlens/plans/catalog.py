@@ -530,3 +530,17 @@ def q_tfidf_logreg(spark, sf_dir):
     model = MD.fit_lr(vec(train), balanced=True)
     return MD.run_metrics(MD.score(model, vec(docs.filter(F.col("split") == "test")),
                                    run_name="logreg-tfidf-bigram"))
+
+
+@query("csv_roundtrip_report")
+def q_csv_roundtrip_report(spark, sf_dir):
+    """S6 + S1 + A1-A6: the reviews written as CSV (quoted multi-line texts),
+    ingested back by column name, and validated; equals the report on the
+    original rows."""
+    from revlens.sources import ingest, sinks
+    path = scratch_path(spark, f"raw-csv-{uuid.uuid4().hex}")
+    raw = V.reviews(spark, sf_dir).select(F.col("review_key").alias("Id"),
+                                          F.col("review_text").alias("Text"),
+                                          F.col("rating").alias("Score"))
+    sinks.write_cleaned(raw, path, fmt="csv")
+    return Q.validation_report(ingest.ingest_csv(spark, path, "Text", "Score"))

@@ -397,3 +397,6 @@ FROM r""")
 
 # the streamed count window must end where the batch twin does
 ORACLE["monitor_stream"] = ORACLE["monitor_signals"]
+
+# CSV round trip of the reviews: the report must not change
+ORACLE["csv_roundtrip_report"] = ORACLE["validation_report_reviews"]

@@ -10,7 +10,10 @@ def write_cleaned(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """The cleaned table (parquet by default; CSV with a header on request)."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        # RFC 4180 quoting; keep surrounding whitespace (Spark trims it by default)
+        (w.option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
     else:
         w.parquet(path)
 

@@ -544,3 +544,16 @@ def q_csv_roundtrip_report(spark, sf_dir):
                                           F.col("rating").alias("Score"))
     sinks.write_cleaned(raw, path, fmt="csv")
     return Q.validation_report(ingest.ingest_csv(spark, path, "Text", "Score"))
+
+
+@query("log_roundtrip_signals")
+def q_log_roundtrip_signals(spark, sf_dir):
+    """S9 + S4: the prediction log appended as JSON lines with ISO-8601 UTC
+    timestamps, read back, and monitored; equals the signals on the original."""
+    from revlens.sources import ingest, sinks
+    path = scratch_path(spark, f"log-{uuid.uuid4().hex}")
+    sinks.append_log(V.prediction_log(spark, sf_dir), path)
+    s = MO.signals(MO.last_n(ingest.read_log(spark, path)))
+    return s.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
+                                                 "positive_share", "median_word_count",
+                                                 "p95_latency_ms"))

@@ -400,3 +400,5 @@ ORACLE["monitor_stream"] = ORACLE["monitor_signals"]
 
 # CSV round trip of the reviews: the report must not change
 ORACLE["csv_roundtrip_report"] = ORACLE["validation_report_reviews"]
+# JSON-lines log round trip: the signals must not change
+ORACLE["log_roundtrip_signals"] = ORACLE["monitor_signals"]

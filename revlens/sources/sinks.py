@@ -25,5 +25,10 @@ def write_json_one(df: DataFrame, path: str) -> None:
 
 def append_log(log: DataFrame, path: str) -> None:
     """Append prediction rows as JSON lines with an ISO-8601 UTC timestamp."""
-    out = log.withColumn("timestamp", F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+    if log.schema["ts"].dataType.typeName() == "timestamp_ntz":
+        utc = F.col("ts")                                  # already UTC wall-clock time
+    else:
+        utc = F.to_utc_timestamp(F.col("ts"), F.current_timezone())
+    out = log.withColumn("timestamp", F.date_format(utc, fmt))
     out.drop("ts").write.mode("append").json(path)

@@ -398,8 +398,12 @@ def q_feature_store(spark, sf_dir):
 
 @query("store_manifest")
 def q_store_manifest(spark, sf_dir):
+    """M7 through S8 (JSON document) and S5 (read back, as readers use it)."""
+    from revlens.sources import sinks
     store, tr = feature_store_of(spark, sf_dir)
-    return ST.manifest(spark, store, tr)
+    path = scratch_path(spark, f"schema-{uuid.uuid4().hex}")
+    sinks.write_json_one(ST.manifest(spark, store, tr), path)
+    return spark.read.option("multiLine", True).json(path)
 
 
 @query("store_conformance")

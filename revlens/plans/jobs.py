@@ -53,8 +53,14 @@ def feature_job(spark: SparkSession, data_dir: str, out_dir: str, **settings) ->
 
 def train_job(spark: SparkSession, store_dir: str, run_name: str, runs_path: str,
               sample: int | None = None, C: float = 1.0) -> dict:
-    """Read the store, optional stratified sample, fit, evaluate, log the run."""
+    """Read the manifest and the store, optional stratified sample, fit,
+    evaluate, log the run."""
+    from revlens.sources import ingest
+    man = ingest.read_manifest(spark, f"{store_dir}/schema")              # S5
     store = spark.read.parquet(f"{store_dir}/features")
+    bad = store.filter(F.size("features") != man["n_features"]).limit(1).count()
+    if bad:
+        raise ValueError(f"store rows do not have the manifest's {man['n_features']} features")
     train = store.filter(F.col("split") == "train")                     # P10 (partition pruned)
     if sample is not None:
         train = S.stratified_sample(train, sample, check=True)          # W6

@@ -66,3 +66,33 @@ def test_monitor_job(spark):
     assert len(res["checks"]) == 4 * len(res["trigger"])
     assert all(isinstance(t["retrain"], bool) for t in res["trigger"])
     assert F  # noqa
+
+
+def test_transformer_save_load_and_caches(spark):
+    import numpy as np
+    from revlens.operators import store as ST
+    from revlens.plans import catalog as C
+    out = tempfile.mkdtemp(prefix="revlens-tr-")
+    docs, _ = C.train_test_docs(spark, SF001)
+    store, tr = ST.build_store(docs, max_features=300, ngram_max=2, sublinear=True, k=4)
+    ST.save_transformer(tr, f"{out}/transformer")
+    back = ST.load_transformer(spark, f"{out}/transformer")
+    assert np.allclose(back.svd.components, tr.svd.components)
+    meta = docs.select("review_id", "text_heavy_clean")
+    a = {r["review_id"]: r["features"] for r in ST.transform(tr, meta).collect()}
+    b = {r["review_id"]: r["features"] for r in ST.transform(back, meta).collect()}
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
+    # Computed once, then read back
+    calls = []
+
+    def compute():
+        calls.append(1)
+        return spark.range(3)
+    first = ingest.cached_scores(spark, f"{out}/scores", compute).count()
+    again = ingest.cached_scores(spark, f"{out}/scores", compute).count()
+    assert (first, again, len(calls)) == (3, 3, 1)
+    # Copy the split from an existing store, else recompute
+    ST.write_store(store, f"{out}/features")
+    got = ingest.split_with_fallback(spark, f"{out}/features", lambda: None)
+    assert got.count() == store.count() and got.columns == ["review_id", "split"]
+    assert ingest.split_with_fallback(spark, f"{out}/missing", lambda: "recomputed") == "recomputed"

@@ -30,6 +30,11 @@ def build_session(master: str | None = None, app: str = "revlens",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("REVLENS_DRIVER_MEMORY", "16g"))
     )
+    event_dir = os.environ.get("REVLENS_EVENT_LOG")
+    if event_dir:
+        # stage and task times from Spark's event log (no UI server)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -127,8 +127,8 @@ def vectorize(model: TfidfModel, docs: DataFrame, text_col: str = "text_heavy_cl
     counts over the fitted vocabulary (CountVectorizerModel; vocabulary and idf
     collected once, bounded by ``max_features``), idf scaling
     (ElementwiseProduct) and L2 normalisation (Normalizer). Index = the vocab
-    ``idx``. Sublinear tf has no ML transformer: use ``transform`` +
-    ``to_vectors`` for it."""
+    ``idx``. Sublinear tf has no ML transformer: ``transform`` + ``to_vectors``
+    build those vectors."""
     from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors
     if model.sublinear:
@@ -145,15 +145,14 @@ def vectorize(model: TfidfModel, docs: DataFrame, text_col: str = "text_heavy_cl
 
 def to_vectors(weights: DataFrame, docs: DataFrame, size: int,
                id_col: str = "review_id") -> DataFrame:
-    """Long table to one sparse ml Vector per document; documents with no known
-    term become zero vectors (left join), so no row is lost."""
+    """Long table to one sparse ml Vector per document (any tf variant, also
+    sublinear); documents with no known term become zero vectors (left join),
+    so no row is lost. Built JVM-side through the vector's storage struct."""
+    from revlens.operators.vectors import with_sparse_vectors
     per_doc = (weights.groupBy(id_col)
                .agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e")))
     # collect_list per document is bounded by that document's distinct terms
-    from revlens.operators.vectors import sparse_from_entries
-    return (docs.join(per_doc, id_col, "left")
-            .withColumn("features", sparse_from_entries(F.col("_e"), size))
-            .drop("_e"))
+    return with_sparse_vectors(docs.join(per_doc, id_col, "left"), "_e", size)
 
 
 # --- F18: word-level sequence encoding ------------------------------------------

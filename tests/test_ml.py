@@ -97,3 +97,18 @@ def test_gram_pass_tree_sum_many_partitions(spark):
     q = np.random.default_rng(1).standard_normal((64, 7))
     got = SVD._gram_pass(arr, q, chunk_rows=16)
     assert np.allclose(got, x.T @ (x @ q), rtol=1e-9, atol=1e-9)
+
+
+def test_to_vectors_equals_vectorize_and_keeps_empty_docs(spark):
+    from revlens.operators import tfidf as TF
+    rows = [(1, "good tasty snack good", 1), (2, "stale awful snack", 0), (3, "q", 0), (4, "good good", 1)]
+    docs = spark.createDataFrame(rows, "review_id long, text_heavy_clean string, label int")
+    tf = TF.fit(docs, ngram_max=2, max_features=6)
+    size = tf.vocab.count()
+    a = {r["review_id"]: r["features"] for r in
+         TF.to_vectors(TF.transform(tf, docs), docs.select("review_id", "label"), size).collect()}
+    b = {r["review_id"]: r["features"] for r in TF.vectorize(tf, docs).collect()}
+    assert a.keys() == b.keys() == {1, 2, 3, 4}
+    assert a[3].numNonzeros() == 0 and a[3].size == size          # no known term: zero vector
+    for k in a:
+        assert np.allclose(a[k].toArray(), b[k].toArray())

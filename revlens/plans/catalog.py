@@ -496,8 +496,8 @@ def q_monitor_stream(spark, sf_dir):
     base = scratch_path(spark, f"monitor-stream-{uuid.uuid4().hex}")
     log = V.prediction_log(spark, sf_dir)
     # four files by id range -> four micro-batches
-    (log.repartitionByRange(4, "id").write.mode("overwrite")
-     .option("timestampNTZFormat", MS.TS_FORMAT).json(f"{base}/log"))
+    from revlens.sources import sinks
+    sinks.append_log(log.repartitionByRange(4, "id"), f"{base}/log")        # S9 JSON lines
     sig = MS.run_to_table(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt")
     return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
                                                    "positive_share", "median_word_count",
@@ -516,8 +516,10 @@ def q_scoring_stream(spark, sf_dir):
     q = SS.start(spark, tr, model, "logreg-feature-store", f"{base}/in", f"{base}/log",
                  f"{base}/quarantine", f"{base}/ckpt")
     q.awaitTermination()
-    log = spark.read.parquet(f"{base}/log").select(
-        "request_id", F.lit(None).cast("string").alias("reject_reason"), "label", "confidence")
+    from revlens.sources import ingest
+    log = ingest.read_log(spark, f"{base}/log").select(
+        F.col("id").alias("request_id"), F.lit(None).cast("string").alias("reject_reason"),
+        "label", "confidence")
     bad = spark.read.parquet(f"{base}/quarantine").select(
         "request_id", "reject_reason", F.lit(None).cast("string").alias("label"),
         F.lit(None).cast("double").alias("confidence"))
@@ -561,3 +563,21 @@ def q_log_roundtrip_signals(spark, sf_dir):
     return s.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
                                                  "positive_share", "median_word_count",
                                                  "p95_latency_ms"))
+
+
+@query("serve_and_monitor")
+def q_serve_and_monitor(spark, sf_dir):
+    """R1 -> S9 -> R2: requests scored by the scoring stream land in the
+    prediction log, and the count-window monitor stream reads that log."""
+    from revlens.streaming import monitor_stream as MS
+    from revlens.streaming import scoring_stream as SS
+    store, tr = feature_store_of(spark, sf_dir)
+    model, _ = _lr_on_store(store, "served")
+    base = scratch_path(spark, f"serve-monitor-{uuid.uuid4().hex}")
+    SS.bodies(V.requests(spark, sf_dir)).repartition(2).write.mode("overwrite").json(f"{base}/in")
+    SS.start(spark, tr, model, "logreg-feature-store", f"{base}/in", f"{base}/log",
+             f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
+    sig = MS.run_to_table(spark, f"{base}/log", f"{base}/signals", f"{base}/ckpt-monitor")
+    return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
+                                                   "positive_share", "median_word_count",
+                                                   "p95_latency_ms"))

@@ -23,12 +23,13 @@ def write_json_one(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Append prediction rows as JSON lines with an ISO-8601 UTC timestamp."""
+def append_log(log: DataFrame, path: str, mode: str = "append") -> None:
+    """Prediction rows as JSON lines with an ISO-8601 UTC timestamp
+    (``mode="overwrite"`` for a per-batch folder that a retry may rewrite)."""
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
     if log.schema["ts"].dataType.typeName() == "timestamp_ntz":
         utc = F.col("ts")                                  # already UTC wall-clock time
     else:
         utc = F.to_utc_timestamp(F.col("ts"), F.current_timezone())
     out = log.withColumn("timestamp", F.date_format(utc, fmt))
-    out.drop("ts").write.mode("append").json(path)
+    out.drop("ts").write.mode(mode).json(path)

@@ -33,6 +33,17 @@ OUT_SCHEMA = ("model string, predictions long, mean_confidence double, low_confi
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def log_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The prediction log (S9 JSON lines, ISO-8601 UTC timestamps) as a stream
+    in the monitor's row shape; ts is the UTC wall-clock time."""
+    from revlens.sources.ingest import LOG_SCHEMA as SINK_SCHEMA
+    raw = (spark.readStream.schema(SINK_SCHEMA)
+           .option("maxFilesPerTrigger", max_files_per_trigger).json(log_dir))
+    ts = F.to_timestamp_ntz(F.substring("timestamp", 1, 26), F.lit(TS_FORMAT))
+    return raw.select("id", ts.alias("ts"), "model", "label", "confidence", "word_count",
+                      "latency_ms")
+
+
 def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
     """The per-model state function. Built as a closure so it ships to the
     Python workers by value (no package import needed there)."""
@@ -97,8 +108,7 @@ def run_to_table(spark: SparkSession, log_dir: str, out_dir: str, ckpt_dir: str,
                  max_files_per_trigger: int = 1) -> DataFrame:
     """Run the monitor over every log file present now (availableNow trigger),
     write emitted signals to parquet, return the latest signals per model."""
-    stream = (spark.readStream.schema(LOG_SCHEMA).option("timestampNTZFormat", TS_FORMAT)
-              .option("maxFilesPerTrigger", max_files_per_trigger).json(log_dir))
+    stream = log_stream(spark, log_dir, max_files_per_trigger)
     q = (monitor_query(stream).writeStream.format("parquet")
          .option("path", out_dir).option("checkpointLocation", ckpt_dir)
          .outputMode("append").trigger(availableNow=True).start())

@@ -9,11 +9,14 @@ a retried batch replaces its own output instead of duplicating it.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.operators import monitor as MO
 from revlens.operators import store as ST
+from revlens.sources import sinks
 
 BODY_SCHEMA = "request_id long, body string"
 
@@ -40,9 +43,17 @@ def start(spark: SparkSession, tr, lr_model, model_name: str, in_dir: str, log_d
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            t0 = time.perf_counter()
             log, rejected = score_batch(tr, lr_model, model_name, batch)
-            log.write.mode("overwrite").parquet(f"{log_dir}/batch={batch_id}")
+            log = log.persist()
+            n = log.count()
+            # latency: the micro-batch's scoring time shared by its accepted rows
+            per_row = round((time.perf_counter() - t0) * 1000.0 / max(n, 1), 1)
+            out = log.select(F.col("request_id").alias("id"), "ts", "model", "text", "label",
+                             "confidence", "word_count", F.lit(per_row).alias("latency_ms"))
+            sinks.append_log(out, f"{log_dir}/batch={batch_id}", mode="overwrite")      # S9
             rejected.write.mode("overwrite").parquet(f"{quarantine_dir}/batch={batch_id}")
+            log.unpersist()
         finally:
             batch.unpersist()
 

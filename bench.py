@@ -39,14 +39,14 @@ def main() -> None:
     from revlens.session import build_session, forget_stages
     spark = build_session(f"local[{cpus}]", app="revlens-bench")
     times: dict[str, float] = {}
-    import tempfile
+    import uuid
 
     def data_job(spark, sf):
         # ingest view -> validate -> report -> clean -> write -> ids -> split -> write
         from revlens.plans.jobs import data_job as run
         from revlens.session import scratch_path
         from revlens.sources.tables import reviews
-        run(spark, reviews(spark, sf), scratch_path(spark, os.path.basename(tempfile.mkdtemp())))
+        run(spark, reviews(spark, sf), scratch_path(spark, f"data-job-{uuid.uuid4().hex}"))
         return None
 
     for name in (only or HEADLINE):

@@ -155,7 +155,7 @@ LEDGER_STEPS = ("input", "null_text_or_rating", "blank_text", "duplicate_text",
 
 
 def attrition_ledger(df: DataFrame, key: str = "review_key") -> DataFrame:
-    """Rows removed and remaining after each cleaning step, in order."""
+    """Rows removed and remaining after each cleaning step, in order."""
     g = _per_text(df, key)
     first_rating = F.col("_first.rating")
     has_first = F.col("_first").isNotNull()
@@ -185,7 +185,7 @@ def attrition_ledger(df: DataFrame, key: str = "review_key") -> DataFrame:
 # --- class shares (A8) -----------------------------------------------------------
 
 def class_shares(cleaned: DataFrame) -> DataFrame:
-    """Per label: rows, share, imbalance ratio and always-majority accuracy."""
+    """Per label rows, share, imbalance ratio and always-majority accuracy."""
     counts = cleaned.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     # the window runs over the already aggregated label table (two rows)
     from pyspark.sql import Window

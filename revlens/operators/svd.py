@@ -130,7 +130,7 @@ def _fit_randomized(arrays: DataFrame, n_terms: int, k: int, n_iter: int,
 
 def fit(arrays: DataFrame, n_terms: int, k: int, method: str = "randomized",
         n_iter: int = 5, oversample: int = 10, seed: int = 42) -> SvdModel:
-    """Distributed truncated SVD of the rows in ``arrays`` (fit on training rows)."""
+    """M4: distributed truncated SVD of the rows in ``arrays`` (fit on training rows)."""
     k = int(min(k, n_terms))
     n = arrays.count()
     parts = max(1, -(-n // ROWS_PER_PARTITION))

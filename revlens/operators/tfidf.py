@@ -163,7 +163,7 @@ PAD_ID, UNK_ID, CLS_ID, SEP_ID, FIRST_TERM_ID = 0, 1, 2, 3, 4
 def sequence_encode(docs: DataFrame, vocab: DataFrame, max_length: int = 128,
                     batch_size: int = 64, id_col: str = "review_id",
                     text_col: str = "text_heavy_clean") -> DataFrame:
-    """Token ids cut at ``max_length`` (with CLS/SEP), padded to the longest
+    """token ids cut at ``max_length`` (with CLS/SEP), padded to the longest
     row of each batch of ``batch_size`` consecutive ids, plus a 0/1 mask.
 
     Per-row work is bounded by ``max_length`` tokens; the vocabulary join

@@ -21,14 +21,14 @@ def row_hash(cols: list[str]):
 
 
 def content_hash(df: DataFrame, cols: list[str], group_cols: list[str] | None = None) -> DataFrame:
-    """(group..., n_rows, content_hash) - one row per group (or one row)."""
+    """(group..., n_rows, content_hash) - one row per group (or one row)."""
     g = df.groupBy(*(group_cols or []))
     return g.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.sum(row_hash(cols)).cast("decimal(38,0)").alias("content_hash"))
 
 
 def file_bytes(df: DataFrame) -> DataFrame:
-    """Total bytes of the files behind a file-based DataFrame (from metadata)."""
+    """Total bytes of the files behind a file-based DataFrame (from metadata)."""
     return (df.select(F.col("_metadata.file_path").alias("path"),
                       F.col("_metadata.file_size").alias("size"))
             .distinct().agg(F.sum("size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files")))

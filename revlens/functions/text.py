@@ -76,7 +76,8 @@ def basic_clean(col) -> Column:
 
 
 def heavy_tokens(col) -> Column:
-    """Tokens of the heavy cleaner: basic_clean words minus stopwords."""
+    """Tokens of the heavy cleaner (F2 lower, F1 tags, F3 non-alphanumerics,
+    F4 whitespace) minus stopwords (J4)."""
     return F.filter(_alnum_tokens(col),
                     lambda t: (t != F.lit("")) & ~t.isin(list(STOPWORDS)))
 

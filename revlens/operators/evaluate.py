@@ -42,7 +42,7 @@ def _ratio(num: Column, den: Column, zero: float | None = 0.0) -> Column:
 def confusion(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD,
               model: str = "model", prob: str = "prob_neg", label: str = "label") -> DataFrame:
     """Caught, missed, false alarms, true positives per model."""
-    flag = F.col(prob) > F.lit(threshold)
+    flag = decide(F.col(prob), threshold) == 1                      # P13
     neg = F.col(label) == 0
     return scored.groupBy(model).agg(
         F.count(F.lit(1)).alias("n"),

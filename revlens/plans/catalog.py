@@ -424,6 +424,7 @@ def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
 
 @query("train_from_store")
 def q_train_from_store(spark, sf_dir):
+    """Train split of the store (P10), balanced LR, test metrics."""
     store, _ = feature_store_of(spark, sf_dir)
     _, scored = _lr_on_store(store, "logreg-feature-store")
     return MD.run_metrics(scored)

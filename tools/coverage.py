@@ -24,44 +24,79 @@ def mentions(text: str) -> set[str]:
     return found
 
 
-def functions() -> dict[str, list[str]]:
-    where: dict[str, list[str]] = {}
+def _index():
+    """Per function: its ids, and the functions it calls (aliases resolved)."""
+    ids: dict[str, set[str]] = {}
+    calls: dict[str, set[str]] = {}
     for path in sorted((ROOT / "revlens").rglob("*.py")):
         mod = ".".join(path.relative_to(ROOT).with_suffix("").parts)
         src = path.read_text()
         tree = ast.parse(src)
+        alias = {}
         for node in ast.walk(tree):
-            if isinstance(node, ast.FunctionDef) and not node.name.startswith("_"):
-                body = ast.get_source_segment(src, node) or ""
-                for i in mentions(body):
-                    where.setdefault(i, []).append(f"`{mod}.{node.name}`")
+            if isinstance(node, ast.ImportFrom) and node.module and node.module.startswith("revlens"):
+                for a in node.names:
+                    full = f"{node.module}.{a.name}"
+                    alias[a.asname or a.name] = full
+            elif isinstance(node, ast.Import):
+                for a in node.names:
+                    if a.name.startswith("revlens"):
+                        alias[a.asname or a.name] = a.name
+        for node in tree.body:
+            if not isinstance(node, ast.FunctionDef):
+                continue
+            key = f"{mod}.{node.name}"
+            ids[key] = mentions(ast.get_source_segment(src, node) or "")
+            out = set()
+            for sub in ast.walk(node):
+                if isinstance(sub, ast.Call):
+                    fn = sub.func
+                    if isinstance(fn, ast.Attribute) and isinstance(fn.value, ast.Name) \
+                            and fn.value.id in alias:
+                        out.add(f"{alias[fn.value.id]}.{fn.attr}")
+                    elif isinstance(fn, ast.Name):
+                        out.add(alias.get(fn.id, f"{mod}.{fn.id}"))
+            calls[key] = out
+    return ids, calls
+
+
+def functions() -> dict[str, list[str]]:
+    ids, _ = _index()
+    where: dict[str, list[str]] = {}
+    for key, found in ids.items():
+        if key.split(".")[-1].startswith("_"):
+            continue
+        for i in found:
+            where.setdefault(i, []).append(f"`{key}`")
     return where
 
 
 def queries() -> dict[str, list[str]]:
+    """Ids reached from each registered query through the static call graph."""
     from revlens.plans.catalog import REGISTRY
-    import inspect
+    ids, calls = _index()
     where: dict[str, list[str]] = {}
     for name, fn in REGISTRY.items():
-        for i in mentions(inspect.getsource(fn)):
+        start = f"{fn.__module__}.{fn.__name__}"
+        seen, todo = set(), [start]
+        while todo:
+            k = todo.pop()
+            if k in seen or k not in ids:
+                continue
+            seen.add(k)
+            todo.extend(calls.get(k, ()))
+        reached = set().union(*(ids[k] for k in seen)) if seen else set()
+        for i in reached:
             where.setdefault(i, []).append(f"`{name}`")
     return where
 
 
 def main() -> None:
     fns, qs = functions(), queries()
-    readme = (ROOT / "README.md").read_text()
-    table = [l for l in readme.splitlines() if l.startswith("| ") and "`" in l and "|" in l[2:]]
-    for line in table:
-        cells = [c.strip() for c in line.strip("|").split("|")]
-        if len(cells) == 2:
-            for i in mentions(cells[0]):
-                qs.setdefault(i, [])
-                qs[i] += [q for q in re.findall(r"`[a-z_0-9]+`", cells[1]) if q not in qs[i]]
     out = ["# Operator coverage (SURVEY section 2)", "",
            "Generated by `tools/coverage.py` from the code. Functions name the ids they implement in",
-           "their docstrings; queries are the registered `__spark_entry__` queries that name the id or sit in",
-           "the README row of that id (grouped by area, so a row can list neighbouring queries).", "",
+           "their docstrings; queries are the registered `__spark_entry__` queries that reach such a function",
+           "through the static call graph (module aliases resolved).", "",
            "| Id | Functions | Queries |", "|---|---|---|"]
     missing = []
     for i in IDS:

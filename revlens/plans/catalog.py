@@ -582,3 +582,13 @@ def q_serve_and_monitor(spark, sf_dir):
     return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",
                                                    "positive_share", "median_word_count",
                                                    "p95_latency_ms"))
+
+
+@query("gated_validation_report")
+def q_gated_validation_report(spark, sf_dir):
+    """P2 then P1 (the gates halt with DataValidationError), then A1-A6: the
+    order the data pipeline runs them in."""
+    raw = V.reviews(spark, sf_dir)
+    Q.require_min_rows(raw, 100)
+    Q.require_columns(raw)
+    return Q.validation_report(raw)

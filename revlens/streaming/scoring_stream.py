@@ -65,5 +65,6 @@ def start(spark: SparkSession, tr, lr_model, model_name: str, in_dir: str, log_d
 
 
 def bodies(requests: DataFrame) -> DataFrame:
-    """Request rows as JSON bodies ({} when the text is NULL: field missing)."""
-    return requests.select("request_id", F.to_json(F.struct(F.col("text").alias("text"))).alias("body"))
+    """Request rows as JSON bodies; a NULL text is sent as {"text": null}."""
+    body = F.to_json(F.struct(F.col("text").alias("text")), {"ignoreNullFields": "false"})
+    return requests.select("request_id", body.alias("body"))

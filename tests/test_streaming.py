@@ -46,3 +46,31 @@ def test_out_of_order_batches_keep_newest_window():
     assert last["newest_id"] == 22
     lat = np.sort(want["latency_ms"].to_numpy())
     assert last["p95_latency_ms"] == lat[min(int(10 * 0.95), 9)]
+
+
+def test_scoring_stream_matches_batch_validation(spark):
+    """R1 against its batch twin (P12): every request is either logged or
+    quarantined, with the batch validator's verdict and reason."""
+    import uuid
+
+    from revlens.operators import monitor as MO
+    from revlens.plans import catalog as C
+    from revlens.session import scratch_path
+    from revlens.sources import ingest
+    from revlens.sources import tables as V
+    from revlens.streaming import scoring_stream as SS
+    from tests.conftest import SF001
+
+    store, tr = C.feature_store_of(spark, SF001, k=4, max_features=500)
+    model, _ = C._lr_on_store(store, "served")
+    base = scratch_path(spark, f"test-scoring-{uuid.uuid4().hex}")
+    reqs = V.requests(spark, SF001)
+    SS.bodies(reqs).repartition(3).write.json(f"{base}/in")
+    SS.start(spark, tr, model, "m", f"{base}/in", f"{base}/log", f"{base}/quarantine",
+             f"{base}/ckpt").awaitTermination()
+    logged = {r["id"] for r in ingest.read_log(spark, f"{base}/log").select("id").collect()}
+    quarantined = {r["request_id"]: r["reject_reason"]
+                   for r in spark.read.parquet(f"{base}/quarantine").collect()}
+    batch = {r["request_id"]: r["reject_reason"] for r in MO.validate_text(reqs).collect()}
+    assert logged == {k for k, v in batch.items() if v is None}
+    assert quarantined == {k: v for k, v in batch.items() if v is not None}

@@ -171,22 +171,27 @@ def sequence_encode(docs: DataFrame, vocab: DataFrame, max_length: int = 128,
     """
     keep = max_length - 2
     toks = T.tfidf_tokens(text_col)
-    base = docs.select(id_col, F.size(toks).alias("n_tokens"),
-                       F.slice(toks, 1, keep).alias("_t"))
-    ex = base.select(id_col, F.posexplode("_t").alias("pos", "term"))
-    ids = (ex.join(F.broadcast(vocab.select("term", "idx")), "term", "left")
-           .select(id_col, "pos",
-                   F.coalesce(F.col("idx") + FIRST_TERM_ID, F.lit(UNK_ID)).alias("tid")))
-    seqs = (ids.groupBy(id_col)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "tid"))).alias("_s"))
-            .select(id_col, F.transform("_s", lambda s: s["tid"]).alias("_ids")))
-    enc = (base.join(seqs, id_col, "left")
+    # one exchange: hash-partition by batch; the per-document grouping on
+    # (batch, id) and the per-batch padding window both reuse it
+    base = (docs.select(id_col, text_col)
+            .withColumn("_batch", F.floor(F.col(id_col) / batch_size))
+            .repartition("_batch")
+            .select("_batch", id_col, F.size(toks).alias("n_tokens"),
+                    F.slice(toks, 1, keep).alias("_t")))
+    # posexplode_outer keeps documents without tokens (one row with NULL pos)
+    ex = base.select("_batch", id_col, "n_tokens", F.posexplode_outer("_t").alias("pos", "term"))
+    tid = F.coalesce(F.col("idx") + FIRST_TERM_ID, F.lit(UNK_ID))
+    ids = ex.join(F.broadcast(vocab.select("term", "idx")), "term", "left")
+    enc = (ids.groupBy("_batch", id_col)
+           .agg(F.max("n_tokens").alias("n_tokens"),
+                F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(),
+                                                   F.struct(F.col("pos"), tid.alias("tid")))))
+                .alias("_s"))
            .withColumn("_ids", F.concat(F.array(F.lit(CLS_ID)),
-                                        F.coalesce("_ids", F.array().cast("array<int>")),
+                                        F.transform("_s", lambda x: x["tid"]),
                                         F.array(F.lit(SEP_ID))))
            .withColumn("_len", F.size("_ids")))
-    batch = F.floor(F.col(id_col) / batch_size)
-    pad_to = F.max("_len").over(Window.partitionBy(batch))
+    pad_to = F.max("_len").over(Window.partitionBy("_batch"))
     return enc.select(
         id_col, "n_tokens", (F.col("n_tokens") > keep).cast("int").alias("truncated"),
         F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad_to - F.col("_len")))

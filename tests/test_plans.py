@@ -45,3 +45,9 @@ def test_clean_dedup_is_partial_aggregate(spark):
     p = plan(C.cleaned_reviews(spark, SF01))
     # map-side partial aggregation before the text-keyed exchange
     assert "partial_min" in p
+
+
+def test_sequence_encode_single_shuffle(spark):
+    body = plan(C.REGISTRY["sequence_encode"](spark, SF01)).split("\n\n")[0]
+    shuffles = [ln for ln in body.splitlines() if "Exchange" in ln and "Broadcast" not in ln]
+    assert len(shuffles) == 1 and "BroadcastExchange" in body

@@ -148,24 +148,26 @@ def split_checks(ided: DataFrame, split: DataFrame) -> DataFrame:
     whose text also occurs in train.
     """
     ids = ided.select("review_id", "review_text")
-    sizes = split.agg(F.count_if(F.col("split") == "train").alias("v"))
-    sizes_t = split.agg(F.count_if(F.col("split") == "test").alias("v"))
+    # sizes and overlap from one per-id aggregation of the split table
+    per_id = split.groupBy("review_id").agg(
+        F.count_if(F.col("split") == "train").alias("a"),
+        F.count_if(F.col("split") == "test").alias("b"))
+    totals = per_id.agg(
+        F.sum("a").alias("train_rows"), F.sum("b").alias("test_rows"),
+        F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("overlap_ids"))
+    sizes = totals.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value"))
+        for c in ("train_rows", "test_rows", "overlap_ids")])))
     unmatched = (ids.join(split, "review_id", "full_outer")
-                 .agg(F.count_if(F.col("review_text").isNull() | F.col("split").isNull())
-                      .alias("v")))
-    overlap = (split.groupBy("review_id").agg(F.countDistinct("split").alias("k"))
-               .agg(F.count_if(F.col("k") > 1).alias("v")))
+                 .agg(F.lit("unmatched_ids").alias("check"),
+                      F.count_if(F.col("review_text").isNull() | F.col("split").isNull())
+                      .alias("value")))
     train_texts = attach_split(ids, split, "train").select("review_text")
     leaked = (attach_split(ids, split, "test")
               .join(train_texts, "review_text", "left_semi")
-              .agg(F.count(F.lit(1)).alias("v")))
-    parts = [("train_rows", sizes), ("test_rows", sizes_t), ("unmatched_ids", unmatched),
-             ("overlap_ids", overlap), ("leaked_test_rows", leaked)]
-    out = None
-    for name, df in parts:
-        d = df.select(F.lit(name).alias("check"), F.col("v").cast("bigint").alias("value"))
-        out = d if out is None else out.unionByName(d)
-    return out
+              .agg(F.lit("leaked_test_rows").alias("check"), F.count(F.lit(1)).alias("value")))
+    out = sizes.unionByName(unmatched).unionByName(leaked)
+    return out.select("check", F.col("value").cast("bigint").alias("value"))
 
 
 def assert_split_ok(ided: DataFrame, split: DataFrame) -> None:

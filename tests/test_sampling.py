@@ -90,3 +90,15 @@ def test_split_quotas_property(spark, counts):
     d = spark.range(sum(counts)).select(F.col("id").alias("review_id"), label.alias("label"))
     got = {r["label"]: r["test_quota"] for r in S.split_quotas(d).collect()}
     assert [got[i] for i in range(len(counts))] == brute_quotas(counts)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.integers(min_value=1, max_value=400), st.integers(min_value=1, max_value=400),
+       st.integers(min_value=1, max_value=400))
+def test_sample_quotas_property(spark, n_neg, n_pos, n):
+    """W6 quotas equal Python's round(n * c / pool) (half to even)."""
+    pool = n_neg + n_pos
+    n = min(n, pool)
+    d = labelled(spark, n_neg, n_pos, parts=3)
+    got = {r["label"]: r["quota"] for r in S.sample_quotas(d, n).collect()}
+    assert got == {0: int(round(n * n_neg / pool)), 1: int(round(n * n_pos / pool))}

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from revlens.llm.common import packed
@@ -174,7 +175,7 @@ def common_lines(mine: list[int], other: list[int]) -> list[int]:
     return [*range(head), *reversed(middle), *range(n - tail, n)]
 
 
-@F.pandas_udf("struct<hashes:array<bigint>,marks:array<tinyint>>")
+@F.pandas_udf(StructType([StructField("hashes", ArrayType(LongType())), StructField("marks", ArrayType(ByteType()))]))
 def _line_hashes(pages: pd.Series) -> pd.DataFrame:
     import xxhash
     rows = [page_lines(p) for p in pages]
@@ -182,7 +183,7 @@ def _line_hashes(pages: pd.Series) -> pd.DataFrame:
                          "marks": [[k for k, _ in r] for r in rows]})
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _shared_open(mine: pd.Series, marks: pd.Series, other: pd.Series) -> pd.Series:
     out = []
     for a, k, b in zip(mine, marks, other):
@@ -237,7 +238,7 @@ def main_text(lines: list[tuple[int, str]], deleted=()) -> str:
     return "\n".join(t for i, (mark, t) in enumerate(lines) if mark == OPEN and i not in gone)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for pages, deleted in batches:
         yield pd.Series([main_text(page_lines(p), () if d is None else d) for p, d in zip(pages, deleted)],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revlens.llm import (decontamination, html_extract, language_id, license_scan, line_dedup, mixing,
                          ngram_join, quality_fm, quality_rules, url_rules)
 from revlens.llm.common import read
+from revlens.llm.oracle import ORACLE
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,5 +101,4 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY["pipeline"] = _pipeline
 
-#: DuckDB twins; the other operators are tested against brute force (tests/llm)
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "REGISTRY"]

@@ -25,7 +25,7 @@ HEADLINE = [
     "validation_report", "clean_and_label", "attrition_ledger", "stratified_split",
     "term_stats", "tfidf_sublinear", "top_terms_per_doc", "metric_bundle", "pr_curve",
     "precision_at_recall", "monitor_signals", "drift_metrics", "request_validation",
-    "feature_store", "train_from_store", "tfidf_logreg", "data_job",
+    "feature_store", "feature_store_k32", "train_from_store", "tfidf_logreg", "data_job",
 ]
 REUSE_STORE = {"train_from_store"}
 
@@ -37,7 +37,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from revlens.plans.catalog import REGISTRY
     from revlens.session import build_session, forget_stages
-    spark = build_session(f"local[{cpus}]", app="revlens-bench")
+    spark = build_session(f"local[{cpus}]", app="revlens-bench", shuffle_partitions=cpus)
     times: dict[str, float] = {}
     import uuid
 
@@ -49,8 +49,14 @@ def main() -> None:
         run(spark, reviews(spark, sf), scratch_path(spark, f"data-job-{uuid.uuid4().hex}"))
         return None
 
+    def feature_store_k32(spark, sf):
+        # the dimensions of the first round's figure, for comparison
+        from revlens.plans.catalog import feature_store_of
+        return feature_store_of(spark, sf, k=32)[0]
+
+    own = {"data_job": data_job, "feature_store_k32": feature_store_k32}
     for name in (only or HEADLINE):
-        fn = data_job if name == "data_job" else REGISTRY.get(name)
+        fn = own.get(name) or REGISTRY.get(name)
         if fn is None:
             continue
         samples = []

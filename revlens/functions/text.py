@@ -124,12 +124,15 @@ def bigrams(tokens: Column) -> Column:
 
 
 def ngrams(tokens: Column, n_max: int) -> Column:
-    """Unigrams, plus bigrams when ``n_max >= 2``."""
-    if n_max <= 1:
-        return tokens
-    if n_max == 2:
-        return F.concat(tokens, bigrams(tokens))
-    raise ValueError("ngram range above 2 is not supported")
+    """Unigrams, then bigrams, and so on up to ``n_max`` words, joined by spaces."""
+    def of(n):
+        if n == 2:
+            return bigrams(tokens)
+        grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1),
+                            lambda i: F.array_join(F.slice(tokens, i, n), " "))
+        return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(tokens, *[of(n) for n in range(2, n_max + 1)]) if n_max > 1 else tokens
 
 
 def decode_label(col) -> Column:

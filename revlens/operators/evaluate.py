@@ -7,10 +7,11 @@ The negative class is the event of interest (the minority class), so
 "caught" = predicted negative and truly negative.
 
 Plan shape: everything starts from one aggregation per (model, distinct
-score), which collapses the scored rows (and any hot score value) map-side.
-Running totals along the score order use the bucketed prefix sums of
-``windows.running_sums``, so a model with millions of distinct scores is never
-held in one task. Per-model tables are bounded by the number of models.
+score), which collapses the scored rows (and any hot score value) map-side; the
+metric bundle derives its confusion counts, totals and AUC from that one table.
+Running totals along the score order use ``windows.running_sums`` over range
+partitions of (model, score), so a model with millions of distinct scores is
+never held in one task.
 """
 
 from __future__ import annotations
@@ -73,34 +74,35 @@ def score_groups(scored: DataFrame, model: str = "model", prob: str = "prob_neg"
         F.count(F.lit(1)).alias("n_rows"))
 
 
-def _score_bucket(groups: DataFrame, n_buckets: int | None) -> Column:
-    nb = n_buckets if n_buckets is not None else W.default_buckets(groups)
-    return W.quantile_bucket(groups, "score", nb)
-
-
 def roc_auc(scored: DataFrame, model: str = "model", prob: str = "prob_neg",
-            label: str = "label", n_buckets: int | None = None) -> DataFrame:
+            label: str = "label") -> DataFrame:
     """Exact ROC AUC of P(positive) = 1 - prob_neg, ties count one half.
 
     AUC * P * N = sum over scores s of n_neg(s) * (positives below s + n_pos(s) / 2).
     """
-    g = score_groups(scored, model, prob, label)
-    cum = W.running_sums(g, [model], [F.col("score").asc()], _score_bucket(g, n_buckets),
-                         ["n_pos"], bounded_groups=True)
+    cum = W.running_sums(score_groups(scored, model, prob, label), [model], [F.col("score").asc()], ["n_pos"])
+    return cum.groupBy(model).agg(_auc().alias("roc_auc"))
+
+
+def _auc() -> Column:
     below = F.col("n_pos_cum") - F.col("n_pos")
-    return cum.groupBy(model).agg(
-        _ratio(F.sum(F.col("n_neg") * (below + F.col("n_pos") * 0.5)),
-               F.sum("n_pos") * F.sum("n_neg"), zero=None).alias("roc_auc"))
+    return _ratio(F.sum(F.col("n_neg") * (below + F.col("n_pos") * 0.5)),
+                  F.sum("n_pos") * F.sum("n_neg"), zero=None)
 
 
 def metric_bundle(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD,
-                  model: str = "model", prob: str = "prob_neg", label: str = "label",
-                  n_buckets: int | None = None) -> DataFrame:
-    """The five-metric bundle per model."""
-    m = _class_metrics(confusion(scored, threshold, model, prob, label))
-    auc = roc_auc(scored, model, prob, label, n_buckets)
-    # both sides hold one row per model
-    return m.join(auc, model).select(
+                  model: str = "model", prob: str = "prob_neg", label: str = "label") -> DataFrame:
+    """The five-metric bundle per model, from one scan: the
+    confusion counts are sums over the same score groups the AUC runs along."""
+    cum = W.running_sums(score_groups(scored, model, prob, label), [model], [F.col("score").asc()], ["n_pos"])
+    flag = decide(F.col("score"), threshold) == 1
+    def total(c, hit):
+        return F.sum(F.when(hit, F.col(c)).otherwise(0))
+    counts = cum.groupBy(model).agg(
+        F.sum("n_rows").alias("n"), total("n_neg", flag).alias("caught"),
+        total("n_neg", ~flag).alias("missed"), total("n_pos", flag).alias("false_alarms"),
+        total("n_pos", ~flag).alias("true_positives"), _auc().alias("roc_auc"))
+    return _class_metrics(counts).select(
         model, "n", "accuracy",
         ((F.col("f0") + F.col("f1")) / 2).alias("macro_f1"), "roc_auc",
         F.col("p0").alias("negative_precision"), F.col("r0").alias("negative_recall"))
@@ -133,15 +135,14 @@ def classification_report(scored: DataFrame, threshold: float = DEFAULT_THRESHOL
 
 
 def pr_curve(scored: DataFrame, model: str = "model", prob: str = "prob_neg",
-             label: str = "label", n_buckets: int | None = None) -> DataFrame:
+             label: str = "label") -> DataFrame:
     """Precision / recall of the negative class at every distinct score,
     flagging ``prob >= threshold`` (equal scores form one point)."""
     g = score_groups(scored, model, prob, label)
-    cum = W.running_sums(g, [model], [F.col("score").desc()], _score_bucket(g, n_buckets),
-                         ["n_rows", "n_neg"], bounded_groups=True, descending_bucket=True)
-    totals = g.groupBy(model).agg(F.sum("n_neg").alias("positives"))
-    # one row per model: bounded by the number of models
-    return (cum.join(F.broadcast(totals), model)
+    cum = W.running_sums(g, [model], [F.col("score").desc()], ["n_rows", "n_neg"])
+    # the last point of a model has seen all its rows
+    totals = cum.groupBy(F.col(model).alias("_m")).agg(F.max("n_neg_cum").alias("positives"))
+    return (cum.join(totals, F.col(model).eqNullSafe(F.col("_m")))
             .select(model, F.col("score").alias("threshold"),
                     F.col("n_rows_cum").alias("flagged"), F.col("n_neg_cum").alias("hits"),
                     "positives",
@@ -182,9 +183,10 @@ def leaderboard(runs: DataFrame) -> DataFrame:
 
 
 def best_run(runs: DataFrame) -> DataFrame:
-    """The run with the highest macro F1."""
-    return runs.agg(F.max_by("run_name", "macro_f1").alias("best_run"),
-                    F.max("macro_f1").alias("macro_f1"))
+    """The run with the highest macro F1; of equal runs the first by name."""
+    best = F.min(F.struct(-F.col("macro_f1"), F.col("run_name").alias("name")))
+    return runs.where(F.col("macro_f1").isNotNull()).agg(best.alias("b"), F.max("macro_f1").alias("macro_f1")) \
+        .select(F.col("b.name").alias("best_run"), "macro_f1")
 
 
 def promotion_gate(runs: DataFrame, candidate: str, incumbent: str) -> DataFrame:

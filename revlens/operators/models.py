@@ -30,33 +30,33 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     return df.join(F.broadcast(cw), label)
 
 
-ROWS_PER_PARTITION = 100_000
+class NotConverged(RuntimeError):
+    """The solver stopped at its iteration cap."""
 
 
 def fit_lr(train: DataFrame, features: str = "features", label: str = "label",
-           balanced: bool = True, C: float = 1.0, max_iter: int = 100, tol: float = 1e-4):
-    """M9: returns the fitted Spark ML model.
+           balanced: bool = True, C: float = 1.0, max_iter: int = 2000, tol: float = 1e-6):
+    """M9: returns the fitted Spark ML model (``model.summary.totalIterations`` says how
+    many steps it took); stopping at ``max_iter`` is an error, not a result.
 
-    Each L-BFGS iteration is one distributed aggregation, so the input is
-    coalesced to about one partition per ``ROWS_PER_PARTITION`` rows: enough
-    tasks at full scale, no per-task overhead dominating on small inputs.
+    Rows keep the partitions they come with (sized by bytes): every L-BFGS iteration
+    is one distributed aggregation over the cached vectors.
     """
     from pyspark import StorageLevel
     data = balanced_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     data = data.select(features, label, "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    # sum of balanced weights equals the row count, as does the unweighted sum
-    n = data.count()
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
-    cached = data
-    if data.rdd.getNumPartitions() > parts:
-        data = data.coalesce(parts)
-    lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", family="binomial",
-                            regParam=1.0 / (C * n), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=tol)
     try:
-        return lr.fit(data)
+        # sum of balanced weights equals the row count, as does the unweighted sum
+        n = data.count()
+        lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", family="binomial",
+                                regParam=1.0 / (C * n), elasticNetParam=0.0,
+                                standardization=False, maxIter=max_iter, tol=tol)
+        model = lr.fit(data)
     finally:
-        cached.unpersist()
+        data.unpersist()
+    if model.summary.totalIterations >= max_iter:
+        raise NotConverged(f"no optimum after {max_iter} iterations")
+    return model
 
 
 def score(model, df: DataFrame, id_col: str = "review_id", label: str = "label",

@@ -3,12 +3,12 @@
 Operators P1-P9 and A1-A8. Every function maps DataFrame -> DataFrame except
 the gates, which run one bounded action and raise.
 
-Physical shape: text-keyed work (duplicates, first occurrence, word counts)
-is done by one hash aggregation on ``review_text`` whose partial (map-side)
-phase collapses repeated texts before the shuffle, so a text that holds a
-third of all rows costs one row per map task, not a third of the data in one
-reducer. Per-text functions (word count, heavy cleaning) then run once per
-distinct text instead of once per row.
+Physical shape: equal texts meet by a 128-bit digest. Every row is reduced to its
+digest, its key and a few numbers and flags; those are hash-aggregated (map side
+first, so a text that holds a third of all rows is one row per task). No text is
+sorted or shuffled by the report, the ledger or duplicate counting; clean-and-label
+joins the table of *repeated* digests back to the rows, which is broadcast while it is
+small and otherwise shuffles each text once.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions import text as T
+from revlens.session import materialize
 
 REQUIRED = ("review_text", "rating")
 
@@ -32,14 +33,14 @@ def require_columns(df: DataFrame, required=REQUIRED) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise DataValidationError(
-            f"Required column(s) {missing} missing; available: {df.columns}")
+            f"input lacks {', '.join(missing)} (it has {', '.join(df.columns)})")
 
 
 def require_min_rows(df: DataFrame, min_rows: int = 100) -> None:
     """At least ``min_rows`` rows. Reads no more than ``min_rows`` rows."""
     n = df.limit(min_rows).count()
     if n < min_rows:
-        raise DataValidationError(f"Only {n} rows found - need at least {min_rows}")
+        raise DataValidationError(f"{n} input rows are fewer than the required {min_rows}")
 
 
 # --- label rule --------------------------------------------------------------
@@ -52,16 +53,21 @@ def label_sentiment(df: DataFrame, rating: str = "rating") -> DataFrame:
 
 # --- clean and label (P8) -----------------------------------------------------
 
-def first_per_text(df: DataFrame, key: str = "review_key",
-                   carry=("rating",)) -> DataFrame:
-    """Keep the first row (smallest ``key``) of every distinct review_text.
+def text_digest(text="review_text"):
+    """128 bits that stand for a text (NULL stays NULL)."""
+    return F.unhex(F.md5(F.col(text)))
 
-    An aggregate, not a window: ``min(struct(key, ...))`` combines map-side.
-    """
-    first = F.min(F.struct(F.col(key), *[F.col(c) for c in carry])).alias("_first")
-    return (df.groupBy("review_text").agg(first)
-            .select(F.col(f"_first.{key}").alias(key), "review_text",
-                    *[F.col(f"_first.{c}").alias(c) for c in carry]))
+
+def first_per_text(df: DataFrame, key: str = "review_key") -> DataFrame:
+    """Keep the row of smallest ``key`` (unique) of every distinct review_text.
+
+    Only digests with more than one row can lose any; that table is written first, so
+    its real size decides whether the rows are shuffled to meet it."""
+    tagged = df.withColumn("_digest", text_digest())
+    repeated = materialize(tagged.groupBy("_digest").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+                           .where("_n > 1").select("_digest", "_first"), "repeated-texts")
+    both = tagged.join(repeated.withColumnRenamed("_digest", "_d"), F.col("_digest").eqNullSafe(F.col("_d")), "left")
+    return both.where(F.col("_first").isNull() | (F.col(key) == F.col("_first"))).select(*df.columns)
 
 
 def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
@@ -71,7 +77,7 @@ def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
     """
     kept = (df.dropna(subset=["review_text", "rating"])            # P3
             .filter(~T.is_blank("review_text")))                   # P4
-    first = first_per_text(kept, key)                               # W2
+    first = first_per_text(kept.select(key, "review_text", "rating"), key)   # W2
     labelled = label_sentiment(first)                               # P5, P6
     # The token array is produced by a one-row generator so that the P7 filter
     # on it is not substituted back into (and re-run by) the projection.
@@ -84,22 +90,29 @@ def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
 
 # --- per-text pre-aggregation shared by report and ledger ---------------------
 
-def _per_text(df: DataFrame, key: str) -> DataFrame:
-    """One row per distinct review_text (NULL is one group) with row counts."""
+def _per_text(df: DataFrame, key: str, heavy: bool = False) -> DataFrame:
+    """One narrow row per distinct review_text (NULL is one group): counts, the first
+    key of usable rows, and the text's own numbers. Longs only, so it hash-aggregates."""
+    r, t = F.col("rating"), F.col("review_text")
+    blank = t.isNotNull() & T.is_blank("review_text")
+    usable = t.isNotNull() & r.isNotNull() & ~T.is_blank("review_text")
+    rows = df.select(
+        F.col(key).alias("_k"), text_digest().alias("_digest"), r.alias("rating"),
+        t.isNull().cast("int").alias("no_text"), F.coalesce(blank, F.lit(False)).cast("int").alias("blank"),
+        F.coalesce(usable, F.lit(False)).alias("usable"), T.word_count("review_text").alias("words"),
+        *([(F.size(T.heavy_tokens("review_text")) == 0).cast("int").alias("heavy_empty")] if heavy else []))
     r = F.col("rating")
-    early = (F.when(F.col("review_text").isNull() | r.isNull(), 1)
-             .when(T.is_blank("review_text"), 2).otherwise(0))
-    return (df.withColumn("_early", early)
-            .groupBy("review_text")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.count_if(r.isNull()).alias("n_null_rating"),
-                 F.count_if(r.isNotNull() & ~r.between(1, 5)).alias("n_invalid"),
-                 F.count_if(r >= 4).alias("n_pos"),
-                 F.count_if(r <= 2).alias("n_neg"),
-                 F.count_if(F.col("_early") == 1).alias("n_null"),
-                 F.count_if(F.col("_early") == 2).alias("n_blank"),
-                 F.min(F.when(F.col("_early") == 0, F.struct(key, "rating")))
-                 .alias("_first")))
+    return rows.groupBy("_digest").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(r.isNull()).alias("n_null_rating"),
+        F.count_if(r.isNotNull() & ~r.between(1, 5)).alias("n_invalid"),
+        F.count_if(r >= 4).alias("n_pos"), F.count_if(r <= 2).alias("n_neg"),
+        F.max("no_text").alias("no_text"), F.max("blank").alias("blank"), F.max("words").alias("words"),
+        F.count_if((F.col("no_text") == 1) | r.isNull()).alias("n_null"),
+        F.count_if((F.col("no_text") == 0) & r.isNotNull() & (F.col("blank") == 1)).alias("n_blank"),
+        F.min(F.when(F.col("usable"), F.col("_k"))).alias("first_key"),
+        F.min(F.when(F.col("usable") & (r == 3), F.col("_k"))).alias("first_neutral"),
+        *([F.max("heavy_empty").alias("heavy_empty")] if heavy else []))
 
 
 def validation_report(df: DataFrame, key: str = "review_key") -> DataFrame:
@@ -109,22 +122,20 @@ def validation_report(df: DataFrame, key: str = "review_key") -> DataFrame:
     empty_text_rows ignores NULL text; word length of NULL text is 0.
     """
     g = _per_text(df, key)
-    wc = T.word_count("review_text")
-    t = F.col("review_text")
+    wc, n = F.col("words"), F.col("n")
     total = F.sum("n")
     pos, neg = F.sum("n_pos"), F.sum("n_neg")
     return g.agg(
         total.alias("total_rows"),
-        F.sum(F.when(t.isNull(), F.col("n")).otherwise(0)).alias("null_text_rows"),
+        F.sum(F.when(F.col("no_text") == 1, n).otherwise(0)).alias("null_text_rows"),
         F.sum("n_null_rating").alias("null_rating_rows"),
         (total - F.count(F.lit(1))).alias("duplicate_rows"),
-        F.sum(F.when(t.isNotNull() & T.is_blank(t), F.col("n")).otherwise(0))
-        .alias("empty_text_rows"),
+        F.sum(F.when(F.col("blank") == 1, n).otherwise(0)).alias("empty_text_rows"),
         F.sum("n_invalid").alias("invalid_rating_values"),
         pos.alias("positive"), neg.alias("negative"),
         (total - pos - neg).alias("neutral_dropped"),
         F.min(wc).alias("length_min"), F.max(wc).alias("length_max"),
-        F.round(F.sum(wc * F.col("n")) / total, 6).alias("length_mean"),
+        F.round(F.sum(wc * n) / total, 6).alias("length_mean"),
     )
 
 
@@ -140,12 +151,16 @@ def validation_report_nested(df: DataFrame, key: str = "review_key") -> DataFram
                  F.bround("length_mean", 1).alias("mean")).alias("review_length_stats"))
 
 
-def validate(df: DataFrame, min_rows: int = 100, key: str = "review_key") -> dict:
-    """P2 then P1 (the reference's order), then the report as a dict."""
+def gate(df: DataFrame, min_rows: int = 100) -> None:
+    """P2 then P1; raises DataValidationError."""
     require_min_rows(df, min_rows)
     require_columns(df)
-    row = validation_report_nested(df, key).first()
-    return row.asDict(recursive=True)
+
+
+def validate(df: DataFrame, min_rows: int = 100, key: str = "review_key") -> dict:
+    """The gates, then the report as a dict."""
+    gate(df, min_rows)
+    return validation_report_nested(df, key).first().asDict(recursive=True)
 
 
 # --- attrition ledger (P9) ----------------------------------------------------
@@ -156,18 +171,18 @@ LEDGER_STEPS = ("input", "null_text_or_rating", "blank_text", "duplicate_text",
 
 def attrition_ledger(df: DataFrame, key: str = "review_key") -> DataFrame:
     """Rows removed and remaining after each cleaning step, in order."""
-    g = _per_text(df, key)
-    first_rating = F.col("_first.rating")
-    has_first = F.col("_first").isNotNull()
-    heavy_empty = F.size(T.heavy_tokens("review_text")) == 0
+    g = _per_text(df, key, heavy=True)
+    has_first = F.col("first_key").isNotNull()
+    # the first usable row is neutral when it is also the first neutral one
+    neutral = has_first & F.coalesce(F.col("first_neutral") == F.col("first_key"), F.lit(False))
     s = g.agg(
         F.sum("n").alias("total"),
         F.sum("n_null").alias("r1"),
         F.sum("n_blank").alias("r2"),
         (F.sum("n") - F.sum("n_null") - F.sum("n_blank")
          - F.count_if(has_first)).alias("r3"),
-        F.count_if(has_first & (first_rating == 3)).alias("r4"),
-        F.count_if(has_first & (first_rating != 3) & heavy_empty).alias("r5"),
+        F.count_if(neutral).alias("r4"),
+        F.count_if(has_first & ~neutral & (F.col("heavy_empty") == 1)).alias("r5"),
     )
     rows = []
     before = F.col("total")

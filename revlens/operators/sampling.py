@@ -5,14 +5,14 @@ W1, W5, W6, T4, J1, J2, J8, U2, A7, P10, P11.
 Row membership is decided by ``md5(concat(seed, ':', review_id))``: a stable,
 engine-independent pseudo-random order (the same digest in Spark and DuckDB),
 so a split or sample is reproducible from the ids alone. Quotas are computed
-on the tiny per-label table; the per-row rank inside each label is computed
-bucket by bucket (see ``windows.row_numbers``) so no label is ever gathered
-into one task.
+on the tiny per-label table; the per-row rank inside each label is computed over
+range partitions of (label, digest, id) (see ``windows.row_numbers``) so no label
+is ever gathered into one task, and only ids and labels are ranked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators import windows as W
@@ -25,10 +25,9 @@ def seeded_hash(id_col: str = "review_id", seed: int = SEED):
     return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col(id_col).cast("string")))
 
 
-def assign_ids(cleaned: DataFrame, key: str = "review_key",
-               n_buckets: int | None = None) -> DataFrame:
+def assign_ids(cleaned: DataFrame, key: str = "review_key") -> DataFrame:
     """``review_id`` = position 0..n-1 in ``key`` order."""
-    return W.dense_ids(cleaned, key, "review_id", n_buckets)
+    return W.dense_ids(cleaned, key, "review_id")
 
 
 def _label_counts(df: DataFrame, label: str) -> DataFrame:
@@ -61,24 +60,15 @@ def split_quotas(df: DataFrame, label: str = "label",
 
 
 def stratified_split(ided: DataFrame, label: str = "label", test_size: float = TEST_SIZE,
-                     seed: int = SEED, n_buckets: int | None = None,
-                     keep_columns: bool = False) -> DataFrame:
-    """(review_id, split) with exact per-label test quotas.
-
-    ``keep_columns`` returns every input column plus ``split`` (one pass over
-    the rows instead of ranking ids and joining them back).
-    """
-    nb = n_buckets if n_buckets is not None else W.default_buckets(ided)
-    quotas = split_quotas(ided, label, test_size).select(label, "test_quota")
-    h = seeded_hash("review_id", seed)
-    base = (ided if keep_columns else ided.select("review_id", label)).withColumn("_h", h)
-    ranked = W.row_numbers(base, [label], [F.col("_h"), F.col("review_id")],
-                           W.md5_bucket(F.col("_h"), nb), out="_rank",
-                           bounded_groups=True)
+                     seed: int = SEED) -> DataFrame:
+    """(review_id, split) with exact per-label test quotas; ids and labels only."""
+    narrow = ided.select("review_id", label)
+    quotas = split_quotas(narrow, label, test_size).select(label, "test_quota")
+    ranked = W.row_numbers(narrow.withColumn("_h", seeded_hash("review_id", seed)), [label],
+                           [F.col("_h"), F.col("review_id")], out="_rank")
     # the label rule yields two classes, so the quota table has two rows
     split = F.when(F.col("_rank") <= F.col("test_quota"), "test").otherwise("train").alias("split")
-    out_cols = [c for c in ided.columns] if keep_columns else ["review_id"]
-    return ranked.join(F.broadcast(quotas), label).select(*out_cols, split)
+    return ranked.join(F.broadcast(quotas), label).select("review_id", split)
 
 
 def sample_quotas(pool: DataFrame, n: int, label: str = "label") -> DataFrame:
@@ -97,20 +87,36 @@ def check_sample_quotas(quotas: DataFrame) -> None:
         raise ValueError(f"sample larger than population: {over}")
 
 
+def _digest_share(h: Column) -> Column:
+    """Position of an md5 digest in [0, 1)."""
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / float(16 ** 8)
+
+
 def stratified_sample(pool: DataFrame, n: int, label: str = "label", seed: int = SEED,
-                      n_buckets: int | None = None, check: bool = False) -> DataFrame:
-    """Exactly the per-label quota rows of ``pool`` (no replacement)."""
-    nb = n_buckets if n_buckets is not None else W.default_buckets(pool)
+                      check: bool = False) -> DataFrame:
+    """Exactly the per-label quota rows of ``pool`` (no replacement).
+
+    Digests are uniform, so rows far above a label's quota share can't be in the
+    sample: only digests below a generous bound are ranked (about the sample's size,
+    not the pool's). Should a bound ever leave too few rows, all of them are ranked."""
     quotas = sample_quotas(pool, n, label)
     if check:
         check_sample_quotas(quotas)
-    tagged = pool.withColumn("_h", seeded_hash("review_id", seed))
-    ranked = W.row_numbers(tagged, [label], [F.col("_h"), F.col("review_id")],
-                           W.md5_bucket(F.col("_h"), nb), out="_rank",
-                           bounded_groups=True)
-    return (ranked.join(F.broadcast(quotas.select(label, "quota")), label)
-            .filter(F.col("_rank") <= F.col("quota"))
-            .drop("_rank", "quota", "_h"))
+    # one row per class of the label rule
+    want = {r[label]: (r["quota"], r["n_rows"]) for r in quotas.collect()}
+    narrow = pool.select("review_id", label).withColumn("_h", seeded_hash("review_id", seed))
+    bound, quota = F.lit(2.0), F.lit(0)
+    for value, (q, rows) in want.items():
+        here = F.col(label).eqNullSafe(F.lit(value))
+        bound = F.when(here, (q + 8 * q ** 0.5 + 16) / max(rows, 1)).otherwise(bound)
+        quota = F.when(here, F.lit(q)).otherwise(quota)
+    near = W.row_numbers(narrow.where(_digest_share(F.col("_h")) < bound), [label],
+                         [F.col("_h"), F.col("review_id")], out="_rank")
+    got = {r[label]: r["c"] for r in near.groupBy(label).agg(F.count(F.lit(1)).alias("c")).collect()}
+    if any(got.get(v, 0) < min(q, rows) for v, (q, rows) in want.items()):
+        near = W.row_numbers(narrow, [label], [F.col("_h"), F.col("review_id")], out="_rank")
+    ids = near.where(F.col("_rank") <= quota).select(F.col("review_id").alias("_sampled"))
+    return pool.join(ids, F.col("review_id") == F.col("_sampled"), "left_semi")
 
 
 def simple_sample(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
@@ -136,7 +142,7 @@ def check_split_counts(split: DataFrame, expected: dict) -> dict:
     got = {r["split"]: r["n"] for r in
            split.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     if got != dict(expected):
-        raise ValueError(f"Split counts {got} do not match the expected {dict(expected)}")
+        raise ValueError(f"rows per split are {got}; the caller expects {dict(expected)}")
     return got
 
 
@@ -147,27 +153,23 @@ def split_checks(ided: DataFrame, split: DataFrame) -> DataFrame:
     overlap_ids: ids labelled both train and test; leaked_test_rows: test rows
     whose text also occurs in train.
     """
-    ids = ided.select("review_id", "review_text")
-    # sizes and overlap from one per-id aggregation of the split table
+    # one digest per text: equal texts meet by 128 bits, no text crosses the network
+    ids = ided.select("review_id", F.md5("review_text").alias("_digest"))
     per_id = split.groupBy("review_id").agg(
         F.count_if(F.col("split") == "train").alias("a"),
         F.count_if(F.col("split") == "test").alias("b"))
-    totals = per_id.agg(
-        F.sum("a").alias("train_rows"), F.sum("b").alias("test_rows"),
-        F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("overlap_ids"))
-    sizes = totals.select(F.inline(F.array(*[
+    both = ids.join(per_id.withColumnRenamed("review_id", "_sid"), F.col("review_id") == F.col("_sid"), "full_outer")
+    per_text = both.groupBy("_digest").agg(
+        F.sum(F.coalesce("a", F.lit(0))).alias("train_rows"), F.sum(F.coalesce("b", F.lit(0))).alias("test_rows"),
+        F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("overlap_ids"),
+        F.count_if(F.col("review_id").isNull() | F.col("_sid").isNull()).alias("unmatched_ids"))
+    leaked = F.when(F.col("_digest").isNotNull() & (F.col("train_rows") > 0), F.col("test_rows")).otherwise(0)
+    names = ("train_rows", "test_rows", "overlap_ids", "unmatched_ids")
+    total = per_text.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+                         F.coalesce(F.sum(leaked), F.lit(0)).alias("leaked_test_rows"))
+    return total.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value"))
-        for c in ("train_rows", "test_rows", "overlap_ids")])))
-    unmatched = (ids.join(split, "review_id", "full_outer")
-                 .agg(F.lit("unmatched_ids").alias("check"),
-                      F.count_if(F.col("review_text").isNull() | F.col("split").isNull())
-                      .alias("value")))
-    train_texts = attach_split(ids, split, "train").select("review_text")
-    leaked = (attach_split(ids, split, "test")
-              .join(train_texts, "review_text", "left_semi")
-              .agg(F.lit("leaked_test_rows").alias("check"), F.count(F.lit(1)).alias("value")))
-    out = sizes.unionByName(unmatched).unionByName(leaked)
-    return out.select("check", F.col("value").cast("bigint").alias("value"))
+        for c in (*names, "leaked_test_rows")])))
 
 
 def assert_split_ok(ided: DataFrame, split: DataFrame) -> None:

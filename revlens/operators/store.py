@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from revlens.functions import text as T
 from revlens.operators import svd as SVD
 from revlens.operators import tfidf as TF
+from revlens.session import materialize
 
 META = ["review_id", "label", "text_length", "split"]
 
@@ -35,10 +36,13 @@ def fit_transformer(train: DataFrame, max_features: int = 20000, ngram_max: int
     tf = TF.fit(train, ngram_max=ngram_max, sublinear=sublinear, max_features=max_features)
     n_terms = tf.vocab.count()
     svd = SVD.fit(SVD.doc_arrays(TF.transform(tf, train)), n_terms, k)
-    settings = {"tfidf_max_features": max_features, "tfidf_ngram_range": [1, ngram_max],
-                "tfidf_sublinear_tf": sublinear, "svd_dims": int(svd.components.shape[1]),
-                "random_state": seed}
-    return Transformer(tf, svd, settings)
+    return Transformer(tf, svd, _settings(max_features, ngram_max, sublinear, svd, seed))
+
+
+def _settings(max_features: int, ngram_max: int, sublinear: bool, svd: SVD.SvdModel, seed: int) -> dict:
+    return {"tfidf_max_features": max_features, "tfidf_ngram_range": [1, ngram_max],
+            "tfidf_sublinear_tf": sublinear, "svd_dims": int(svd.components.shape[1]),
+            "random_state": seed}
 
 
 def transform(tr: Transformer, docs: DataFrame, id_col: str = "review_id") -> DataFrame:
@@ -49,13 +53,20 @@ def transform(tr: Transformer, docs: DataFrame, id_col: str = "review_id") -> Da
     return SVD.project(tr.svd, docs, arrays, id_col=id_col)
 
 
-def build_store(docs: DataFrame, **kw) -> tuple[DataFrame, Transformer]:
-    """M6: review_id, label, text_length (words of the raw text), split, k floats."""
-    tr = fit_transformer(docs.filter(F.col("split") == "train"), **kw)
-    meta = docs.select("review_id", "label", T.word_count("review_text").alias("text_length"),
-                       "split", "text_heavy_clean")
-    store = transform(tr, meta).drop("text_heavy_clean")
-    return store.select(*META, "features"), tr
+def build_store(docs: DataFrame, max_features: int = 20000, ngram_max: int = 2, sublinear: bool = True,
+                k: int = 600, seed: int = 42) -> tuple[DataFrame, Transformer]:
+    """M6: review_id, label, text_length (words of the raw text), split, k floats.
+
+    Texts are tokenised twice only: for the vocabulary (train rows) and for the TF-IDF
+    arrays of all rows, which are written once and serve the SVD and the projection."""
+    train = docs.filter(F.col("split") == "train")
+    tf = TF.fit(train, ngram_max=ngram_max, sublinear=sublinear, max_features=max_features)
+    arrays = materialize(SVD.doc_arrays(TF.transform(tf, docs)), "tfidf-arrays")
+    fit_rows = arrays.join(train.select("review_id"), "review_id", "left_semi").select("idx", "val")
+    svd = SVD.fit(fit_rows, tf.vocab.count(), k, seed=seed)
+    tr = Transformer(tf, svd, _settings(max_features, ngram_max, sublinear, svd, seed))
+    meta = docs.select("review_id", "label", T.word_count("review_text").alias("text_length"), "split")
+    return SVD.project(svd, meta, arrays).select(*META, "features"), tr
 
 
 def manifest(spark, store: DataFrame, tr: Transformer, split_source: str = "stratified_split") -> DataFrame:
@@ -70,7 +81,7 @@ def manifest(spark, store: DataFrame, tr: Transformer, split_source: str = "stra
         F.lit(s["tfidf_max_features"]).alias("tfidf_max_features"),
         F.array(*[F.lit(x) for x in s["tfidf_ngram_range"]]).alias("tfidf_ngram_range"),
         F.lit(s["tfidf_sublinear_tf"]).alias("tfidf_sublinear_tf"), F.lit(k).alias("svd_dims"),
-        F.lit("train split only, to avoid test-set leakage").alias("fitted_on"),
+        F.lit("rows of the train split").alias("fitted_on"),
         F.lit(split_source).alias("split_source"), F.lit(s["random_state"]).alias("random_state"),
         "rows")
 
@@ -96,8 +107,9 @@ def wide(store: DataFrame, k: int) -> DataFrame:
 
 
 def write_store(store: DataFrame, path: str) -> None:
-    """Snappy parquet, sorted by id inside each file, partitioned by split."""
-    (store.sortWithinPartitions("review_id").write.mode("overwrite")
+    """Snappy parquet, sorted by id inside each file, partitioned by split (the
+    partition column leads the order: the writer keeps an order that starts with it)."""
+    (store.sortWithinPartitions("split", "review_id").write.mode("overwrite")
      .option("compression", "snappy").partitionBy("split").parquet(path))
 
 
@@ -130,11 +142,18 @@ def load_transformer(spark, path: str) -> Transformer:
 
 def serve(tr: Transformer, lr_model, requests: DataFrame, id_col: str = "request_id",
           text_col: str = "text") -> DataFrame:
-    """Raw text in, label and confidence out (transformer + classifier)."""
+    """Raw text in; label, confidence and the lightly cleaned text out
+    (transformer + classifier). ``id_col`` must be unique: two texts under one id would
+    be counted as one document."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    docs = requests.select(id_col, F.col(text_col), T.heavy_clean(text_col).alias("text_heavy_clean"))
+    twice = requests.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    if twice:
+        raise ValueError(f"{id_col} names more than one request")
+    docs = requests.select(id_col, F.col(text_col), T.light_clean(text_col).alias("text_light_clean"),
+                           T.heavy_clean(text_col).alias("text_heavy_clean"))
     feats = transform(tr, docs, id_col=id_col).withColumn("fv", array_to_vector("features"))
     p = lr_model.setFeaturesCol("fv").transform(feats)
     p_pos = vector_to_array("probability")[1]
-    return p.select(id_col, text_col, F.when(p_pos > 0.5, "positive").otherwise("negative").alias("label"),
+    return p.select(id_col, text_col, "text_light_clean",
+                    F.when(p_pos > 0.5, "positive").otherwise("negative").alias("label"),
                     T.confidence(p_pos).alias("confidence"))

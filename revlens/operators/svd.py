@@ -29,7 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-ROWS_PER_PARTITION = 100_000
+CHUNK_ROWS = 128       # term rows of one summed block
+RADIX = 256            # blocks that one task adds up
+CELLS = 4_000_000      # doubles of a work array
 
 
 @dataclass
@@ -56,72 +58,98 @@ def fix_signs(v: np.ndarray) -> np.ndarray:
     return v * signs
 
 
-def _gram_pass(arrays: DataFrame, q: np.ndarray, chunk_rows: int = 512) -> np.ndarray:
+def _sparse(idx, val) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of index and value lists as one CSR triple (indices, values, row of each)."""
+    sizes = np.fromiter((0 if i is None else len(i) for i in idx), np.int64, len(idx))
+    some = [k for k, n in enumerate(sizes) if n]
+    if not some:
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    cols = np.concatenate([np.asarray(idx[k], np.int64) for k in some])
+    vals = np.concatenate([np.asarray(val[k], np.float64) for k in some])
+    return cols, vals, np.repeat(np.arange(len(idx)), sizes)
+
+
+def _pieces(rows: np.ndarray, width: int):
+    """Slices of whole rows with at most CELLS / width non-zeros (one row at least)."""
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, np.int64)
+    at, most = 0, max(1, CELLS // width)
+    ends = np.r_[starts[1:], len(rows)].astype(np.int64) if len(starts) else starts
+    while at < len(starts):
+        last = max(at + 1, int(np.searchsorted(ends, starts[at] + most, "right")))
+        yield slice(int(starts[at]), int(ends[last - 1])), starts[at:last] - starts[at]
+        at = last
+
+
+def _times(cols, vals, starts, q) -> np.ndarray:
+    """Sparse rows times q: one sum per row."""
+    return np.add.reduceat(vals[:, None] * q[cols], starts)
+
+
+def _gram_pass(arrays: DataFrame, q: np.ndarray, n_parts: int) -> np.ndarray:
     """A^T A Q for the sparse rows of ``arrays`` (one distributed pass).
 
-    Every partition adds its rows into a dense terms x l block; the block is cut
-    into row chunks, and the chunks are summed as a two-level tree: first per
-    (chunk, partition group of about sqrt(P)), then per chunk. No group ever
-    holds more than about sqrt(P) chunks, whatever the partition count.
+    Each Arrow batch is one sparse product; a partition adds its share into a terms x l
+    block and emits the touched rows only, cut into chunks. Chunks are summed as a tree
+    of radix RADIX, so no task adds up more than RADIX blocks of CHUNK_ROWS rows.
     """
-    import math
-
     import pandas as pd
     spark = arrays.sparkSession
     bq = spark.sparkContext.broadcast(q)
     n_terms, width = q.shape
-    n_parts = max(1, arrays.rdd.getNumPartitions())
-    fan = max(1, math.isqrt(n_parts))
 
     def partial(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         qv = bq.value
-        z = np.zeros_like(qv)
+        z, touched = np.zeros_like(qv), np.zeros(n_terms, bool)
         for pdf in batches:
-            for idx, val in zip(pdf["idx"], pdf["val"]):
-                if idx is None or len(idx) == 0:
-                    continue
-                i = np.asarray(idx, dtype=np.int64)
-                w = np.asarray(val, dtype=np.float64)
-                z[i] += np.outer(w, w @ qv[i])     # indices are distinct within a row
-        for c in range(0, n_terms, chunk_rows):
-            blk = z[c:c + chunk_rows]
-            if blk.any():
-                yield pd.DataFrame({"chunk": [c // chunk_rows], "grp": [pid % fan],
-                                    "data": [blk.tobytes()]})
+            cols, vals, rows = _sparse(pdf["idx"].tolist(), pdf["val"].tolist())
+            for cut, starts in _pieces(rows, width):
+                c, v = cols[cut], vals[cut]
+                prod = _times(c, v, starts, qv)
+                own = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(c)]))
+                order = np.argsort(c, kind="stable")
+                term, first = np.unique(c[order], return_index=True)
+                z[term] += np.add.reduceat(v[order, None] * prod[own[order]], first)
+                touched[term] = True
+        for at in range(0, n_terms, CHUNK_ROWS):
+            here = np.flatnonzero(touched[at:at + CHUNK_ROWS])
+            if len(here):
+                yield pd.DataFrame({"chunk": [at // CHUNK_ROWS], "grp": [pid], "rows": [here.tobytes()],
+                                    "data": [z[at + here].tobytes()]})
 
     def add(pdf):
-        acc = None
-        for b in pdf["data"]:
-            m = np.frombuffer(b, dtype=np.float64)
-            acc = m.copy() if acc is None else acc + m
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "grp": [0],
-                             "data": [acc.tobytes()]})
-
-    schema = "chunk int, grp int, data binary"
-    summed = arrays.mapInPandas(partial, schema)
-    if n_parts > 1:            # one partition: its block already is the sum
-        if fan > 1:
-            summed = summed.groupBy("chunk", "grp").applyInPandas(add, schema)
-        summed = summed.groupBy("chunk").applyInPandas(add, schema)
+        acc, hit = np.zeros((CHUNK_ROWS, width)), np.zeros(CHUNK_ROWS, bool)
+        for r, b in zip(pdf["rows"], pdf["data"]):
+            here = np.frombuffer(r, np.int64)
+            acc[here] += np.frombuffer(b, np.float64).reshape(-1, width)
+            hit[here] = True
+        here = np.flatnonzero(hit)
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "grp": [int(pdf["grp"].iloc[0])],
+                             "rows": [here.tobytes()], "data": [acc[here].tobytes()]})
+
+    schema = "chunk int, grp int, rows binary, data binary"
+    summed, blocks = arrays.mapInPandas(partial, schema), n_parts
+    while blocks > 1:
+        summed = summed.withColumn("grp", F.floor(F.col("grp") / RADIX).cast("int")) \
+            .groupBy("chunk", "grp").applyInPandas(add, schema)
+        blocks = -(-blocks // RADIX)
     z = np.zeros((n_terms, width))
     for r in summed.collect():        # bounded: n_terms x width doubles in total
-        c = r["chunk"] * chunk_rows
-        blk = np.frombuffer(r["data"], dtype=np.float64).reshape(-1, width)
-        z[c:c + blk.shape[0]] = blk
+        z[r["chunk"] * CHUNK_ROWS + np.frombuffer(r["rows"], np.int64)] = \
+            np.frombuffer(r["data"], dtype=np.float64).reshape(-1, width)
     bq.unpersist()
     return z
 
 
 def _fit_randomized(arrays: DataFrame, n_terms: int, k: int, n_iter: int,
-                    oversample: int, seed: int) -> SvdModel:
+                    oversample: int, seed: int, n_parts: int) -> SvdModel:
     width = min(n_terms, k + oversample)
     rng = np.random.default_rng(seed)
     q, _ = np.linalg.qr(rng.standard_normal((n_terms, width)))
     for _ in range(n_iter):
-        q, _ = np.linalg.qr(_gram_pass(arrays, q))
-    z = _gram_pass(arrays, q)
+        q, _ = np.linalg.qr(_gram_pass(arrays, q, n_parts))
+    z = _gram_pass(arrays, q, n_parts)
     evals, w = np.linalg.eigh(q.T @ z)                # small width x width problem
     order = np.argsort(evals)[::-1][:k]
     v = fix_signs(q @ w[:, order])
@@ -132,24 +160,21 @@ def fit(arrays: DataFrame, n_terms: int, k: int, method: str = "randomized",
         n_iter: int = 5, oversample: int = 10, seed: int = 42) -> SvdModel:
     """M4: distributed truncated SVD of the rows in ``arrays`` (fit on training rows)."""
     k = int(min(k, n_terms))
-    n = arrays.count()
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
-    src = arrays.coalesce(parts) if arrays.rdd.getNumPartitions() > parts else arrays
-    if method == "randomized":
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return _fit_randomized(src, n_terms, k, n_iter, oversample, seed)
-        finally:
-            src.unpersist()
-    return _fit_exact(src, n_terms, k)
+    src = arrays.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        src.count()                               # fills the cache; partitions stay as they come
+        if method == "randomized":
+            return _fit_randomized(src, n_terms, k, n_iter, oversample, seed, src.rdd.getNumPartitions())
+        return _fit_exact(src, n_terms, k)
+    finally:
+        src.unpersist()
 
 
 def _fit_exact(src: DataFrame, n_terms: int, k: int) -> SvdModel:
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
-    # ARPACK runs one distributed matrix-vector product per step; the caller
-    # coalesced to about one partition per ROWS_PER_PARTITION rows
+    # ARPACK runs one distributed matrix-vector product per step
     rows = src.rdd.map(lambda r: Vectors.sparse(n_terms, r["idx"], r["val"]))
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -174,15 +199,11 @@ def project(model: SvdModel, docs: DataFrame, arrays: DataFrame, id_col: str = "
     def run(batches):
         v = bv.value
         for pdf in batches:
-            feats = []
-            for idx, val in zip(pdf["idx"], pdf["val"]):
-                if idx is None or len(idx) == 0:
-                    feats.append(np.zeros(k, dtype=np.float32))
-                else:
-                    i = np.asarray(idx, dtype=np.int64)
-                    w = np.asarray(val, dtype=np.float64)
-                    feats.append((w @ v[i]).astype(np.float32))
-            pdf[out] = feats
+            feats = np.zeros((len(pdf), k), np.float32)
+            cols, vals, rows = _sparse(pdf["idx"].tolist(), pdf["val"].tolist())
+            for cut, starts in _pieces(rows, k):
+                feats[rows[cut][starts]] = _times(cols[cut], vals[cut], starts, v)
+            pdf[out] = list(feats)
             yield pdf
 
     return joined.mapInPandas(run, schema).drop("idx", "val")

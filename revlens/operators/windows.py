@@ -1,19 +1,18 @@
 """Ordered row numbering and running totals that never funnel a whole group
-through one task.
+through one task, by one path at every size.
 
 A plain ``row_number().over(Window.partitionBy(label).orderBy(x))`` sends every
 row of a label to one reducer; with a binary label that is half the table in a
-single task. Instead the order key is cut into monotone range buckets:
+single task. Instead the rows are range-partitioned by (group, order):
 
-1. count rows (or sum values) per (group, bucket) - a small table, at most
-   ``groups x buckets`` rows;
-2. turn those into per-bucket offsets with a window over the small table;
-3. number rows inside each (group, bucket) and add the offset.
+1. ``repartitionByRange(group, order)`` and write the rows with their partition
+   number (narrow rows: callers pass ids and keys, not texts);
+2. count rows (or sum values) per (partition, group): about one row per
+   partition plus one per group, turned into offsets by a window over that table;
+3. number rows (or add up) inside each (partition, group) and add the offset.
 
-The result equals the global ordered row number / running sum, while each
-task holds only one bucket. Offsets are broadcast only when the caller states
-that the number of groups is bounded (for example the binary label), which
-together with the bucket count bounds the broadcast size.
+Partitions are sized by Spark (adaptive execution joins small ones), so the same
+plan serves ten rows and ten billion; a hot group spreads over many partitions.
 """
 
 from __future__ import annotations
@@ -21,125 +20,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 250_000
+from revlens.session import materialize
 
+PART = "_range_part"
 
-def default_buckets(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
+def _ranged(df: DataFrame, group_cols: list[str], order_cols: list[Column]) -> DataFrame:
+    # the number is fixed by the write: every later step sees the same partitions
+    by = [F.col(c) for c in group_cols] + order_cols
+    return materialize(df.repartitionByRange(*by).withColumn(PART, F.spark_partition_id()), "ranged")
 
-def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Enough range buckets that one (group, bucket) window holds about
-    ``rows_per_bucket`` rows."""
-    return max(1, -(-int(n_rows) // rows_per_bucket))
 
-
-def md5_bucket(hex_col: Column, n_buckets: int) -> Column:
-    """Bucket of an md5 hex digest: monotone in the digest's sort order and
-    near uniform, because md5 output is."""
-    if n_buckets <= 1:
-        return SINGLE
-    prefix = F.conv(F.substring(hex_col, 1, 8), 16, 10).cast("double")
-    return F.floor(prefix * n_buckets / float(16 ** 8)).cast("int")
-
-
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int,
-                    rel_err: float | None = None) -> Column:
-    """Bucket by approximate quantiles of ``col`` (one bounded sampling job;
-    the driver receives ``n_buckets - 1`` numbers)."""
-    if n_buckets <= 1:
-        return SINGLE
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    err = rel_err if rel_err is not None else 1.0 / (10 * n_buckets)
-    bounds = sorted(set(b for b in df.approxQuantile(col, probs, err) if b is not None))
-    if not bounds:
-        return SINGLE
-    expr = F.lit(len(bounds))
-    for i in range(len(bounds) - 1, -1, -1):
-        expr = F.when(F.col(col) < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
-    return expr if len(bounds) <= 64 else _count_below(col, bounds)
-
-
-def _count_below(col: str, bounds: list) -> Column:
-    # many bounds: the bucket is the number of bounds <= value (one pass over a
-    # literal array of n_buckets - 1 numbers per row)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(col)))
-
-
-# bucket value meaning "everything in one bucket" (offsets are all zero)
-SINGLE = None
-
-
-def _single(bucket) -> bool:
-    return bucket is SINGLE
-
-
-def _offsets(counts: DataFrame, group_cols: list[str], bucket: str,
-             value_cols: list[str], descending: bool) -> DataFrame:
-    order = F.col(bucket).desc() if descending else F.col(bucket).asc()
-    w = (Window.partitionBy(*group_cols).orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    out = counts
-    for v in value_cols:
-        out = out.withColumn(f"_off_{v}", F.coalesce(F.sum(v).over(w), F.lit(0)))
-    return out.drop(*value_cols)
+def _with_offsets(ranged: DataFrame, group_cols: list[str], value_cols: dict[str, Column]) -> DataFrame:
+    """``ranged`` plus ``_off_<name>``: totals of the group's earlier partitions."""
+    sums = ranged.groupBy(PART, *group_cols).agg(*[e.alias(n) for n, e in value_cols.items()])
+    before = Window.partitionBy(*group_cols).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [PART, *group_cols]
+    offs = sums.select(*[F.col(c).alias(f"_key_{i}") for i, c in enumerate(keys)],
+                       *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in value_cols])
+    cond = F.lit(True)
+    for i, c in enumerate(keys):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_key_{i}"))
+    return ranged.join(offs, cond).drop(*[f"_key_{i}" for i in range(len(keys))])
 
 
 def row_numbers(df: DataFrame, group_cols: list[str], order_cols: list[Column],
-                bucket: Column, out: str = "rank", bounded_groups: bool = False,
-                descending_bucket: bool = False) -> DataFrame:
-    """1-based row number within ``group_cols`` by ``order_cols`` (must make a
-    total order), computed bucket by bucket. ``bucket`` must be monotone in the
-    order (ascending, or descending when ``descending_bucket``)."""
-    b = "_bucket"
-    if _single(bucket):
-        # one bucket: offsets are all zero, number rows directly
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return df.withColumn(out, F.row_number().over(w))
-    tagged = df.withColumn(b, bucket)
-    counts = tagged.groupBy(*group_cols, b).agg(F.count(F.lit(1)).alias("_n"))
-    offs = _offsets(counts, group_cols, b, ["_n"], descending_bucket)
-    if bounded_groups:
-        offs = F.broadcast(offs)
-    w = Window.partitionBy(*group_cols, b).orderBy(*order_cols)
-    return (tagged.join(offs, [*group_cols, b])
-            .withColumn(out, F.col("_off__n") + F.row_number().over(w))
-            .drop(b, "_off__n"))
+                out: str = "rank") -> DataFrame:
+    """1-based row number within ``group_cols`` by ``order_cols`` (must make a total order)."""
+    tagged = _with_offsets(_ranged(df, group_cols, order_cols), group_cols, {"n": F.count(F.lit(1))})
+    inside = Window.partitionBy(PART, *group_cols).orderBy(*order_cols)
+    return (tagged.withColumn(out, F.col("_off_n") + F.row_number().over(inside))
+            .drop(PART, "_off_n"))
 
 
 def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[Column],
-                 bucket: Column, value_cols: list[str], bounded_groups: bool = False,
-                 descending_bucket: bool = False, suffix: str = "_cum") -> DataFrame:
+                 value_cols: list[str], suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``value_cols`` within ``group_cols`` along
     ``order_cols`` (a total order over the rows of ``df``)."""
-    b = "_bucket"
-    if _single(bucket):
-        w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, 0))
-        out = df
-        for v in value_cols:
-            out = out.withColumn(v + suffix, F.sum(v).over(w))
-        return out
-    tagged = df.withColumn(b, bucket)
-    counts = tagged.groupBy(*group_cols, b).agg(*[F.sum(v).alias(v) for v in value_cols])
-    offs = _offsets(counts, group_cols, b, value_cols, descending_bucket)
-    if bounded_groups:
-        offs = F.broadcast(offs)
-    w = (Window.partitionBy(*group_cols, b).orderBy(*order_cols)
-         .rowsBetween(Window.unboundedPreceding, 0))
-    out = tagged.join(offs, [*group_cols, b])
-    for v in value_cols:
-        out = out.withColumn(v + suffix, F.col(f"_off_{v}") + F.sum(v).over(w))
-    return out.drop(b, *[f"_off_{v}" for v in value_cols])
-
-
-def dense_ids(df: DataFrame, key: str, out: str = "review_id",
-              n_buckets: int | None = None) -> DataFrame:
-    """Ids 0..n-1 in ``key`` order (``key`` unique), without a
-    single-partition window."""
-    nb = n_buckets if n_buckets is not None else default_buckets(df)
-    bucket = quantile_bucket(df, key, nb)
-    return (row_numbers(df, [], [F.col(key)], bucket, out="_rn")
-            .withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
+    tagged = _with_offsets(_ranged(df, group_cols, order_cols), group_cols,
+                           {v: F.sum(v) for v in value_cols})
+    inside = (Window.partitionBy(PART, *group_cols).orderBy(*order_cols)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    return tagged.select(*df.columns, *[(F.col(f"_off_{v}") + F.sum(v).over(inside)).alias(v + suffix)
+                                        for v in value_cols])
+
+
+def dense_ids(df: DataFrame, key: str, out: str = "review_id") -> DataFrame:
+    """Ids 0..n-1 in ``key`` order (``key`` unique): (key, id) is made on the key
+    alone and joined back once, so no wide column is ranged or sorted."""
+    ids = row_numbers(df.select(key), [], [F.col(key)], out="_rn").select(
+        F.col(key).alias("_id_key"), (F.col("_rn") - 1).cast("bigint").alias(out))
+    return df.join(ids, df[key] == ids["_id_key"]).drop("_id_key")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
-from revlens.operators import windows as WN
 from revlens.operators import tfidf as TF
 from revlens.operators import evaluate as EV
 from revlens.operators import monitor as MO
@@ -25,7 +24,7 @@ from revlens.operators import vectors as VEC
 from revlens.sources import fingerprint as FP
 import uuid
 
-from revlens.session import materialize, memo_get, memo_put, scratch_path
+from revlens.session import input_stamp, materialize, memo_get, memo_put, own_folder, scratch_path
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -93,11 +92,11 @@ def q_dedup_first(spark, sf_dir):
     """W2 on documents: first doc per distinct text, with its copy count."""
     docs = V.table(spark, sf_dir, "documents").select(
         F.col("doc_id"), F.col("text").alias("review_text"), "source")
-    first = F.min(F.struct("doc_id", "source")).alias("_f")
-    return (docs.groupBy("review_text")
-            .agg(first, F.count(F.lit(1)).alias("n_copies"))
-            .select(F.col("_f.doc_id").alias("doc_id"), F.col("_f.source").alias("source"),
-                    "n_copies"))
+    # digests are counted; the winners fetch their source by id, no text is shuffled
+    first = (docs.groupBy(Q.text_digest().alias("digest"))
+             .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")))
+    return (first.join(docs.select("doc_id", "source"), F.col("first_id") == F.col("doc_id"))
+            .select("doc_id", "source", "n_copies"))
 
 
 # --- ids, split, samples ---------------------------------------------------------
@@ -106,12 +105,11 @@ def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage tables, as the reference keeps its cleaned file and split file:
     cleaned rows are written once, ids and the split are assigned over the
     written rows, and the joined result is written partitioned by split."""
-    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=sf_dir)
-    # row count of a written parquet table comes from file footers
-    nb = WN.buckets_for(cleaned.count())
-    ided = S.assign_ids(cleaned, n_buckets=nb)
-    with_split = S.stratified_split(ided, n_buckets=nb, keep_columns=True)
-    return materialize(with_split, "reviews_split", memo=sf_dir, partition_by="split")
+    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=input_stamp(spark, sf_dir))
+    ided = S.assign_ids(cleaned)
+    # ids and labels only are ranked; the split joins the rows once, on the way out
+    with_split = S.attach_split(ided, S.stratified_split(ided))
+    return materialize(with_split, "reviews_split", memo=input_stamp(spark, sf_dir), partition_by="split")
 
 
 def ided_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,16 +367,16 @@ def q_request_validation(spark, sf_dir):
     return r.select("request_id", "accepted", "reject_reason", "text_light_clean", "word_count")
 
 
-# --- features, models, runs (checked by row count; numerics in pytest) ------------
+# --- features, models, runs ----------------------------------------------------------
 
-STORE_SETTINGS = dict(max_features=20000, ngram_max=2, sublinear=True, k=32)
+STORE_SETTINGS = dict(max_features=20000, ngram_max=2, sublinear=True, k=600)
 
 
 def feature_store_of(spark, sf_dir, **over):
     """Store rows + fitted transformer; the store table is written once per
     session and settings (the transformer is kept beside it)."""
     settings = dict(STORE_SETTINGS, **over)
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(settings.items())))
+    key = (spark.sparkContext.applicationId, input_stamp(spark, sf_dir), tuple(sorted(settings.items())))
     hit = memo_get(key)
     if hit is not None:
         path, tr = hit
@@ -403,7 +401,12 @@ def q_store_manifest(spark, sf_dir):
     store, tr = feature_store_of(spark, sf_dir)
     path = scratch_path(spark, f"schema-{uuid.uuid4().hex}")
     sinks.write_json_one(ST.manifest(spark, store, tr), path)
-    return spark.read.option("multiLine", True).json(path)
+    doc = spark.read.option("multiLine", True).json(path)
+    return doc.select(F.col("n_features").cast("int").alias("n_features"),
+                      F.size("feature_columns").alias("n_names"),
+                      F.col("tfidf_max_features").cast("int").alias("tfidf_max_features"), "tfidf_sublinear_tf",
+                      F.col("random_state").cast("int").alias("random_state"),
+                      F.col("rows.train").alias("train_rows"), F.col("rows.test").alias("test_rows"))
 
 
 @query("store_conformance")
@@ -412,10 +415,12 @@ def q_store_conformance(spark, sf_dir):
     return ST.conformance(store, ST.manifest(spark, store, tr))
 
 
-def scored_metrics(scored: DataFrame) -> DataFrame:
-    """S14 + A15: the scored rows (id, probability, label) are written once,
-    so the metric bundle's several reads do not re-run features and model."""
-    return MD.run_metrics(materialize(scored, "scores"))
+def cached_scores(spark, sf_dir, config: dict, compute) -> DataFrame:
+    """(model, id, prob_neg, label) of a configuration over one input, computed
+    once and found again by its hash (input files included)."""
+    from revlens.sources import ingest
+    return ingest.cached_scores(spark, own_folder(spark, "score-cache"),
+                                dict(config, input=input_stamp(spark, sf_dir)), compute)
 
 
 def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
@@ -423,76 +428,330 @@ def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
     if sample is not None:
         train = S.stratified_sample(train, sample)
     data = lambda d: d.withColumn("fv", VEC.dense("features"))
-    model = MD.fit_lr(data(train), features="fv", C=C, balanced=balanced, max_iter=1000)
+    model = MD.fit_lr(data(train), features="fv", C=C, balanced=balanced)
     scored = MD.score(model, data(store.filter(F.col("split") == "test")), run_name=run_name)
     return model, scored
 
 
+def store_scores(spark, sf_dir, run_name, C=1.0, **settings):
+    """Test-row scores of a balanced LR on a feature store."""
+    config = dict(dict(STORE_SETTINGS, **settings), run=run_name, C=C)
+    return cached_scores(spark, sf_dir, config, lambda: _lr_on_store(
+        feature_store_of(spark, sf_dir, **settings)[0], run_name, C=C)[1])
+
+
 @query("train_from_store")
 def q_train_from_store(spark, sf_dir):
     """Train split of the store (P10), balanced LR, test metrics."""
-    store, _ = feature_store_of(spark, sf_dir)
-    _, scored = _lr_on_store(store, "logreg-feature-store")
-    return scored_metrics(scored)
+    return MD.run_metrics(store_scores(spark, sf_dir, "store-lr"))
 
 
 @query("ablation")
 def q_ablation(spark, sf_dir):
-    """One knob at a time against the base store configuration."""
-    base = dict(max_features=20000, ngram_max=2, sublinear=False, k=16)
-    configs = [("store-base", base, 1.0), ("store-sublinear", dict(base, sublinear=True), 1.0),
-               ("store-svd32", dict(base, k=32), 1.0), ("store-C4", base, 4.0)]
+    """One knob at a time against the base store (300 dimensions, plain tf,
+    20,000 terms): sublinear tf, 600 dimensions, 50,000 terms, weaker penalty."""
+    base = dict(max_features=20000, ngram_max=2, sublinear=False, k=300)
+    configs = [("base", base, 1.0), ("sublinear", dict(base, sublinear=True), 1.0),
+               ("dims-600", dict(base, k=600), 1.0), ("terms-50k", dict(base, max_features=50000), 1.0),
+               ("penalty-quarter", base, 4.0)]
     out = None
     for name, cfg, C in configs:
-        store, _ = feature_store_of(spark, sf_dir, **cfg)
-        _, scored = _lr_on_store(store, name, C=C)
-        m = scored_metrics(scored)
+        m = MD.run_metrics(store_scores(spark, sf_dir, name, C=C, **cfg))
         out = m if out is None else out.unionByName(m)
-    return MD.with_delta(out, "store-base")
+    return MD.with_delta(out, "base")
+
+
+CONTROLLED_SAMPLE = 50_000     # bound on the labelled training rows of the comparison
 
 
 @query("controlled_comparison")
 def q_controlled_comparison(spark, sf_dir):
-    """Same stratified sample and test rows; balanced vs unweighted LR on
-    inline TF-IDF bigrams; ranked (T7)."""
+    """Same stratified sample (at most CONTROLLED_SAMPLE rows, quotas checked) and
+    test rows; balanced vs unweighted LR on inline TF-IDF bigrams; ranked (T7)."""
     docs, train = train_test_docs(spark, sf_dir)
-    sample = S.stratified_sample(train, 200)
+    sample = S.stratified_sample(train, min(CONTROLLED_SAMPLE, train.count()), check=True)
     tf = TF.fit(sample, ngram_max=2, max_features=20000)
     vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
     tr_v, te_v = vec(sample), vec(docs.filter(F.col("split") == "test"))
     out = None
-    for name, bal in (("logreg-balanced", True), ("logreg-unweighted", False)):
-        model = MD.fit_lr(tr_v, balanced=bal)
-        m = scored_metrics(MD.score(model, te_v, run_name=name))
+    for name, bal in (("balanced", True), ("unweighted", False)):
+        scores = cached_scores(spark, sf_dir, {"run": f"controlled-{name}", "sample": CONTROLLED_SAMPLE},
+                               lambda b=bal, n=name: MD.score(MD.fit_lr(tr_v, balanced=b), te_v, run_name=n))
+        m = MD.run_metrics(scores)
         out = m if out is None else out.unionByName(m)
     return EV.leaderboard(out)
 
 
+def drift_batches(spark, sf_dir) -> DataFrame:
+    """A seeded sample of test reviews and all test reviews wrapped in markup noise,
+    as (request_id, batch, text, truth) with an id per (batch, review), validated (P12)."""
+    docs, _ = train_test_docs(spark, sf_dir)
+    test = docs.filter(F.col("split") == "test").select("review_id", "review_text", "label")
+    def batch(rows, name, number, text):
+        return rows.select((F.col("review_id") * 2 + number).alias("request_id"), F.lit(name).alias("batch"),
+                           text.alias("text"), F.col("label").alias("truth"))
+    both = batch(S.simple_sample(test, 200), "baseline", 0, F.col("review_text")).unionByName(
+        batch(test, "drifted", 1, F.concat(F.lit("<br />"), F.col("review_text"), F.lit(" <b>x</b>"))))
+    return MO.validate_text(both)
+
+
+@query("drift_counts")
+def q_drift_counts(spark, sf_dir):
+    """Requests, scored and rejected per batch of the drift experiment."""
+    b = drift_batches(spark, sf_dir)
+    return b.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.count_if("accepted").alias("scored"),
+                                  F.count_if(~F.col("accepted")).alias("rejected"))
+
+
 @query("drift_experiment")
 def q_drift_experiment(spark, sf_dir):
-    """Serve a seeded sample of test reviews and the same kind of reviews
-    wrapped in markup noise; compare accuracy and confidence (A17 -> A19)."""
+    """Serve both batches; accuracy and confidence compared (A17 -> A19)."""
     store, tr = feature_store_of(spark, sf_dir)
     model, _ = _lr_on_store(store, "served")
-    docs, _ = train_test_docs(spark, sf_dir)
-    test = docs.filter(F.col("split") == "test")
-    base = S.simple_sample(test, 200).select(
-        F.col("review_id").alias("request_id"), F.col("review_text").alias("text"),
-        F.col("label").alias("truth"), F.lit("baseline").alias("batch"))
-    noisy = V.dirty_reviews(spark, sf_dir).filter(F.col("review_key") % 5 == 0).select(
-        "review_key", F.col("review_text").alias("text"))
-    drifted = (noisy.join(docs.select("review_key", "review_id", "label"), "review_key")
-               .select(F.col("review_id").alias("request_id"), "text",
-                       F.col("label").alias("truth"), F.lit("drifted").alias("batch")))
-    batches = base.unionByName(drifted)                                       # U1
-    served = ST.serve(tr, model, batches.select("request_id", "text"))        # M12
-    joined = served.join(batches.select("request_id", "batch", "truth"), "request_id")  # J5
+    batches = materialize(drift_batches(spark, sf_dir), "drift-batches")
+    served = ST.serve(tr, model, batches.where("accepted").select("request_id", "text"))     # M12
+    joined = batches.join(served.select("request_id", "label", "confidence"), "request_id", "left")   # J5
     rows = joined.select("request_id", "batch", F.lit(None).cast("string").alias("drift_type"),
                          (F.col("label") == "positive").cast("int").alias("pred"), "truth",
                          "confidence")
     return MO.drift_delta(MO.drift_metrics(rows, by_type=False))             # A17, A19
 
 
+@query("serving_parity")
+def q_serving_parity(spark, sf_dir):
+    """M12 against M10: the test reviews served from raw text get the confidence their
+    stored features get."""
+    store, tr = feature_store_of(spark, sf_dir)
+    model, scored = _lr_on_store(store, "served")
+    docs, _ = train_test_docs(spark, sf_dir)
+    test = docs.filter(F.col("split") == "test").select("review_id", "review_text")
+    served = ST.serve(tr, model, test, id_col="review_id", text_col="review_text")
+    p = 1 - F.col("prob_neg")
+    both = served.join(scored.select(F.col("id").alias("review_id"), T.confidence(p).alias("stored")), "review_id")
+    return both.agg(F.count(F.lit(1)).alias("n_test"),
+                    F.count_if(F.abs(F.col("confidence") - F.col("stored")) <= 1.5e-4).alias("n_equal"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    """M8: weight and rows of each class of the train split."""
+    _, train = train_test_docs(spark, sf_dir)
+    return (MD.balanced_weights(train.select("label")).groupBy("label")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 6).alias("weight")))
+
+
+@query("store_shape")
+def q_store_shape(spark, sf_dir):
+    """M6: metadata columns and feature count of every store row."""
+    return feature_store_of(spark, sf_dir)[0].select("review_id", "label", "text_length", "split",
+                                                     F.size("features").alias("n_features"))
+
+
+@query("stored_order")
+def q_stored_order(spark, sf_dir):
+    """Rows per split of the written store, and how many of them stand before a
+    smaller id of the same file."""
+    store, _ = feature_store_of(spark, sf_dir)
+    from pyspark.sql import Window
+    # a row's place in its file: Spark's running id grows along each file it reads
+    rows = store.select("split", "review_id", F.col("_metadata.file_path").alias("file"),
+                        F.monotonically_increasing_id().alias("at"))
+    last = F.lag("review_id").over(Window.partitionBy("file").orderBy("at"))
+    return (rows.withColumn("before", last).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") > F.col("review_id")).alias("out_of_order")))
+
+
+@query("svd_energy")
+def q_svd_energy(spark, sf_dir):
+    """M4 over the embeddings: with all components kept, the singular values carry the
+    whole Frobenius norm, and components have unit length and a positive largest loading."""
+    import numpy as np
+
+    from revlens.operators import svd as SVD
+    rows = V.table(spark, sf_dir, "embeddings").select("embedding")
+    dims = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+    arrays = rows.select(F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"),
+                         F.transform("embedding", lambda x: x.cast("double")).alias("val"))
+    model = SVD.fit(arrays, dims, dims)
+    v = model.components
+    off = int((np.abs(np.linalg.norm(v, axis=0) - 1) > 1e-6).sum()
+              + (v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0).sum())
+    return rows.limit(1).select(F.lit(int(dims)).alias("dims"),
+                                F.lit(round(float(np.sqrt((model.singular_values ** 2).sum())), 4)).alias("frobenius"),
+                                F.lit(off).alias("off_unit"))
+
+
+@query("lr_optimum")
+def q_lr_optimum(spark, sf_dir):
+    """M9: at the optimum the unpenalised intercept makes the weighted mean of
+    P(positive) equal the weighted share of positives, one half when balanced."""
+    store, _ = feature_store_of(spark, sf_dir)
+    model, _ = _lr_on_store(store, "served")
+    train = MD.balanced_weights(store.filter(F.col("split") == "train")).withColumn("fv", VEC.dense("features"))
+    from pyspark.ml.functions import vector_to_array
+    p = model.transform(train).select("weight", vector_to_array("probability")[1].alias("p"))
+    return p.agg(F.count(F.lit(1)).alias("n_train"),
+                 F.round(F.sum(F.col("weight") * F.col("p")) / F.sum("weight"), 3).alias("weighted_mean"))
+
+
+def published_scores(spark, sf_dir) -> DataFrame:
+    """The published baseline: 50,000 uni- and bigrams, sublinear tf, balanced LR."""
+    def compute():
+        docs, train = train_test_docs(spark, sf_dir)
+        tf = TF.fit(train, ngram_max=2, max_features=50000, sublinear=True)
+        size = tf.vocab.count()
+        rows = TF.to_vectors(TF.transform(tf, docs), docs.select("review_id", "label", "split"), size)
+        model = MD.fit_lr(rows.filter(F.col("split") == "train"), balanced=True)
+        return MD.score(model, rows.filter(F.col("split") == "test"), run_name="terms-50k-sublinear")
+    return cached_scores(spark, sf_dir, {"run": "terms-50k-sublinear"}, compute)
+
+
+@query("tfidf_logreg_50k")
+def q_tfidf_logreg_50k(spark, sf_dir):
+    """M9 at the published baseline setting, test metrics."""
+    return MD.run_metrics(published_scores(spark, sf_dir))
+
+
+@query("model_pr_curve")
+def q_model_pr_curve(spark, sf_dir):
+    """W3 on real M10 scores of the published baseline."""
+    return EV.pr_curve(published_scores(spark, sf_dir))
+
+
+@query("model_precision_at_recall")
+def q_model_precision_at_recall(spark, sf_dir):
+    """J6, M15, M16 on real M10 scores of the published baseline."""
+    return EV.at_recall(EV.pr_curve(published_scores(spark, sf_dir)))
+
+
+# --- sources, caches, gates --------------------------------------------------------------
+
+@query("pruned_reread")
+def q_pruned_reread(spark, sf_dir):
+    """Two columns, NULLs of the required one dropped."""
+    from revlens.sources import ingest
+    return ingest.read_columns(spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang"], required=["lang"])
+
+
+@query("column_subset")
+def q_column_subset(spark, sf_dir):
+    """S3: a column subset of a parquet table."""
+    from revlens.sources import ingest
+    return ingest.read_columns(spark, f"{sf_dir}/events.parquet", ["event_id", "event_type", "value"])
+
+
+@query("labelled_rows")
+def q_labelled_rows(spark, sf_dir):
+    """The test reviews as a labelled batch."""
+    from revlens.sources import ingest
+    docs, _ = train_test_docs(spark, sf_dir)
+    return ingest.labelled_rows(spark, docs.filter(F.col("split") == "test").select(
+        F.col("review_id").alias("id"), F.col("review_text").alias("text"), F.col("label").alias("truth")), "test")
+
+
+@query("transformer_vocab")
+def q_transformer_vocab(spark, sf_dir):
+    """The fitted transformer saved and loaded; its vocabulary as read back."""
+    _, tr = feature_store_of(spark, sf_dir)
+    path = scratch_path(spark, f"transformer-{uuid.uuid4().hex}")
+    ST.save_transformer(tr, path)
+    vocab = ST.load_transformer(spark, path).tfidf.vocab
+    return vocab.select("term", "idx", "cf", "df", *_r6("idf"))
+
+
+RUN_METRICS = ("accuracy", "macro_f1", "roc_auc", "negative_precision", "negative_recall")
+
+
+@query("run_log")
+def q_run_log(spark, sf_dir):
+    """Both scored models appended to a run log, one write each, and read back."""
+    path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    for r in MD.run_metrics(V.scored(spark, sf_dir)).collect():      # one row per model
+        MD.append_runs(MD.run_record(spark, r["run_name"], {"source": "scored"},
+                                     {m: r[m] for m in RUN_METRICS}), path)
+    return spark.read.parquet(path).select("run_name", *[F.round(F.col("metrics")[m], 6).alias(m) for m in RUN_METRICS])
+
+
+@query("cached_score_metrics")
+def q_cached_score_metrics(spark, sf_dir):
+    """The score table is written under its configuration's hash, then found again."""
+    def missing():
+        raise AssertionError("the score table was not reused")
+    cached_scores(spark, sf_dir, {"run": "scored-view"}, lambda: V.scored(spark, sf_dir))
+    again = cached_scores(spark, sf_dir, {"run": "scored-view"}, missing)
+    m = EV.metric_bundle(again)
+    return m.select("model", "n", *_r6(*RUN_METRICS))
+
+
+@query("split_fallback")
+def q_split_fallback(spark, sf_dir):
+    """No store yet -> recomputed and written; then copied from the store."""
+    from revlens.sources import ingest
+    path = scratch_path(spark, f"split-source-{uuid.uuid4().hex}")
+    made = ingest.split_with_fallback(spark, path, lambda: split_of(spark, sf_dir)[1])
+    made.write.mode("overwrite").parquet(path)
+
+    def missing():
+        raise AssertionError("the stored split was not used")
+    return ingest.split_with_fallback(spark, path, missing)
+
+
+@query("expected_counts")
+def q_expected_counts(spark, sf_dir):
+    """The split passes the gate on the counts its quotas promise."""
+    ided, split = split_of(spark, sf_dir)
+    q = S.split_quotas(ided).agg(F.sum("test_quota").alias("test"), F.sum("n_rows").alias("n")).first()
+    S.check_split_counts(split, {"train": q["n"] - q["test"], "test": q["test"]})
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("extended_training")
+def q_extended_training(spark, sf_dir):
+    """The cleaned reviews extended by newly labelled rows and cleaned again."""
+    new = V.dirty_reviews(spark, sf_dir).withColumn("review_key", F.col("review_key") + 1_000_000_000)
+    return Q.extend_training(cleaned_reviews(spark, sf_dir), new)
+
+
+@query("sql_clean_docs")
+def q_sql_clean_docs(spark, sf_dir):
+    """Section 2.11: the cleaners as SQL functions."""
+    T.register_sql_functions(spark)
+    V.table(spark, sf_dir, "documents").createOrReplaceTempView("revlens_documents")
+    return spark.sql("SELECT doc_id, light_clean(text) AS text_light_clean, heavy_clean(text) AS text_heavy_clean "
+                     "FROM revlens_documents")
+
+
+@query("csv_keep_first")
+def q_csv_keep_first(spark, sf_dir):
+    """S1 + W2 over two files of unequal size: the copy of the file first by name wins
+    though the second file is larger."""
+    from revlens.sources import ingest
+    base = scratch_path(spark, f"two-csv-{uuid.uuid4().hex}")
+    docs = V.table(spark, sf_dir, "documents").where(F.col("text").rlike("[A-Za-z0-9]"))
+    for name, part, rating in (("a", docs.where("doc_id % 2 = 0"), 5), ("b", docs, 1)):
+        (part.select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"), F.lit(rating).alias("Score"))
+         .orderBy("Id").coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}"))
+    rows = ingest.ingest_csv(spark, f"{base}/*", "Text", "Score")
+    return Q.first_per_text(rows).select(F.md5("review_text").alias("digest"), "rating")
+
+
+@query("nullable_fingerprint")
+def q_nullable_fingerprint(spark, sf_dir):
+    """S13 over nullable columns: the same texts in the first or the second column are
+    different data."""
+    d = V.dirty_reviews(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    both = d.select(F.col("review_text").alias("a"), none.alias("b")).unionByName(
+        d.select(none.alias("a"), F.col("review_text").alias("b")))
+    sides = [("as given", both), ("first", both.where("a is not null")), ("second", both.where("b is not null"))]
+    out = None
+    for name, rows in sides:
+        h = FP.content_hash(rows, ["a", "b"]).withColumn("side", F.lit(name))
+        out = h if out is None else out.unionByName(h)
+    return out.select("side", "n_rows", "content_hash")
+
+
 # --- streams (batch twins above) ------------------------------------------------------
 
 @query("monitor_stream")
@@ -519,8 +778,8 @@ def q_scoring_stream(spark, sf_dir):
     store, tr = feature_store_of(spark, sf_dir)
     model, _ = _lr_on_store(store, "served")
     base = scratch_path(spark, f"scoring-stream-{uuid.uuid4().hex}")
-    SS.bodies(V.requests(spark, sf_dir)).repartition(2).write.mode("overwrite").json(f"{base}/in")
-    q = SS.start(spark, tr, model, "logreg-feature-store", f"{base}/in", f"{base}/log",
+    SS.bodies(V.requests(spark, sf_dir)).write.mode("overwrite").json(f"{base}/in")
+    q = SS.start(spark, tr, model, "store-lr", f"{base}/in", f"{base}/log",
                  f"{base}/quarantine", f"{base}/ckpt")
     q.awaitTermination()
     from revlens.sources import ingest
@@ -533,16 +792,24 @@ def q_scoring_stream(spark, sf_dir):
     return log.unionByName(bad)
 
 
+@query("scoring_verdicts")
+def q_scoring_verdicts(spark, sf_dir):
+    """Verdict and reason of every request that went through the scoring stream."""
+    out = REGISTRY["scoring_stream"](spark, sf_dir)
+    return out.select("request_id", F.col("reject_reason").isNull().alias("accepted"), "reject_reason")
+
+
 @query("tfidf_logreg")
 def q_tfidf_logreg(spark, sf_dir):
     """M9 on inline TF-IDF: uni+bigram vocabulary (20k cap) fitted on the whole
     train split, balanced LR, scored on the test split (the bigram run)."""
-    docs, train = train_test_docs(spark, sf_dir)
-    tf = TF.fit(train, ngram_max=2, max_features=20000)
-    vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
-    model = MD.fit_lr(vec(train), balanced=True)
-    return scored_metrics(MD.score(model, vec(docs.filter(F.col("split") == "test")),
-                                   run_name="logreg-tfidf-bigram"))
+    def compute():
+        docs, train = train_test_docs(spark, sf_dir)
+        tf = TF.fit(train, ngram_max=2, max_features=20000)
+        vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
+        model = MD.fit_lr(vec(train), balanced=True)
+        return MD.score(model, vec(docs.filter(F.col("split") == "test")), run_name="bigram-lr")
+    return MD.run_metrics(cached_scores(spark, sf_dir, {"run": "bigram-lr"}, compute))
 
 
 @query("csv_roundtrip_report")
@@ -581,8 +848,8 @@ def q_serve_and_monitor(spark, sf_dir):
     store, tr = feature_store_of(spark, sf_dir)
     model, _ = _lr_on_store(store, "served")
     base = scratch_path(spark, f"serve-monitor-{uuid.uuid4().hex}")
-    SS.bodies(V.requests(spark, sf_dir)).repartition(2).write.mode("overwrite").json(f"{base}/in")
-    SS.start(spark, tr, model, "logreg-feature-store", f"{base}/in", f"{base}/log",
+    SS.bodies(V.requests(spark, sf_dir)).write.mode("overwrite").json(f"{base}/in")
+    SS.start(spark, tr, model, "store-lr", f"{base}/in", f"{base}/log",
              f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
     sig = MS.run_to_table(spark, f"{base}/log", f"{base}/signals", f"{base}/ckpt-monitor")
     return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",

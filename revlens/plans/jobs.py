@@ -13,15 +13,17 @@ from revlens.operators import monitor as MO
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
 from revlens.operators import store as ST
-from revlens.sources import sinks
+from revlens.session import materialize
+from revlens.sources import ingest, sinks
 
 
 def data_job(spark: SparkSession, raw: DataFrame, out_dir: str, min_rows: int = 100,
              expected_split: dict | None = None) -> dict:
     """Validate (halts on critical rules), write the report, clean and label,
     write the cleaned table, assign ids, split, gate the counts, write the split."""
-    report = Q.validate(raw, min_rows)                                  # P2, P1, A1-A6
-    sinks.write_json_one(Q.validation_report_nested(raw), f"{out_dir}/validation_report")
+    Q.gate(raw, min_rows)                                               # P2, P1
+    sinks.write_json_one(Q.validation_report_nested(raw), f"{out_dir}/validation_report")   # A1-A6
+    report = ingest.read_manifest(spark, f"{out_dir}/validation_report")
     cleaned = Q.clean_and_label(raw)
     sinks.write_cleaned(cleaned, f"{out_dir}/cleaned")                  # S6
     cleaned = spark.read.parquet(f"{out_dir}/cleaned")
@@ -29,7 +31,7 @@ def data_job(spark: SparkSession, raw: DataFrame, out_dir: str, min_rows: int =
     split = S.stratified_split(ided)                                    # W5
     if expected_split:
         S.check_split_counts(split, expected_split)                     # P11
-    ided.join(split, "review_id").write.mode("overwrite").partitionBy("split") \
+    S.attach_split(ided, split).write.mode("overwrite").partitionBy("split") \
         .parquet(f"{out_dir}/reviews_split")                            # S7
     stored = spark.read.parquet(f"{out_dir}/reviews_split")
     S.assert_split_ok(stored.drop("split"), stored.select("review_id", "split"))  # J2, U2, J8
@@ -55,7 +57,6 @@ def train_job(spark: SparkSession, store_dir: str, run_name: str, runs_path: str
               sample: int | None = None, C: float = 1.0) -> dict:
     """Read the manifest and the store, optional stratified sample, fit,
     evaluate, log the run."""
-    from revlens.sources import ingest
     man = ingest.read_manifest(spark, f"{store_dir}/schema")              # S5
     store = spark.read.parquet(f"{store_dir}/features")
     bad = store.filter(F.size("features") != man["n_features"]).limit(1).count()
@@ -84,7 +85,7 @@ def train_job(spark: SparkSession, store_dir: str, run_name: str, runs_path: str
 
 def monitor_job(log: DataFrame, window: int = MO.WINDOW) -> dict:
     """R3 + R4 over the last ``window`` rows per model of a prediction log."""
-    sig = MO.signals(MO.last_n(log, window))
+    sig = materialize(MO.signals(MO.last_n(log, window)), "signals")    # one row per model
     checks = [r.asDict() for r in MO.health_checks(sig).collect()]
     trig = [r.asDict() for r in MO.retrain_trigger(sig, window=window).collect()]
     return {"checks": checks, "trigger": trig}

@@ -230,7 +230,7 @@ matched AS (
     FROM curve c JOIN targets t ON c.positives > 0 AND c.hits >= t.target * c.positives) WHERE rn = 1),
 runs AS (
   SELECT b.*, f.fp AS test_fingerprint FROM bundle b JOIN (
-    SELECT model, sum(CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS fp
+    SELECT model, sum(CAST(CAST('0x' || substr(md5(md5(CAST(id AS VARCHAR))), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS fp
     FROM scored GROUP BY model) f ON b.model = f.model)"""
 
 R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)
@@ -281,7 +281,7 @@ SELECT model AS run_name, CAST(rank() OVER (ORDER BY macro_f1 DESC) AS INTEGER)
 
 oracle("best_run", f"""
 WITH {_CONF}
-SELECT arg_max(model, macro_f1) AS best_run, round(max(macro_f1), 6) AS macro_f1 FROM runs""")
+SELECT model AS best_run, round(macro_f1, 6) AS macro_f1 FROM runs ORDER BY runs.macro_f1 DESC, model LIMIT 1""")
 
 oracle("promotion_gate", f"""
 WITH {_CONF}
@@ -292,7 +292,7 @@ FROM runs c JOIN runs i ON c.model = 'b' AND i.model = 'a'""")
 
 
 def _fp(cols: list[str]) -> str:
-    txt = "concat_ws(chr(31), " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    txt = "concat_ws(',', " + ", ".join(f"coalesce(md5(CAST({c} AS VARCHAR)), '-')" for c in cols) + ")"
     return (f"count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substr(md5({txt}), 1, 15) AS BIGINT) "
             f"AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS content_hash")
 
@@ -339,10 +339,10 @@ oracle("retrain_trigger", f"""
 WITH {_SIG}
 SELECT model, predictions, round(low_confidence_rate, 6) AS low_confidence_rate,
   predictions >= 100 AND low_confidence_rate > 0.25 AS retrain,
-  CASE WHEN predictions < 100 THEN 'only ' || predictions || ' predictions, need 100 before judging'
-       WHEN low_confidence_rate > 0.25 THEN printf('%.1f%%', low_confidence_rate * 100)
-            || ' of the last 100 predictions fell below 0.8 confidence'
-       ELSE 'low confidence rate ' || printf('%.1f%%', low_confidence_rate * 100) || ' is within the 25% limit'
+  CASE WHEN predictions < 100 THEN 'too early: ' || predictions || ' of 100 predictions seen'
+       WHEN low_confidence_rate > 0.25 THEN 'retrain: low-confidence rate ' || printf('%.1f%%', low_confidence_rate * 100)
+            || ' exceeds 25%'
+       ELSE 'keep: low-confidence rate ' || printf('%.1f%%', low_confidence_rate * 100) || ' does not exceed 25%'
   END AS reason
 FROM sig""")
 
@@ -404,3 +404,91 @@ ORACLE["csv_roundtrip_report"] = ORACLE["validation_report_reviews"]
 ORACLE["log_roundtrip_signals"] = ORACLE["monitor_signals"]
 # gates pass on the driver tables, so the report is the plain one
 ORACLE["gated_validation_report"] = ORACLE["validation_report_reviews"]
+
+
+# --- sources, caches, gates ----------------------------------------------------------
+
+oracle("pruned_reread", "SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL")
+oracle("column_subset", "SELECT event_id, event_type, value FROM events")
+oracle("sql_clean_docs", f"""
+SELECT doc_id, {S.light('text')} AS text_light_clean, {S.heavy('text')} AS text_heavy_clean FROM documents""")
+oracle("labelled_rows", f"""
+WITH {S.split_cte()}
+SELECT i.review_id AS id, i.review_text AS text, i.label AS truth, 'test' AS batch
+FROM ided i JOIN split s ON i.review_id = s.review_id WHERE s.split = 'test'""")
+oracle("transformer_vocab", f"""
+WITH {S.tfidf_cte(2, 20000, True)}
+SELECT term, idx, cf, df, round(idf, 6) AS idf FROM vocab""")
+oracle("run_log", f"""
+WITH {_CONF}
+SELECT model AS run_name, {R6('accuracy', 'macro_f1', 'roc_auc', 'negative_precision', 'negative_recall')} FROM bundle""")
+ORACLE["cached_score_metrics"] = ORACLE["metric_bundle"]
+ORACLE["split_fallback"] = ORACLE["stratified_split"]
+oracle("expected_counts", f"""
+WITH {S.split_cte()}
+SELECT split, count(*) AS n FROM split GROUP BY split""")
+oracle("extended_training", f"""
+WITH {S.cleaned_cte('reviews', 'base')},
+{S.VIEWS['dirty_reviews']},
+extended AS (SELECT review_key, review_text, rating FROM base
+             UNION ALL SELECT review_key + 1000000000, review_text, rating FROM dirty_reviews),
+{S.cleaned_body('extended', 'cleaned')}
+SELECT * FROM cleaned""")
+oracle("csv_keep_first", """
+WITH kept AS (SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[A-Za-z0-9]')),
+rows_of AS (SELECT 0 AS f, doc_id, text, 5 AS rating FROM kept WHERE doc_id % 2 = 0
+            UNION ALL SELECT 1, doc_id, text, 1 FROM kept),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY f, doc_id) AS rn FROM rows_of)
+SELECT md5(text) AS digest, CAST(rating AS DOUBLE) AS rating FROM firsts WHERE rn = 1""")
+oracle("nullable_fingerprint", f"""
+WITH {S.VIEWS['dirty_reviews']},
+swapped AS (SELECT review_text AS a, CAST(NULL AS VARCHAR) AS b FROM dirty_reviews
+            UNION ALL SELECT NULL, review_text FROM dirty_reviews)
+SELECT 'as given' AS side, {_fp(['a', 'b'])} FROM swapped
+UNION ALL SELECT 'first', {_fp(['a', 'b'])} FROM swapped WHERE a IS NOT NULL
+UNION ALL SELECT 'second', {_fp(['a', 'b'])} FROM swapped WHERE b IS NOT NULL""")
+oracle("stored_order", f"""
+WITH {S.split_cte()}
+SELECT split, count(*) AS n, 0::BIGINT AS out_of_order FROM split GROUP BY split""")
+
+# --- model half: what SQL knows without the solver ---------------------------------------
+
+oracle("class_weights", f"""
+WITH {S.docs_cte()},
+c AS (SELECT label, count(*) AS n FROM train GROUP BY label)
+SELECT label, n, round(sum(n) OVER () / (count(*) OVER () * n), 6) AS weight FROM c""")
+_DIMS = "CAST(least(600, (SELECT count(*) FROM vocab)) AS INTEGER)"
+oracle("store_shape", f"""
+WITH {S.tfidf_cte(2, 20000, True)}
+SELECT review_id, label, {S.word_count('review_text')} AS text_length, split, {_DIMS} AS n_features FROM docs""")
+oracle("store_manifest", f"""
+WITH {S.tfidf_cte(2, 20000, True)}
+SELECT {_DIMS} AS n_features, {_DIMS} AS n_names, 20000 AS tfidf_max_features, true AS tfidf_sublinear_tf,
+  42 AS random_state, (SELECT count(*) FROM docs WHERE split = 'train') AS train_rows,
+  (SELECT count(*) FROM docs WHERE split = 'test') AS test_rows""")
+oracle("store_conformance", "SELECT true AS sizes_ok, true AS rows_ok")
+oracle("svd_energy", """
+SELECT max(len(embedding)) AS dims, round(sqrt(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)))), 4)
+  AS frobenius, 0 AS off_unit FROM embeddings""")
+oracle("lr_optimum", f"""
+WITH {S.docs_cte()}
+SELECT count(*) AS n_train, 0.5::DOUBLE AS weighted_mean FROM train""")
+oracle("serving_parity", f"""
+WITH {S.split_cte()}
+SELECT count(*) AS n_test, count(*) AS n_equal FROM split WHERE split = 'test'""")
+oracle("scoring_verdicts", f"""
+WITH {S.VIEWS['requests']},
+r AS (SELECT request_id, CASE WHEN text IS NULL THEN 'Input should be a valid string'
+         WHEN length(text) > 5000 THEN 'String should have at most 5000 characters'
+         WHEN NOT regexp_matches({S.light('text')}, '[A-Za-z0-9]') THEN 'text must contain at least one letter or digit'
+    END AS reject_reason FROM requests)
+SELECT request_id, reject_reason IS NULL AS accepted, reject_reason FROM r""")
+oracle("drift_counts", f"""
+WITH {S.split_cte()},
+test AS (SELECT i.review_id, i.review_text FROM ided i JOIN split s ON i.review_id = s.review_id WHERE s.split = 'test'),
+b AS (SELECT 'baseline' AS batch, review_text AS t FROM (
+        SELECT * FROM test ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id LIMIT 200)
+      UNION ALL SELECT 'drifted', concat('<br />', review_text, ' <b>x</b>') FROM test),
+v AS (SELECT batch, length(t) <= 5000 AND regexp_matches({S.light('t')}, '[A-Za-z0-9]') AS ok FROM b)
+SELECT batch, count(*) AS n, count(*) FILTER (WHERE ok) AS scored, count(*) FILTER (WHERE NOT ok) AS rejected
+FROM v GROUP BY batch""")

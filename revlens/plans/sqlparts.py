@@ -86,10 +86,9 @@ VIEWS = {
 }
 
 
-def cleaned_cte(source: str = "reviews", name: str = "cleaned") -> str:
-    """clean_and_label over a review view, as CTE text (no WITH)."""
-    return f"""{VIEWS[source]},
-{name}_kept AS (
+def cleaned_body(source: str, name: str = "cleaned") -> str:
+    """clean_and_label over the CTE or view ``source``, as CTE text (no WITH)."""
+    return f"""{name}_kept AS (
   SELECT * FROM {source}
   WHERE review_text IS NOT NULL AND rating IS NOT NULL AND NOT {blank('review_text')}),
 {name}_first AS (
@@ -102,6 +101,12 @@ def cleaned_cte(source: str = "reviews", name: str = "cleaned") -> str:
   FROM {name}_first WHERE rating <> 3 AND NOT {blank(heavy('review_text'))})"""
 
 
+def cleaned_cte(source: str = "reviews", name: str = "cleaned") -> str:
+    """A review view and clean_and_label over it, as CTE text (no WITH)."""
+    return f"""{VIEWS[source]},
+{cleaned_body(source, name)}"""
+
+
 def split_cte(source: str = "reviews") -> str:
     """cleaned -> ided -> split (stratified, md5 order), as CTE text."""
     return f"""{cleaned_cte(source)},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -11,16 +12,18 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "revlens",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """A session tuned for these jobs. On a cluster pass ``master=None`` and let
-    spark-submit decide; locally ``local[N]`` with N = ``BENCH_CPUS`` or 8."""
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    """A session with the settings these jobs rely on. Master, memory and shuffle
+    partitions stay what spark-submit or the Spark defaults say, unless given here
+    (``local[N]`` for tests and the bench)."""
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or cpus
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("REVLENS_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -28,7 +31,6 @@ def build_session(master: str | None = None, app: str = "revlens",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("REVLENS_DRIVER_MEMORY", "16g"))
     )
     event_dir = os.environ.get("REVLENS_EVENT_LOG")
     if event_dir:
@@ -72,13 +74,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _STAGES: dict[tuple, str] = {}
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def input_stamp(spark: SparkSession, path: str) -> str:
+    """Fingerprint of the files under ``path`` (name, size, modification time): a memo
+    keyed by it notices changed input."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, seen = fs.listFiles(root, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
     """Write ``df`` as a parquet table under the checkpoint folder and read it
     back: the lineage is cut there (an executor lost later recomputes from the
-    written files, not from raw input), and later scans get column pruning and
-    filter / partition pushdown.
+    written files, not from raw input), later scans get column pruning and
+    filter / partition pushdown, and the planner knows the table's real size.
 
     ``memo`` (any hashable) lets one session reuse a stage already written.
     """
@@ -91,11 +107,21 @@ def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    _WRITTEN.append((spark, path))
     if key is not None:
         _STAGES[key] = path
     return spark.read.parquet(path)
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application under the checkpoint location that
+    ``forget_stages`` clears."""
+    path = scratch_path(spark, f"{name}-{spark.sparkContext.applicationId}")
+    if all(p != path for _, p in _WRITTEN):
+        _WRITTEN.append((spark, path))
+    return path
+
+
 _MEMO: dict = {}
 
 
@@ -109,6 +135,11 @@ def memo_put(key, value) -> None:
 
 
 def forget_stages() -> None:
-    """Drop the memos (the bench uses it so every query pays for its stages)."""
+    """Drop the memos and delete the tables written by ``materialize``; frames that
+    still read them become invalid (the bench calls it between queries)."""
+    for spark, path in _WRITTEN:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _WRITTEN.clear()
     _STAGES.clear()
     _MEMO.clear()

@@ -1,7 +1,9 @@
 """Order-insensitive dataset fingerprints.
 
 content_hash = sum over rows of the first 60 bits of md5(canonical row text),
-as DECIMAL(38,0), plus the row count. A sum is independent of row order and
+as DECIMAL(38,0), plus the row count. The canonical text of a row is the md5 of every
+field ("-" for NULL) joined by commas, so neither NULLs nor separators inside a field
+can make two different rows alike. A sum is independent of row order and
 partitioning and aggregates map-side; equal fingerprints show a rerun produced
 the same rows (the reference proves reproducibility by file md5). md5 is used
 (rather than xxhash64) so an independent SQL engine computes the same value.
@@ -12,12 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEP = "\x1f"
-
-
 def row_hash(cols: list[str]):
-    text = F.concat_ws(SEP, *[F.col(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    fields = [F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in cols]
+    return F.conv(F.substring(F.md5(F.concat_ws(",", *fields)), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def content_hash(df: DataFrame, cols: list[str], group_cols: list[str] | None = None) -> DataFrame:

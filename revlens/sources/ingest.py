@@ -3,9 +3,15 @@ S5 manifest read, S14 cached score table, S15 split fallback."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from revlens.operators import quality as Q
+from revlens.session import materialize
+
 # ---------------------------------------------------------------------------
 # Strings a CSV reader in the reference's stack treats as missing.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -20,31 +26,42 @@ LOG_SCHEMA = ("id long, timestamp string, model string, text string, label strin
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """A table folder whose write was committed (its marker file is there)."""
+    return _exists(spark, f"{path}/_SUCCESS")
 
 
 def ingest_csv(spark: SparkSession, path: str, text_col: str, rating_col: str,
                key: str = "review_key") -> DataFrame:
-    """Read a CSV with header (quoted newlines, doubled quotes), require
-    both columns, keep them as review_text / rating, null the NA tokens, and
-    add a stable order key (file name + line position) for keep-first dedup."""
+    """CSV with header (quoted newlines, doubled quotes) to review_text, rating and
+    an order key for keep-first dedup; NA tokens become NULL.
+
+    The key orders rows by file name, then by position in the file: files are ranked by
+    path, and within a task Spark's running id follows the file (a multi-line file is
+    read by one task), so its low bits are the position."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Raw data file not found: {path}")
+        raise FileNotFoundError(f"no CSV input at {path}")
     raw = (spark.read.option("header", True).option("multiLine", True)
            .option("escape", '"').option("quote", '"').csv(path))
-    missing = [c for c in (text_col, rating_col) if c not in raw.columns]
-    if missing:
-        raise ValueError(f"Expected column(s) not found in data: {missing}. "
-                         f"Available columns: {raw.columns}")
+    Q.require_columns(raw, (text_col, rating_col))
 
     def na(c):
         return F.when(F.col(c).isin(list(NA_TOKENS)), None).otherwise(F.col(c))
 
     out = raw.select(na(text_col).alias("review_text"),
-                     na(rating_col).try_cast("double").alias("rating"))
-    # order key: (file, position) - stable for a given input
-    order = F.monotonically_increasing_id()
-    return out.withColumn(key, order)
+                     na(rating_col).try_cast("double").alias("rating"),
+                     F.col("_metadata.file_path").alias("_file"),
+                     F.monotonically_increasing_id().alias("_at"))
+    # one row per file, written, so that its real size decides about a broadcast
+    files = out.groupBy("_file").agg(F.min("_at").alias("_start"))
+    ranked = materialize(files.withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1), "csv-files")
+    both = out.join(ranked.withColumnRenamed("_file", "_f"), F.col("_file") == F.col("_f"))
+    place = F.col("_no").cast("long") * F.lit(1 << 40) + (F.col("_at") - F.col("_start"))
+    return both.select("review_text", "rating", place.alias(key))
 
 
 def read_columns(spark: SparkSession, path: str, cols: list[str], required: list[str] | None = None) -> DataFrame:
@@ -57,7 +74,7 @@ def read_columns(spark: SparkSession, path: str, cols: list[str], required: list
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The JSON-lines prediction log; a missing log is an error."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"no predictions logged yet at {path}")
+        raise FileNotFoundError(f"prediction log {path} does not exist")
     df = spark.read.schema(LOG_SCHEMA).json(path)
     # ISO-8601 with offset -> an instant (id is optional: NULL when not logged)
     return df.withColumn("ts", F.to_timestamp("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
@@ -69,22 +86,29 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return row.asDict(recursive=True)
 
 
-def cached_scores(spark: SparkSession, path: str, compute) -> DataFrame:
-    """Reuse a written score table if present, else compute and write it."""
-    if not _exists(spark, path):
+def cached_scores(spark: SparkSession, folder: str, config: dict, compute) -> DataFrame:
+    """The score table of ``config`` (any JSON-able settings, its hash names the
+    folder): reused if a complete one exists, else computed and written."""
+    digest = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:24]
+    path = f"{folder.rstrip('/')}/scores-{digest}"
+    if not _complete(spark, path):
         compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def split_with_fallback(spark: SparkSession, store_path: str, recompute) -> DataFrame:
-    """Copy (review_id, split) from an existing store, else recompute."""
-    if _exists(spark, store_path):
+    """Copy (review_id, split) from a complete store, else recompute."""
+    if _complete(spark, store_path):
         return spark.read.parquet(store_path).select("review_id", "split")
     return recompute()
 
 
 def labelled_rows(spark: SparkSession, rows, batch: str = "inline") -> DataFrame:
-    """Caller-supplied (text, truth) pairs as a labelled batch."""
-    df = spark.createDataFrame([(i, t, int(y)) for i, (t, y) in enumerate(rows)],
-                               "id long, text string, truth int")
+    """(text, truth) pairs as a labelled batch (id, text, truth, batch): either
+    caller-supplied Python pairs or a DataFrame (id, text, truth)."""
+    if isinstance(rows, DataFrame):
+        df = rows.select(F.col("id").cast("long").alias("id"), "text", F.col("truth").cast("int").alias("truth"))
+    else:
+        df = spark.createDataFrame([(i, t, int(y)) for i, (t, y) in enumerate(rows)],
+                                   "id long, text string, truth int")
     return df.withColumn("batch", F.lit(batch))

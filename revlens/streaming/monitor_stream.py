@@ -33,64 +33,108 @@ OUT_SCHEMA = ("model string, predictions long, mean_confidence double, low_confi
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def log_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def log_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The prediction log (S9 JSON lines, ISO-8601 UTC timestamps) as a stream
-    in the monitor's row shape; ts is the UTC wall-clock time."""
+    in the monitor's row shape; ts is the UTC wall-clock time. Without a limit a
+    trigger takes all new files."""
     from revlens.sources.ingest import LOG_SCHEMA as SINK_SCHEMA
-    raw = (spark.readStream.schema(SINK_SCHEMA)
-           .option("maxFilesPerTrigger", max_files_per_trigger).json(log_dir))
+    reader = spark.readStream.schema(SINK_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.json(log_dir)
     ts = F.to_timestamp_ntz(F.substring("timestamp", 1, 26), F.lit(TS_FORMAT))
     return raw.select("id", ts.alias("ts"), "model", "label", "confidence", "word_count",
                       "latency_ms")
 
 
+def newest_per_task(window: int = WINDOW):
+    """Before the state's shuffle every task keeps the newest ``window`` rows per model
+    of what it has read so far, so a busy model sends a bounded number of rows. Arrow
+    tables throughout: 64-bit ids stay exact beside NULLs."""
+    def cut(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        held = None
+        for batch in batches:
+            both = pa.Table.from_batches([batch])
+            if held is not None:
+                both = pa.concat_tables([held, both])
+            order = pc.sort_indices(both, sort_keys=[("model", "ascending"), ("ts", "descending"),
+                                                     ("id", "descending")])
+            both = both.take(order)
+            models = pc.fill_null(both.column("model"), "").to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.r_[True, models[1:] != models[:-1]]) if len(models) else np.zeros(0, int)
+            place = np.arange(len(models)) - np.repeat(first, np.diff(np.r_[first, len(models)]))
+            held = both.filter(pa.array(place < window))
+        if held is not None:
+            yield from held.combine_chunks().to_batches()
+    return cut
+
+
 def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
     """The per-model state function. Built as a closure so it ships to the
-    Python workers by value (no package import needed there)."""
+    Python workers by value (no package import needed there). NULL ids order first,
+    NULL confidences, word counts and latencies are left out of their statistic."""
     cols = ["ids", "ts", "label", "conf", "words", "latency"]
 
     def signals_of(model, w, seq):
         n = len(w)
-        lat = np.sort(w["latency"].to_numpy(dtype=np.float64))
-        conf = w["conf"].to_numpy(dtype=np.float64)
+        lat = np.sort(w["latency"].dropna().to_numpy(dtype=np.float64))
+        conf = w["conf"].dropna().to_numpy(dtype=np.float64)
+        words = w["words"].dropna().to_numpy(dtype=np.float64)
+        last = w.iloc[-1]
         return pd.DataFrame([{
             "model": model, "predictions": n,
-            "mean_confidence": float(np.mean(conf)),
+            "mean_confidence": float(np.mean(conf)) if len(conf) else None,
             "low_confidence_rate": float((conf < low).sum()) / n,
             "positive_share": float((w["label"] == "positive").sum()) / n,
-            "median_word_count": float(np.median(w["words"].to_numpy(dtype=np.float64))),
-            "p95_latency_ms": float(lat[min(int(n * 0.95), n - 1)]),
-            "newest_ts": int(w["ts"].iloc[-1]), "newest_id": int(w["ids"].iloc[-1]),
+            "median_word_count": float(np.median(words)) if len(words) else None,
+            "p95_latency_ms": float(lat[min(int(len(lat) * 0.95), len(lat) - 1)]) if len(lat) else None,
+            "newest_ts": None if pd.isna(last["ts"]) else int(last["ts"]),
+            "newest_id": None if pd.isna(last["ids"]) else int(last["ids"]),
             "seq": seq,
         }])
 
+    def micros(column):
+        stamps = column.astype("datetime64[us]")
+        return stamps.astype("int64").astype("Int64").mask(stamps.isna().to_numpy())
+
+    def newest(frame):
+        return frame.sort_values(["ts", "ids"], kind="mergesort", na_position="first").tail(window) \
+            .reset_index(drop=True)
+
     def update(key, batches, state):
         (model,) = key
-        parts = []
-        seq = 0
+        seq, held = 0, None
+        types = {"ids": "Int64", "ts": "Int64", "label": object, "conf": "Float64", "words": "Int64",
+                 "latency": "Float64"}
         if state.exists:
             s = state.get
-            parts.append(pd.DataFrame({c: list(s[i]) for i, c in enumerate(cols)}))
+            held = pd.DataFrame({c: pd.array(list(s[i]), dtype=types[c]) if types[c] is not object
+                                 else pd.Series(list(s[i]), dtype=object) for i, c in enumerate(cols)})
             seq = int(s[len(cols)]) + 1
-        for pdf in batches:
-            parts.append(pd.DataFrame({
-                "ids": pdf["id"].astype("int64").to_numpy(),
-                "ts": pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy(),
-                "label": pdf["label"].to_numpy(), "conf": pdf["confidence"].astype("float64").to_numpy(),
-                "words": pdf["word_count"].astype("int64").to_numpy(),
-                "latency": pdf["latency_ms"].astype("float64").to_numpy()}))
-        allr = pd.concat(parts, ignore_index=True)
-        allr = allr.sort_values(["ts", "ids"], kind="mergesort").tail(window).reset_index(drop=True)
-        state.update(tuple([v.item() if hasattr(v, "item") else v for v in allr[c].tolist()]
-                           for c in cols) + (seq,))
-        yield signals_of(model, allr, seq)
+        for pdf in batches:      # only the window is held while a trigger is read
+            new = pd.DataFrame({
+                "ids": pdf["id"].astype("Int64").array, "ts": micros(pdf["ts"]).array,
+                "label": pdf["label"].astype(object).array, "conf": pdf["confidence"].astype("Float64").array,
+                "words": pdf["word_count"].astype("Int64").array,
+                "latency": pdf["latency_ms"].astype("Float64").array})
+            held = newest(new if held is None else pd.concat([held, new], ignore_index=True))
+
+        def plain(v):
+            return None if v is None or v is pd.NA or v != v else v.item() if hasattr(v, "item") else v
+
+        state.update(tuple([plain(v) for v in held[c].tolist()] for c in cols) + (seq,))
+        yield signals_of(model, held, seq)
 
     return update
 
 
 def monitor_query(log_stream: DataFrame, window: int = WINDOW) -> DataFrame:
     """Streaming signals per model (append output; latest row per model wins)."""
-    return log_stream.groupBy("model").applyInPandasWithState(
+    cut = log_stream.mapInArrow(newest_per_task(window), log_stream.schema)
+    return cut.groupBy("model").applyInPandasWithState(
         window_function(window), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -105,7 +149,7 @@ def latest(signals: DataFrame) -> DataFrame:
 
 
 def run_to_table(spark: SparkSession, log_dir: str, out_dir: str, ckpt_dir: str,
-                 max_files_per_trigger: int = 1) -> DataFrame:
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the monitor over every log file present now (availableNow trigger),
     write emitted signals to parquet, return the latest signals per model."""
     stream = log_stream(spark, log_dir, max_files_per_trigger)

@@ -37,8 +37,9 @@ def score_batch(tr, lr_model, model_name: str, batch: DataFrame) -> tuple[DataFr
 
 def start(spark: SparkSession, tr, lr_model, model_name: str, in_dir: str, log_dir: str,
           quarantine_dir: str, ckpt_dir: str, available_now: bool = True,
-          max_files_per_trigger: int = 1):
-    """Start the scoring stream; returns the StreamingQuery."""
+          max_files_per_trigger: int | None = None):
+    """Start the scoring stream; returns the StreamingQuery. Without a limit a trigger
+    takes all new files."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -57,9 +58,10 @@ def start(spark: SparkSession, tr, lr_model, model_name: str, in_dir: str, log_d
         finally:
             batch.unpersist()
 
-    stream = (spark.readStream.schema(BODY_SCHEMA)
-              .option("maxFilesPerTrigger", max_files_per_trigger).json(in_dir))
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt_dir)
+    reader = spark.readStream.schema(BODY_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    w = reader.json(in_dir).writeStream.foreachBatch(handle).option("checkpointLocation", ckpt_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 

@@ -39,14 +39,14 @@ def test_auc_equals_pair_count(spark, seed):
     rnd = random.Random(seed)
     rows = [(round(rnd.random(), 1), rnd.randint(0, 1)) for _ in range(300)]
     df = spark.createDataFrame([("m", p, y) for p, y in rows], "model string, prob_neg double, label int")
-    got = EV.roc_auc(df, n_buckets=4).first()["roc_auc"]
+    got = EV.roc_auc(df).first()["roc_auc"]
     assert abs(got - brute_auc(rows)) < 1e-12
 
 
 def test_curve_and_matched_recall(spark):
     rows = [("m", 0.9, 0), ("m", 0.9, 1), ("m", 0.8, 0), ("m", 0.5, 0), ("m", 0.2, 1)]
     df = spark.createDataFrame(rows, "model string, prob_neg double, label int")
-    curve = {r["threshold"]: r for r in EV.pr_curve(df, n_buckets=2).collect()}
+    curve = {r["threshold"]: r for r in EV.pr_curve(df).collect()}
     assert (curve[0.9]["flagged"], curve[0.9]["hits"]) == (2, 1)
     assert (curve[0.5]["flagged"], curve[0.5]["hits"]) == (4, 3)
     at = {r["target"]: r for r in EV.at_recall(EV.pr_curve(df), targets=("0.5", "0.9", "1.0")).collect()}

@@ -2,6 +2,8 @@
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from revlens.operators import monitor as MO
 from revlens.plans import catalog as C
 from revlens.sources import tables as V
@@ -41,10 +43,28 @@ def test_tfidf_weights_one_exchange_and_bounded_broadcast(spark):
     assert "BroadcastExchange" in body and "BroadcastHashJoin" in body
 
 
-def test_clean_dedup_is_partial_aggregate(spark):
+def test_text_counts_hash_aggregate_and_move_no_text(spark):
+    """Report, ledger, duplicate counting and leak checks work on digests."""
+    for name in ("validation_report", "attrition_ledger", "dedup_first", "split_leak"):
+        p = plan(C.REGISTRY[name](spark, SF01))
+        assert "SortAggregate" not in p, name
+        moved = [ln for ln in p.splitlines() if ln.startswith("Arguments: hashpartitioning")]
+        assert moved and not any("text" in ln for ln in moved), name
+        inputs = [b for b in p.split("\n\n") if ") Exchange" in b]
+        assert inputs and not any("review_text" in b or "text#" in b for b in inputs), name
+
+
+def test_clean_joins_repeated_digests_only(spark):
     p = plan(C.cleaned_reviews(spark, SF01))
-    # map-side partial aggregation before the text-keyed exchange
-    assert "partial_min" in p
+    assert "SortAggregate" not in p and "repeated-texts" in p
+
+
+def test_ranks_have_no_unpartitioned_window_over_rows(spark):
+    ided, split = C.split_of(spark, SF01)
+    from revlens.operators import windows as W
+    body = plan(W.row_numbers(split.select("split", "review_id"), ["split"], [F.col("review_id")]))
+    windows = [ln for ln in body.splitlines() if ln.startswith("Arguments:") and "row_number" in ln]
+    assert windows and all(W.PART in ln for ln in windows)
 
 
 def test_sequence_encode_single_shuffle(spark):

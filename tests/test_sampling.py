@@ -21,7 +21,7 @@ def test_split_exact_and_partition_independent(spark):
     results = []
     for parts in (1, 4, 17):
         d = labelled(spark, 57, 287, parts)
-        s = S.stratified_split(d, n_buckets=parts)
+        s = S.stratified_split(d)
         results.append(sorted((r["review_id"], r["split"]) for r in s.collect()))
     assert results[0] == results[1] == results[2]
     test = [i for i, sp in results[0] if sp == "test"]
@@ -30,9 +30,9 @@ def test_split_exact_and_partition_independent(spark):
 
 def test_dense_ids_partition_independent(spark):
     outs = []
-    for parts, nb in ((1, 1), (4, 3), (17, 9)):
+    for parts in (1, 4, 17):
         d = spark.range(0, 1000, 7, numPartitions=parts).select((F.col("id") * 3 + 5).alias("k"))
-        outs.append(sorted((r["k"], r["review_id"]) for r in W.dense_ids(d, "k", n_buckets=nb).collect()))
+        outs.append(sorted((r["k"], r["review_id"]) for r in W.dense_ids(d, "k").collect()))
     assert outs[0] == outs[1] == outs[2]
     assert [i for _, i in outs[0]] == list(range(len(outs[0])))
 
@@ -41,7 +41,7 @@ def test_stratified_sample_quotas(spark):
     pool = labelled(spark, 45_654, 245_406)
     q = {r["label"]: r["quota"] for r in S.sample_quotas(pool, 50_000).collect()}
     assert q[0] + q[1] == 50_000
-    got = S.stratified_sample(labelled(spark, 30, 170), 50, n_buckets=3)
+    got = S.stratified_sample(labelled(spark, 30, 170), 50)
     c = {r["label"]: r["count"] for r in got.groupBy("label").count().collect()}
     assert c == {0: round(50 * 30 / 200), 1: round(50 * 170 / 200)}
 
@@ -50,12 +50,35 @@ def test_running_sums_match_window(spark):
     from pyspark.sql import Window
     d = spark.range(0, 500, numPartitions=5).select(
         (F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 101).alias("x"), F.col("id").alias("v"))
-    fast = W.running_sums(d, ["g"], [F.col("x"), F.col("v")], W.quantile_bucket(d, "x", 6), ["v"])
+    fast = W.running_sums(d, ["g"], [F.col("x"), F.col("v")], ["v"])
     w = Window.partitionBy("g").orderBy("x", "v").rowsBetween(Window.unboundedPreceding, 0)
     slow = d.withColumn("v_cum", F.sum("v").over(w))
     assert sorted(fast.collect()) == sorted(slow.collect())
 
 
+def test_row_numbers_with_null_groups_and_many_ranges(spark):
+    from pyspark.sql import Window
+    d = spark.range(0, 3000, numPartitions=7).select(
+        F.when(F.col("id") % 5 != 0, F.col("id") % 2).alias("g"), F.md5(F.col("id").cast("string")).alias("h"), "id")
+    w = Window.partitionBy("g").orderBy("h", "id")
+    slow = sorted(tuple(map(str, r)) for r in d.withColumn("rank", F.row_number().over(w)).collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fast = sorted(tuple(map(str, r)) for r in W.row_numbers(d, ["g"], [F.col("h"), F.col("id")]).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert fast == slow
+
+
+def test_sample_is_the_quota_smallest_digests(spark):
+    pool = labelled(spark, 300, 900, parts=5)
+    got = {r["review_id"] for r in S.stratified_sample(pool, 120).collect()}
+    rows = [(r["label"], r["h"], r["review_id"]) for r in
+            pool.select("label", "review_id", S.seeded_hash().alias("h")).collect()]
+    want = {i for lab, q in ((0, 30), (1, 90)) for _, _, i in sorted(r for r in rows if r[0] == lab)[:q]}
+    assert got == want
+
+
 def test_simple_sample_exact_n(spark):
     d = labelled(spark, 100, 400)
     assert S.simple_sample(d, 200).count() == 200

@@ -4,6 +4,7 @@ import tempfile
 
 import pytest
 
+from revlens.operators.quality import DataValidationError
 from revlens.plans import jobs
 from revlens.sources import ingest
 from revlens.sources.tables import reviews
@@ -31,12 +32,49 @@ def test_csv_ingest(spark):
     texts = [t for _, t, _ in rows]
     assert texts == ['line one\nline "two"', None, None, None, None, "  padded text  "]
     assert [r for _, _, r in rows] == [5.0, 4.0, 1.0, 2.0, 3.0, None]
-    with pytest.raises(ValueError, match="Available columns"):
+    with pytest.raises(DataValidationError, match="lacks Body"):
         ingest.ingest_csv(spark, p, "Body", "Score")
     with pytest.raises(FileNotFoundError):
         ingest.ingest_csv(spark, p + ".missing", "Text", "Score")
 
 
+def test_csv_order_is_file_name_then_position(spark):
+    """The first file by name wins keep-first also when a later file is larger."""
+    from revlens.operators.quality import first_per_text
+    d = tempfile.mkdtemp(prefix="revlens-csv2-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("Text,Score\nsame text,5\nsame text,4\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("Text,Score\n" + "".join(f"filler {i} {'x' * 200},3\n" for i in range(200)) + "same text,1\n")
+    rows = ingest.ingest_csv(spark, d, "Text", "Score")
+    got = first_per_text(rows).where("review_text = 'same text'").collect()
+    assert [r["rating"] for r in got] == [5.0]
+    order = [r["review_text"] for r in rows.orderBy("review_key").collect()]
+    assert order[:3] == ["same text", "same text", f"filler 0 {'x' * 200}"] and order[-1] == "same text"
+
+
+def test_memo_notices_changed_input(spark):
+    from revlens.session import forget_stages, input_stamp, materialize
+    d = tempfile.mkdtemp(prefix="revlens-stamp-")
+    spark.range(3).write.mode("overwrite").parquet(f"{d}/t")
+    one = input_stamp(spark, d)
+    spark.range(4).write.mode("append").parquet(f"{d}/t")
+    assert one != input_stamp(spark, d)
+    path = materialize(spark.range(2), "probe").inputFiles()[0].split("/part-")[0].removeprefix("file:")
+    assert os.path.isdir(path)
+    forget_stages()
+    assert not os.path.isdir(path)
+
+
+def test_fingerprint_tells_null_places_apart(spark):
+    from revlens.sources import fingerprint as FP
+    a = spark.createDataFrame([("x", None, "y")], "a string, b string, c string")
+    b = spark.createDataFrame([("x", "y", None)], "a string, b string, c string")
+    c = spark.createDataFrame([("x", "-", "y")], "a string, b string, c string")
+    got = {FP.content_hash(d, ["a", "b", "c"]).first()["content_hash"] for d in (a, b, c)}
+    assert len(got) == 3
+
+
 def test_data_and_feature_jobs(spark):
     out = tempfile.mkdtemp(prefix="revlens-job-")
     raw = reviews(spark, SF001)
@@ -53,7 +91,6 @@ def test_data_and_feature_jobs(spark):
 
 
 def test_data_job_gate(spark):
-    from revlens.operators.quality import DataValidationError
     raw = reviews(spark, SF001).limit(10)
     with pytest.raises(DataValidationError):
         jobs.data_job(spark, raw, tempfile.mkdtemp(), min_rows=100)
@@ -86,9 +123,25 @@ def test_transformer_save_load_and_caches(spark):
     def compute():
         calls.append(1)
         return spark.range(3)
-    first = ingest.cached_scores(spark, f"{out}/scores", compute).count()
-    again = ingest.cached_scores(spark, f"{out}/scores", compute).count()
+    first = ingest.cached_scores(spark, f"{out}/scores", {"C": 1}, compute).count()
+    again = ingest.cached_scores(spark, f"{out}/scores", {"C": 1}, compute).count()
     assert (first, again, len(calls)) == (3, 3, 1)
+    # another configuration, or a folder whose write never finished, is computed
+    ingest.cached_scores(spark, f"{out}/scores", {"C": 2}, compute)
+    for folder in os.listdir(f"{out}/scores"):
+        os.replace(f"{out}/scores/{folder}/_SUCCESS", f"{out}/scores/{folder}/_unfinished")
+    ingest.cached_scores(spark, f"{out}/scores", {"C": 1}, compute)
+    assert len(calls) == 3
+    # Every written file is in id order
+    ST.write_store(store, f"{out}/sorted")
+    import pyarrow.parquet as pq
+    for folder, _, names in os.walk(f"{out}/sorted"):
+        for name in (n for n in names if n.endswith(".parquet")):
+            ids = pq.read_table(os.path.join(folder, name), columns=["review_id"]).column(0).to_pylist()
+            assert ids == sorted(ids)
+    # An id may name one request only
+    with pytest.raises(ValueError, match="more than one"):
+        ST.serve(tr, None, spark.createDataFrame([(1, "a"), (1, "b")], "request_id long, text string"))
     # Copy the split from an existing store, else recompute
     ST.write_store(store, f"{out}/features")
     got = ingest.split_with_fallback(spark, f"{out}/features", lambda: None)

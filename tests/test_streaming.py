@@ -48,6 +48,50 @@ def test_out_of_order_batches_keep_newest_window():
     assert last["p95_latency_ms"] == lat[min(int(10 * 0.95), 9)]
 
 
+def test_nulls_in_the_log_are_left_out():
+    fn = window_function(window=10)
+    st = FakeState()
+    b = batch([1, 2, 3, 4])
+    b["id"] = [None, None, 3, 4]
+    b["confidence"] = [None, 0.5, 0.9, 1.0]
+    b["word_count"] = [None, None, 4, 6]
+    b["latency_ms"] = [None, 1.0, 2.0, 3.0]
+    out = list(fn(("m",), iter([b]), st))[-1].iloc[0]
+    out = list(fn(("m",), iter([batch([9])]), st))[-1].iloc[0]
+    assert out["predictions"] == 5 and np.isclose(out["mean_confidence"], (0.5 + 0.9 + 1.0 + 0.59) / 4)
+    assert out["median_word_count"] == 4.0 and out["newest_id"] == 9
+    none = batch([1])
+    for c in ("id", "confidence", "word_count", "latency_ms"):
+        none[c] = None
+    out = list(window_function()(("m",), iter([none]), FakeState()))[-1].iloc[0]
+    assert out["predictions"] == 1 and out["mean_confidence"] is None and out["p95_latency_ms"] is None
+
+
+def test_task_cut_keeps_newest_per_model():
+    import pyarrow as pa
+
+    from revlens.streaming.monitor_stream import newest_per_task
+    t = pa.table({"id": pa.array([None, 2**60 + 1, 2**60 + 3, 7], pa.int64()), "ts": pa.array([1, 5, 5, 9], pa.timestamp("us")),
+                  "model": ["a", "a", "a", "b"]})
+    out = pa.Table.from_batches(list(newest_per_task(2)(iter(t.to_batches(max_chunksize=1)))))
+    assert sorted(zip(out["model"].to_pylist(), out["id"].to_pylist())) == [("a", 2**60 + 1), ("a", 2**60 + 3), ("b", 7)]
+
+
+def test_log_without_ids_streams(spark):
+    """A log whose writer keeps no id runs through the stream."""
+    import uuid
+
+    from revlens.session import scratch_path
+    from revlens.sources import sinks
+    from revlens.sources import tables as V
+    from revlens.streaming import monitor_stream as MS
+    from tests.conftest import SF001
+    base = scratch_path(spark, f"test-noid-{uuid.uuid4().hex}")
+    sinks.append_log(V.prediction_log(spark, SF001).drop("id"), f"{base}/log")
+    got = MS.run_to_table(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt")
+    assert got.count() > 0 and got.where("mean_confidence is null").count() == 0
+
+
 def test_scoring_stream_matches_batch_validation(spark):
     """R1 against its batch twin (P12): every request is either logged or
     quarantined, with the batch validator's verdict and reason."""

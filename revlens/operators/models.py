@@ -17,17 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators import evaluate as EV
+from revlens.session import materialize
 
 
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """M8: w_c = n / (n_classes * n_c); the class table is broadcast (one row
-    per class)."""
+    """M8: w_c = n / (n_classes * n_c). The class table (one row per class) is written,
+    so its real size decides whether the join broadcasts it."""
     from pyspark.sql import Window
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     w = Window.partitionBy()
     cw = counts.select(label, (F.sum("_nc").over(w) /
                                (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(cw), label)
+    return df.join(materialize(cw, "class-weights"), label)
 
 
 class NotConverged(RuntimeError):

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions import text as T
+from revlens.operators import windows as W
+from revlens.session import materialize
 
 
 @dataclass
@@ -76,15 +78,15 @@ def fit(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_
     n = docs.count()
     stats = term_stats(term_counts(docs, id_col, text_col, ngram_max))
     capped = cap_vocab(stats, max_features)
-    # column index = alphabetical position after the cap; the table has at
-    # most max_features rows, so this window is bounded
-    idx = F.row_number().over(Window.orderBy("term")) - 1
-    idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
-    vocab = capped.select("term", idx.cast("int").alias("idx"), "cf", "df", idf.alias("idf"))
+    # column index = alphabetical position after the cap: a capped table is numbered by
+    # one window of at most max_features rows, an uncapped one over range partitions
     if max_features is not None:
-        # bounded by max_features rows: write it once so every transform reuses it
-        from revlens.session import materialize
-        vocab = materialize(vocab, "vocab")
+        ranked = capped.withColumn("_rn", F.row_number().over(Window.orderBy("term")))
+    else:
+        ranked = W.row_numbers(capped, [], [F.col("term")], out="_rn")
+    idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
+    vocab = ranked.select("term", (F.col("_rn") - 1).cast("int").alias("idx"), "cf", "df", idf.alias("idf"))
+    vocab = materialize(vocab, "vocab")       # written once; every transform reuses it
     return TfidfModel(vocab, n, ngram_max, sublinear, max_features)
 
 
@@ -133,6 +135,8 @@ def vectorize(model: TfidfModel, docs: DataFrame, text_col: str = "text_heavy_cl
     from pyspark.ml.linalg import Vectors
     if model.sublinear:
         raise ValueError("vectorize supports raw tf; use to_vectors for sublinear tf")
+    if model.max_features is None:
+        raise ValueError("vectorize holds the vocabulary on the driver: cap it (max_features) or use to_vectors")
     rows = model.vocab.select("idx", "term", "idf").orderBy("idx").collect()
     terms = [r["term"] for r in rows]
     idf = Vectors.dense([r["idf"] for r in rows])
@@ -166,8 +170,8 @@ def sequence_encode(docs: DataFrame, vocab: DataFrame, max_length: int = 128,
     """token ids cut at ``max_length`` (with CLS/SEP), padded to the longest
     row of each batch of ``batch_size`` consecutive ids, plus a 0/1 mask.
 
-    Per-row work is bounded by ``max_length`` tokens; the vocabulary join
-    broadcasts the capped vocabulary only.
+    Per-row work is bounded by ``max_length`` tokens; the vocabulary is a written
+    table, so its real size decides whether the join broadcasts it.
     """
     keep = max_length - 2
     toks = T.tfidf_tokens(text_col)
@@ -181,7 +185,7 @@ def sequence_encode(docs: DataFrame, vocab: DataFrame, max_length: int = 128,
     # posexplode_outer keeps documents without tokens (one row with NULL pos)
     ex = base.select("_batch", id_col, "n_tokens", F.posexplode_outer("_t").alias("pos", "term"))
     tid = F.coalesce(F.col("idx") + FIRST_TERM_ID, F.lit(UNK_ID))
-    ids = ex.join(F.broadcast(vocab.select("term", "idx")), "term", "left")
+    ids = ex.join(vocab.select("term", "idx"), "term", "left")
     enc = (ids.groupBy("_batch", id_col)
            .agg(F.max("n_tokens").alias("n_tokens"),
                 F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(),

@@ -88,14 +88,17 @@ def test_vectorize_equals_long_table(spark):
         assert all(abs(got[i] - want[i]) < 1e-12 for i in got)
 
 
-def test_gram_pass_tree_sum_many_partitions(spark):
+def test_gram_pass_tree_sum_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(SVD, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(SVD, "RADIX", 2)
+    monkeypatch.setattr(SVD, "CELLS", 700)
     emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
     arr = emb.select(F.col("vec_id").alias("review_id"),
                      F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"),
                      F.col("embedding").cast("array<double>").alias("val")).repartition(9)
     x = np.array([r["val"] for r in arr.orderBy("review_id").collect()], dtype=np.float64)
     q = np.random.default_rng(1).standard_normal((64, 7))
-    got = SVD._gram_pass(arr, q, chunk_rows=16)
+    got = SVD._gram_pass(arr, q, 9)
     assert np.allclose(got, x.T @ (x @ q), rtol=1e-9, atol=1e-9)
 
 

@@ -26,8 +26,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z only; every other character stays. ``lower`` does the same, and faster, on
-    texts without an upper- or title-case character outside A-Z."""
-    other = text.rlike(r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]")
+    texts without an upper- or title-case character outside A-Z (nor one that the regex
+    engine's Unicode tables don't know yet)."""
+    other = text.rlike(r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]")
     return F.when(other, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
@@ -55,6 +56,27 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+#: bits of the membership table (2^23: 131,072 rows whatever the number of keys)
+MEMBER_BITS = 23
+
+
+def membership(keys: DataFrame, key: str) -> DataFrame:
+    """A bit table of the keys' hashes: of fixed size, so it can always be broadcast.
+    A set bit says "maybe"; beyond its capacity it only says so too often."""
+    bit = F.pmod(F.xxhash64(key), F.lit(1 << MEMBER_BITS))
+    rows = keys.select(bit.alias("bit")).selectExpr("bit div 64 AS slot", "shiftleft(1L, cast(bit % 64 AS int)) AS b")
+    return materialize(rows.groupBy("slot").agg(F.bit_or("b").alias("bits")), "members")
+
+
+def maybe_member(df: DataFrame, key: str, members: DataFrame, out: str = "_maybe") -> DataFrame:
+    """``df`` plus a flag that is true for every row whose key is in the table (and for a
+    few others), so that wide rows can be dropped or set aside before a shuffle."""
+    tagged = df.withColumn("_bit", F.pmod(F.xxhash64(key), F.lit(1 << MEMBER_BITS)))
+    both = tagged.join(F.broadcast(members), F.expr("_bit div 64 = slot"), "left")
+    hit = F.expr("coalesce((bits & shiftleft(1L, cast(_bit % 64 AS int))) != 0, false)")
+    return both.withColumn(out, hit).drop("_bit", "slot", "bits")
+
+
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of the nodes of ``links`` (a, b: long), component = smallest
     node id reachable. Alternating large-star / small-star steps: every step is a

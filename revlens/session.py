@@ -113,6 +113,13 @@ def materialize(df, name: str, memo: tuple | None = None, partition_by=None):
     return spark.read.parquet(path)
 
 
+def drop_tables(tables) -> None:
+    """Delete written tables, given as (session, path)."""
+    for spark, path in tables:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def own_folder(spark: SparkSession, name: str) -> str:
     """A folder of this application under the checkpoint location that
     ``forget_stages`` clears."""
@@ -137,9 +144,7 @@ def memo_put(key, value) -> None:
 def forget_stages() -> None:
     """Drop the memos and delete the tables written by ``materialize``; frames that
     still read them become invalid (the bench calls it between queries)."""
-    for spark, path in _WRITTEN:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    drop_tables(_WRITTEN)
     _WRITTEN.clear()
     _STAGES.clear()
     _MEMO.clear()

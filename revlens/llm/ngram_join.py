@@ -5,15 +5,19 @@ by a fixed-size frequency table over the whole corpus, and each document offers
 its prefix: the shingles of which two similar documents must share at least one.
 
 1. Documents with the same set collapse into one class (128-bit set digest).
-2. Round one pairs every class with one centre per prefix shingle and verifies: this
-   joins large groups of near copies with links in proportion to their size.
+2. Round one pairs every class with a few centres per prefix shingle and verifies:
+   this joins large groups of near copies with links in proportion to their size.
 3. Round two lists the remaining candidates: pairs of classes that share a prefix
    shingle and are still in different groups. Together the rounds test every
    candidate pair that could add a link between groups, so no group is missed.
 
-Candidates pass the length and the positional filter in the join, the suffix filter
-and the exact overlap in verification (once per distinct pair, from the texts).
-The frequency table decides speed only: any order gives the same groups.
+In the join a candidate passes the length filter, the positional filter and the suffix
+filter: both sets are split by hash into SIGNATURE_BITS parts, and parts of different
+parity differ in one shingle at least, so the number of such parts bounds the
+difference of the sets from below (family members that are just too different end
+there, as numbers beside each other, without a row or a text). Verification takes the
+exact overlap from the texts, once per distinct pair. The frequency table and the
+choice of centres decide speed only: any order gives the same groups.
 
 Defined cases: a document with fewer words than a shingle is one shingle (all its
 words); without words or text it has an empty set and links with nothing; rows are
@@ -30,12 +34,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from revlens.llm.common import SPACES, ascii_lower, connected_components, words
+from revlens.llm.common import SPACES, ascii_lower, connected_components, maybe_member, membership, words
 from revlens.session import materialize
 
 #: entries of the frequency table (2^18 longs: 2 MB whatever the corpus holds)
 TABLE_BITS = 18
+SIGNATURE_BITS = 256
+SIGNATURE = ("s0", "s1", "s2", "s3")
+#: round one: centres per prefix shingle
+CENTRES = 8
 
 
 def shingles(text: Column, n: int) -> Column:
@@ -84,17 +93,19 @@ def need(a, b, percent: int):
 
 
 def prefixes(docs: DataFrame, table: np.ndarray, text: str, key: str, n: int, percent: int) -> DataFrame:
-    """(doc, row, n, set, prefix): id, hash of id and text, set size, set digest and
-    rarest shingles (in order) of every row."""
+    """(doc, row, n, set, s0..s3, prefix): id, hash of id and text, set size, set digest,
+    parity signature and rarest shingles (in order) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def build(batches):
         freq = shared.value
         for batch in batches:
             sizes, digests, heads = [], [], []
-            for values in _lists(batch.column(1)):
+            parity = np.zeros((len(batch), SIGNATURE_BITS), np.uint8)
+            for at, values in enumerate(_lists(batch.column(1))):
                 m = len(values)
                 sizes.append(m)
+                parity[at] = np.bincount(values & (SIGNATURE_BITS - 1), minlength=SIGNATURE_BITS) & 1
                 if not m:
                     digests.append(None)
                     heads.append(None)
@@ -103,13 +114,16 @@ def prefixes(docs: DataFrame, table: np.ndarray, text: str, key: str, n: int, pe
                 keep = m - -(-percent * m // 100) + 1
                 order = np.argsort(freq[_slot(values)], kind="stable")[:keep]
                 heads.append(values[order])
+            bits = np.packbits(parity, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(heads, pa.list_(pa.int64()))], names=["doc", "row", "n", "set", "prefix"])
+                 *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(len(SIGNATURE))],
+                 pa.array(heads, pa.list_(pa.int64()))], names=["doc", "row", "n", "set", *SIGNATURE, "prefix"])
 
     return docs.select(F.col(key).cast("long").alias("doc"), shingles(F.col(text), n).alias("g"),
                        _row_hash(key, text).alias("row")) \
-        .mapInArrow(build, "doc long, row long, n long, set binary, prefix array<long>")
+        .mapInArrow(build, "doc long, row long, n long, set binary, "
+                    + "".join(f"{c} long, " for c in SIGNATURE) + "prefix array<long>")
 
 
 def _row_hash(key: str, text: str) -> Column:
@@ -117,29 +131,25 @@ def _row_hash(key: str, text: str) -> Column:
 
 
 def _passes(percent: int) -> Column:
-    """Length and positional filters on the sides a and b of one shared shingle."""
+    """Length, positional and suffix filters on the sides a and b of one shared shingle."""
     na, nb, ia, ib = (F.col(c) for c in ("a.n", "b.n", "a.i", "b.i"))
     short, long_ = F.least(na, nb), F.greatest(na, nb)
     overlap = F.least(na - ia, nb - ib)   # the shared shingle and what may follow it
-    return (100 * short >= percent * long_) & ((100 + percent) * overlap >= percent * (na + nb))
-
-
-def _suffix_bound(a: np.ndarray, b: np.ndarray, depth: int = 3) -> int:
-    """Upper bound of the overlap of two sorted arrays: split both at a's median, again
-    and again; parts can't share more than the smaller one holds."""
-    if depth == 0 or len(a) < 8 or len(b) < 8:
-        return min(len(a), len(b))
-    mid = len(a) // 2
-    cut = int(np.searchsorted(b, a[mid]))
-    return _suffix_bound(a[:mid], b[:cut], depth - 1) + _suffix_bound(a[mid:], b[cut:], depth - 1)
+    least = F.expr(f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}")
+    apart = F.lit(0)
+    for c in SIGNATURE:
+        apart = apart + F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")))
+    return (100 * short >= percent * long_) & (overlap >= least) & (apart <= na + nb - 2 * least)
 
 
 def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, each computed once. Only texts
     of candidate documents are kept, one row per id and text."""
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "pair-ids")
-    texts = (docs.select(_row_hash(key, text).alias("row"), F.col(text).alias("t"))
-             .join(ids, "row", "left_semi"))
+    texts = docs.select(_row_hash(key, text).alias("row"), F.col(text).alias("t"))
+    # a fixed-size bit table drops nearly all other texts before the shuffle
+    texts = maybe_member(texts, "row", membership(ids, "row")).where("_maybe").select("row", "t") \
+        .join(ids, "row", "left_semi")
     texts = materialize(texts.groupBy("row").agg(F.first("t").alias("t")), "pair-texts")
     both = (pairs.join(texts.select(F.col("row").alias("a"), F.col("t").alias("ta")), "a")
             .join(texts.select(F.col("row").alias("b"), F.col("t").alias("tb")), "b"))
@@ -149,8 +159,7 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, n: int, perce
             ok = []
             for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3))):
                 least = need(len(x), len(y), percent)
-                ok.append(_suffix_bound(x, y) >= least
-                          and len(np.intersect1d(x, y, assume_unique=True)) >= least)
+                ok.append(len(np.intersect1d(x, y, assume_unique=True)) >= least)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return both.select("a", "b", shingles(F.col("ta"), n).alias("x"), shingles(F.col("tb"), n).alias("y")) \
@@ -174,19 +183,22 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
     # a class is all rows with one set; the smallest row hash stands for it
     classes = materialize(base.where("n > 0").groupBy("set").agg(
         F.min("row").alias("row"), F.min("doc").alias("rep"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix")), "classes")
-    post = classes.select("row", "n", F.posexplode("prefix").alias("i", "token"))
-    centres = materialize(post.groupBy("token").agg(
-        F.min(F.struct("n", "row", "i")).alias("c"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1").select("token", "c.*"), "centres")
-    shared = materialize(post.join(centres.select("token"), "token", "left_semi"), "postings")
-
-    first = materialize(_pairs(shared, centres, percent), "pairs")
+        *[F.first(c).alias(c) for c in SIGNATURE], F.first("prefix").alias("prefix")), "classes")
+    post = classes.select("row", F.posexplode("prefix").alias("i", "token"))
+    # the rank limit is applied in every task before the shuffle, so a hot shingle sends a few rows
+    by_hash = Window.partitionBy("token").orderBy(F.xxhash64("row", "token"), "row")
+    centres = materialize(post.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= CENTRES), "centres")
+    common = centres.where("k = 2").select("token")
+    details = classes.select("row", "n", *SIGNATURE)
+    shared = materialize(post.join(common, "token", "left_semi").join(details, "row"), "postings")
+    middle = materialize(centres.join(common, "token", "left_semi").drop("k").join(details, "row"), "centres")
+
+    first = materialize(_pairs(shared, middle, percent), "pairs")
     links = materialize(verify(first, docs, text, key, n, percent), "links")
     comp = materialize(connected_components(links), "groups")
 
     grouped = materialize(shared.join(comp, shared["row"] == comp["node"], "left").select(
-        "token", "row", "n", "i", F.coalesce("component", "row").alias("comp")), "grouped")
+        *shared.columns, F.coalesce("component", "row").alias("comp")), "grouped")
     counts = grouped.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"),
                                         F.count(F.lit(1)).alias("groups")).where("groups > 1")

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from revlens.llm.common import hash_share
+
 UNDETERMINED = "und"
 PIECE = 4096        # bytes encoded at a time, so the dictionary matters along the whole text
 LEVEL = 6
@@ -48,15 +50,20 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         docs_per_lang: int = 64, clip: int = 1024) -> LanguageModel:
     """Dictionaries from a bounded sample of labelled rows: per language the
     ``docs_per_lang`` rows of smallest key hash, ``clip`` characters of each.
-    The rank limit is applied in every partition before the shuffle."""
+    Languages are counted first; only rows in the lowest part of the hashes are ranked."""
     rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"),
                            F.col(text).alias("text")).where("lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (rows.select("lang", "h", F.substring("text", 1, 4 * clip).alias("text"))
-              .withColumn("k", F.row_number().over(order)).where(F.col("k") <= docs_per_lang)
-              .select("lang", "k", F.substring(letter_words(F.col("text")), 1, clip).alias("words")))
     counts = {r["lang"]: r["n"] for r in
               rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return LanguageModel((), ())
+    known = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    part = F.pmod("h", F.lit(1 << 31))
+    order = Window.partitionBy("lang").orderBy(part, "h", "text")
+    sample = (rows.where(hash_share(F.col("h"), known[F.col("lang")], docs_per_lang))
+              .select("lang", "h", F.substring("text", 1, 4 * clip).alias("text"))
+              .withColumn("k", F.row_number().over(order)).where(F.col("k") <= docs_per_lang)
+              .select("lang", "k", F.substring(letter_words(F.col("text")), 1, clip).alias("words")))
     parts: dict[str, dict[str, None]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], -r["k"])):
         parts.setdefault(r["lang"], {})[r["words"]] = None

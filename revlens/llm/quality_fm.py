@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import SPACES, words
+from revlens.llm.common import SPACES, hash_share, words
 
 BITS = 16
 STAT_SLOTS = 1 << 10   # ids after the words' for statistics and metadata
@@ -103,8 +103,13 @@ def fit(labelled: DataFrame, label: str = "label", key: str = "doc_id", ids: str
     """Fit on at most ``max_rows`` rows, half of each label where both have enough."""
     rows = labelled.where(F.col(label).isin(0, 1)).select(
         F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.col(key).alias("key"))
-    order = Window.partitionBy("label").orderBy("h", "key")
-    chosen = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= max_rows // 2) \
+    half = max_rows // 2
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    near = F.lit(False)
+    for value, n in counts.items():
+        near = near | ((F.col("label") == value) & hash_share(F.col("h"), n, half))
+    order = Window.partitionBy("label").orderBy(F.pmod("h", F.lit(1 << 31)), "h", "key")
+    chosen = rows.where(near).withColumn("k", F.row_number().over(order)).where(F.col("k") <= half) \
         .select(F.col("key").alias("chosen")).distinct()
     sample = labelled.where(F.col(label).isin(0, 1)).join(
         F.broadcast(chosen), F.col(key) == F.col("chosen"), "left_semi")   # at most max_rows ids

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm.common import SPACES, ascii_lower, connected_components, maybe_member, membership, words
+from revlens import session
 from revlens.session import materialize
 
 #: entries of the frequency table (2^18 longs: 2 MB whatever the corpus holds)
@@ -179,19 +180,25 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
          percent: int = 80) -> DataFrame:
     """(doc, n_shingles, component) of every row; documents whose shingle sets have
     100 * overlap >= percent * union are linked, component = smallest id of the group."""
-    base = materialize(prefixes(docs, frequency_table(docs, text, n), text, key, n, percent), "sets")
+    wide = materialize(prefixes(docs, frequency_table(docs, text, n), text, key, n, percent), "sets")
+    written = session._WRITTEN[-1]
+    base = materialize(wide.select("doc", "row", "n", "set"), "set-names")
     # a class is all rows with one set; the smallest row hash stands for it
-    classes = materialize(base.where("n > 0").groupBy("set").agg(
+    classes = materialize(wide.where("n > 0").groupBy("set").agg(
         F.min("row").alias("row"), F.min("doc").alias("rep"), F.first("n").alias("n"),
         *[F.first(c).alias(c) for c in SIGNATURE], F.first("prefix").alias("prefix")), "classes")
+    session.drop_tables([written])     # the prefixes live on in the classes
     post = classes.select("row", F.posexplode("prefix").alias("i", "token"))
     # the rank limit is applied in every task before the shuffle, so a hot shingle sends a few rows
     by_hash = Window.partitionBy("token").orderBy(F.xxhash64("row", "token"), "row")
-    centres = materialize(post.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= CENTRES), "centres")
+    ranked = post.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= CENTRES)
+    # shingles of one class only, nearly all of them, aren't written
+    centres = materialize(ranked.withColumn("of", F.max("k").over(Window.partitionBy("token")))
+                          .where("of > 1").drop("of"), "centres")
     common = centres.where("k = 2").select("token")
     details = classes.select("row", "n", *SIGNATURE)
     shared = materialize(post.join(common, "token", "left_semi").join(details, "row"), "postings")
-    middle = materialize(centres.join(common, "token", "left_semi").drop("k").join(details, "row"), "centres")
+    middle = materialize(centres.drop("k").join(details, "row"), "centres")
 
     first = materialize(_pairs(shared, middle, percent), "pairs")
     links = materialize(verify(first, docs, text, key, n, percent), "links")

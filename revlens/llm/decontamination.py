@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import NON_WORD, ascii_lower, let, packed, small_side, words
+from revlens.llm.common import NON_WORD, ascii_lower, let, maybe_member, membership, packed, small_side, words
 from revlens.session import materialize
 
 WINDOW = 13
@@ -151,15 +151,24 @@ def phrase_hits(docs: DataFrame, survivors: DataFrame, items: DataFrame, text: s
     cands = materialize(
         survivors.join(small_side(items.select("item", "item_id", "words")), "item")
         .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "shift")).alias("_c")), "candidates")
-    rows = packed(docs).withColumn("doc", F.col("_row")[key])
-    both = rows.join(cands.withColumnRenamed("doc", "_d"), F.col("doc").eqNullSafe(F.col("_d")), "left")
+    # most documents have no candidate: they are set aside by a fixed-size bit table
+    # and only the others' texts travel to their candidates
+    rows = maybe_member(packed(docs).withColumn("doc", F.col("_row")[key]), "doc", membership(cands, "doc"))
+    rest = rows.where(~F.col("_maybe")).select("_row", F.size(match_words(F.col("_row")[text])).cast("long").alias("n_words"))
+    both = rows.where("_maybe").join(cands.withColumnRenamed("doc", "_d"), F.col("doc").eqNullSafe(F.col("_d")), "left")
     both = both.select("_row", "_c", match_words(F.col("_row")[text]).alias("_w"))
     spans = F.flatten(F.transform("_c", lambda c: F.transform(
         _found(F.col("_w"), c["words"], c["shift"], window),
         lambda s: F.struct(c["item_id"].alias("item_id"), (c["shift"] + s).alias("first"),
                            (c["shift"] + s + F.least(F.lit(window), F.size(c["words"]))).alias("end")))))
-    return both.select("_row", F.size("_w").cast("long").alias("n_words"),
-                       F.when(F.col("_c").isNotNull(), F.array_distinct(spans)).alias("hits"))
+    found = both.select("_row", F.size("_w").cast("long").alias("n_words"),
+                        F.when(F.col("_c").isNotNull(), F.array_distinct(spans)).alias("hits"))
+    none = F.lit(None).cast(found.schema["hits"].dataType)
+    # the one-row generator keeps filters on the result above the word comparison,
+    # which they would otherwise repeat for each of its uses
+    found = found.select("_row", F.explode(F.array(F.struct("n_words", "hits"))).alias("_f")) \
+        .select("_row", "_f.n_words", "_f.hits")
+    return found.unionByName(rest.withColumn("hits", none))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id",

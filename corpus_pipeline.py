@@ -8,18 +8,38 @@ input; the last returns one row per copy with ``copy`` (1, 2) added.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import decontamination, language_id, line_dedup, mixing, ngram_join
 from revlens.llm.common import packed, read
-from revlens.session import materialize
+from revlens import session
+from revlens.session import drop_tables, materialize
 
 
 def _rows(df: DataFrame) -> DataFrame:
     return df.select("_row.*")
 
 
+_SCRATCH: list = []
+
+
+def _stage(fn):
+    """A stage starts by deleting the tables its predecessor worked with: the
+    predecessor's result is written by then (that is how stages are chained)."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(_SCRATCH)
+        start = len(session._WRITTEN)
+        out = fn(spark, docs, sf_dir)
+        _SCRATCH[:] = session._WRITTEN[start:]
+        return out
+    return run_stage
+
+
+@_stage
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the compression margin settles."""
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
@@ -27,6 +47,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _rows(language_id.predict(rows, model, text="_text").where(~F.col("language.rejected")))
 
 
+@_stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without its site's boilerplate lines; ``n_chars`` follows the text."""
     got = line_dedup.dedup_lines(docs, host="source")
@@ -38,6 +59,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.select(row.alias("_row")).select("_row.*")
 
 
+@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group (five-word shingles, similarity 0.8)
     and every document without a link."""
@@ -48,11 +70,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _rows(rows.join(keep, F.col("_id").eqNullSafe(F.col("doc")), "left_semi"))
 
 
+@_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth stands in the benchmark."""
     return _rows(decontamination.report(docs, read(spark, sf_dir, "benchmark")).where(~F.col("contaminated")))
 
 
+@_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as its rounded rate says."""
     got = mixing.mix(docs).where("copies > 0")

@@ -75,13 +75,13 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
 
 
 def _numbered(totals: DataFrame) -> DataFrame:
-    """Rank of the sources in code point order, null last: sorted by range, numbered
+    """Rank of the source keys in code point order ("~", no source, last): sorted by range, numbered
     inside each partition, shifted by the counts of the partitions before it."""
-    split = materialize(totals.repartitionByRange(F.col("source").asc_nulls_last())
+    split = materialize(totals.repartitionByRange(F.col("source"))
                         .withColumn("part", F.spark_partition_id()), "source-ranges")
     sizes = split.groupBy("part").agg(F.count(F.lit(1)).alias("k"))
     before = sizes.select("part", (F.sum("k").over(Window.orderBy("part")) - F.col("k")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source")))
     return split.withColumn("inside", inside).join(before, "part").select(
         "source", "source_size", (F.col("before") + F.col("inside") - 1).alias("rank"))
 
@@ -94,8 +94,7 @@ def multipliers(hist: DataFrame, goal: DataFrame, most: float = MOST, steps: int
     scale = (hist.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("scale"),
                                         F.min("size").alias("least"),
                                         F.sum(F.col("n") * F.col("size")).alias("own")))
-    state = (scale.join(goal.select(F.col("source").alias("s2"), "target"),
-                        F.col("source").eqNullSafe(F.col("s2"))).drop("s2"))
+    state = scale.join(goal.select("source", "target"), "source")
     # exp(hi * least / scale) >= most and exp(lo * least / scale) is next to nothing
     hi = F.log(F.lit(float(most))) * F.col("scale") / F.col("least") + 1
     state = materialize(state.select("source", "scale", "target", "own", F.lit(0.0).alias("lam"),
@@ -106,9 +105,7 @@ def multipliers(hist: DataFrame, goal: DataFrame, most: float = MOST, steps: int
         raw = F.exp(F.least(F.col("lam") * z, F.lit(30.0)))
         rate = F.least(raw, F.lit(float(most)))
         mass = F.col("n") * F.col("size")
-        both = hist.withColumnRenamed("source", "s2").join(
-            state, F.col("source").eqNullSafe(F.col("s2"))).groupBy("source", "scale", "target", "own", "lam",
-                                                                   "lo", "hi").agg(
+        both = hist.join(state, "source").groupBy("source", "scale", "target", "own", "lam", "lo", "hi").agg(
             F.sum(mass * rate).alias("got"),
             F.sum(F.when(raw < float(most), mass * z * raw).otherwise(0.0)).alias("slope"))
         gap = F.col("got") - F.col("target")
@@ -145,43 +142,37 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
         carry: list[str] | None = None) -> DataFrame:
     """(_row, size, source_size, target, copies) of every row; ``carry`` names the
     columns kept in ``_row`` (default all: the whole row is shuffled once)."""
-    rows = packed(docs).withColumn("source", F.col("_row")[source].cast("string")) \
+    # "n" and "s<source>": a key without nulls, so that one partitioning serves all steps
+    rows = packed(docs).withColumn("source", F.coalesce(F.concat(
+        F.lit("s"), F.col("_row")[source].cast("string")), F.lit("~"))) \
         .withColumn("size", word_count(F.col("_row")[text])) \
         .withColumn("h", F.xxhash64(F.lit(seed), F.col("_row")[key].cast("string"))) \
         .withColumn("id", F.col("_row")[key].cast("string"))
     if carry is not None:
         rows = materialize(rows.withColumn("_row", F.struct(*[F.col("_row")[c].alias(c) for c in carry])),
                            "mix-rows")
-    sized = materialize(rows.select("source", "size", F.pmod("h", F.lit(BUCKETS)).alias("bucket")), "sizes")
+    rows = rows.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
+    sized = materialize(rows.select("source", "size", "bucket"), "sizes")
     goal = targets(sized, weights, share, most)
     hist = histogram(sized)
     dual = multipliers(hist, goal, most)
     rate = F.least(F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(30.0))),
                    F.lit(float(most)))
-    classes = hist.withColumnRenamed("source", "s2").join(
-        dual.select("source", "scale", "lam"), F.col("source").eqNullSafe(F.col("s2"))).select(
+    classes = hist.join(dual.select("source", "scale", "lam"), "source").select(
         "source", "size", "n", rate.alias("rate"))
     # at most one row per different document size in a group
     plan = classes.groupBy("source").applyInPandas(
         _round_classes(most), "source string, size long, n long, copies long")
-    plan = materialize(plan, "class-copies")
     # the extra copies of a class go to its hash buckets in order, then by hash inside one
     cells = sized.where("size > 0").groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("k"))
     before = F.sum("k").over(Window.partitionBy("source", "size").orderBy("bucket")) - F.col("k")
-    share_of = cells.withColumn("before", before).withColumnRenamed("source", "s2") \
-        .withColumnRenamed("size", "z2").join(
-            plan, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2"))).select(
-            F.col("s2"), F.col("z2"), F.col("bucket").alias("b2"),
-            F.expr("copies div n").alias("base"),
-            F.greatest(F.lit(0), F.least(F.col("k"), F.col("copies") % F.col("n") - F.col("before"))).alias("extra"))
+    share_of = cells.withColumn("before", before).join(plan, ["source", "size"]).select(
+        "source", "size", "bucket", F.expr("copies div n").alias("base"),
+        F.greatest(F.lit(0), F.least(F.col("k"), F.col("copies") % F.col("n") - F.col("before"))).alias("extra"))
     share_of = materialize(share_of, "cell-copies")
     inside = Window.partitionBy("source", "size", "bucket").orderBy("h", "id")
-    narrow = rows.select("source", "size", F.pmod("h", F.lit(BUCKETS)).alias("bucket"), "h", "id",
-                         "_row")
-    ranked = narrow.withColumn("rank", F.when(F.col("size") > 0, F.row_number().over(inside)))
-    out = ranked.join(share_of, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2"))
-                      & (F.col("bucket") == F.col("b2")), "left")
-    side = small_side(goal.select(F.col("source").alias("s3"), "source_size", "target"))
-    out = out.join(side, F.col("source").eqNullSafe(F.col("s3")), "left")
+    ranked = rows.withColumn("rank", F.when(F.col("size") > 0, F.row_number().over(inside)))
+    out = ranked.join(share_of, ["source", "size", "bucket"], "left")
+    out = out.join(small_side(goal.select("source", "source_size", "target")), "source", "left")
     copies = F.coalesce(F.col("base") + (F.col("rank") <= F.col("extra")).cast("long"), F.lit(0).cast("long"))
     return out.select("_row", "size", "source_size", "target", copies.alias("copies"))

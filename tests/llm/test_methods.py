@@ -17,6 +17,7 @@ from revlens.llm import (decontamination, html_extract, language_id, line_dedup,
                          quality_rules, url_rules)
 from revlens.llm.common import ascii_lower, connected_components, read
 from revlens.llm.registry import ORACLE, REGISTRY
+from revlens.session import materialize
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -253,7 +254,7 @@ def test_pipeline_against_stages_by_hand(spark):
     out = docs
     frame = read(spark, SF001, "documents")
     for name, stage in P.STAGES[:-1]:
-        frame = stage(spark, frame, SF001)
+        frame = materialize(stage(spark, frame, SF001), "stage")
         kept = {r["doc_id"]: r for r in frame.collect()}
         assert set(kept) <= set(out)
         if name == "language_id":

@@ -49,6 +49,14 @@ def packed(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
+def hash_share(h: Column, rows: Column | int, wanted: int) -> Column:
+    """True for the rows whose hash ``h`` is in the lowest part that holds ``wanted`` of
+    ``rows`` rows (generously: 8 standard deviations more, all rows if there are few),
+    so that picking the smallest hashes touches about ``wanted`` rows, not all."""
+    part = F.pmod(h, F.lit(1 << 31)) / float(1 << 31)
+    return part * rows < wanted + 8 * wanted ** 0.5 + 16
+
+
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Broadcast hint for a *written* table of at most BROADCAST_ROWS rows; beyond
     that the frame is returned as it is and the join shuffles."""

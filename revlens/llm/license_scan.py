@@ -7,7 +7,8 @@ the words of template and block are compared exactly, and a match needs most of
 template's words in order and every one of its marks (names, version numbers).
 
 Candidate blocks are found by one JVM pattern over whole texts; Python sees those
-sentences only.
+sentences only. A sentence runs on over line breaks (hard-wrapped notices, also with
+comment signs before each line) and over abbreviations such as 'v.'; a blank line ends it.
 
 Defined cases: null and empty texts have no block; a text may hold several licenses
 (all are listed, the strongest first); equal reductions go to the smaller difference,
@@ -54,8 +55,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 #: words that tell one template from the others; all must stand in a confirmed block
 MARKS = frozenset("apache mit gnu mozilla cc creative commons attribution cc0 by by-nc by-sa 1.0 2 2.0 3 4.0 rights "
                   "reserved granted redistribution".split())
-CANDIDATE = r"(?i)licen[sc]|rights reserved|permission is hereby|redistribution and use|public domain|free software"
-_SENTENCE = r"(?<=[.!?])\s+|\n+"
+CANDIDATE = (r"(?i)licen[sc]|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|public\W+domain"
+             r"|free\W+software")
+_SENTENCE = (r"(?i)\n[ \t\r\f]*\n\s*|\r[ \t\f]*\r\s*|(?<=[.!?])"
+             r"(?<!\b(?:[a-z]|ver|vers|no|nr|inc|ltd|co|corp|al|cf|sec|dr|mr|mrs|ms|st)\.)\s+")
+_LINE_START = re.compile(r"\s*[\r\n][ \t]*(?:(?:[#*;%>|!]+|//+|--+)(?=\s))?\s*")
 LEVEL = 12
 MIN_COVER = 0.8
 
@@ -65,8 +69,13 @@ def _wording(text: str) -> list[str]:
     return re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", text.lower())
 
 
+def _one_line(block: str) -> str:
+    """A wrapped sentence on one line, without the comment signs its lines begin with."""
+    return " ".join(_LINE_START.sub(" ", block).split())
+
+
 def candidate_blocks(text: Column) -> Column:
-    """Sentences of a text that match the candidate pattern."""
+    """Sentences of a text that match the candidate pattern, as they stand (with line breaks)."""
     found = F.filter(F.split(text, _SENTENCE), lambda s: s.rlike(CANDIDATE))
     return F.when(text.rlike(CANDIDATE), found).otherwise(F.array().cast("array<string>"))
 
@@ -86,6 +95,7 @@ class Scanner:
     def scan(self, block: str) -> tuple[str, float, float, list[str], list[str], bool] | None:
         """Best template of a block: id, size reduction, share of the template found,
         template words missing, block words added, confirmed."""
+        block = _one_line(block)
         data, words = block.encode(), _wording(block)
         alone = len(self.plain.compress(data))
         gains = [1 - len(c.compress(data)) / alone for c in self.coders]

@@ -1,6 +1,8 @@
 """Every operator and pipeline stage on awkward rows: nulls in any column, empty and
 very long texts, ties, repeated rows, clashing extra columns, and empty tables."""
 
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,19 @@ def test_license_scan(spark, hard, none):
     assert got[0] == {"Apache-2.0", "MIT"} and got[1] == {"CC-BY-SA-4.0"} and got[2] == set()
 
 
+def test_license_notices_wrapped(spark):
+    """Every template on one line, wrapped at 72 columns, and wrapped in a comment."""
+    rows, want = [], {}
+    for name, notice in license_scan.TEMPLATES:
+        lines = textwrap.wrap(notice, 72)
+        for text in (notice, "\n".join(lines), "Some title\n\n" + "\r\n".join(textwrap.wrap(notice, 30)) + "\r\n\r\nMore.",
+                     "/*\n" + "\n".join(" * " + x for x in lines) + "\n */", "\n".join("# " + x for x in lines)):
+            want[len(rows)] = [name]
+            rows.append((len(rows), text))
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["_row"]["doc_id"]: r["found"] for r in got} == want
+
+
 def test_quality_fm(hard, none):
     rows = hard.select("doc_id", quality_fm.features(F.col("text"), {"n": F.col("n_chars")}).alias("features"),
                        (F.col("doc_id") % 2).alias("label"))

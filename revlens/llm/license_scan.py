@@ -2,9 +2,11 @@
 
 Sentences of a text that name a license matter are candidate blocks. A block is
 compressed with each template as zstandard raw dictionary; templates are ranked by
-the size reduction against no dictionary. The winner is confirmed by its wording:
-the words of template and block are compared exactly, and a match needs most of the
-template's words in order and every one of its marks (names, version numbers).
+the size reduction against no dictionary. Every template is confirmed by its wording:
+the words of template and block are compared exactly around each place of its first
+mark (name, version number). A match needs most of the template's words in order, all
+of its marks close together, and no word among or right after them that makes another
+license of it (nc, sa, lesser, another version number). A block may confirm several.
 
 Candidate blocks are found by one JVM pattern over whole texts; Python sees those
 sentences only. A sentence runs on over line breaks (hard-wrapped notices, also with
@@ -52,9 +54,25 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
     ("all-rights-reserved", "All rights reserved."),
 )
-#: words that tell one template from the others; all must stand in a confirmed block
-MARKS = frozenset("apache mit gnu mozilla cc creative commons attribution cc0 by by-nc by-sa 1.0 2 2.0 3 4.0 rights "
-                  "reserved granted redistribution".split())
+#: words that tell a license from the others: those a template has must stand in the text close together
+MARKS: dict[str, frozenset[str]] = {k: frozenset(v.split()) for k, v in {
+    "Apache-2.0": "apache 2.0", "MIT": "mit granted", "BSD": "redistribution", "GPL-3.0": "gnu 3", "GPL-2.0": "gnu 2",
+    "MPL-2.0": "mozilla 2.0", "CC-BY-NC-4.0": "cc by nc 4.0", "CC-BY-SA-4.0": "cc by sa 4.0",
+    "CC-BY-4.0": "cc by creative commons attribution 4.0", "CC0-1.0": "cc0 1.0",
+    "all-rights-reserved": "all rights reserved"}.items()}
+#: words that make another license of it, among the marks or right after them
+_CC = frozenset("nc sa nd noncommercial sharealike noderivatives noderivs".split())
+CONTRA: dict[str, frozenset[str]] = {
+    "GPL-3.0": frozenset("lesser library affero".split()), "GPL-2.0": frozenset("lesser library affero".split()),
+    "CC-BY-NC-4.0": _CC - {"nc"}, "CC-BY-SA-4.0": _CC - {"sa"}, "CC-BY-4.0": _CC,
+    "all-rights-reserved": frozenset(("some", "no"))}
+#: words that may stand between two version numbers of one license ('version 2 or version 3')
+_LISTED = frozenset("or and either version versions ver v of the license".split())
+_NEXT = frozenset("and or cc cc0 creative".split())
+_TAIL = re.compile(r"[^\w\s]*")
+_NUMBER = re.compile(r"\d+(?:\.\d+)*")
+#: words added among the marks, words looked at on either side of the first mark
+SLACK, REACH = 6, 64
 CANDIDATE = (r"(?i)licen[sc]|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|public\W+domain"
              r"|free\W+software")
 _SENTENCE = (r"(?i)\n[ \t\r\f]*\n\s*|\r[ \t\f]*\r\s*|(?<=[.!?])"
@@ -64,9 +82,43 @@ LEVEL = 12
 MIN_COVER = 0.8
 
 
+def _spans(text: str) -> list[tuple[str, int, int]]:
+    """Lower-cased words with inner dots, hyphens kept ('4.0', 'free-form') and their
+    places; 'cc-by-nc' and 'v2.0' are several words."""
+    out = []
+    for m in re.finditer(r"[^\W_]+(?:[.\-][^\W_]+)*", text):
+        word = m[0].lower()
+        if word.startswith(("by-", "cc-")):
+            out += [(w, m.start(), m.end()) for w in word.split("-")]
+        elif v := re.fullmatch(r"v\.?(\d.*)", word):
+            out += [("v", m.start(), m.end()), (v[1], m.start(), m.end())]
+        else:
+            out.append((word, m.start(), m.end()))
+    return out
+
+
 def _wording(text: str) -> list[str]:
-    """Lower-cased words with inner dots, hyphens kept ('4.0', 'by-nc')."""
-    return re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", text.lower())
+    return [w for w, _, _ in _spans(text)]
+
+
+def _aligned(own: list[str], words: list[str], marks: frozenset[str]) -> list[tuple[int, int]]:
+    """Pairs of equal words in order: as many marks, then as many words as possible, each early."""
+    n, m = len(own), len(words)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        weight, row, below = 1000 if own[i] in marks else 1, best[i], best[i + 1]
+        for j in range(m - 1, -1, -1):
+            row[j] = weight + below[j + 1] if own[i] == words[j] else max(row[j + 1], below[j])
+    out, i, j = [], 0, 0
+    while i < n and j < m:
+        if own[i] == words[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i][j + 1] >= best[i + 1][j]:
+            j += 1
+        else:
+            i += 1
+    return out
 
 
 def _one_line(block: str) -> str:
@@ -91,38 +143,96 @@ class Scanner:
             d = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.coders.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False))
         self.words = [_wording(t) for _, t in templates]
+        self.marks = [MARKS.get(k, frozenset()).intersection(w) or frozenset(w)
+                      for (k, _), w in zip(templates, self.words)]
+
+    def _gain(self, i: int, data: bytes) -> float:
+        return 1 - len(self.coders[i].compress(data)) / len(self.plain.compress(data))
+
+    def _places(self, i: int, words: list[str]) -> Iterator[list[tuple[int, int]]]:
+        """Alignments that confirm template ``i``, one for each place of its first mark."""
+        own, marks = self.words[i], self.marks[i]
+        at = [k for k, w in enumerate(own) if w in marks]
+        first, last = at[0], at[-1]
+        contra = CONTRA.get(self.templates[i][0], frozenset())
+        for p in (p for p, w in enumerate(words) if w == own[first]):
+            low, high = max(0, p - REACH), p + REACH + len(own)
+            if sum(w in words[low:high] for w in own) < MIN_COVER * len(own):
+                continue
+            before = _aligned(own[:first][::-1], words[low:p][::-1], marks)
+            pairs = [(first - 1 - a, p - 1 - b) for a, b in reversed(before)] + [
+                (first + a, p + b) for a, b in _aligned(own[first:], words[p:high], marks)]
+            place = dict(pairs)
+            if len(pairs) < MIN_COVER * len(own) or any(k not in place for k in at):
+                continue
+            end = place[last]
+            if end - p > last - first + SLACK:
+                continue
+            taken = set(place.values())
+            added = [j for j in range(p, end) if j not in taken]
+            after = []
+            for j in range(end + 1, min(end + 4, len(words))):
+                if words[j] in _NEXT:
+                    break
+                if j not in taken:
+                    after.append(words[j])
+            if contra.intersection([words[j] for j in added] + after):
+                continue
+            # another version number before the own one, unless both are listed
+            numbers = [j for j in added if _NUMBER.fullmatch(words[j])]
+            if any(not _NUMBER.fullmatch(words[k]) and words[k] not in _LISTED
+                   for j in numbers for k in range(j, end)):
+                continue
+            yield pairs
 
-    def scan(self, block: str) -> tuple[str, float, float, list[str], list[str], bool] | None:
-        """Best template of a block: id, size reduction, share of the template found,
-        template words missing, block words added, confirmed."""
+    def scan(self, block: str) -> tuple[tuple, list[tuple]]:
+        """The best template of a block (id, size reduction, share of the template found,
+        template words missing, block words added, confirmed), and every confirmed license
+        with its best template. A confirmed template is measured over the words it covers."""
         block = _one_line(block)
-        data, words = block.encode(), _wording(block)
-        alone = len(self.plain.compress(data))
-        gains = [1 - len(c.compress(data)) / alone for c in self.coders]
-        best = None
-        for i in sorted(range(len(gains)), key=lambda i: -gains[i])[:4]:
+        spans = _spans(block)
+        words = [w for w, _, _ in spans]
+        sure: dict[str, tuple] = {}
+        for i, own in enumerate(self.words):
+            for pairs in self._places(i, words):
+                low, high = pairs[0][1], pairs[-1][1] + 1
+                mine, theirs = {a for a, _ in pairs}, {b for _, b in pairs}
+                missing = [w for a, w in enumerate(own) if a not in mine]
+                added = [words[b] for b in range(low, high) if b not in theirs]
+                end = _TAIL.match(block, spans[high - 1][2]).end()
+                gain = self._gain(i, block[spans[low][1]:end].encode())
+                rank = (round(gain, 6), -len(missing) - len(added), -i)
+                name = self.templates[i][0]
+                if name not in sure or rank > sure[name][0]:
+                    sure[name] = (rank, (name, gain, 1 - len(missing) / len(own), missing, added, True))
+        if sure:
+            found = [m for _, m in sorted(sure.values(), key=lambda x: x[0], reverse=True)]
+            return found[0], found
+        data = block.encode()
+        gains = [self._gain(i, data) for i in range(len(self.templates))]
+        best, top = None, max(round(g, 6) for g in gains)
+        for i in (i for i, g in enumerate(gains) if round(g, 6) == top):
             own = self.words[i]
             ops = difflib.SequenceMatcher(None, own, words, autojunk=False).get_opcodes()
             missing = [w for op, a, b, _, _ in ops if op != "equal" for w in own[a:b]]
             added = [w for op, _, _, c, d in ops if op != "equal" for w in words[c:d]]
-            cover = 1 - len(missing) / len(own)
-            sure = cover >= MIN_COVER and not MARKS.intersection(missing) and not MARKS.intersection(added)
-            rank = (sure, round(gains[i], 6), -len(missing) - len(added), -i)
+            rank = (-len(missing) - len(added), -i)
             if best is None or rank > best[0]:
-                best = (rank, (self.templates[i][0], gains[i], cover, missing, added, sure))
-        return best[1] if best else None
+                best = (rank, (self.templates[i][0], gains[i], 1 - len(missing) / len(own), missing, added, False))
+        return best[1], []
 
 
-_BLOCK = "struct<license:string,gain:double,cover:double,missing:array<string>,added:array<string>,confirmed:boolean>"
+_NAMES = ("license", "gain", "cover", "missing", "added", "confirmed")
+_MATCH = "struct<license:string,gain:double,cover:double,missing:array<string>,added:array<string>,confirmed:boolean>"
+_BLOCK = f"struct<best:{_MATCH},sure:array<{_MATCH}>>"
 
 
 def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
-    """(_row, blocks, found): ``blocks`` (text and best template of every candidate
-    block, in order) and ``found`` (confirmed licenses, strongest first)."""
+    """(_row, blocks, found): ``blocks`` (text, best template and confirmed matches of
+    every candidate block, in order) and ``found`` (confirmed licenses, strongest first)."""
     @F.pandas_udf(f"array<{_BLOCK}>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = Scanner(templates)
-        names = ("license", "gain", "cover", "missing", "added", "confirmed")
         seen: dict[str, dict] = {}
         for batch in batches:
             out = []
@@ -132,7 +242,8 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
                     if block not in seen:
                         if len(seen) > 10_000:      # a memo of recent sentences, not a limit on results
                             seen.clear()
-                        seen[block] = dict(zip(names, scanner.scan(block)))
+                        best, sure = scanner.scan(block)
+                        seen[block] = {"best": dict(zip(_NAMES, best)), "sure": [dict(zip(_NAMES, m)) for m in sure]}
                     row.append(seen[block])
                 out.append(row)
             yield pd.Series(out, dtype=object)
@@ -141,8 +252,7 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
     some = F.size("sentences") > 0
     blocks = F.when(some, judge(F.col("sentences"))).otherwise(F.array().cast(f"array<{_BLOCK}>"))
     judged = rows.withColumn("b", blocks).select("_row", F.arrays_zip(
-        F.col("sentences").alias("text"), F.col("b").alias("match")).alias("blocks"))
-    sure = F.filter("blocks", lambda b: b["match"]["confirmed"])
-    ranked = F.array_sort(F.transform(sure, lambda b: F.struct((-b["match"]["gain"]).alias("g"),
-                                                               b["match"]["license"].alias("l"))))
+        F.col("sentences").alias("text"), F.col("b.best").alias("match"), F.col("b.sure").alias("matches")).alias("blocks"))
+    sure = F.flatten(F.col("blocks.matches"))
+    ranked = F.array_sort(F.transform(sure, lambda m: F.struct((-m["gain"]).alias("g"), m["license"].alias("l"))))
     return judged.withColumn("found", F.array_distinct(F.transform(ranked, lambda x: x["l"])))

@@ -95,6 +95,29 @@ def test_license_notices_wrapped(spark):
     assert {r["_row"]["doc_id"]: r["found"] for r in got} == want
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under the MIT License and the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+    ("Released under the MIT License by X", {"MIT"}),
+    ("Released under the MIT License, or licensed under CC BY 4.0 and CC BY-SA 4.0, all rights reserved by 3 owners.",
+     {"MIT", "CC-BY-4.0", "CC-BY-SA-4.0", "all-rights-reserved"}),
+    ("Licensed under CC BY-SA 4.0 and CC BY 4.0", {"CC-BY-SA-4.0", "CC-BY-4.0"}),
+    ("Licensed under CC-BY-NC 4.0", {"CC-BY-NC-4.0"}), ("Licensed under CC BY-NC-SA 4.0", set()),
+    ("Licensed under CC BY 4.0 NC", set()), ("Licensed under CC BY 3.0", set()),
+    ("Licensed under the Apache License, Version 1.1, see 2.0", set()),
+    ("This work is licensed under the GNU General Public License, version 2 or version 3.", {"GPL-2.0", "GPL-3.0"}),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", set()),
+    ("This work is licensed under the GNU General Public License, version 2, or under the Mozilla Public License. "
+     "This Source Code Form is subject to the terms of the Mozilla Public License, v2.0.", {"GPL-2.0", "MPL-2.0"}),
+    ("All contributors think some rights are reserved", set()), ("Released under the MIT-0 License", set()),
+])
+def test_every_license_of_a_block(text, want):
+    scanner = license_scan.Scanner()
+    for block in (text, "word " * 300 + text + " word" * 300):
+        best, sure = scanner.scan(block)
+        assert {m[0] for m in sure} == want and best[5] == bool(want)
+    assert all(name in {m[0] for m in scanner.scan(notice)[1]} for name, notice in license_scan.TEMPLATES)
+
+
 def test_quality_fm(hard, none):
     rows = hard.select("doc_id", quality_fm.features(F.col("text"), {"n": F.col("n_chars")}).alias("features"),
                        (F.col("doc_id") % 2).alias("label"))

@@ -15,6 +15,9 @@ Only line hashes take part in ordering and pairing: pages are range-partitioned
 (host, path), so a host with a third of all pages spreads over many partitions, and
 neighbours across partition ends are joined by partition number.
 
+Omitted end tags (p, li, dt, dd, option, table parts, head) are closed as HTML says, so a
+mark ends with its own element.
+
 Defined cases: null or empty html gives an empty text; without ``://`` a page has no
 host and is not paired; repeated rows are one page for pairing; a neighbour with the
 same lines (a copy) is no evidence and deletes nothing.
@@ -56,6 +59,20 @@ HINTS = frozenset("ad ads adv advert adverts advertisement advertising adsense s
                   "social related recommended pagination pager toolbar skip".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                   "toolbar".split())
+# Omitted end tags: a start tag of the first set ends an open element of the second, unless
+# one of the third (or, for a p, of SCOPES) lies between.
+SCOPES = frozenset("table caption td th button object template marquee html select".split())
+ENDS_P = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
+                   "footer form h1 h2 h3 h4 h5 h6 header hr legend li main menu nav ol p pre section summary table "
+                   "ul".split())
+_PLAIN = BLOCKS - frozenset(("address", "div", "p"))
+_TABLES = frozenset(("table", "template", "html"))
+IMPLIED = tuple((frozenset(a.split()), frozenset(b.split()), c) for a, b, c in (
+    ("li", "li", (_PLAIN | SCOPES) - {"li"}), ("dt dd", "dt dd", (_PLAIN | SCOPES) - {"dt", "dd"}),
+    ("option optgroup", "option", frozenset(("select", "datalist"))), ("optgroup", "optgroup", frozenset(("select",))),
+    ("td th tr tbody thead tfoot", "td th caption colgroup", _TABLES), ("tr tbody thead tfoot", "tr", _TABLES),
+    ("tbody thead tfoot", "tbody thead tfoot", _TABLES), ("tr td th", "colgroup", _TABLES)))
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 KEEPERS = frozenset("content main article body wrapper container page post entry text with has no without".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
@@ -80,6 +97,25 @@ def _is_chrome(tag: str, attrs: str, inside: bool) -> bool:
     return False
 
 
+def _close_implied(tag: str, stack: list[tuple[str, bool, bool, bool]]) -> None:
+    """Remove from the stack the elements that a start tag ends by itself."""
+    def close(names, barrier):
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in names:
+                del stack[i:]
+                return
+            if stack[i][0] in barrier:
+                return
+
+    if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+        stack.pop()
+    for tags, names, barrier in IMPLIED:
+        if tag in tags:
+            close(names, barrier)
+    if tag in ENDS_P:
+        close(("p",), SCOPES)
+
+
 def page_lines(page: str | None) -> list[tuple[int, str]]:
     """(mark, line) of every block of a page, in order."""
     if not page:
@@ -101,6 +137,9 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
         m = _TAG.search(page, at)
         _, chrome, declared, silent = stack[-1] if stack else ("", False, False, False)
         piece = page[at:m.start() if m else len(page)]
+        if stack and stack[-1][0] == "head" and not piece.isspace() and piece:
+            stack.pop()                            # text ends an open head
+            _, chrome, declared, silent = stack[-1] if stack else ("", False, False, False)
         if piece and not silent:
             if not buffer:
                 mark = CHROME if chrome else DECLARED if declared else OPEN
@@ -126,6 +165,8 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
             flush()
         elif tag == "br" and buffer:
             buffer.append(" ")
+        _close_implied(tag, stack)
+        _, chrome, declared, silent = stack[-1] if stack else ("", False, False, False)
         if tag in VOID:
             continue
         if tag in RAW:                             # its content is no markup: skip to the end tag

@@ -152,6 +152,23 @@ def test_page_chrome_and_blocks():
     assert html_extract.main_text(html_extract.page_lines(page)) == "A <b> title\nOne two three four five\nSecond!\nx\ny"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><p class=notice>Cookies<p>Real one</p><p>Real two</p></article>", "Real one\nReal two"),
+    ("<article><p class=ad>Buy <b>now<h2>Title</h2><p>Real</article>", "Title\nReal"),
+    ("<main><ul><li class=share>Share<li>One<ul><li class=promo>x<li>Two</ul><li>Three</ul></main>", "One\nTwo\nThree"),
+    ("<main><ul><li>One<div class=menu><ul><li>x</ul></div><li>Two</ul></main>", "One\nTwo"),
+    ("<main><dl><dt class=ad>Buy<dd>Real<dt>Name<dd class=promo>x<dt>Last</dl></main>", "Real\nName\nLast"),
+    ("<article><table><tr class=ad><td>Buy<td>now<tr><td class=promo>x<td>Real</table><p>After</article>",
+     "Real\nAfter"),
+    ("<article><table><thead class=banner><tr><th>x<tbody><tr><td>Real</table></article>", "Real"),
+    ("<!doctype html><head><title>T</title><meta charset=utf-8><body><article><p>Real</article>", "Real"),
+    ("<head><title>T</title><p>Open", "Open"),
+    ("<article><p class=notice>x<table><tr><td><p>y</table>z<p>Real</article>", "y\nz\nReal"),
+])
+def test_omitted_end_tags(page, want):
+    assert html_extract.main_text(html_extract.page_lines(page)) == want
+
+
 def test_mix_reaches_targets(spark):
     rows = mixing.mix(read(spark, SF01, "documents"), carry=["doc_id", "source"]).collect()
     own, taken, goal = Counter(), Counter(), {}

@@ -11,16 +11,17 @@ deleted. Declared lines are kept even when shared (two articles may quote one li
 or be copies), chrome is dropped even when unique. A page with a declared region
 keeps that region only.
 
-Only line hashes take part in ordering and pairing: pages are range-partitioned by
-(host, path), so a host with a third of all pages spreads over many partitions, and
+Only line hashes take part in ordering and pairing: pages of a host with the same lines
+are one class (placed at its smallest path), so that copies meet their nearest different
+page; classes are range-partitioned by (host, path), so a host with a third of all pages spreads over many partitions, and
 neighbours across partition ends are joined by partition number.
 
 Omitted end tags (p, li, dt, dd, option, table parts, head) are closed as HTML says, so a
 mark ends with its own element.
 
 Defined cases: null or empty html gives an empty text; without ``://`` a page has no
-host and is not paired; repeated rows are one page for pairing; a neighbour with the
-same lines (a copy) is no evidence and deletes nothing.
+host and is not paired; rows with the same lines are one page for pairing, and what is
+deleted from it is deleted from each of them.
 """
 
 from __future__ import annotations
@@ -216,23 +217,19 @@ def common_lines(mine: list[int], other: list[int]) -> list[int]:
     return [*range(head), *reversed(middle), *range(n - tail, n)]
 
 
-@F.pandas_udf(StructType([StructField("hashes", ArrayType(LongType())), StructField("marks", ArrayType(ByteType()))]))
+@F.pandas_udf(StructType([StructField("hashes", ArrayType(LongType())), StructField("marks", ArrayType(ByteType())),
+                          StructField("same", StringType())]))
 def _line_hashes(pages: pd.Series) -> pd.DataFrame:
     import xxhash
     rows = [page_lines(p) for p in pages]
     return pd.DataFrame({"hashes": [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in r] for r in rows],
-                         "marks": [[k for k, _ in r] for r in rows]})
+                         "marks": [[k for k, _ in r] for r in rows],
+                         "same": [xxhash.xxh3_128_hexdigest("\n".join(t for _, t in r)) for r in rows]})
 
 
 @F.pandas_udf(ArrayType(IntegerType()))
-def _shared_open(mine: pd.Series, marks: pd.Series, other: pd.Series) -> pd.Series:
-    out = []
-    for a, k, b in zip(mine, marks, other):
-        if b is None or len(a) == len(b) and (a == b).all():
-            out.append([])
-            continue
-        out.append([i for i in common_lines(list(a), list(b)) if k[i] == OPEN])
-    return pd.Series(out)
+def _shared(mine: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series([common_lines(list(a), list(b)) for a, b in zip(mine, other)])
 
 
 def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -243,8 +240,9 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     lines = rows.where((F.col("host") != "") & F.col("html").isNotNull()).select(
         "page", "host", "path", _line_hashes("html").alias("l")).select("page", "host", "path", "l.*")
     lines = materialize(lines.dropDuplicates(["page", "host", "path"]), "page-lines")
-    order = ["host", "path", "page"]
-    ranged = materialize(lines.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "page-order")
+    classes = lines.groupBy("host", "same").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"))
+    order = ["host", "path", "same"]
+    ranged = materialize(classes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "page-order")
     here = F.struct("host", "path", "hashes")
     key = F.struct(*order)
     ends = ranged.groupBy("part").agg(F.min_by(here, key).alias("first"), F.max_by(here, key).alias("last"))
@@ -252,7 +250,7 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     ends = ends.select("part", F.lag("last").over(across).alias("before"), F.lead("first").over(across).alias("after"))
     inside = Window.partitionBy("part").orderBy(*order)
     near = ranged.join(ends, "part").select(
-        "page", "host", "path", "hashes", "marks",
+        "same", "host", "path", "hashes",
         F.coalesce(F.lag(here).over(inside), "before").alias("p"),
         F.coalesce(F.lead(here).over(inside), "after").alias("q"))
 
@@ -266,10 +264,13 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     other = F.when((F.col("cp") >= F.col("cq")) & (F.col("cp") >= 0), F.col("p")["hashes"]) \
         .when(F.col("cq") >= 0, F.col("q")["hashes"])
     picked = near.withColumn("cp", F.coalesce(closeness("p"), F.lit(-1))) \
-        .withColumn("cq", F.coalesce(closeness("q"), F.lit(-1))).select("page", "hashes", "marks", other.alias("o"))
-    got = picked.where(F.col("o").isNotNull() & F.array_contains("marks", F.lit(OPEN).cast("tinyint"))).select(
-        "page", _shared_open("hashes", "marks", "o").alias("deleted"))
-    return materialize(got.where(F.size("deleted") > 0).dropDuplicates(["page"]), "template-lines")
+        .withColumn("cq", F.coalesce(closeness("q"), F.lit(-1))).select("host", "same", "hashes", other.alias("o"))
+    got = picked.where(F.col("o").isNotNull()).select("host", "same", _shared("hashes", "o").alias("at"))
+    got = materialize(got.where(F.size("at") > 0), "class-lines")
+    # every copy by its own marks: equal lines may stand in different elements
+    each = lines.join(got, ["host", "same"]).select(
+        "page", F.filter("at", lambda i: F.get("marks", i) == OPEN).alias("deleted"))
+    return materialize(each.where(F.size("deleted") > 0).dropDuplicates(["page"]), "template-lines")
 
 
 def main_text(lines: list[tuple[int, str]], deleted=()) -> str:

@@ -152,6 +152,22 @@ def test_page_chrome_and_blocks():
     assert html_extract.main_text(html_extract.page_lines(page)) == "A <b> title\nOne two three four five\nSecond!\nx\ny"
 
 
+def _texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    return {r["_row"]["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+
+
+def test_copies_meet_the_nearest_different_page(spark):
+    def page(own):
+        return f"<body><div>Site name</div><p>{own}</p><p>Imprint</p></body>"
+    rows = [(i, f"https://h.com/copies/{i:02}", page("copied")) for i in range(20)]
+    rows += [(50, "https://h.com/other", page("other")), (60, "https://k.com/x", page("copied"))]
+    rows += [(51, "https://h.com/copies/99", "<body><article><div>Site name</div><p>copied</p><p>Imprint</p></article></body>")]
+    got = _texts(spark, rows)
+    assert all(got[i] == "copied" for i in range(20)) and got[50] == "other"
+    assert got[60] == got[51] == "Site name\ncopied\nImprint"
+
+
 @pytest.mark.parametrize("page, want", [
     ("<article><p class=notice>Cookies<p>Real one</p><p>Real two</p></article>", "Real one\nReal two"),
     ("<article><p class=ad>Buy <b>now<h2>Title</h2><p>Real</article>", "Title\nReal"),

@@ -5,11 +5,13 @@ article or main element), *open* (no such statement) or *chrome* (menus, headers
 footers, sidebars, notices, adverts, forms, comments by element, class, id or role).
 
 Pages of a host are ordered by URL path; each is paired with the neighbour whose path
-shares the longer prefix. The lines of the two are aligned by longest common
-subsequence: what they share is the template, and open lines that are aligned are
-deleted. Declared lines are kept even when shared (two articles may quote one line,
-or be copies), chrome is dropped even when unique. A page with a declared region
-keeps that region only.
+shares the longer prefix, and compared with the next ones on both sides too. The lines
+of two pages are aligned by longest common subsequence: what they share is the template.
+Open lines shared with the paired page are deleted; declared lines only when all of
+several different neighbours share them in the same place, near copies not counted (two
+articles may quote one line, or be copies). Chrome is dropped even when unique. A page with a declared region
+keeps that region only, unless open lines that differencing leaves hold more text: then
+the region is a card, and both stay.
 
 Only line hashes take part in ordering and pairing: pages of a host with the same lines
 are one class (placed at its smallest path), so that copies meet their nearest different
@@ -37,11 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from revlens.llm.common import packed
+from revlens.llm.common import packed, small_side
 from revlens.llm.url_rules import host_of, path_of
 from revlens.session import materialize
 
 DECLARED, OPEN, CHROME = 2, 1, 0
+#: pages looked at on either side of a page
+AROUND = 3
 
 # HTML element and hint names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -218,41 +222,74 @@ def common_lines(mine: list[int], other: list[int]) -> list[int]:
 
 
 @F.pandas_udf(StructType([StructField("hashes", ArrayType(LongType())), StructField("marks", ArrayType(ByteType())),
-                          StructField("same", StringType())]))
+                          StructField("sizes", ArrayType(IntegerType())), StructField("same", StringType())]))
 def _line_hashes(pages: pd.Series) -> pd.DataFrame:
     import xxhash
     rows = [page_lines(p) for p in pages]
     return pd.DataFrame({"hashes": [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in r] for r in rows],
                          "marks": [[k for k, _ in r] for r in rows],
+                         "sizes": [[len(t) for _, t in r] for r in rows],
                          "same": [xxhash.xxh3_128_hexdigest("\n".join(t for _, t in r)) for r in rows]})
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def _shared(mine: pd.Series, other: pd.Series) -> pd.Series:
-    return pd.Series([common_lines(list(a), list(b)) for a, b in zip(mine, other)])
+def repeated_lines(mine: list[int], sizes: list[int], others: list[list[int]]) -> list[int]:
+    """Positions of declared lines that every one of several different pages shares in the
+    same place (counted from the start or the end of the region). A page that shares more
+    than half of the lines and of their text is a near copy and no evidence."""
+    common = []
+    for o in others:
+        at = common_lines(mine, o)
+        if 2 * len(at) <= len(mine) or 2 * sum(sizes[i] for i in at) <= sum(sizes):
+            common.append({i for i in at if i < len(o) and o[i] == mine[i]
+                           or len(mine) - i <= len(o) and o[i - len(mine)] == mine[i]})
+    return sorted(set.intersection(*common)) if len(common) > 1 else []
+
+
+@F.pandas_udf(StructType([StructField("near", ArrayType(IntegerType())),
+                          StructField("several", ArrayType(IntegerType()))]))
+def _shared(mine: pd.Series, marks: pd.Series, sizes: pd.Series, other: pd.Series, bodies: pd.Series) -> pd.DataFrame:
+    near, several = [], []
+    for a, k, n, o, rest in zip(mine, marks, sizes, other, bodies):
+        body = [i for i, mark in enumerate(k) if mark == DECLARED]
+        near.append(common_lines(list(a), list(o)))
+        several.append([body[i] for i in repeated_lines([a[i] for i in body], [n[i] for i in body],
+                                                        [list(r) for r in rest])])
+    return pd.DataFrame({"near": near, "several": several})
 
 
 def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(page, deleted): per different page the open lines (positions) it shares with
-    its nearest page by URL; pages that share none are left out."""
+    """(page, deleted): per different page the positions of the open lines it shares with
+    its nearest page by URL and of the declared lines all pages around it share; pages that
+    share none are left out."""
     rows = pages.select(F.xxhash64(F.col(url), F.col(html)).alias("page"), host_of(F.col(url)).alias("host"),
                         path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
     lines = rows.where((F.col("host") != "") & F.col("html").isNotNull()).select(
         "page", "host", "path", _line_hashes("html").alias("l")).select("page", "host", "path", "l.*")
     lines = materialize(lines.dropDuplicates(["page", "host", "path"]), "page-lines")
-    classes = lines.groupBy("host", "same").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"))
+    look = F.struct("hashes", "marks", "sizes")
+    classes = lines.groupBy("host", "same").agg(F.min("path").alias("path"), F.min_by(look, "page").alias("l")) \
+        .select("host", "path", "same", "l.*")
     order = ["host", "path", "same"]
+    body = F.filter("hashes", lambda h, i: F.get("marks", i) == DECLARED)
+    classes = classes.withColumn("body", body)
     ranged = materialize(classes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "page-order")
-    here = F.struct("host", "path", "hashes")
-    key = F.struct(*order)
-    ends = ranged.groupBy("part").agg(F.min_by(here, key).alias("first"), F.max_by(here, key).alias("last"))
-    across = Window.orderBy("part")                # one row per partition
-    ends = ends.select("part", F.lag("last").over(across).alias("before"), F.lead("first").over(across).alias("after"))
+    here = F.struct("host", "path", "hashes", "body")
     inside = Window.partitionBy("part").orderBy(*order)
-    near = ranged.join(ends, "part").select(
-        "same", "host", "path", "hashes",
-        F.coalesce(F.lag(here).over(inside), "before").alias("p"),
-        F.coalesce(F.lead(here).over(inside), "after").alias("q"))
+    steps = range(1, AROUND + 1)
+    # the outermost rows of every partition: what precedes and follows them lies among them
+    numbered = ranged.withColumn("i", F.row_number().over(inside)) \
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("part")))
+    across = Window.orderBy("part", "i")           # a few rows per partition
+    ends = numbered.where((F.col("i") <= AROUND) | (F.col("i") > F.col("n") - AROUND)).select(
+        F.col("host").alias("_h"), F.col("same").alias("_s"), *[F.lag(here, k).over(across).alias(f"b{k}") for k in steps],
+        *[F.lead(here, k).over(across).alias(f"a{k}") for k in steps])
+    near = ranged.select("*", *[F.lag(here, k).over(inside).alias(f"p{k}") for k in steps],
+                         *[F.lead(here, k).over(inside).alias(f"q{k}") for k in steps])
+    near = near.join(small_side(materialize(ends, "page-ends")),
+                     (F.col("host") == F.col("_h")) & (F.col("same") == F.col("_s")), "left")
+    near = near.select("same", "host", "path", "hashes", "marks", "sizes",
+                       *[F.coalesce(f"p{k}", f"b{k}").alias(f"p{k}") for k in steps],
+                       *[F.coalesce(f"q{k}", f"a{k}").alias(f"q{k}") for k in steps])
 
     def closeness(side):
         same = F.col(side)["host"] == F.col("host")
@@ -261,23 +298,30 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
             F.substring(F.col("path"), F.lit(1), k) == F.substring(F.col(side)["path"], F.lit(1), k))))
         return F.when(same, shared).otherwise(F.lit(-1))
 
-    other = F.when((F.col("cp") >= F.col("cq")) & (F.col("cp") >= 0), F.col("p")["hashes"]) \
-        .when(F.col("cq") >= 0, F.col("q")["hashes"])
-    picked = near.withColumn("cp", F.coalesce(closeness("p"), F.lit(-1))) \
-        .withColumn("cq", F.coalesce(closeness("q"), F.lit(-1))).select("host", "same", "hashes", other.alias("o"))
-    got = picked.where(F.col("o").isNotNull()).select("host", "same", _shared("hashes", "o").alias("at"))
-    got = materialize(got.where(F.size("at") > 0), "class-lines")
+    before = F.coalesce(closeness("p1"), F.lit(-1)) >= F.coalesce(closeness("q1"), F.lit(-1))
+    others = F.array(F.when(before, F.col("p1")).otherwise(F.col("q1")), F.when(before, F.col("q1")).otherwise(F.col("p1")),
+                     *[F.col(f"{side}{k}") for k in steps[1:] for side in "pq"])
+    picked = near.select("host", "same", "hashes", "marks", "sizes", F.filter(
+        others, lambda o: F.coalesce(o["host"] == F.col("host"), F.lit(False))).alias("o")).where(F.size("o") > 0)
+    got = picked.select("host", "same", _shared("hashes", "marks", "sizes", F.col("o")[0]["hashes"], F.col("o.body")).alias("at"))
+    got = materialize(got.select("host", "same", "at.*").where((F.size("near") > 0) | (F.size("several") > 0)),
+                      "class-lines")
     # every copy by its own marks: equal lines may stand in different elements
-    each = lines.join(got, ["host", "same"]).select(
-        "page", F.filter("at", lambda i: F.get("marks", i) == OPEN).alias("deleted"))
+    each = lines.join(got, ["host", "same"]).select("page", F.concat(
+        F.filter("near", lambda i: F.get("marks", i) == OPEN),
+        F.filter("several", lambda i: F.get("marks", i) == DECLARED)).alias("deleted"))
     return materialize(each.where(F.size("deleted") > 0).dropDuplicates(["page"]), "template-lines")
 
 
 def main_text(lines: list[tuple[int, str]], deleted=()) -> str:
-    if any(mark == DECLARED for mark, _ in lines):
-        return "\n".join(t for mark, t in lines if mark == DECLARED)
+    """The declared lines that differencing leaves; where open lines it leaves hold more
+    text, the declared region is only a card and both stay."""
     gone = set(deleted)
-    return "\n".join(t for i, (mark, t) in enumerate(lines) if mark == OPEN and i not in gone)
+    left = [(mark, t) for i, (mark, t) in enumerate(lines) if mark != CHROME and i not in gone]
+    size = {k: sum(len(t) for mark, t in left if mark == k) for k in (DECLARED, OPEN)}
+    if size[OPEN] <= size[DECLARED]:
+        left = [(mark, t) for mark, t in left if mark == DECLARED]
+    return "\n".join(t for _, t in left)
 
 
 @F.pandas_udf(StringType())

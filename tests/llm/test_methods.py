@@ -168,6 +168,27 @@ def test_copies_meet_the_nearest_different_page(spark):
     assert got[60] == got[51] == "Site name\ncopied\nImprint"
 
 
+def test_differencing_of_declared_lines(spark):
+    def host(name, body, n=8):
+        return [(name * 100 + i, f"https://h{name}.com/a/{i}", f"<body><div>Site</div>{body(i)}<p>Imprint</p></body>")
+                for i in range(n)]
+    words = ["w" + chr(97 + k) for k in range(20)]
+    rows = host(1, lambda i: f"<article><div class=x>Read our rules</div><p>Own text {i} of this page</p><p>Team</p></article>")
+    rows += host(2, lambda i: f"<main><div><div>Home</div><div>Shop</div></div><h1>T{i}</h1><p>Own text {i} here</p></main>")
+    rows += host(3, lambda i: f"<div>Body one of page {i}</div><article><p>Card {i}</p></article><div>Body two of {i}</div>")
+    # near copies keep what they share; so does a line that one other page quotes
+    rows += host(4, lambda i: "<article>" + "".join(f"<p>{w} line{i if k == i else ''}</p>" for k, w in enumerate(words))
+                 + "</article>")
+    rows += host(5, lambda i: f"<article><p>Quote {i // 2}</p><p>Own text {i} of this page</p></article>")
+    got = _texts(spark, rows)
+    for i in range(8):
+        assert got[100 + i] == f"Own text {i} of this page"
+        assert got[200 + i] == f"T{i}\nOwn text {i} here"
+        assert got[300 + i] == f"Body one of page {i}\nCard {i}\nBody two of {i}"
+        assert got[400 + i].count("\n") == 19
+        assert got[500 + i] == f"Quote {i // 2}\nOwn text {i} of this page"
+
+
 @pytest.mark.parametrize("page, want", [
     ("<article><p class=notice>Cookies<p>Real one</p><p>Real two</p></article>", "Real one\nReal two"),
     ("<article><p class=ad>Buy <b>now<h2>Title</h2><p>Real</article>", "Title\nReal"),

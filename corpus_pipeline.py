@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import decontamination, language_id, line_dedup, mixing, ngram_join
-from revlens.llm.common import packed, read
+from revlens.llm.common import maybe_member, membership, packed, read
 from revlens import session
 from revlens.session import drop_tables, materialize
 
@@ -61,13 +61,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group (five-word shingles, similarity 0.8)
-    and every document without a link."""
-    groups = ngram_join.link(docs.select("doc_id", "text"), n=5, percent=80)
-    keep = materialize(groups.where("doc is null or doc = component or n_shingles = 0")
-                       .select("doc").distinct(), "kept-ids")
-    rows = packed(docs).withColumn("_id", F.col("_row.doc_id").cast("long"))
-    return _rows(rows.join(keep, F.col("_id").eqNullSafe(F.col("doc")), "left_semi"))
+    """One row of each group (five-word shingles, similarity 0.8): that of the smallest id,
+    ties by the hash of id and text, one of a set of rows with equal id and text; and
+    every row without a word, equal rows once."""
+    groups = materialize(ngram_join.link(docs.select("doc_id", "text"), n=5, percent=80), "row-groups")
+    per_row = groups.groupBy("row").agg(F.first("doc").alias("doc"), F.first("group").alias("group"),
+                                        (F.count(F.lit(1)) > 1).alias("again"))
+    best = per_row.where("group is not null").groupBy("group").agg(
+        F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "again")).alias("b"))
+    keep = materialize(best.select("b.row", "b.again", F.lit(False).alias("empty")).unionByName(
+        per_row.where("group is null").select("row", "again", F.lit(True).alias("empty"))), "kept-rows")
+    rows = packed(docs).withColumn("_h", F.xxhash64(F.col("_row.doc_id").cast("long"), F.col("_row.text")))
+    once = rows.join(keep.where("not again"), F.col("_h") == F.col("row"), "left_semi")
+    # repeated rows are few: only they are brought together
+    many = keep.where("again")
+    many = maybe_member(rows, "_h", membership(many, "row")).where("_maybe").join(many, F.col("_h") == F.col("row"))
+    whole = F.xxhash64("_row")
+    many = many.groupBy("_h", F.when(F.col("empty"), whole).alias("_w")).agg(F.min_by("_row", whole).alias("_row"))
+    return _rows(once.select("_row").unionByName(many.select("_row")))
 
 
 @_stage

@@ -178,8 +178,9 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Column | None
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
          percent: int = 80) -> DataFrame:
-    """(doc, n_shingles, component) of every row; documents whose shingle sets have
-    100 * overlap >= percent * union are linked, component = smallest id of the group."""
+    """(doc, n_shingles, component, row, group) of every row; documents whose shingle sets have
+    100 * overlap >= percent * union are linked, component = smallest id of the group; row is
+    the hash of id and text, group the smallest one of a group's (null without a shingle)."""
     wide = materialize(prefixes(docs, frequency_table(docs, text, n), text, key, n, percent), "sets")
     written = session._WRITTEN[-1]
     base = materialize(wide.select("doc", "row", "n", "set"), "set-names")
@@ -222,6 +223,8 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
         "set", "rep", F.coalesce("component", "row").alias("component"))
     nodes = materialize(nodes, "class-groups")
     smallest = nodes.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named = materialize(nodes.join(smallest, "component").select("set", "smallest"), "class-names")
+    named = materialize(nodes.join(smallest, "component").select(
+        "set", "smallest", F.col("component").alias("group")), "class-names")
     return (base.join(named, "set", "left")
-            .select("doc", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc").alias("component")))
+            .select("doc", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc").alias("component"),
+                    "row", "group"))

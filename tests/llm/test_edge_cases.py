@@ -227,3 +227,17 @@ def test_stage(spark, hard, none, sf, name):
     if name == "ngram_join":
         ids = [r["doc_id"] for r in stage(spark, hard, sf).collect()]
         assert 1 in ids and 2 not in ids and {3, 4, 5, 6, 7, 8}.issubset(ids)
+
+
+def test_near_duplicate_stage_keeps_one_row_of_a_group(spark, sf):
+    a, b, c = ("one two three four five six seven", "red green blue black white grey pink", "just some other words here")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a, "x"), (None, a, "x"),      # one group
+            (None, b, "x"), (None, b, "x"), (None, b, "y"),                          # null ids only
+            (7, c, "x"), (7, c + " and more", "x"), (7, "nothing like the former ones", "x"),
+            (9, "", "x"), (9, "", "x"), (None, None, "x"), (None, None, "y"), (10, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [tuple(r) for r in dict(P.STAGES)["ngram_join"](spark, docs, sf).collect()]
+    assert sorted((t or "")[:3] for _, t, _ in got) == ["", "", "", "", "jus", "jus", "not", "one", "red"]
+    assert [i for i, t, _ in got if t == a] == [1]
+    assert sorted((str(i), t, s) for i, t, s in got if not t) == [
+        ("10", "", "x"), ("9", "", "x"), ("None", None, "x"), ("None", None, "y")]

@@ -71,3 +71,33 @@ def test_sequence_encode_single_shuffle(spark):
     body = plan(C.REGISTRY["sequence_encode"](spark, SF01)).split("\n\n")[0]
     shuffles = [ln for ln in body.splitlines() if "Exchange" in ln and "Broadcast" not in ln]
     assert len(shuffles) == 1 and "BroadcastExchange" in body
+
+
+def test_csv_keep_first_writes_range_parts(spark, monkeypatch):
+    """Each source is written by many tasks, in files whose names sort in id order."""
+    from revlens.sources import ingest
+    seen, read_csv = [], ingest.ingest_csv
+
+    def spy(spark, path, *rest):
+        seen.append(path)
+        return read_csv(spark, path, *rest)
+
+    monkeypatch.setattr(ingest, "ingest_csv", spy)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = C.REGISTRY["csv_keep_first"](spark, SF01)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(seen[0]) \
+        .select("Id", "Score", F.col("_metadata.file_path").alias("f")).groupBy("Score", "f") \
+        .agg(F.min(F.col("Id").cast("long")).alias("low"), F.max(F.col("Id").cast("long")).alias("high")).collect()
+    for score in ("5", "1"):
+        ends = [(r["low"], r["high"]) for r in sorted((r for r in files if r["Score"] == score), key=lambda r: r["f"])]
+        assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where(F.col("text").rlike("[A-Za-z0-9]"))
+    want = docs.groupBy("text").agg(F.min(F.col("doc_id") % 2).alias("odd"))
+    assert {(r["digest"], r["rating"]) for r in out.collect()} == {
+        (r["d"], 5.0 if r["odd"] == 0 else 1.0) for r in want.select(F.md5("text").alias("d"), "odd").collect()}

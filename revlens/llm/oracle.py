@@ -91,9 +91,61 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(ids.n,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
+def _codes() -> str:
+    """Four rounds of assignment and replacement, unrolled; distances as plain sums."""
+    floor = "(s - ((s % n) + n) % n) // n"
+    near = """SELECT vec_id, label, p, v, first(e ORDER BY far, e) AS e, min(far) AS far FROM
+        (SELECT x.vec_id, x.label, x.p, x.v, b.e,
+                list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS far
+         FROM x JOIN {book} b USING (p)) GROUP BY vec_id, label, p, v"""
+    parts = """WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+x AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS v
+                   FROM k, (SELECT unnest(range(4)) AS p)),
+b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v
+                    FROM x QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 256)"""
+    for r in range(4):
+        parts += f""",
+a{r} AS MATERIALIZED ({near.format(book=f"b{r}")}),
+u{r} AS (SELECT p, e, list({floor} ORDER BY i) AS v FROM
+         (SELECT p, e, i, sum(v[i])::BIGINT AS s, count(*) AS n
+          FROM (SELECT p, e, v, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY p, e, i) GROUP BY p, e),
+b{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(u{r}.v, b{r}.v) AS v FROM b{r} LEFT JOIN u{r} USING (p, e))"""
+    return parts + f""",
+f AS MATERIALIZED ({near.format(book="b4")}),
+c AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(far)::BIGINT AS error
+      FROM f GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM b4) AS codebooks_sha256
+FROM c
+"""
+
+
+_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+           FROM documents),
+g AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+                  THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, array_to_string(u[1:lo], '') AS a, array_to_string(u[lo + 1:hi], '') AS b,
+             array_to_string(u[hi + 1:n], '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+                        ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": _QUALITY,
     "op7_line_dedup": _LINES,
     "op9_ngram_join": _JACCARD,
     "op10_decontamination": _DECON,
+    "op12_vector_codes": _codes(),
+    "op13_fill_middle": _MIDDLE,
 }

@@ -1,4 +1,4 @@
-"""Queries of the ten operators and of the pipeline, with their SQL twins."""
+"""Queries of the operators and of the pipeline, with their SQL twins."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import (decontamination, html_extract, language_id, license_scan, line_dedup, mixing,
-                         ngram_join, quality_fm, quality_rules, url_rules)
+from revlens.llm import (decontamination, fill_middle, html_extract, language_id, license_scan, line_dedup, mixing,
+                         ngram_join, quality_fm, quality_rules, url_rules, vector_codes)
 from revlens.llm.common import read
 from revlens.llm.oracle import ORACLE
+from revlens.session import materialize
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +88,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vector_codes.fit(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    rows = vector_codes.errors_by(materialize(vector_codes.encode(model), "vector-codes"))
+    return rows.select("_row.vec_id", "code", "error", "label_error", F.lit(model.sha256).alias("codebooks_sha256"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transform(read(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    text = fill_middle.restore(F.col("output"), F.col("form"))
+    return rows.select("_row.doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_quality_rules, op3_license_scan, op4_quality_fm, op5_html_extract, op6_entropy_mix,
-        op7_line_dedup, op8_url_rules, op9_ngram_join, op10_decontamination)
+        op7_line_dedup, op8_url_rules, op9_ngram_join, op10_decontamination, op12_vector_codes, op13_fill_middle)
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import (decontamination, fill_middle, html_extract, language_id, license_scan, line_dedup, mixing,
+from revlens.llm import (class_lm, decontamination, fill_middle, html_extract, language_id, license_scan, line_dedup, mixing,
                          ngram_join, quality_fm, quality_rules, url_rules, vector_codes)
 from revlens.llm.common import read
 from revlens.llm.oracle import ORACLE
@@ -88,6 +88,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = language_id.held_out("doc_id", 7, 2)
+    model = class_lm.fit(docs.where(~held))
+    got = class_lm.score(docs, model)
+    return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known",
+                      F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = vector_codes.fit(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     rows = vector_codes.errors_by(materialize(vector_codes.encode(model), "vector-codes"))
@@ -105,7 +114,8 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_quality_rules, op3_license_scan, op4_quality_fm, op5_html_extract, op6_entropy_mix,
-        op7_line_dedup, op8_url_rules, op9_ngram_join, op10_decontamination, op12_vector_codes, op13_fill_middle)
+        op7_line_dedup, op8_url_rules, op9_ngram_join, op10_decontamination, op11_class_lm,
+        op12_vector_codes, op13_fill_middle)
 }
 
 

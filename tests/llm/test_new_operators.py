@@ -3,7 +3,10 @@ round trips and awkward rows."""
 
 import hashlib
 import math
+import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,9 +14,162 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from revlens.llm import fill_middle, vector_codes
+from revlens.llm import class_lm, fill_middle, vector_codes
+from revlens.llm.registry import REGISTRY
 from revlens.session import materialize
 
+# --- class-based language model --------------------------------------------------------
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _tokens(text):
+    return [w.encode().lower() for w in WORD.findall(text or "")]
+
+
+def _corpus(spark, n=240, seed=3):
+    r = random.Random(seed)
+    def sentence():
+        a, b, c = (r.choice(x) for x in (["the", "A", "one"], ["dog", "cat", "Cow", "é"], ["runs", "eats", "sleeps"]))
+        return f"{a} {b} {c}" + ("" if r.random() < .7 else f" on day{r.randrange(40)}")
+    rows = [(i, ". ".join(sentence() for _ in range(r.randrange(1, 6))), "s", 1.0, 2) for i in range(n)]
+    rows += [(900, None, "s", 1.0, 2), (901, "", "s", 1.0, 2), (902, " \n ", "s", 1.0, 2), (None, "the dog runs", "s", 1.0, 2),
+             (903, "never seen words here", "s", 1.0, 2), (5, rows[5][1], "s", 1.0, 2), (None, None, "s", 1.0, 2),
+             (904, "the\x85dog \x00 x", "s", 1.0, 2)]
+    return spark.createDataFrame(rows, "doc_id long, text string, word string, score double, n int"), rows
+
+
+def _brute_score(model, text):
+    """Token by token from the model's counts, classes and distributions."""
+    w = model.words
+    table = {r["word"]: r["n"] for r in w.table.collect()} if not hasattr(_brute_score, "t") else _brute_score.t
+    step, emit = model.transitions(), model.emissions()
+    place = {x: i for i, x in enumerate(w.known)}
+    base = total = 0.0
+    known, last = 0, 0
+    tokens = _tokens(text) + [None]
+    for t in tokens:
+        c = w.texts if t is None else table.get(bytes(t), 0)
+        known += c > 0
+        base += math.log10((c + 1) / (w.tokens + w.distinct + 1))
+        unit = 0 if t is None else (place[t] + 1 if place.get(t, 1 << 40) < w.n_units else
+                                    1 + w.n_units + zlib.crc32(t[-3:]) % w.groups)
+        total += step[model.classes[last], model.classes[unit]] + emit[unit]
+        if unit > w.n_units:
+            g = unit - 1 - w.n_units
+            if w.group_tokens[g]:
+                share = c - w.discount if c else w.discount * w.group_words[g]
+                total += math.log10(share / w.group_tokens[g])
+        last = unit
+    return len(tokens), known, base, total
+
+
+@pytest.mark.parametrize("max_known, max_units", [(1 << 18, 1 << 14), (8, 6), (6, 3), (0, 0)])
+def test_class_lm_against_brute_force(spark, monkeypatch, max_known, max_units):
+    df, rows = _corpus(spark)
+    model = class_lm.fit(df.where("doc_id % 7 <> 2"), classes=6, max_known=max_known, max_units=max_units, groups=16)
+    train = [_tokens(t) for i, t, *_ in rows if i is not None and i % 7 != 2]
+    count = Counter(x for t in train for x in t)
+    w = model.words
+    assert (w.tokens, w.distinct, w.texts) == (sum(count.values()) + len(train), len(count) + 1, len(train))
+    assert {bytes(r["word"]): r["n"] for r in w.table.collect()} == count
+    # the class matrix counts every pair of the training texts
+    assert model.matrix.sum() == w.tokens and model.matrix[0].sum() == w.texts
+    got = class_lm.score(df.repartition(3), model).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for i, t, *_ in rows:
+        by.setdefault(i, []).append(_brute_score(model, t))
+    for r in got:
+        near = [b for b in by[r["doc_id"]] if b[:2] == (r["n_tokens"], r["n_known"]) and abs(b[3] - r["score"]) < 1e-9]
+        assert near and abs(near[0][2] - r["base_score"]) < 1e-9
+        assert r["perplexity"] == pytest.approx(10 ** (-r["score"] / r["n_tokens"]))
+
+
+def test_class_lm_distributions_sum_to_one(spark):
+    df, _ = _corpus(spark)
+    model = class_lm.fit(df, classes=6, max_known=8, max_units=6, groups=16)
+    w = model.words
+    assert np.allclose((10 ** model.transitions()).sum(axis=1), 1)
+    share = 10 ** model.emissions()
+    assert np.allclose(np.bincount(model.classes, share)[np.unique(model.classes)], 1)
+    units = set(w.known[:w.n_units])
+    for g in np.flatnonzero(w.group_tokens):
+        mine = [r["n"] for r in w.table.collect() if bytes(r["word"]) not in units
+                and class_lm.group_of(bytes(r["word"]), 16) == g]
+        assert sum(n - w.discount for n in mine) + w.discount * len(mine) == pytest.approx(w.group_tokens[g])
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.integers(0, 2 ** 32), st.integers(2, 7), st.integers(3, 12))
+def test_gain_is_the_change_of_likelihood(seed, k, units):
+    rng = np.random.default_rng(seed)
+    pairs = rng.integers(0, 4, (units, units)) * rng.integers(0, 2, (units, units))
+    cls = rng.integers(0, k, units)
+
+    def matrix(c):
+        m = np.zeros((k, k), np.int64)
+        np.add.at(m, (c[:, None], c[None, :]), pairs)
+        return m
+    after, before = np.zeros((units, k)), np.zeros((units, k))
+    for c in range(k):
+        after[:, c], before[:, c] = pairs[:, cls == c].sum(axis=1), pairs[cls == c].sum(axis=0)
+    got = class_lm.gains(matrix(cls), after, before, np.diag(pairs).astype(float), cls)
+    for u in range(units):
+        for c in range(k):
+            moved = cls.copy()
+            moved[u] = c
+            want = class_lm.likelihood(matrix(moved)) - class_lm.likelihood(matrix(cls))
+            assert got[u, c] - got[u, cls[u]] == pytest.approx(want, abs=1e-6)
+
+
+def test_exchange_finds_the_generating_classes(spark):
+    """Words drawn from a chain of five word classes: the likelihood reached is near that of
+    those classes, and far from that of random ones."""
+    rng = np.random.default_rng(4)
+    jump = rng.dirichlet([0.15] * 5, 5)
+    texts = []
+    for _ in range(400):
+        c, out = int(rng.integers(5)), []
+        for _ in range(25):
+            out.append(f"c{c}x{min(11, int(rng.geometric(0.25)))}")
+            c = int(rng.choice(5, p=jump[c]))
+        texts.append((" ".join(out),))
+    df = spark.createDataFrame(texts, "text string")
+    words = class_lm.count_words(df, groups=4)
+    rows = class_lm.neighbours(df, words)
+    n = len(words.unit_counts)
+    cls, matrix = class_lm.exchange(rows, n, classes=6, sweeps=4)
+    true = np.zeros(n, np.int64)
+    true[1:words.n_units + 1] = [1 + int(w[1:2]) for w in words.known[:words.n_units]]
+    value = lambda c: class_lm.likelihood(class_lm.class_matrix(rows, c, 7))
+    best = max(value(np.r_[0, rng.integers(1, 6, n - 1)]) for _ in range(5))
+    assert class_lm.likelihood(matrix) > value(true) - 0.25 * (value(true) - best)     # a local optimum
+
+
+def test_class_lm_long_texts_in_pieces(spark, monkeypatch):
+    text = " ".join(f"W{i % 997}" for i in range(3000))
+    monkeypatch.setattr(class_lm, "PIECE", 64)
+    assert [w for p in class_lm.pieces(text.encode()) for w in p] == _tokens(text)
+    assert [w for p in class_lm.pieces(b"x" * 300 + b" y ") for w in p] == [b"x" * 300, b"y"]
+    assert list(class_lm.pieces(b"")) == [[]]
+
+
+def test_class_lm_without_training_rows(spark):
+    df, rows = _corpus(spark, 5)
+    model = class_lm.fit(df.where("false"), classes=4, groups=8)
+    got = class_lm.score(df, model).collect()
+    assert len(got) == len(rows) and all(r["n_known"] == 0 and r["base_score"] == 0 and r["score"] < 0 for r in got)
+    full = class_lm.fit(df, classes=4, groups=8)
+    assert class_lm.score(df.where("false"), full).count() == 0
+
+
+def test_class_lm_beats_the_unigram_on_held_out_texts(spark):
+    got = REGISTRY["op11_class_lm"](spark, "/root/testdata/sf0.001").where("held_out").agg(
+        F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert got["s"] > 0.9 * got["b"]
+
+
 # --- vector codes ---------------------------------------------------------------------
 
 

@@ -156,7 +156,7 @@ def test_class_lm_long_texts_in_pieces(spark, monkeypatch):
 
 
 def test_class_lm_without_training_rows(spark):
-    df, rows = _corpus(spark, 5)
+    df, rows = _corpus(spark, 8)
     model = class_lm.fit(df.where("false"), classes=4, groups=8)
     got = class_lm.score(df, model).collect()
     assert len(got) == len(rows) and all(r["n_known"] == 0 and r["base_score"] == 0 and r["score"] < 0 for r in got)

@@ -11,10 +11,14 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from revlens.operators import evaluate as EV
 from revlens.session import materialize
@@ -35,29 +39,81 @@ class NotConverged(RuntimeError):
     """The solver stopped at its iteration cap."""
 
 
-def fit_lr(train: DataFrame, features: str = "features", label: str = "label",
-           balanced: bool = True, C: float = 1.0, max_iter: int = 2000, tol: float = 1e-6):
-    """M9: returns the fitted Spark ML model (``model.summary.totalIterations`` says how
-    many steps it took); stopping at ``max_iter`` is an error, not a result.
-
-    Rows keep the partitions they come with (sized by bytes): every L-BFGS iteration
-    is one distributed aggregation over the cached vectors.
+#: weight of a levelling row, as a share of all weight
+LEVEL_SHARE = 1e-18
+
+
+def _levelling_rows(data: DataFrame, features: str, label: str, weights: list[str]) -> DataFrame:
+    """Rows of no weight that give every column the same spread.
+
+    Spark's solver works on columns divided by their standard deviation, which turns the
+    penalty on the plain coefficients into lambda / std^2: rare terms get a penalty a
+    million times that of common ones and L-BFGS takes thousands of steps. With equal
+    spreads the solver's scaling is one factor for all columns, the Hessian stays the
+    well-conditioned X'DX + lambda I, and coefficients need no scaling back.
+
+    Per weighting: +v and -v, once with each label, so that mean, intercept and (at 1e-18
+    of the weight) loss and gradient stay what they are, to about 1e-9."""
+    spark = data.sparkSession
+    stats = data.agg(*[F.struct(Summarizer.variance(F.col(features), F.col(w)).alias("v"), F.sum(w).alias("w")).alias(w)
+                       for w in weights]).first()                # one pass, one value per column
+    rows = []
+    for w in weights:
+        spread = stats[w]["v"].toArray()
+        lever = np.sqrt((spread.max(initial=0.0) - spread) / (4 * LEVEL_SHARE))
+        for sign in (1.0, -1.0):
+            for y in (0, 1):
+                mine = [LEVEL_SHARE * stats[w]["w"] if x == w else 0.0 for x in weights]
+                rows.append((Vectors.dense(sign * lever), y, *mine))
+    schema = StructType([StructField(features, VectorUDT()), StructField(label, IntegerType())]
+                        + [StructField(w, DoubleType()) for w in weights])
+    return spark.createDataFrame(rows, schema).coalesce(1).withColumn(label, F.col(label).cast(data.schema[label].dataType))
+
+
+def fit_lrs(train: DataFrame, balanced: list[bool], features: str = "features", label: str = "label",
+            C: float = 1.0, max_iter: int = 1000, tol: float = 1e-6) -> list:
+    """M9 for several class weightings of the same rows: they are read, cached and measured
+    once, and the fits run side by side over the cached vectors. Returns one fitted Spark
+    ML model per entry of ``balanced`` (``model.summary.totalIterations`` says how many steps it
+    took); stopping at ``max_iter`` is an error, not a result.
+
+    Rows keep the partitions they come with (a written table: sized by bytes); every L-BFGS
+    iteration is one distributed aggregation.
     """
-    from pyspark import StorageLevel
-    data = balanced_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
-    data = data.select(features, label, "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import StorageLevel, inheritable_thread_target
+    spark = train.sparkSession
+    data = balanced_weights(train.select(features, label), label, "w_balanced") if any(balanced) else train
+    weights = ["w_balanced" if b else "w_plain" for b in balanced]
+    used = sorted(set(weights))
+    data = data.withColumn("w_plain", F.lit(1.0)).select(features, label, *used).persist(StorageLevel.MEMORY_AND_DISK)
+    level = data.unionByName(_levelling_rows(data, features, label, used)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # sum of balanced weights equals the row count, as does the unweighted sum
         n = data.count()
-        lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", family="binomial",
-                                regParam=1.0 / (C * n), elasticNetParam=0.0,
-                                standardization=False, maxIter=max_iter, tol=tol)
-        model = lr.fit(data)
+
+        def one(weight: str):
+            lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol=weight, family="binomial",
+                                    regParam=1.0 / (C * n), elasticNetParam=0.0,
+                                    standardization=False, maxIter=max_iter, tol=tol)
+            return lr.fit(level)
+
+        with ThreadPool(len(used)) as pool:
+            models = dict(zip(used, pool.map(inheritable_thread_target(spark)(one), used)))
     finally:
+        level.unpersist()
         data.unpersist()
-    if model.summary.totalIterations >= max_iter:
-        raise NotConverged(f"no optimum after {max_iter} iterations")
-    return model
+    for model in models.values():
+        if model.summary.totalIterations >= max_iter:
+            raise NotConverged(f"no optimum after {max_iter} iterations")
+    return [models[w] for w in weights]
+
+
+def fit_lr(train: DataFrame, features: str = "features", label: str = "label",
+           balanced: bool = True, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-6):
+    """M9: one weighting (see ``fit_lrs``)."""
+    return fit_lrs(train, [balanced], features, label, C, max_iter, tol)[0]
 
 
 def score(model, df: DataFrame, id_col: str = "review_id", label: str = "label",

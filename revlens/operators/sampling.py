@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators import windows as W
+from revlens.session import materialize
 
 SEED = 42
 TEST_SIZE = 0.2
@@ -71,6 +72,13 @@ def stratified_split(ided: DataFrame, label: str = "label", test_size: float = T
     return ranked.join(F.broadcast(quotas), label).select("review_id", split)
 
 
+def ids_and_split(cleaned: DataFrame, key: str = "review_key", label: str = "label") -> DataFrame:
+    """W1 then W5 on (key, label) alone: (key, review_id, split). The ids are written once;
+    quotas and rank read that table, and the caller joins the result to the wide rows once."""
+    ids = materialize(W.numbered(cleaned.select(key, label), key), "row-ids")
+    return ids.select(key, "review_id").join(stratified_split(ids, label), "review_id")
+
+
 def sample_quotas(pool: DataFrame, n: int, label: str = "label") -> DataFrame:
     """Per-label quotas round_half_even(n * c / pool) of a stratified sample."""
     w = Window.partitionBy()

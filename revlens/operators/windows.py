@@ -65,9 +65,13 @@ def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[Column],
                                         for v in value_cols])
 
 
+def numbered(df: DataFrame, key: str, out: str = "review_id") -> DataFrame:
+    """``df`` (narrow: key and what must travel with it) plus ids 0..n-1 in ``key`` order."""
+    return row_numbers(df, [], [F.col(key)], out="_rn").withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn")
+
+
 def dense_ids(df: DataFrame, key: str, out: str = "review_id") -> DataFrame:
     """Ids 0..n-1 in ``key`` order (``key`` unique): (key, id) is made on the key
     alone and joined back once, so no wide column is ranged or sorted."""
-    ids = row_numbers(df.select(key), [], [F.col(key)], out="_rn").select(
-        F.col(key).alias("_id_key"), (F.col("_rn") - 1).cast("bigint").alias(out))
+    ids = numbered(df.select(key), key, out).withColumnRenamed(key, "_id_key")
     return df.join(ids, df[key] == ids["_id_key"]).drop("_id_key")

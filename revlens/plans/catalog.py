@@ -7,6 +7,7 @@ work grows with the data. Oracle SQL for the same names lives in
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,13 +104,12 @@ def q_dedup_first(spark, sf_dir):
 
 def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage tables, as the reference keeps its cleaned file and split file:
-    cleaned rows are written once, ids and the split are assigned over the
-    written rows, and the joined result is written partitioned by split."""
-    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=input_stamp(spark, sf_dir))
-    ided = S.assign_ids(cleaned)
-    # ids and labels only are ranked; the split joins the rows once, on the way out
-    with_split = S.attach_split(ided, S.stratified_split(ided))
-    return materialize(with_split, "reviews_split", memo=input_stamp(spark, sf_dir), partition_by="split")
+    cleaned rows are written once, ids and the split are assigned over their keys
+    and labels, and the joined result is written partitioned by split."""
+    stamp = input_stamp(spark, sf_dir)
+    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned", memo=stamp)
+    with_split = cleaned.join(S.ids_and_split(cleaned), "review_key")
+    return materialize(with_split, "reviews_split", memo=stamp, partition_by="split")
 
 
 def ided_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,13 +423,16 @@ def cached_scores(spark, sf_dir, config: dict, compute) -> DataFrame:
                                 dict(config, input=input_stamp(spark, sf_dir)), compute)
 
 
+def _dense(df):
+    return df.withColumn("fv", VEC.dense("features"))
+
+
 def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
     train = store.filter(F.col("split") == "train")
     if sample is not None:
         train = S.stratified_sample(train, sample)
-    data = lambda d: d.withColumn("fv", VEC.dense("features"))
-    model = MD.fit_lr(data(train), features="fv", C=C, balanced=balanced)
-    scored = MD.score(model, data(store.filter(F.col("split") == "test")), run_name=run_name)
+    model = MD.fit_lr(_dense(train), features="fv", C=C, balanced=balanced)
+    scored = MD.score(model, _dense(store.filter(F.col("split") == "test")), run_name=run_name)
     return model, scored
 
 
@@ -461,6 +464,12 @@ def q_ablation(spark, sf_dir):
     return MD.with_delta(out, "base")
 
 
+def _vectors(tf, docs, *more):
+    """Written TF-IDF vectors of ``docs``: every step of a solver reads them in partitions by size."""
+    rows = TF.vectorize(tf, docs.select("review_id", "label", "text_heavy_clean", *more))
+    return materialize(rows.drop("text_heavy_clean"), "tfidf-vectors")
+
+
 CONTROLLED_SAMPLE = 50_000     # bound on the labelled training rows of the comparison
 
 
@@ -468,15 +477,22 @@ CONTROLLED_SAMPLE = 50_000     # bound on the labelled training rows of the comp
 def q_controlled_comparison(spark, sf_dir):
     """Same stratified sample (at most CONTROLLED_SAMPLE rows, quotas checked) and
     test rows; balanced vs unweighted LR on inline TF-IDF bigrams; ranked (T7)."""
-    docs, train = train_test_docs(spark, sf_dir)
-    sample = S.stratified_sample(train, min(CONTROLLED_SAMPLE, train.count()), check=True)
-    tf = TF.fit(sample, ngram_max=2, max_features=20000)
-    vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
-    tr_v, te_v = vec(sample), vec(docs.filter(F.col("split") == "test"))
+    names = ("balanced", "unweighted")
+
+    @functools.cache
+    def fitted_pair():
+        # both weightings see the same written vectors, in one pass over them
+        docs, train = train_test_docs(spark, sf_dir)
+        sample = materialize(S.stratified_sample(train.select("review_id", "label", "text_heavy_clean"),
+                                                 min(CONTROLLED_SAMPLE, train.count()), check=True), "controlled-sample")
+        tf = TF.fit(sample, ngram_max=2, max_features=20000)
+        models = MD.fit_lrs(_vectors(tf, sample), [True, False])
+        return dict(zip(names, models)), _vectors(tf, docs.filter(F.col("split") == "test"))
+
     out = None
-    for name, bal in (("balanced", True), ("unweighted", False)):
+    for name in names:
         scores = cached_scores(spark, sf_dir, {"run": f"controlled-{name}", "sample": CONTROLLED_SAMPLE},
-                               lambda b=bal, n=name: MD.score(MD.fit_lr(tr_v, balanced=b), te_v, run_name=n))
+                               lambda n=name: MD.score(fitted_pair()[0][n], fitted_pair()[1], run_name=n))
         m = MD.run_metrics(scores)
         out = m if out is None else out.unionByName(m)
     return EV.leaderboard(out)
@@ -806,9 +822,9 @@ def q_tfidf_logreg(spark, sf_dir):
     def compute():
         docs, train = train_test_docs(spark, sf_dir)
         tf = TF.fit(train, ngram_max=2, max_features=20000)
-        vec = lambda d: TF.vectorize(tf, d.select("review_id", "label", "text_heavy_clean"))
-        model = MD.fit_lr(vec(train), balanced=True)
-        return MD.score(model, vec(docs.filter(F.col("split") == "test")), run_name="bigram-lr")
+        rows = _vectors(tf, docs, "split")
+        model = MD.fit_lr(rows.filter(F.col("split") == "train"), balanced=True)
+        return MD.score(model, rows.filter(F.col("split") == "test"), run_name="bigram-lr")
     return MD.run_metrics(cached_scores(spark, sf_dir, {"run": "bigram-lr"}, compute))
 
 

@@ -27,11 +27,11 @@ def data_job(spark: SparkSession, raw: DataFrame, out_dir: str, min_rows: int =
     cleaned = Q.clean_and_label(raw)
     sinks.write_cleaned(cleaned, f"{out_dir}/cleaned")                  # S6
     cleaned = spark.read.parquet(f"{out_dir}/cleaned")
-    ided = S.assign_ids(cleaned)                                        # W1
-    split = S.stratified_split(ided)                                    # W5
+    split = S.ids_and_split(cleaned)                                    # W1, W5
     if expected_split:
+        split = materialize(split, "ids-and-split")
         S.check_split_counts(split, expected_split)                     # P11
-    S.attach_split(ided, split).write.mode("overwrite").partitionBy("split") \
+    cleaned.join(split, "review_key").write.mode("overwrite").partitionBy("split") \
         .parquet(f"{out_dir}/reviews_split")                            # S7
     stored = spark.read.parquet(f"{out_dir}/reviews_split")
     S.assert_split_ok(stored.drop("split"), stored.select("review_id", "split"))  # J2, U2, J8

@@ -1,4 +1,4 @@
-"""Leak-free feature store, manifest and serving path.
+"""Leak-free feature store, manifest, saved transformer.
 
 The transformer (TF-IDF vocabulary + SVD components) is fitted on training
 rows only and applied to every row; the store keeps the split column, is
@@ -138,22 +138,3 @@ def load_transformer(spark, path: str) -> Transformer:
     settings = {k: meta[k] for k in ("tfidf_max_features", "tfidf_ngram_range",
                                      "tfidf_sublinear_tf", "svd_dims", "random_state")}
     return Transformer(tf, svd, settings)
-
-
-def serve(tr: Transformer, lr_model, requests: DataFrame, id_col: str = "request_id",
-          text_col: str = "text") -> DataFrame:
-    """Raw text in; label, confidence and the lightly cleaned text out
-    (transformer + classifier). ``id_col`` must be unique: two texts under one id would
-    be counted as one document."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    twice = requests.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    if twice:
-        raise ValueError(f"{id_col} names more than one request")
-    docs = requests.select(id_col, F.col(text_col), T.light_clean(text_col).alias("text_light_clean"),
-                           T.heavy_clean(text_col).alias("text_heavy_clean"))
-    feats = transform(tr, docs, id_col=id_col).withColumn("fv", array_to_vector("features"))
-    p = lr_model.setFeaturesCol("fv").transform(feats)
-    p_pos = vector_to_array("probability")[1]
-    return p.select(id_col, text_col, "text_light_clean",
-                    F.when(p_pos > 0.5, "positive").otherwise("negative").alias("label"),
-                    T.confidence(p_pos).alias("confidence"))

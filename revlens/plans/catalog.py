@@ -20,12 +20,13 @@ from revlens.operators import tfidf as TF
 from revlens.operators import evaluate as EV
 from revlens.operators import monitor as MO
 from revlens.operators import models as MD
+from revlens.operators import serving as SV
 from revlens.operators import store as ST
 from revlens.operators import vectors as VEC
 from revlens.sources import fingerprint as FP
 import uuid
 
-from revlens.session import input_stamp, materialize, memo_get, memo_put, own_folder, scratch_path
+from revlens.session import input_stamp, materialize, memo_get, memo_put, scratch_path
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -415,12 +416,20 @@ def q_store_conformance(spark, sf_dir):
     return ST.conformance(store, ST.manifest(spark, store, tr))
 
 
-def cached_scores(spark, sf_dir, config: dict, compute) -> DataFrame:
-    """(model, id, prob_neg, label) of a configuration over one input, computed
-    once and found again by its hash (input files included)."""
+#: changes when scores of the same configuration would: part of every cache key
+SCORES_VERSION = 3
+#: session setting: folder of the score cache (default: under the checkpoint folder), or "off"
+SCORE_CACHE = "revlens.scoreCache"
+
+
+def cached_scores(spark, sf_dir, config: dict, compute, folder: str | None = None) -> DataFrame:
+    """(model, id, prob_neg, label) of a configuration over one input, computed once and
+    found again, also by a later session, by its hash (version and input files included)."""
     from revlens.sources import ingest
-    return ingest.cached_scores(spark, own_folder(spark, "score-cache"),
-                                dict(config, input=input_stamp(spark, sf_dir)), compute)
+    folder = folder or spark.conf.get(SCORE_CACHE, None) or scratch_path(spark, "score-cache")
+    if folder == "off":
+        return materialize(compute(), "scores")
+    return ingest.cached_scores(spark, folder, dict(config, input=input_stamp(spark, sf_dir), version=SCORES_VERSION), compute)
 
 
 def _dense(df):
@@ -436,6 +445,21 @@ def _lr_on_store(store, run_name, sample=None, C=1.0, balanced=True):
     return model, scored
 
 
+def served(spark, sf_dir):
+    """Store, test scores and serving artifact (M12) of the balanced LR on the published store: fitted
+    and saved once per session and input, then loaded as a server does."""
+    from pyspark.ml import PipelineModel
+    key = (spark.sparkContext.applicationId, input_stamp(spark, sf_dir), "served")
+    if memo_get(key) is None:
+        store, tr = feature_store_of(spark, sf_dir)
+        model, scored = _lr_on_store(store, "served")
+        path = scratch_path(spark, f"serving-{uuid.uuid4().hex}")
+        SV.serving_model(tr, model).write().overwrite().save(path)
+        memo_put(key, (path, materialize(scored, "served-scores"), model))
+    path, scored, model = memo_get(key)
+    return feature_store_of(spark, sf_dir)[0], scored, model, PipelineModel.load(path)
+
+
 def store_scores(spark, sf_dir, run_name, C=1.0, **settings):
     """Test-row scores of a balanced LR on a feature store."""
     config = dict(dict(STORE_SETTINGS, **settings), run=run_name, C=C)
@@ -498,6 +522,16 @@ def q_controlled_comparison(spark, sf_dir):
     return EV.leaderboard(out)
 
 
+@query("controlled_counts")
+def q_controlled_counts(spark, sf_dir):
+    """Both runs of the comparison are scored on all test rows and ranked by macro F1."""
+    from pyspark.sql import Window
+    runs = materialize(q_controlled_comparison(spark, sf_dir), "controlled-runs")       # one row per run
+    every = F.collect_list("macro_f1").over(Window.partitionBy())
+    return runs.select("run_name", "n", F.size(every).cast("long").alias("n_runs"),
+                       (F.col("rank") == 1 + F.size(F.filter(every, lambda x: x > F.col("macro_f1")))).alias("ranked"))
+
+
 def drift_batches(spark, sf_dir) -> DataFrame:
     """A seeded sample of test reviews and all test reviews wrapped in markup noise,
     as (request_id, batch, text, truth) with an id per (batch, review), validated (P12)."""
@@ -522,28 +556,86 @@ def q_drift_counts(spark, sf_dir):
 @query("drift_experiment")
 def q_drift_experiment(spark, sf_dir):
     """Serve both batches; accuracy and confidence compared (A17 -> A19)."""
-    store, tr = feature_store_of(spark, sf_dir)
-    model, _ = _lr_on_store(store, "served")
+    return _drift(spark, sf_dir, served(spark, sf_dir)[3])
+
+
+def _drift(spark, sf_dir, model):
     batches = materialize(drift_batches(spark, sf_dir), "drift-batches")
-    served = ST.serve(tr, model, batches.where("accepted").select("request_id", "text"))     # M12
-    joined = batches.join(served.select("request_id", "label", "confidence"), "request_id", "left")   # J5
+    got = SV.serve(model, batches.where("accepted").select("request_id", "text"))     # M12
+    joined = batches.join(got.select("request_id", "label", "confidence"), "request_id", "left")   # J5
     rows = joined.select("request_id", "batch", F.lit(None).cast("string").alias("drift_type"),
                          (F.col("label") == "positive").cast("int").alias("pred"), "truth",
                          "confidence")
     return MO.drift_delta(MO.drift_metrics(rows, by_type=False))             # A17, A19
 
 
+def fixed_model(spark, sf_dir):
+    """A serving artifact without a solver: coefficients by vocabulary position (-5.0 to 5.0), saved and
+    loaded like the fitted one, so that SQL can follow every score."""
+    from pyspark.ml import PipelineModel
+    _, train = train_test_docs(spark, sf_dir)
+    tf = TF.fit(train, ngram_max=1, max_features=5000)
+    coefficients = tf.vocab.select("term", (((F.col("idx") * 37) % 101 - 50) / 10.0).alias("coefficient"))
+    path = scratch_path(spark, f"term-model-{uuid.uuid4().hex}")
+    SV.term_model(tf, coefficients, 0.25).write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+@query("fixed_drift")
+def q_fixed_drift(spark, sf_dir):
+    """R6, J5, A17, A19 through the serving artifact with given coefficients."""
+    d = _drift(spark, sf_dir, fixed_model(spark, sf_dir))
+    return d.select("metric", *_r6("baseline", "drifted", "change"))
+
+
+@query("fixed_scores")
+def q_fixed_scores(spark, sf_dir):
+    """Test reviews scored from raw text with given coefficients, all metrics of the run."""
+    docs, _ = train_test_docs(spark, sf_dir)
+    test = docs.filter(F.col("split") == "test").select("review_id", "review_text", "label")
+    got = SV.serve(fixed_model(spark, sf_dir), test.select("review_id", "review_text"), "review_id", "review_text")
+    scored = got.select("review_id", F.round(1 - F.col("p_positive"), 9).alias("prob_neg")).join(
+        test.select("review_id", F.col("label").alias("label")), "review_id").select(
+        F.lit("fixed").alias("model"), F.col("review_id").alias("id"), "prob_neg", "label")
+    m = MD.run_metrics(materialize(scored, "fixed-scores"))
+    return m.select("run_name", "n", *_r6(*RUN_METRICS))
+
+
+@query("store_types")
+def q_store_types(spark, sf_dir):
+    """stored features are 32-bit floats, also in the wide view with one column per dimension."""
+    store, tr = feature_store_of(spark, sf_dir)
+    k = tr.settings["svd_dims"]
+    view = ST.wide(store, k)
+    floats = sum(t == "float" for _, t in view.dtypes)
+    return store.groupBy(F.typeof("features").alias("feature_type")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("features") - F.lit(floats)).cast("long").alias("off_columns"))
+
+
+@query("log_clock")
+def q_log_clock(spark, sf_dir):
+    """every logged row has the time of its scoring, an ISO-8601 instant in UTC."""
+    from revlens.sources import sinks
+    path = scratch_path(spark, f"clock-{uuid.uuid4().hex}")
+    before = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
+    rows = V.requests(spark, sf_dir).select(F.col("request_id").alias("id"), F.current_timestamp().alias("ts"))
+    sinks.append_log(rows, path)
+    got = spark.read.schema("id long, timestamp string").json(path)
+    at = F.to_timestamp("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return got.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("timestamp").rlike(r"\+00:00$")).alias("in_utc"),
+                   F.count_if(at.between(F.lit(before), F.current_timestamp())).alias("in_time"))
+
+
 @query("serving_parity")
 def q_serving_parity(spark, sf_dir):
     """M12 against M10: the test reviews served from raw text get the confidence their
     stored features get."""
-    store, tr = feature_store_of(spark, sf_dir)
-    model, scored = _lr_on_store(store, "served")
+    _, scored, _, model = served(spark, sf_dir)
     docs, _ = train_test_docs(spark, sf_dir)
     test = docs.filter(F.col("split") == "test").select("review_id", "review_text")
-    served = ST.serve(tr, model, test, id_col="review_id", text_col="review_text")
+    got = SV.serve(model, test, id_col="review_id", text_col="review_text")
     p = 1 - F.col("prob_neg")
-    both = served.join(scored.select(F.col("id").alias("review_id"), T.confidence(p).alias("stored")), "review_id")
+    both = got.join(scored.select(F.col("id").alias("review_id"), T.confidence(p).alias("stored")), "review_id")
     return both.agg(F.count(F.lit(1)).alias("n_test"),
                     F.count_if(F.abs(F.col("confidence") - F.col("stored")) <= 1.5e-4).alias("n_equal"))
 
@@ -601,8 +693,7 @@ def q_svd_energy(spark, sf_dir):
 def q_lr_optimum(spark, sf_dir):
     """M9: at the optimum the unpenalised intercept makes the weighted mean of
     P(positive) equal the weighted share of positives, one half when balanced."""
-    store, _ = feature_store_of(spark, sf_dir)
-    model, _ = _lr_on_store(store, "served")
+    store, _, model, _ = served(spark, sf_dir)
     train = MD.balanced_weights(store.filter(F.col("split") == "train")).withColumn("fv", VEC.dense("features"))
     from pyspark.ml.functions import vector_to_array
     p = model.transform(train).select("weight", vector_to_array("probability")[1].alias("p"))
@@ -693,8 +784,9 @@ def q_cached_score_metrics(spark, sf_dir):
     """The score table is written under its configuration's hash, then found again."""
     def missing():
         raise AssertionError("the score table was not reused")
-    cached_scores(spark, sf_dir, {"run": "scored-view"}, lambda: V.scored(spark, sf_dir))
-    again = cached_scores(spark, sf_dir, {"run": "scored-view"}, missing)
+    folder = scratch_path(spark, f"score-cache-{uuid.uuid4().hex}")
+    cached_scores(spark, sf_dir, {"run": "scored-view"}, lambda: V.scored(spark, sf_dir), folder)
+    again = cached_scores(spark, sf_dir, {"run": "scored-view"}, missing, folder)
     m = EV.metric_bundle(again)
     return m.select("model", "n", *_r6(*RUN_METRICS))
 
@@ -791,11 +883,10 @@ def q_scoring_stream(spark, sf_dir):
     """Request bodies streamed through validation and the served model;
     accepted rows land in the log, rejected rows in quarantine."""
     from revlens.streaming import scoring_stream as SS
-    store, tr = feature_store_of(spark, sf_dir)
-    model, _ = _lr_on_store(store, "served")
+    model = served(spark, sf_dir)[3]
     base = scratch_path(spark, f"scoring-stream-{uuid.uuid4().hex}")
     SS.bodies(V.requests(spark, sf_dir)).write.mode("overwrite").json(f"{base}/in")
-    q = SS.start(spark, tr, model, "store-lr", f"{base}/in", f"{base}/log",
+    q = SS.start(spark, model, "store-lr", f"{base}/in", f"{base}/log",
                  f"{base}/quarantine", f"{base}/ckpt")
     q.awaitTermination()
     from revlens.sources import ingest
@@ -861,11 +952,10 @@ def q_serve_and_monitor(spark, sf_dir):
     prediction log, and the count-window monitor stream reads that log."""
     from revlens.streaming import monitor_stream as MS
     from revlens.streaming import scoring_stream as SS
-    store, tr = feature_store_of(spark, sf_dir)
-    model, _ = _lr_on_store(store, "served")
+    model = served(spark, sf_dir)[3]
     base = scratch_path(spark, f"serve-monitor-{uuid.uuid4().hex}")
     SS.bodies(V.requests(spark, sf_dir)).write.mode("overwrite").json(f"{base}/in")
-    SS.start(spark, tr, model, "store-lr", f"{base}/in", f"{base}/log",
+    SS.start(spark, model, "store-lr", f"{base}/in", f"{base}/log",
              f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
     sig = MS.run_to_table(spark, f"{base}/log", f"{base}/signals", f"{base}/ckpt-monitor")
     return sig.select("model", "predictions", *_r6("mean_confidence", "low_confidence_rate",

@@ -185,7 +185,7 @@ FROM lens""")
 
 # --- evaluation ---------------------------------------------------------------------
 
-_CONF = f"""{S.VIEWS['scored']},
+_BUNDLE = """
 conf AS (
   SELECT model, count(*) AS n,
     count(*) FILTER (WHERE prob_neg > 0.5 AND label = 0) AS caught,
@@ -233,6 +233,8 @@ runs AS (
     SELECT model, sum(CAST(CAST('0x' || substr(md5(md5(CAST(id AS VARCHAR))), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS fp
     FROM scored GROUP BY model) f ON b.model = f.model)"""
 
+_CONF = f"{S.VIEWS['scored']},{_BUNDLE}"
+
 R6 = lambda *cs: ", ".join(f"round({c}, 6) AS {c}" for c in cs)
 
 oracle("confusion", f"""
@@ -492,3 +494,38 @@ b AS (SELECT 'baseline' AS batch, review_text AS t FROM (
 v AS (SELECT batch, length(t) <= 5000 AND regexp_matches({S.light('t')}, '[A-Za-z0-9]') AS ok FROM b)
 SELECT batch, count(*) AS n, count(*) FILTER (WHERE ok) AS scored, count(*) FILTER (WHERE NOT ok) AS rejected
 FROM v GROUP BY batch""")
+
+# --- model half without a solver: given coefficients through the serving artifact --------
+
+_FIXED = f"""{S.tfidf_cte(1, 5000, False)},
+margin AS (SELECT review_id, sum(weight * (((idx * 37) % 101 - 50) / 10.0::DOUBLE)) AS m FROM weights GROUP BY review_id),
+fixed AS (SELECT d.review_id, d.review_text, d.label, 1 / (1 + exp(-(coalesce(g.m, 0) + 0.25::DOUBLE))) AS p
+          FROM docs d LEFT JOIN margin g ON d.review_id = g.review_id WHERE d.split = 'test')"""
+oracle("fixed_scores", f"""
+WITH {_FIXED},
+scored AS (SELECT review_id AS id, 'fixed' AS model, round(1 - p, 9) AS prob_neg, label FROM fixed),{_BUNDLE}
+SELECT model AS run_name, n, {R6('accuracy', 'macro_f1', 'roc_auc', 'negative_precision', 'negative_recall')} FROM bundle""")
+oracle("fixed_drift", f"""
+WITH {_FIXED},
+sent AS (SELECT 'baseline' AS batch, review_text AS t, p, label FROM (
+           SELECT * FROM fixed ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id LIMIT 200)
+         UNION ALL SELECT 'drifted', concat('<br />', review_text, ' <b>x</b>'), p, label FROM fixed),
+judged AS (SELECT batch, label AS truth, CAST(p > 0.5 AS INTEGER) AS pred,
+             CASE WHEN length(t) <= 5000 AND regexp_matches({S.light('t')}, '[A-Za-z0-9]') THEN round(greatest(p, 1 - p), 4) END AS confidence
+           FROM sent),
+d AS (SELECT batch, {_DRIFT_AGGS} FROM judged GROUP BY batch),
+l AS (SELECT batch, unnest(['accuracy', 'mean_confidence', 'low_confidence_rate']) AS metric,
+        unnest([accuracy, mean_confidence, low_confidence_rate]) AS value FROM d),
+w AS (SELECT metric, max(value) FILTER (WHERE batch = 'baseline') AS baseline,
+        max(value) FILTER (WHERE batch = 'drifted') AS drifted FROM l GROUP BY metric)
+SELECT metric, round(baseline, 6) AS baseline, round(drifted, 6) AS drifted, round(drifted - baseline, 6) AS change FROM w""")
+oracle("store_types", f"""
+WITH {S.split_cte()}
+SELECT 'array<float>' AS feature_type, count(*) AS n, 0::BIGINT AS off_columns FROM split""")
+oracle("log_clock", f"""
+WITH {S.VIEWS['requests']}
+SELECT count(*) AS n, count(*) AS in_utc, count(*) AS in_time FROM requests""")
+oracle("controlled_counts", f"""
+WITH {S.docs_cte()},
+t AS (SELECT count(*) AS n FROM docs WHERE split = 'test')
+SELECT unnest(['balanced', 'unweighted']) AS run_name, n, 2::BIGINT AS n_runs, true AS ranked FROM t""")

@@ -120,15 +120,6 @@ def drop_tables(tables) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def own_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this application under the checkpoint location that
-    ``forget_stages`` clears."""
-    path = scratch_path(spark, f"{name}-{spark.sparkContext.applicationId}")
-    if all(p != path for _, p in _WRITTEN):
-        _WRITTEN.append((spark, path))
-    return path
-
-
 _MEMO: dict = {}
 
 

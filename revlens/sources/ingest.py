@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 # ---------------------------------------------------------------------------
 
 LOG_SCHEMA = ("id long, timestamp string, model string, text string, label string, "
-              "confidence double, word_count int, latency_ms double")
+              "confidence double, word_count int, latency_ms double, text_light_clean string")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -87,12 +88,22 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
 
 
 def cached_scores(spark: SparkSession, folder: str, config: dict, compute) -> DataFrame:
-    """The score table of ``config`` (any JSON-able settings, its hash names the
-    folder): reused if a complete one exists, else computed and written."""
+    """The score table of ``config`` (any JSON-able settings, the input's fingerprint among
+    them; its hash names the folder). A complete one is reused, by any session that sees the
+    folder; else it is computed, written aside and moved into place when the write is
+    committed, so a reader never finds half a table and of two writers the first wins."""
     digest = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:24]
     path = f"{folder.rstrip('/')}/scores-{digest}"
     if not _complete(spark, path):
-        compute().write.mode("overwrite").parquet(path)
+        aside = f"{folder.rstrip('/')}/writing-{digest}-{uuid.uuid4().hex}"
+        compute().write.parquet(aside)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        src, dst = hadoop.Path(aside), hadoop.Path(path)
+        fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if _exists(spark, path) and not _complete(spark, path):
+            fs.delete(dst, True)             # left by a write that never finished
+        if _complete(spark, path) or not fs.rename(src, dst):
+            fs.delete(src, True)
     return spark.read.parquet(path)
 
 

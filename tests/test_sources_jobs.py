@@ -140,10 +140,90 @@ def test_transformer_save_load_and_caches(spark):
             ids = pq.read_table(os.path.join(folder, name), columns=["review_id"]).column(0).to_pylist()
             assert ids == sorted(ids)
     # An id may name one request only
+    from revlens.operators import serving as SV
     with pytest.raises(ValueError, match="more than one"):
-        ST.serve(tr, None, spark.createDataFrame([(1, "a"), (1, "b")], "request_id long, text string"))
+        SV.serve(None, spark.createDataFrame([(1, "a"), (1, "b")], "request_id long, text string"))
     # Copy the split from an existing store, else recompute
     ST.write_store(store, f"{out}/features")
     got = ingest.split_with_fallback(spark, f"{out}/features", lambda: None)
     assert got.count() == store.count() and got.columns == ["review_id", "split"]
     assert ingest.split_with_fallback(spark, f"{out}/missing", lambda: "recomputed") == "recomputed"
+
+
+def test_serving_artifact_in_a_fresh_session(spark):
+    """Saved as one artifact, loaded by another process: same labels and confidences."""
+    import json
+    import subprocess
+    import sys
+
+    from revlens.operators import serving as SV
+    from revlens.plans import catalog as C
+    out = tempfile.mkdtemp(prefix="revlens-artifact-")
+    store, tr = C.feature_store_of(spark, SF001, k=4, max_features=300)
+    model = SV.serving_model(tr, C._lr_on_store(store, "served")[0])
+    model.write().overwrite().save(f"{out}/model")
+    rows = [(1, "<b>Good</b> the  on it"), (2, ""), (3, None)]
+    rows += [(10 + i, r["review_text"]) for i, r in enumerate(store.sparkSession.read.parquet(
+        f"{SF001}/documents.parquet").selectExpr("text AS review_text").limit(20).collect())]
+    requests = spark.createDataFrame(rows, "request_id long, text string")
+    requests.write.parquet(f"{out}/requests")
+    want = {r["request_id"]: [r["label"], r["confidence"], r["text_light_clean"]] for r in SV.serve(model, requests).collect()}
+    code = f"""
+import json
+from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+from revlens.operators import serving as SV
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false") \\
+    .config("spark.sql.shuffle.partitions", "2").getOrCreate()
+got = SV.serve(PipelineModel.load({out + "/model"!r}), spark.read.parquet({out + "/requests"!r})).collect()
+print("RESULT" + json.dumps({{r["request_id"]: [r["label"], r["confidence"], r["text_light_clean"]] for r in got}}))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=240)
+    line = next((ln for ln in run.stdout.splitlines() if ln.startswith("RESULT")), run.stderr[-2000:])
+    assert {int(k): v for k, v in json.loads(line.removeprefix("RESULT")).items()} == want and len(want) == 23
+
+
+def test_term_model_is_a_sum_over_known_terms(spark):
+    import math
+
+    from pyspark.ml import PipelineModel
+
+    from revlens.operators import serving as SV
+    from revlens.operators import tfidf as TF
+    docs = spark.createDataFrame([(1, "good tasty snack"), (2, "stale snack"), (3, "good")], "review_id long, text_heavy_clean string")
+    tf = TF.fit(docs, ngram_max=1, max_features=None)
+    coef = spark.createDataFrame([("good", 3.0), ("stale", -4.0)], "term string, coefficient double")
+    path = tempfile.mkdtemp(prefix="revlens-term-") + "/m"
+    SV.term_model(tf, coef, 0.5).write().overwrite().save(path)
+    req = spark.createDataFrame([(7, "GOOD <i>"), (8, "stale!"), (9, "unknown words"), (10, None)], "request_id long, text string")
+    got = {r["request_id"]: (r["label"], r["p_positive"]) for r in SV.serve(PipelineModel.load(path), req).collect()}
+    for rid, z in ((7, 3.5), (8, -3.5), (9, 0.5), (10, 0.5)):
+        assert got[rid][1] == pytest.approx(1 / (1 + math.exp(-z))) and got[rid][0] == ("positive" if z > 0 else "negative")
+
+
+def test_score_cache_outlives_the_session(spark):
+    """A second application finds the table, a changed input does not."""
+    from revlens.plans import catalog as C
+    from revlens.session import forget_stages
+    d, folder = tempfile.mkdtemp(prefix="revlens-in-"), tempfile.mkdtemp(prefix="revlens-cache-")
+    spark.range(3).write.mode("overwrite").parquet(f"{d}/t")
+    calls = []
+
+    def compute():
+        calls.append(1)
+        return spark.range(5)
+    assert C.cached_scores(spark, d, {"C": 1}, compute, folder).count() == 5
+    forget_stages()                                     # what a session knows and owns is gone
+    assert C.cached_scores(spark.newSession(), d, {"C": 1}, compute, folder).count() == 5 and len(calls) == 1
+    assert not [f for f in os.listdir(folder) if f.startswith("writing")]
+    spark.range(1).write.mode("append").parquet(f"{d}/t")
+    C.cached_scores(spark, d, {"C": 1}, compute, folder)
+    assert len(calls) == 2
+    spark.conf.set(C.SCORE_CACHE, "off")
+    try:
+        C.cached_scores(spark, d, {"C": 1}, compute)
+        C.cached_scores(spark, d, {"C": 1}, compute)
+    finally:
+        spark.conf.unset(C.SCORE_CACHE)
+    assert len(calls) == 4

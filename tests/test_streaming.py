@@ -98,6 +98,7 @@ def test_scoring_stream_matches_batch_validation(spark):
     import uuid
 
     from revlens.operators import monitor as MO
+    from revlens.operators import serving as SV
     from revlens.plans import catalog as C
     from revlens.session import scratch_path
     from revlens.sources import ingest
@@ -106,11 +107,11 @@ def test_scoring_stream_matches_batch_validation(spark):
     from tests.conftest import SF001
 
     store, tr = C.feature_store_of(spark, SF001, k=4, max_features=500)
-    model, _ = C._lr_on_store(store, "served")
+    model = SV.serving_model(tr, C._lr_on_store(store, "served")[0])
     base = scratch_path(spark, f"test-scoring-{uuid.uuid4().hex}")
     reqs = V.requests(spark, SF001)
     SS.bodies(reqs).repartition(3).write.json(f"{base}/in")
-    SS.start(spark, tr, model, "m", f"{base}/in", f"{base}/log", f"{base}/quarantine",
+    SS.start(spark, model, "m", f"{base}/in", f"{base}/log", f"{base}/quarantine",
              f"{base}/ckpt").awaitTermination()
     logged = {r["id"] for r in ingest.read_log(spark, f"{base}/log").select("id").collect()}
     quarantined = {r["request_id"]: r["reject_reason"]
@@ -118,3 +119,55 @@ def test_scoring_stream_matches_batch_validation(spark):
     batch = {r["request_id"]: r["reject_reason"] for r in MO.validate_text(reqs).collect()}
     assert logged == {k for k, v in batch.items() if v is None}
     assert quarantined == {k: v for k, v in batch.items() if v is not None}
+    light = {r["request_id"]: r["text_light_clean"] for r in MO.validate_text(reqs).where("accepted").collect()}
+    assert {r["id"]: r["text_light_clean"] for r in ingest.read_log(spark, f"{base}/log").collect()} == light
+
+
+def test_repeated_ids_go_to_quarantine_and_the_stream_goes_on(spark):
+    """Repeats inside a micro-batch, in a later one and after a restart; rows without an id."""
+    import uuid
+
+    from revlens.plans import catalog as C
+    from revlens.session import scratch_path
+    from revlens.sources import ingest
+    from revlens.streaming import scoring_stream as SS
+    from tests.conftest import SF001
+
+    model = C.fixed_model(spark, SF001)
+    base = scratch_path(spark, f"test-repeat-{uuid.uuid4().hex}")
+
+    def send(*rows):
+        bodies = spark.createDataFrame([(i, '{"text": "%s"}' % t) for i, t in rows], "request_id long, body string")
+        bodies.coalesce(1).write.mode("append").json(f"{base}/in")
+        SS.start(spark, model, "m", f"{base}/in", f"{base}/log", f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
+
+    send((1, "one"), (2, "two"), (2, "two again"), (None, "nobody"))
+    send((1, "one later"), (3, "three"), (None, "nobody"))
+    send((3, "!!!"), (4, "four"))
+    logged = [r["id"] for r in ingest.read_log(spark, f"{base}/log").collect()]
+    assert sorted(logged) == [1, 2, 3, 4]
+    bad = [(r["request_id"], r["reject_reason"]) for r in spark.read.parquet(f"{base}/quarantine").collect()]
+    assert sorted(bad, key=repr) == sorted([(1, SS.MSG_REPEAT), (2, SS.MSG_REPEAT), (3, SS.MSG_REPEAT),
+                                            (None, SS.MSG_NO_ID), (None, SS.MSG_NO_ID)], key=repr)
+
+
+def test_repeat_state_expires():
+    from revlens.streaming.scoring_stream import repeat_marker
+
+    class State(FakeState):
+        hasTimedOut = False
+        timeout = None
+
+        def remove(self):
+            self.value = None
+
+        def setTimeoutDuration(self, ms):
+            self.timeout = ms
+
+    rows = pd.DataFrame({"request_id": [7, 7], "body": ["a", "b"]})
+    st = State()
+    mark = repeat_marker(1000)
+    assert [list(o["repeat"]) for o in mark((7,), iter([rows, rows]), st)] == [[False, True], [True, True]]
+    assert st.value == (4,) and st.timeout == 1000
+    st.hasTimedOut = True
+    assert list(mark((7,), iter([]), st)) == [] and not st.exists

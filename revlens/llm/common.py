@@ -16,8 +16,10 @@ SPACES = r"[\x20\x09-\x0D]+"
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-#: rows up to which a written side table may be broadcast; beyond it the same join shuffles
+#: rows and bytes on disk up to which a written side table may be broadcast; beyond
+#: either the same join shuffles
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +59,21 @@ def hash_share(h: Column, rows: Column | int, wanted: int) -> Column:
     return part * rows < wanted + 8 * wanted ** 0.5 + 16
 
 
+def written_bytes(df: DataFrame) -> int:
+    """Size of the files a frame over written tables reads."""
+    spark = df.sparkSession
+    conf, total = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for name in df.inputFiles():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast hint for a *written* table of at most BROADCAST_ROWS rows; beyond
-    that the frame is returned as it is and the join shuffles."""
+    """Broadcast hint for a *written* table of at most BROADCAST_ROWS rows and
+    BROADCAST_BYTES bytes; beyond that the frame is returned as it is and the join shuffles."""
+    if written_bytes(df) > BROADCAST_BYTES:
+        return df
     n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 

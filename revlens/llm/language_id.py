@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import hash_share
+from revlens.llm.common import hash_share, packed
 
 UNDETERMINED = "und"
 PIECE = 4096        # bytes encoded at a time, so the dictionary matters along the whole text
@@ -41,9 +41,10 @@ class LanguageModel:
 
 
 def letter_words(text: Column) -> Column:
-    """Distinct lower-cased letter runs joined by spaces ('' for none)."""
+    """Distinct lower-cased runs of letters and marks joined by spaces ('' without a letter)."""
     runs = F.split(F.lower(text), r"[^\p{L}\p{M}]+")
-    return F.coalesce(F.array_join(F.array_remove(F.array_distinct(runs), ""), " "), F.lit(""))
+    words = F.array_join(F.array_remove(F.array_distinct(runs), ""), " ")
+    return F.when(text.rlike(r"\p{L}"), words).otherwise("")
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
@@ -102,7 +103,7 @@ def decide(words: str, encoders: list, languages: tuple[str, ...]) -> tuple[str,
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text",
             min_margin: float = 0.005, out: str = "language") -> DataFrame:
-    """``docs`` plus the struct ``out``: lang, score (0 to 1), margin, rejected.
+    """``_row`` (the whole input row) and the struct ``out``: lang, score (0 to 1), margin, rejected.
     Only the normalised words of a batch are in a Python worker at a time."""
     spec = "lang string, score double, margin double"
 
@@ -113,8 +114,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text",
             yield pd.DataFrame([decide(w, encoders, model.languages) for w in batch],
                                columns=["lang", "score", "margin"])
 
-    got = classify(letter_words(F.col(text)))
-    kept = docs.withColumn(out, got)
+    rows = packed(docs)
+    kept = rows.withColumn(out, classify(letter_words(F.col("_row")[text])))
     p = F.col(out)
     return kept.withColumn(out, F.struct(
         p["lang"].alias("lang"), p["score"].alias("score"), p["margin"].alias("margin"),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import SPACES, hash_share, words
+from revlens.llm.common import SPACES, hash_share, packed, words
 
 BITS = 16
 STAT_SLOTS = 1 << 10   # ids after the words' for statistics and metadata
@@ -152,7 +152,7 @@ def fit(labelled: DataFrame, label: str = "label", key: str = "doc_id", ids: str
 
 
 def score(docs: DataFrame, model: FactorMachine, ids: str = "features", out: str = "score") -> DataFrame:
-    """``docs`` plus the probability of label 1."""
+    """``_row`` (the whole input row) and the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.linear, model.factors))
 
     @F.pandas_udf("double")
@@ -163,4 +163,4 @@ def score(docs: DataFrame, model: FactorMachine, ids: str = "features", out: str
             got = [fm.score(lists[i:i + 256]) for i in range(0, len(lists), 256)]
             yield pd.Series(np.concatenate(got) if got else np.zeros(0))
 
-    return docs.withColumn(out, run(F.col(ids)))
+    return packed(docs).withColumn(out, run(F.col("_row")[ids]))

@@ -18,7 +18,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(~language_id.held_out()))
     got = language_id.predict(docs.select("doc_id", "text"), model)
-    return got.select("doc_id", language_id.held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"),
+    return got.select("_row.doc_id", language_id.held_out("_row.doc_id").alias("held_out"),
+                      F.col("language.lang").alias("lang_pred"),
                       F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
 
 
@@ -39,13 +40,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    held = language_id.held_out("doc_id", 3, 1)
     rows = docs.select("doc_id", quality_fm.features(F.col("text"), {"n_chars": F.length("text")}).alias("features"))
     labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), F.col("quality").alias("label"))
-    labelled = rows.where(~held).join(labels, F.col("doc_id") == F.col("label_id"))
+    labelled = rows.where(~language_id.held_out("doc_id", 3, 1)).join(labels, F.col("doc_id") == F.col("label_id"))
     model = quality_fm.fit(labelled.select("doc_id", "label", "features"))
     got = quality_fm.score(rows, model)
-    return got.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return got.select("_row.doc_id", language_id.held_out("_row.doc_id", 3, 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,10 +47,14 @@ def sf(spark, tmp_path_factory):
 def test_language_id(spark, hard, none):
     model = language_id.fit(hard)
     assert set(model.languages) <= {"en", "de", "fr", "ja"}
+    marks = hard.limit(1).withColumn("text", F.lit("\u0301\u0302 \u0301")).withColumn("language", F.lit("mine"))
+    marks = marks.withColumn("_row", F.lit(1))
+    r = language_id.predict(marks, model).first()
+    assert r["language"]["lang"] == "und" and r["language"]["rejected"] and r["_row"]["language"] == "mine"
     got = language_id.predict(hard, model).collect()
     assert len(got) == 16
     for r in got:
-        letters = any(c.isalpha() for c in (r["text"] or ""))
+        letters = any(c.isalpha() for c in (r["_row"]["text"] or ""))
         assert (r["language"]["lang"] == "und") == (not letters)
         assert 0 <= r["language"]["score"] <= 1
     empty = language_id.fit(none)
@@ -124,6 +128,8 @@ def test_quality_fm(hard, none):
     model = quality_fm.fit(rows)
     scores = [r["score"] for r in quality_fm.score(rows, model).collect()]
     assert len(scores) == 16 and all(0 <= s <= 1 for s in scores)
+    clash = quality_fm.score(rows.withColumn("score", F.lit("mine")), model).first()
+    assert clash["_row"]["score"] == "mine" and 0 <= clash["score"] <= 1
     one_kind = quality_fm.fit(rows.withColumn("label", F.lit(1)))
     assert all(r["score"] > 0.99 for r in quality_fm.score(rows, one_kind).collect())
     nothing = quality_fm.fit(rows.where("false"))

@@ -41,15 +41,16 @@ def _stage(fn):
 
 @_stage
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the compression margin settles."""
+    """Documents whose language the compression margin settles; null and empty texts, and texts
+    without a letter, have none and go."""
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
-    rows = packed(docs).withColumn("_text", F.col("_row.text"))
-    return _rows(language_id.predict(rows, model, text="_text").where(~F.col("language.rejected")))
+    return _rows(language_id.predict(docs, model).where(~F.col("language.rejected")))
 
 
 @_stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without its site's boilerplate lines; ``n_chars`` follows the text."""
+    """Every document, without its site's boilerplate lines; ``n_chars`` follows the text. Null and
+    empty texts and rows without a source stay as they are."""
     got = line_dedup.dedup_lines(docs, host="source")
     row = F.col("_row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
@@ -83,13 +84,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 @_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth stands in the benchmark."""
+    """Documents of which less than a twentieth stands in the benchmark. Null and empty texts
+    stand in none and stay."""
     return _rows(decontamination.report(docs, read(spark, sf_dir, "benchmark")).where(~F.col("contaminated")))
 
 
 @_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as its rounded rate says."""
+    """The mix: each document as often as its rounded rate says; null and empty texts have no
+    words to take and get no copy."""
     got = mixing.mix(docs).where("copies > 0")
     return got.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")) \
         .select("_row.*", F.col("copy"))

@@ -9,9 +9,9 @@ shares the longer prefix, and compared with the next ones on both sides too. The
 of two pages are aligned by longest common subsequence: what they share is the template.
 Open lines shared with the paired page are deleted; declared lines only when all of
 several different neighbours share them in the same place, near copies not counted (two
-articles may quote one line, or be copies). Chrome is dropped even when unique. A page with a declared region
-keeps that region only, unless open lines that differencing leaves hold more text: then
-the region is a card, and both stay.
+articles may quote one line, or be copies). Chrome is dropped even when unique. All other
+lines stay, in page order: open lines that differencing leaves are text of the page, whatever
+stands beside them in a declared region.
 
 Only line hashes take part in ordering and pairing: pages of a host with the same lines
 are one class (placed at its smallest path), so that copies meet their nearest different
@@ -50,18 +50,21 @@ AROUND = 3
 # HTML element and hint names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe xmp noembed noframes plaintext".split())
-DROPPED = frozenset("nav aside form head noscript template svg math dialog menu button select object audio "
+DROPPED = frozenset("nav aside form head noscript template svg dialog menu button select object audio "
                     "video canvas footer header".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt "
                    "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main "
                    "menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 REGIONS = frozenset(("article", "main"))
 NEVER_HINTED = frozenset(("html", "body", "main"))
-HINTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion "
-                  "banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
-                  "subscription signup login sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs "
-                  "header masthead footer comment comments commentlist disqus reply replies respond share sharing "
-                  "social related recommended pagination pager toolbar skip".split())
+#: a class or id that is one of these, or begins or ends with one ('sidebar-left')
+HINTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo "
+                  "banner cookie cookies consent gdpr sidebar menu nav navbar navigation breadcrumb breadcrumbs "
+                  "header masthead footer comment comments commentlist disqus".split())
+#: a class or id that is exactly one of these: as part of a longer name they name content, too
+#: ('share-prices', 'related-work', 'notice-period')
+WHOLE_HINTS = frozenset("notice notices alert popup modal overlay newsletter subscribe signup login widget reply replies "
+                        "respond share sharing social promotion pagination pager toolbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                   "toolbar".split())
 # Omitted end tags: a start tag of the first set ends an open element of the second, unless
@@ -96,7 +99,7 @@ def _is_chrome(tag: str, attrs: str, inside: bool) -> bool:
         return True
     for name in f"{got.get('class', '')} {got.get('id', '')}".split():
         parts = [p for p in _PARTS.split(name) if p]
-        if name in HINTS or (parts and not KEEPERS.intersection(parts)
+        if name in HINTS or name in WHOLE_HINTS or (parts and not KEEPERS.intersection(parts)
                              and (parts[0] in HINTS or parts[-1] in HINTS)):
             return True
     return False
@@ -314,14 +317,9 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
 
 
 def main_text(lines: list[tuple[int, str]], deleted=()) -> str:
-    """The declared lines that differencing leaves; where open lines it leaves hold more
-    text, the declared region is only a card and both stay."""
+    """All lines that are neither chrome nor deleted by differencing."""
     gone = set(deleted)
-    left = [(mark, t) for i, (mark, t) in enumerate(lines) if mark != CHROME and i not in gone]
-    size = {k: sum(len(t) for mark, t in left if mark == k) for k in (DECLARED, OPEN)}
-    if size[OPEN] <= size[DECLARED]:
-        left = [(mark, t) for mark, t in left if mark == DECLARED]
-    return "\n".join(t for _, t in left)
+    return "\n".join(t for i, (mark, t) in enumerate(lines) if mark != CHROME and i not in gone)
 
 
 @F.pandas_udf(StringType())

@@ -1,8 +1,8 @@
 """URL filters: explicit host/path rules, then association rules over URL tokens.
 
 Labelled URLs are turned into token sets; Spark's FP-growth mines token combinations
-that go with the ``block`` label. Rules below the support or confidence bound are
-dropped, and so is every rule that contains another one (it can match nothing more).
+that go with the ``block`` label. Rules below the support (a share of the labelled pages, and a
+number of pages) or confidence bound are dropped, and so is every rule that contains another one (it can match nothing more).
 Matching uses an inverted index from each rule's rarest token: distinct token sets
 are exploded, meet the index on that token, and the rule holds if its other tokens
 are there too.
@@ -12,7 +12,8 @@ distinct token sets, so a host with a third of all pages is a few rows; rules ar
 broadcast only when counted small, else joined by shuffle.
 
 Defined cases: null url or one without ``://`` has empty host, path and tokens (no
-rule, allow); repeated rows get equal verdicts; without labels there is no mined rule.
+rule, allow); repeated rows get equal verdicts; with fewer labelled pages than a rule needs
+there is no mined rule.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ RULES: tuple[tuple[str, str], ...] = (
     ("allow", "com/fr/"), ("block", "com/de/"))
 BLOCK = "label=block"
 MIN_SUPPORT = 0.002
+#: labelled pages that must carry a rule, however few there are
+MIN_PAGES = 20
 MIN_CONFIDENCE = 0.8
 
 
@@ -77,19 +80,24 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Minimal block rules (rule_tokens, index_token, confidence, lift, support)."""
+         min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES) -> DataFrame:
+    """Minimal block rules (rule_tokens, index_token, confidence, lift, support, pages): each stands on
+    at least ``min_support`` of the labelled pages and on ``min_pages`` blocked ones."""
     rows = labelled.where(F.col(bad).isNotNull()).select(
         tokens(F.col(url)).alias("t"), F.col(bad).cast("boolean").alias("b"))
     rows = rows.where(F.size("t") > 0)
     sets = materialize(rows.select(F.when(F.col("b"), F.concat("t", F.array(F.lit(BLOCK)))).otherwise(F.col("t"))
                                    .alias("items")), "url-sets")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(sets)
+    n = max(sets.count(), 1)
+    # a little below: whole numbers of pages decide, not a rounded share
+    least = min(1.0, max(min_support, (min_pages - 0.5) / n))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(sets)
     rules = model.associationRules.where(
-        (F.size("consequent") == 1) & (F.col("consequent")[0] == BLOCK) & (F.col("lift") > 1))
+        (F.size("consequent") == 1) & (F.col("consequent")[0] == BLOCK) & (F.col("lift") > 1)) \
+        .withColumn("pages", F.round(F.col("support") * n).cast("long")).where(F.col("pages") >= min_pages)
     once = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rules = materialize(rules.select(F.array_sort("antecedent").alias("rule_tokens"),
-                                     "confidence", "lift", "support"), "url-rules")
+                                     "confidence", "lift", "support", "pages"), "url-rules")
     lead = (rules.select("rule_tokens", F.explode("rule_tokens").alias("token")).join(once, "token")
             .groupBy("rule_tokens").agg(F.min(F.struct("n", "token"))["token"].alias("index_token")))
     rules = materialize(rules.join(lead, "rule_tokens"), "url-rules")

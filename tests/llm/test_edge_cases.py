@@ -143,6 +143,9 @@ def test_html_extract(spark):
             (3, "https://a.b/y", "<p>open &lt;tag"), (4, "https://a.b/z", "<p>" + "word " * 50_000),
             (5, "https://a.b/q", "<!-- never closed <p>x"), (6, "https://c.d/", "text only")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    clash = df.select("*", *[F.lit("mine").alias(c) for c in ("text", "page", "host", "path", "deleted", "same", "part", "i", "_row")])
+    assert sorted(r["text"] for r in html_extract.extract(clash).collect()) == sorted(
+        r["text"] for r in html_extract.extract(df).collect())
     got = [(r["_row"]["page_id"], r["text"]) for r in html_extract.extract(df).collect()]
     assert len(got) == len(rows) and got.count((1, "Kept & read.")) == 2
     texts = dict(got)
@@ -189,6 +192,9 @@ def test_url_rules(spark):
             "https://example.org/es/1", "https://q.net/a//b/%zz?&;=#"]
     df = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
     mined = url_rules.mine(df.select("url", F.lit(True).alias("bad")).where("false"))
+    long = spark.createDataFrame([(1, "https://example.org/en/1" + "/seg" * 50_000 + "?" + "q=1&" * 20_000, "h", "v")], df.schema)
+    r = url_rules.judge(long, mined).first()
+    assert (r["verdict"], r["rule"], len(r["path"])) == ("block", "example.org/en/1", 200_005)
     assert mined.count() == 0
     got = {r["_row"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_rules.judge(df, mined).collect()}
     assert got[0] == ("", "", None, "allow") and got[2] == ("", "", None, "allow") and got[4] == ("org", "", None, "allow")

@@ -189,6 +189,19 @@ def test_differencing_of_declared_lines(spark):
         assert got[500 + i] == f"Quote {i // 2}\nOwn text {i} of this page"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div><p>Body text half one short</p></div><article><p>Body text half two, which is the longer half</p></article>",
+     "Body text half one short\nBody text half two, which is the longer half"),
+    ("<article><p>One</p><section id=share-prices><p>Prices</p></section><div class=related-work><p>Work</p></div>"
+     "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><div class='notice-period'>Three months</div></article>",
+     "One\nPrices\nWork\nSo x=2.\nThree months"),
+    ("<article><p>One</p><div class=share>Share</div><div class='social'>x</div><div class=sidebar-left>y</div>"
+     "<div id=cookie-bar>z</div><p>Two</article>", "One\nTwo"),
+])
+def test_open_lines_and_content_names_stay(page, want):
+    assert html_extract.main_text(html_extract.page_lines(page)) == want
+
+
 @pytest.mark.parametrize("page, want", [
     ("<article><p class=notice>Cookies<p>Real one</p><p>Real two</p></article>", "Real one\nReal two"),
     ("<article><p class=ad>Buy <b>now<h2>Title</h2><p>Real</article>", "Title\nReal"),
@@ -255,6 +268,38 @@ def test_mined_rules_match_by_index(spark):
     assert all((r["verdict"] == "block") == r["bad"] for r in got)
 
 
+def test_mined_rules_equal_brute_force(spark):
+    """Every token combination counted: those with support, pages, confidence and lift, none inside another."""
+    from itertools import combinations
+    r = random.Random(11)
+    rows = []
+    for i in range(150):
+        host, seg, sub = r.choice("ab"), r.choice(["x", "y", "z"]), r.choice(["p", "q"])
+        bad = (r.random() < 0.95) if (host, seg) == ("a", "x") or sub == "q" and seg == "z" else r.random() < 0.1
+        rows.append((f"http://{host}.com/{seg}/{sub}", bad))
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    sets = [(frozenset(t["t"]), t["bad"]) for t in df.select(url_rules.tokens(F.col("url")).alias("t"), "bad").collect()]
+    for min_support, min_pages in ((0.02, 5), (0.02, 14), (0.2, 3), (0.02, 151)):
+        count, blocked = Counter(), Counter()
+        for tokens, bad in sets:
+            for k in range(1, len(tokens) + 1):
+                for c in combinations(sorted(tokens), k):
+                    count[frozenset(c)] += 1
+                    blocked[frozenset(c)] += bad
+        share = sum(bad for _, bad in sets) / len(sets)
+        good = {c for c, n in blocked.items() if n >= min_pages and n / len(sets) >= min_support
+                and n / count[c] >= 0.8 and n / count[c] > share}
+        want = {c: blocked[c] for c in good if not any(o < c for o in good)}
+        got = {frozenset(x["rule_tokens"]): x["pages"] for x in
+               url_rules.mine(df, min_support=min_support, min_pages=min_pages).collect()}
+        assert got == want and (bool(got) or min_support > 0.1 or min_pages > 150)
+
+
+def test_few_labels_give_no_rule(spark):
+    rows = [(f"http://h{i}.com/a{i}/b{i}", True) for i in range(19)] + [("http://ok.com/", False)] * 60
+    assert url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0
+
+
 def _shingles(text, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()

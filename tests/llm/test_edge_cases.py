@@ -109,19 +109,46 @@ def test_license_notices_wrapped(spark):
     ("Licensed under CC BY 4.0 NC", set()), ("Licensed under CC BY 3.0", set()),
     ("Licensed under the Apache License, Version 1.1, see 2.0", set()),
     ("This work is licensed under the GNU General Public License, version 2 or version 3.", {"GPL-2.0", "GPL-3.0"}),
-    ("This work is licensed under the GNU Lesser General Public License, version 3.", set()),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", {"LGPL-3.0"}),
+    ("SPDX-License-Identifier: MIT", {"MIT"}), ("SPDX-License-Identifier: (MIT OR Apache-2.0)", {"MIT", "Apache-2.0"}),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", {"GPL-3.0"}), ("SPDX-License-Identifier: LGPL-2.1-only", {"LGPL-2.1"}),
+    ("The MIT License (MIT)", {"MIT"}), ("Licensed under the Apache-2.0 license", {"Apache-2.0"}),
+    ("Released under the BSD 3-Clause License", {"BSD-3-Clause"}), ("under the terms of the GNU GPL v3", {"GPL-3.0"}),
+    ("This work is not licensed under the MIT License.", set()), ("It isn't released under the MIT License.", set()),
+    ("This is no fork, it is licensed under the MIT License.", {"MIT"}),
+    ("Never released under the ISC License, but licensed under CC BY 4.0", {"CC-BY-4.0"}),
+    ("This project is not licensed under the Apache License, Version 2.0, it is licensed under the MIT License.", {"MIT"}),
+    ("Licensed under the GNU AGPL v3", {"AGPL-3.0"}), ("Licensed under the GNU LGPL v2.1 or the GNU GPL v2", {"LGPL-2.1", "GPL-2.0"}),
     ("This work is licensed under the GNU General Public License, version 2, or under the Mozilla Public License. "
      "This Source Code Form is subject to the terms of the Mozilla Public License, v2.0.", {"GPL-2.0", "MPL-2.0"}),
     ("All contributors think some rights are reserved", set()), ("Released under the MIT-0 License", set()),
 ])
 def test_every_license_of_a_block(text, want):
     scanner = license_scan.Scanner()
+    every = license_scan.Scanner(min_saved=-(1 << 20))
     for block in (text, "word " * 300 + text + " word" * 300):
         best, sure = scanner.scan(block)
+        # the reduction cuts off no template that the wording confirms
+        assert {m[0] for m in every.scan(block)[1]} == want
         assert {m[0] for m in sure} == want and best[5] == bool(want)
     assert all(name in {m[0] for m in scanner.scan(notice)[1]} for name, notice in license_scan.TEMPLATES)
 
 
+def test_license_order_is_by_reduction(spark):
+    """Compression decides what is compared: no reduction, no match; and the block's own template saves most."""
+    assert license_scan.Scanner(min_saved=1 << 20).scan("Released under the MIT License.")[1] == []
+    scanner = license_scan.Scanner()
+    import random
+    r = random.Random(5)
+    for i, (name, notice) in enumerate(license_scan.TEMPLATES):
+        noise = lambda: " ".join("".join(r.choices("abcdefghijklmnop", k=r.randrange(2, 9))) for _ in range(300))
+        for block in (notice, f"{noise()} {notice} {noise()}", f"{noise()} {noise()}, {notice}"):
+            saved = {-t: s for s, _, t in scanner.ranked(block, license_scan._spans(block))}
+            assert saved[i] >= 2 * license_scan.MIN_SAVED
+        best = scanner.ranked(notice, license_scan._spans(notice))
+        assert -best[0][2] == i or best[0][0] == {-t: s for s, _, t in best}[i]
+
+
 def test_quality_fm(hard, none):
     rows = hard.select("doc_id", quality_fm.features(F.col("text"), {"n": F.col("n_chars")}).alias("features"),
                        (F.col("doc_id") % 2).alias("label"))

@@ -235,7 +235,7 @@ def neighbours(train: DataFrame, words: Words, text: str = "text") -> DataFrame:
                 last = stream[-1]
                 held.append(before << SHIFT | stream)
                 size += len(stream)
-                if size >= 8 * HELD:
+                if size >= 4 * HELD:
                     yield out()
                     held, size = [], 0
         yield out()
@@ -425,9 +425,9 @@ def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "
     n_units, discount = words.n_units, words.discount
     hash_of = F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))
     rows = docs.select(F.col(f"`{key}`").alias("key"), hash_of.alias("h"), F.col(f"`{text}`").alias("text"))
-    names = ["key", "h", "heads", "n", "known", "base", "score", "word", "k", "g"]
+    names = ["key", "h", "heads", "n", "known", "base", "score", "word", "k"]
     spec = (f"key {docs.schema[key].dataType.simpleString()}, h long, heads int, n long, known long, base double, "
-            "score double, word binary, k long, g int")
+            "score double, word binary, k long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Lookup(*shared.value)
@@ -462,18 +462,17 @@ def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "
                     none, zero = pa.array(np.zeros(len(i), np.int64)), pa.array(np.zeros(len(i)))
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("key").take(pa.array(i)), pa.array(hashes[i]), none.cast(pa.int32()), none, none, zero, zero,
-                         pa.array([w for _, w in rest], pa.binary()), pa.array(list(rest.values()), pa.int64()),
-                         pa.array([group_of(w, look.groups) for _, w in rest], pa.int32())], names)
+                         pa.array([w for _, w in rest], pa.binary()), pa.array(list(rest.values()), pa.int64())], names)
             zero = np.zeros(size, np.int64)
             # the row of the text itself: its word holds a space, so no word of a text equals it
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(hashes), pa.array(zero + 1, pa.int32()), pa.array(n.astype(np.int64)),
                  pa.array((known + (end_base > 0)).astype(np.int64)), pa.array(base - n * base_total), pa.array(total),
-                 pa.array([b" " + h.tobytes() for h in hashes], pa.binary()), pa.array(zero), pa.array(zero, pa.int32())], names)
+                 pa.array([b" " + h.tobytes() for h in hashes], pa.binary()), pa.array(zero)], names)
 
     found = rows.mapInArrow(run, spec)
     rare = words.table.where(F.col("n") < words.limit).select(F.col("word").alias("w"), F.col("n").alias("c"))
-    unknown = F.get(F.array(*[F.lit(float(x)) for x in model.in_group()[1]]), F.col("g"))
+    unknown = F.get(F.array(*[F.lit(float(x)) for x in model.in_group()[1]]), _group_column(F.col("word"), words.groups))
     both = found.join(rare, F.col("word") == F.col("w"), "left")
     seen, k = F.col("c").isNotNull(), F.col("k")
     parts = both.select("key", "h", "heads", "n", (F.col("known") + F.when(seen, k).otherwise(0)).alias("known"),

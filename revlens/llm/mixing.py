@@ -34,7 +34,11 @@ SHARE = 1.5      # of all words, the size of the mix
 MOST = 2         # copies of a document, and targets over a source's own words
 BUCKETS = 256
 TOLERANCE = 1e-9
-STEPS = 60
+STEPS = 120
+
+
+class NotConverged(RuntimeError):
+    """The dual was not solved within STEPS rounds."""
 
 
 def word_count(text: Column) -> Column:
@@ -87,7 +91,8 @@ def _numbered(totals: DataFrame) -> DataFrame:
 
 
 def multipliers(hist: DataFrame, goal: DataFrame, most: float = MOST, steps: int = STEPS) -> DataFrame:
-    """(source, scale, lam, target): the dual solution of every source with words.
+    """(source, scale, lam, target): the dual solution of every source with words, within TOLERANCE
+    of its words; stopping before that is an error, not a result.
 
     The residual sum(size * rate) - target grows with lam, so the bracket [lo, hi]
     always holds the root; a step that leaves it, or makes no headway, bisects."""
@@ -119,8 +124,8 @@ def multipliers(hist: DataFrame, goal: DataFrame, most: float = MOST, steps: int
             "source", "scale", "target", "own", step.alias("lam"), F.col("l2").alias("lo"),
             F.col("h2").alias("hi"), F.when(done, 0.0).otherwise(F.abs(gap) / F.col("own")).alias("err")), "dual")
         if not (state.agg(F.max("err")).first()[0] or 0) > 0:
-            break
-    return state
+            return state
+    raise NotConverged(f"the dual has a residual left after {steps} rounds")
 
 
 def _round_classes(most: int):

@@ -243,6 +243,13 @@ def test_mix_reaches_targets(spark):
         assert goal[s] == pytest.approx(want[s]) and abs(taken[s] - want[s]) <= max(60, 0.01 * want[s])
 
 
+def test_dual_says_so_when_it_is_not_solved(spark):
+    hist = spark.createDataFrame([("a", z, n) for z, n in ((1, 50), (5, 40), (20, 10), (300, 2))], "source string, size long, n long")
+    goal = spark.createDataFrame([("a", 700.0)], "source string, target double")
+    with pytest.raises(mixing.NotConverged):
+        mixing.multipliers(hist, goal, steps=1)
+
+
 def test_dual_is_an_exponential_tilt(spark):
     hist = spark.createDataFrame([("a", z, n) for z, n in ((1, 50), (5, 40), (20, 10), (300, 2))], "source string, size long, n long")
     own = sum(z * n for z, n in ((1, 50), (5, 40), (20, 10), (300, 2)))

@@ -9,7 +9,7 @@ is described by a one-row manifest.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -69,6 +69,37 @@ def build_store(docs: DataFrame, max_features: int = 20000, ngram_max: int = 2,
     return SVD.project(svd, meta, arrays).select(*META, "features"), tr
 
 
+def build_nested(docs: DataFrame, configs: dict[str, dict], seed: int = 42) -> dict[str, DataFrame]:
+    """The stores of several settings from shared factors. Texts are tokenised once (the written
+    term counts of the largest n-gram range); settings that differ in weighting share a vocabulary;
+    settings that differ in dimensions share one range finder, whose leading components are the
+    smaller store. A store is a view of the written projection of its group."""
+    train = docs.filter(F.col("split") == "train")
+    meta = docs.select("review_id", "label", T.word_count("review_text").alias("text_length"), "split")
+    counts: dict[int, tuple[DataFrame, DataFrame]] = {}
+    vocabs: dict[tuple, TF.TfidfModel] = {}
+    wide: dict[tuple, DataFrame] = {}
+    groups: dict[tuple, int] = {}
+    for c in configs.values():
+        key = (c["ngram_max"], c["max_features"], c["sublinear"])
+        groups[key] = max(groups.get(key, 0), c["k"])
+    for (ngram_max, max_features, sublinear), k in groups.items():
+        if ngram_max not in counts:
+            every = materialize(TF.term_counts(docs, ngram_max=ngram_max), "term-counts")
+            counts[ngram_max] = every, every.join(train.select("review_id"), "review_id", "left_semi")
+        every, fitted = counts[ngram_max]
+        if (ngram_max, max_features) not in vocabs:
+            vocabs[ngram_max, max_features] = TF.fit(train, ngram_max=ngram_max, max_features=max_features, counts=fitted)
+        tf = replace(vocabs[ngram_max, max_features], sublinear=sublinear)
+        arrays = materialize(SVD.doc_arrays(TF.transform(tf, docs, counts=every)), "tfidf-arrays")
+        fit_rows = arrays.join(train.select("review_id"), "review_id", "left_semi").select("idx", "val")
+        svd = SVD.fit(fit_rows, tf.vocab.count(), k, seed=seed)
+        wide[ngram_max, max_features, sublinear] = materialize(
+            SVD.project(svd, meta, arrays).select(*META, "features"), "nested-store", partition_by="split")
+    return {name: wide[c["ngram_max"], c["max_features"], c["sublinear"]].select(
+        *META, F.slice("features", 1, c["k"]).alias("features")) for name, c in configs.items()}
+
+
 def manifest(spark, store: DataFrame, tr: Transformer, split_source: str = "stratified_split") -> DataFrame:
     """M7: one-row manifest; ``rows`` counts per split come from the store."""
     k = tr.settings["svd_dims"]

@@ -70,13 +70,14 @@ def cap_vocab(stats: DataFrame, max_features: int | None) -> DataFrame:
 
 def fit(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_clean",
         ngram_max: int = 1, sublinear: bool = False,
-        max_features: int | None = 5000) -> TfidfModel:
+        max_features: int | None = 5000, counts: DataFrame | None = None) -> TfidfModel:
     """M1: learn vocabulary and idf from ``docs`` (train rows only for M5).
 
-    Eager like an estimator: counts the fitting documents once.
+    Eager like an estimator: counts the fitting documents once. ``counts``: their written
+    (id, term, tf) table, where several fits share one.
     """
     n = docs.count()
-    stats = term_stats(term_counts(docs, id_col, text_col, ngram_max))
+    stats = term_stats(term_counts(docs, id_col, text_col, ngram_max) if counts is None else counts)
     capped = cap_vocab(stats, max_features)
     # column index = alphabetical position after the cap: a capped table is numbered by
     # one window of at most max_features rows, an uncapped one over range partitions
@@ -91,13 +92,14 @@ def fit(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_
 
 
 def transform(model: TfidfModel, docs: DataFrame, id_col: str = "review_id",
-              text_col: str = "text_heavy_clean") -> DataFrame:
-    """M2/M3 + J7: (id, term, idx, weight) for known terms, L2-normalised.
+              text_col: str = "text_heavy_clean", counts: DataFrame | None = None) -> DataFrame:
+    """M2/M3 + J7: (id, term, idx, weight) for known terms, L2-normalised; ``counts`` as in ``fit``.
 
     Documents without a known term produce no rows here (zero vectors);
     ``to_vectors`` keeps them.
     """
-    counts = term_counts(docs, id_col, text_col, model.ngram_max)
+    if counts is None:
+        counts = term_counts(docs, id_col, text_col, model.ngram_max)
     vocab = model.vocab.select("term", "idx", "idf")
     if model.max_features is not None:
         # bounded by max_features rows: safe to broadcast

@@ -477,15 +477,37 @@ def q_train_from_store(spark, sf_dir):
 def q_ablation(spark, sf_dir):
     """One knob at a time against the base store (300 dimensions, plain tf,
     20,000 terms): sublinear tf, 600 dimensions, 50,000 terms, weaker penalty."""
-    base = dict(max_features=20000, ngram_max=2, sublinear=False, k=300)
-    configs = [("base", base, 1.0), ("sublinear", dict(base, sublinear=True), 1.0),
-               ("dims-600", dict(base, k=600), 1.0), ("terms-50k", dict(base, max_features=50000), 1.0),
-               ("penalty-quarter", base, 4.0)]
+    return MD.with_delta(_ablation_runs(spark, sf_dir), "base")
+
+
+_BASE = dict(max_features=20000, ngram_max=2, sublinear=False, k=300)
+ABLATION = (("base", _BASE, 1.0), ("sublinear", dict(_BASE, sublinear=True), 1.0), ("dims-600", dict(_BASE, k=600), 1.0),
+            ("terms-50k", dict(_BASE, max_features=50000), 1.0), ("penalty-quarter", _BASE, 4.0))
+
+
+def _ablation_runs(spark, sf_dir):
+    @functools.cache
+    def stores():
+        docs, _ = train_test_docs(spark, sf_dir)
+        return ST.build_nested(docs, {name: cfg for name, cfg, _ in ABLATION})
+
     out = None
-    for name, cfg, C in configs:
-        m = MD.run_metrics(store_scores(spark, sf_dir, name, C=C, **cfg))
+    for name, cfg, C in ABLATION:
+        scores = cached_scores(spark, sf_dir, dict(cfg, run=name, C=C, stores="nested"),
+                               lambda n=name, c=C: _lr_on_store(stores()[n], n, C=c)[1])
+        m = MD.run_metrics(scores)
         out = m if out is None else out.unionByName(m)
-    return MD.with_delta(out, "base")
+    return out
+
+
+@query("ablation_counts")
+def q_ablation_counts(spark, sf_dir):
+    """Every run of the ablation scores all test rows, and its delta is against the base run."""
+    from pyspark.sql import Window
+    runs = materialize(q_ablation(spark, sf_dir), "ablation-runs")          # one row per run
+    base = F.first(F.when(F.col("run_name") == "base", F.col("macro_f1")), ignorenulls=True).over(Window.partitionBy())
+    return runs.select("run_name", "n",
+                       (F.abs(F.col("macro_f1") - base - F.col("macro_f1_delta")) < 1e-12).alias("delta_ok"))
 
 
 def _vectors(tf, docs, *more):

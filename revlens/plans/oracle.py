@@ -529,3 +529,7 @@ oracle("controlled_counts", f"""
 WITH {S.docs_cte()},
 t AS (SELECT count(*) AS n FROM docs WHERE split = 'test')
 SELECT unnest(['balanced', 'unweighted']) AS run_name, n, 2::BIGINT AS n_runs, true AS ranked FROM t""")
+oracle("ablation_counts", f"""
+WITH {S.split_cte()}
+SELECT unnest(['base', 'sublinear', 'dims-600', 'terms-50k', 'penalty-quarter']) AS run_name, n, true AS delta_ok
+FROM (SELECT count(*) AS n FROM split WHERE split = 'test')""")

@@ -115,3 +115,26 @@ def test_to_vectors_equals_vectorize_and_keeps_empty_docs(spark):
     assert a[3].numNonzeros() == 0 and a[3].size == size          # no known term: zero vector
     for k in a:
         assert np.allclose(a[k].toArray(), b[k].toArray())
+
+
+def test_nested_stores_equal_separate_ones(spark):
+    """Shared counts, vocabulary and range finder give the features that separate builds give."""
+    from revlens.operators import store as ST
+    from revlens.plans import catalog as C
+    from .conftest import SF001
+    docs, _ = C.train_test_docs(spark, SF001)
+    base = dict(max_features=300, ngram_max=2, sublinear=False, k=4)
+    configs = {"a": base, "b": dict(base, k=8), "c": dict(base, sublinear=True), "d": dict(base, max_features=400, ngram_max=1)}
+    nested = ST.build_nested(docs, configs)
+    for name, cfg in configs.items():
+        want = {r["review_id"]: r for r in ST.build_store(docs, **cfg)[0].collect()}
+        got = {r["review_id"]: r for r in nested[name].collect()}
+        assert got.keys() == want.keys()
+        for i in want:
+            assert got[i]["split"] == want[i]["split"] and got[i]["text_length"] == want[i]["text_length"]
+            assert len(got[i]["features"]) == cfg["k"]
+        # leading components of the wider finder are at least as well converged: compare energies and signs
+        x = np.array([want[i]["features"] for i in sorted(want)])
+        y = np.array([got[i]["features"] for i in sorted(want)])
+        assert np.allclose((x ** 2).sum(axis=0), (y ** 2).sum(axis=0), rtol=0.02)
+        assert np.allclose(x[:, :2], y[:, :2], atol=0.02)

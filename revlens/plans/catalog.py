@@ -853,12 +853,14 @@ def q_sql_clean_docs(spark, sf_dir):
 
 @query("csv_keep_first")
 def q_csv_keep_first(spark, sf_dir):
-    """S1 + W2 over two sources of unequal size, each written as part files whose names
-    sort in id order: the copy of the source first by name wins though the second is larger."""
+    """S1 + W2 over two sources of unequal size, the labelled documents and all documents, each written
+    as part files whose names sort in id order: the copy of the source first by name wins though
+    the second is larger. Texts that CSV reads as missing have no row."""
     from revlens.sources import ingest
     base = scratch_path(spark, f"two-csv-{uuid.uuid4().hex}")
-    docs = V.table(spark, sf_dir, "documents").where(F.col("text").rlike("[A-Za-z0-9]"))
-    for name, part, rating in (("a", docs.where("doc_id % 2 = 0"), 5), ("b", docs, 1)):
+    docs = V.table(spark, sf_dir, "documents").where(~F.col("text").isin(list(ingest.NA_TOKENS)))
+    labelled = docs.join(V.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    for name, part, rating in (("a", labelled, 5), ("b", docs, 1)):
         (part.select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"), F.lit(rating).alias("Score"))
          .repartitionByRange("Id").sortWithinPartitions("Id").write.option("header", True).option("quote", '"').option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from revlens.plans import sqlparts as S
+from revlens.sources.ingest import NA_TOKENS
 
 ORACLE: dict[str, str] = {}
 
@@ -436,9 +437,9 @@ extended AS (SELECT review_key, review_text, rating FROM base
              UNION ALL SELECT review_key + 1000000000, review_text, rating FROM dirty_reviews),
 {S.cleaned_body('extended', 'cleaned')}
 SELECT * FROM cleaned""")
-oracle("csv_keep_first", """
-WITH kept AS (SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[A-Za-z0-9]')),
-rows_of AS (SELECT 0 AS f, doc_id, text, 5 AS rating FROM kept WHERE doc_id % 2 = 0
+oracle("csv_keep_first", f"""
+WITH kept AS (SELECT doc_id, text FROM documents WHERE text NOT IN ({", ".join(f"'{t}'" for t in NA_TOKENS)})),
+rows_of AS (SELECT 0 AS f, doc_id, text, 5 AS rating FROM kept WHERE doc_id IN (SELECT doc_id FROM labels)
             UNION ALL SELECT 1, doc_id, text, 1 FROM kept),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY f, doc_id) AS rn FROM rows_of)
 SELECT md5(text) AS digest, CAST(rating AS DOUBLE) AS rating FROM firsts WHERE rn = 1""")

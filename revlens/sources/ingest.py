@@ -43,7 +43,8 @@ def ingest_csv(spark: SparkSession, path: str, text_col: str, rating_col: str,
 
     The key orders rows by file name, then by position in the file: files are ranked by
     path, and within a task Spark's running id follows the file (a multi-line file is
-    read by one task), so its low bits are the position."""
+    read by one task), so its low bits are the position. The CSV is parsed once: rows and running
+    ids are written, and the files are ranked from that table."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"no CSV input at {path}")
     raw = (spark.read.option("header", True).option("multiLine", True)
@@ -57,6 +58,7 @@ def ingest_csv(spark: SparkSession, path: str, text_col: str, rating_col: str,
                      na(rating_col).try_cast("double").alias("rating"),
                      F.col("_metadata.file_path").alias("_file"),
                      F.monotonically_increasing_id().alias("_at"))
+    out = materialize(out, "csv-rows")
     # one row per file, written, so that its real size decides about a broadcast
     files = out.groupBy("_file").agg(F.min("_at").alias("_start"))
     ranked = materialize(files.withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1), "csv-files")

@@ -218,3 +218,26 @@ def extend_training(cleaned: DataFrame, new_rows: DataFrame, key: str = "review_
     again (first occurrence of a text still wins)."""
     base = cleaned.select(key, "review_text", "rating")
     return clean_and_label(base.unionByName(new_rows.select(key, "review_text", "rating")), key)
+
+
+# --- incremental extension (U3) ------------------------------------------------------
+
+def write_cleaned_store(cleaned: DataFrame, path: str, batch: int = 0) -> None:
+    """A batch of cleaned rows and, beside it, the digests of their texts (16 bytes a row)."""
+    cleaned.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+    rows = cleaned.sparkSession.read.parquet(f"{path}/rows/batch={batch}")
+    rows.select(text_digest().alias("digest")).write.mode("overwrite").parquet(f"{path}/digests/batch={batch}")
+
+
+def extend_store(spark, path: str, new_rows: DataFrame, batch: int, key: str = "review_key") -> DataFrame:
+    """U3 without cleaning everything again: rows whose text no earlier batch holds are cleaned and
+    written as batch ``batch`` (a retry writes the same folder again); returns them.
+
+    Earlier rows are not read: only their digest index is, and only keys and digests of the
+    new rows meet it. Keys of new rows follow those of the store, so an earlier text wins."""
+    known = spark.read.parquet(f"{path}/digests").where(F.col("batch") < batch).select("digest")
+    tagged = new_rows.where("review_text is not null").select(F.col(key).alias("_key"), text_digest().alias("digest"))
+    old = materialize(tagged.join(known, "digest", "left_semi").select("_key"), "known-keys")
+    fresh = new_rows.join(old, F.col(key) == F.col("_key"), "left_anti").select(key, "review_text", "rating")
+    write_cleaned_store(clean_and_label(fresh, key), path, batch)
+    return spark.read.parquet(f"{path}/rows/batch={batch}")

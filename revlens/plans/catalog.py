@@ -17,6 +17,7 @@ from revlens.functions import text as T
 from revlens.operators import quality as Q
 from revlens.operators import sampling as S
 from revlens.operators import tfidf as TF
+from revlens.operators import colocated as CO
 from revlens.operators import evaluate as EV
 from revlens.operators import monitor as MO
 from revlens.operators import models as MD
@@ -842,6 +843,33 @@ def q_extended_training(spark, sf_dir):
     return Q.extend_training(cleaned_reviews(spark, sf_dir), new)
 
 
+@query("extended_store")
+def q_extended_store(spark, sf_dir):
+    """U3 as an increment: the cleaned rows are written once with their digest index, new rows
+    are cleaned against that index and appended; equal to cleaning the union again."""
+    path = scratch_path(spark, f"cleaned-store-{uuid.uuid4().hex}")
+    Q.write_cleaned_store(cleaned_reviews(spark, sf_dir), path)
+    new = V.dirty_reviews(spark, sf_dir).withColumn("review_key", F.col("review_key") + 1_000_000_000)
+    Q.extend_store(spark, path, new, 1)
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def colocated_store(spark, sf_dir) -> list[DataFrame]:
+    """Rows, split and TF-IDF terms of the reviews as bucketed tables."""
+    docs, train = train_test_docs(spark, sf_dir)
+    tf = TF.fit(train, ngram_max=2, max_features=20000, sublinear=True)
+    terms = TF.transform(tf, docs).groupBy("review_id").agg(F.count(F.lit(1)).alias("n_terms"),
+                                                            F.round(F.sum("weight"), 6).alias("weight"))
+    return [CO.write_bucketed(t, name) for name, t in (
+        ("rows", docs.select("review_id", "label")), ("split", docs.select("review_id", "split")), ("terms", terms))]
+
+
+@query("colocated_join")
+def q_colocated_join(spark, sf_dir):
+    """Ids, split and features joined from co-located tables."""
+    return CO.join_all(colocated_store(spark, sf_dir))
+
+
 @query("sql_clean_docs")
 def q_sql_clean_docs(spark, sf_dir):
     """Section 2.11: the cleaners as SQL functions."""

@@ -437,6 +437,12 @@ extended AS (SELECT review_key, review_text, rating FROM base
              UNION ALL SELECT review_key + 1000000000, review_text, rating FROM dirty_reviews),
 {S.cleaned_body('extended', 'cleaned')}
 SELECT * FROM cleaned""")
+# the increment must end where cleaning everything again ends
+ORACLE["extended_store"] = ORACLE["extended_training"]
+oracle("colocated_join", f"""
+WITH {S.tfidf_cte(2, 20000, True)},
+t AS (SELECT review_id, count(*) AS n_terms, round(sum(weight), 6) AS weight FROM weights GROUP BY review_id)
+SELECT d.review_id, d.label, d.split, t.n_terms, t.weight FROM docs d JOIN t ON d.review_id = t.review_id""")
 oracle("csv_keep_first", f"""
 WITH kept AS (SELECT doc_id, text FROM documents WHERE text NOT IN ({", ".join(f"'{t}'" for t in NA_TOKENS)})),
 rows_of AS (SELECT 0 AS f, doc_id, text, 5 AS rating FROM kept WHERE doc_id IN (SELECT doc_id FROM labels)

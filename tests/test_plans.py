@@ -102,3 +102,41 @@ def test_csv_keep_first_writes_range_parts(spark, monkeypatch):
     want = docs.join(labels, "doc_id", "left").groupBy("text").agg(F.max("labelled").alias("labelled"))
     assert {(r["digest"], r["rating"]) for r in out.collect()} == {
         (r["d"], 5.0 if r["labelled"] else 1.0) for r in want.select(F.md5("text").alias("d"), "labelled").collect()}
+
+
+def test_colocated_tables_join_without_exchange(spark):
+    from revlens.operators import colocated as CO
+    tables = C.colocated_store(spark, SF01)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = CO.join_all(tables)
+        p = plan(joined)
+        n = joined.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("SortMergeJoin") >= 2 and "Exchange" not in p
+    assert n == C.review_store(spark, SF01).count()
+
+
+def test_extension_reads_the_digest_index_only(spark, monkeypatch):
+    """The stored rows are not read when new ones are cleaned."""
+    import uuid
+
+    from revlens.operators import quality as Q
+    from revlens.session import scratch_path
+    path = scratch_path(spark, f"test-extend-{uuid.uuid4().hex}")
+    Q.write_cleaned_store(C.cleaned_reviews(spark, SF01), path)
+    seen, clean = [], Q.clean_and_label
+
+    def spy(df, key):
+        seen.append(plan(df))
+        return clean(df, key)
+    monkeypatch.setattr(Q, "clean_and_label", spy)
+    new = V.dirty_reviews(spark, SF01).withColumn("review_key", F.col("review_key") + 1_000_000_000)
+    got = sorted(r["review_key"] for r in Q.extend_store(spark, path, new, 1).collect())
+    assert len(seen) == 1 and "/rows" not in seen[0] and "known-keys" in seen[0]
+    again = Q.extend_store(spark, path, new, 1)          # a retry writes the same batch
+    assert sorted(r["review_key"] for r in again.collect()) == got and got
+    both = spark.read.parquet(f"{path}/rows")
+    assert both.count() == both.select("review_text").distinct().count()

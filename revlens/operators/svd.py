@@ -4,19 +4,20 @@ Two solvers, both uncentred (ml ``PCA`` would centre and change the meaning):
 
 * ``randomized`` (default, the reference library's default algorithm):
   block subspace iteration on the Gram operator A^T A with ``k + oversample``
-  columns and ``n_iter`` power passes. One pass is one ``mapInPandas`` job:
-  every partition accumulates its rows' contribution a^T (a Q) into a dense
-  terms x l block with numpy, the blocks are cut into row chunks and summed
-  per chunk by a grouped aggregation, and only the summed terms x l matrix
-  (bounded by vocabulary cap x (k + oversample)) reaches the driver, where a
-  QR and a small l x l eigenproblem finish the step. About n_iter + 1 passes.
+  columns and ``n_iter`` power passes. One pass is one ``mapInPandas`` job over the
+  sparse rows, in two sweeps over blocks of BLOCK_TERMS terms: W = A Q block by block, then
+  the touched rows of A^T W of each block, cut into chunks and summed per chunk by a
+  grouped aggregation. A worker holds ROWS rows of W and one block of Q and of A^T W,
+  whatever the vocabulary; Q is broadcast block by block and read from the executor's disk
+  when its turn comes. The last pass sums W^T W only (l x l). The driver holds the summed
+  terms x l matrix (bounded by vocabulary cap x (k + oversample)) and orthonormalises it
+  by two Cholesky-like steps over blocks. n_iter + 1 passes.
 * ``exact``: Spark's distributed ``RowMatrix.computeSVD`` (ARPACK; one small
   Spark job per matrix-vector product, so hundreds of jobs).
 
 V is bounded by ``vocabulary cap x k`` (20,000 x 600 doubles = 96 MB at the
-published setting), so it is broadcast once and the projection ``X V`` runs
-per Arrow batch in ``mapInPandas`` with numpy; each row only touches its own
-non-zeros.
+published setting); the projection ``X V`` runs per Arrow batch in ``mapInPandas`` with
+numpy, by the same blocks; each row only touches its own non-zeros.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 CHUNK_ROWS = 128       # term rows of one summed block
 RADIX = 256            # blocks that one task adds up
 CELLS = 4_000_000      # doubles of a work array
+BLOCK_TERMS = 2048     # terms whose factors a worker holds at a time
+ROWS = 1 << 15         # rows whose products a worker holds at a time
 
 
 @dataclass
@@ -69,57 +72,95 @@ def _sparse(idx, val) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cols, vals, np.repeat(np.arange(len(idx)), sizes)
 
 
-def _pieces(rows: np.ndarray, width: int):
-    """Slices of whole rows with at most CELLS / width non-zeros (one row at least)."""
-    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, np.int64)
+def _pieces(keys: np.ndarray, width: int):
+    """Slices of whole runs of equal keys with at most CELLS / width entries (one run at least),
+    and the starts of the runs inside each."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     at, most = 0, max(1, CELLS // width)
-    ends = np.r_[starts[1:], len(rows)].astype(np.int64) if len(starts) else starts
+    ends = np.r_[starts[1:], len(keys)].astype(np.int64) if len(starts) else starts
     while at < len(starts):
         last = max(at + 1, int(np.searchsorted(ends, starts[at] + most, "right")))
         yield slice(int(starts[at]), int(ends[last - 1])), starts[at:last] - starts[at]
         at = last
 
 
-def _times(cols, vals, starts, q) -> np.ndarray:
-    """Sparse rows times q: one sum per row."""
-    return np.add.reduceat(vals[:, None] * q[cols], starts)
+def _run_sums(vals, of, factors, keys):
+    """(key, sum of vals * factors[of]) of every run of equal keys, a bounded piece at a time."""
+    for cut, starts in _pieces(keys, factors.shape[1]):
+        yield keys[cut][starts], np.add.reduceat(vals[cut, None] * factors[of[cut]], starts)
+
+
+class _Blocks:
+    """A matrix broadcast in blocks of BLOCK_TERMS rows. A worker reads a block when it needs
+    it and keeps none."""
+
+    def __init__(self, spark, matrix: np.ndarray):
+        self.width = matrix.shape[1]
+        self.step = BLOCK_TERMS
+        self.parts = [spark.sparkContext.broadcast(np.ascontiguousarray(matrix[at:at + self.step]))
+                      for at in range(0, len(matrix), self.step)]
+
+    def read(self, i: int) -> np.ndarray:
+        value = self.parts[i].value
+        self.parts[i].__dict__.pop("_value", None)      # what the worker would keep of it
+        return value
+
+    def times(self, cols, vals, rows, n: int) -> np.ndarray:
+        """Sparse rows (as one CSR triple) times the matrix: n x width."""
+        out = np.zeros((n, self.width))
+        block = cols // self.step
+        order = np.lexsort((rows, block))
+        cols, vals, rows, block = cols[order], vals[order], rows[order], block[order]
+        for i in np.unique(block):
+            here = slice(*np.searchsorted(block, (i, i + 1)))
+            for r, sums in _run_sums(vals[here], cols[here] - i * self.step, self.read(i), rows[here]):
+                out[r] += sums
+        return out
+
+    def unpersist(self) -> None:
+        for b in self.parts:
+            b.unpersist()
+
+
+def _row_groups(batches):
+    """(cols, vals, rows, number of rows) of ROWS rows at a time."""
+    idx, val = [], []
+    for pdf in batches:
+        idx += pdf["idx"].tolist()
+        val += pdf["val"].tolist()
+        while len(idx) >= ROWS:
+            yield *_sparse(idx[:ROWS], val[:ROWS]), ROWS
+            del idx[:ROWS], val[:ROWS]
+    if idx:
+        yield *_sparse(idx, val), len(idx)
 
 
 def _gram_pass(arrays: DataFrame, q: np.ndarray, n_parts: int) -> np.ndarray:
     """A^T A Q for the sparse rows of ``arrays`` (one distributed pass).
 
-    Each Arrow batch is one sparse product; a partition adds its share into a terms x l
-    block and emits the touched rows only, cut into chunks. Chunks are summed as a tree
-    of radix RADIX, so no task adds up more than RADIX blocks of CHUNK_ROWS rows.
-    """
+    A task emits the touched rows of every chunk of CHUNK_ROWS terms, for ROWS rows at a time. Chunks
+    are summed as a tree of radix RADIX, so no task adds up more than RADIX blocks of a task."""
     import pandas as pd
-    spark = arrays.sparkSession
-    bq = spark.sparkContext.broadcast(q)
+    blocks, chunk = _Blocks(arrays.sparkSession, q), CHUNK_ROWS
     n_terms, width = q.shape
 
     def partial(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        qv = bq.value
-        z, touched = np.zeros_like(qv), np.zeros(n_terms, bool)
-        for pdf in batches:
-            cols, vals, rows = _sparse(pdf["idx"].tolist(), pdf["val"].tolist())
-            for cut, starts in _pieces(rows, width):
-                c, v = cols[cut], vals[cut]
-                prod = _times(c, v, starts, qv)
-                own = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(c)]))
-                order = np.argsort(c, kind="stable")
-                term, first = np.unique(c[order], return_index=True)
-                z[term] += np.add.reduceat(v[order, None] * prod[own[order]], first)
-                touched[term] = True
-        for at in range(0, n_terms, CHUNK_ROWS):
-            here = np.flatnonzero(touched[at:at + CHUNK_ROWS])
-            if len(here):
-                yield pd.DataFrame({"chunk": [at // CHUNK_ROWS], "grp": [pid], "rows": [here.tobytes()],
-                                    "data": [z[at + here].tobytes()]})
+        for cols, vals, rows, n in _row_groups(batches):
+            w = blocks.times(cols, vals, rows, n)
+            order = np.argsort(cols, kind="stable")
+            cols, vals, rows = cols[order], vals[order], rows[order]
+            edges = np.searchsorted(cols, np.arange(0, n_terms + chunk, chunk))
+            for c, (at, end) in enumerate(zip(edges[:-1], edges[1:])):
+                if at == end:
+                    continue
+                terms, sums = zip(*_run_sums(vals[at:end], rows[at:end], w, cols[at:end]))
+                yield pd.DataFrame({"chunk": [c], "grp": [pid], "rows": [(np.concatenate(terms) - c * chunk).tobytes()],
+                                    "data": [np.concatenate(sums).tobytes()]})
 
     def add(pdf):
-        acc, hit = np.zeros((CHUNK_ROWS, width)), np.zeros(CHUNK_ROWS, bool)
+        acc, hit = np.zeros((chunk, width)), np.zeros(chunk, bool)
         for r, b in zip(pdf["rows"], pdf["data"]):
             here = np.frombuffer(r, np.int64)
             acc[here] += np.frombuffer(b, np.float64).reshape(-1, width)
@@ -129,16 +170,53 @@ def _gram_pass(arrays: DataFrame, q: np.ndarray, n_parts: int) -> np.ndarray:
                              "rows": [here.tobytes()], "data": [acc[here].tobytes()]})
 
     schema = "chunk int, grp int, rows binary, data binary"
-    summed, blocks = arrays.mapInPandas(partial, schema), n_parts
-    while blocks > 1:
+    summed, left = arrays.mapInPandas(partial, schema), n_parts
+    while True:
         summed = summed.withColumn("grp", F.floor(F.col("grp") / RADIX).cast("int")) \
             .groupBy("chunk", "grp").applyInPandas(add, schema)
-        blocks = -(-blocks // RADIX)
+        left = -(-left // RADIX)
+        if left <= 1:
+            break
     z = np.zeros((n_terms, width))
     for r in summed.collect():        # bounded: n_terms x width doubles in total
-        z[r["chunk"] * CHUNK_ROWS + np.frombuffer(r["rows"], np.int64)] = \
+        z[r["chunk"] * chunk + np.frombuffer(r["rows"], np.int64)] = \
             np.frombuffer(r["data"], dtype=np.float64).reshape(-1, width)
-    bq.unpersist()
+    blocks.unpersist()
+    return z
+
+
+def _small_gram(arrays: DataFrame, q: np.ndarray) -> np.ndarray:
+    """(A Q)^T (A Q): l x l, added up in the tasks and by row of the result in Spark."""
+    import pandas as pd
+    blocks, width = _Blocks(arrays.sparkSession, q), q.shape[1]
+
+    def partial(batches):
+        total = np.zeros((width, width))
+        for cols, vals, rows, n in _row_groups(batches):
+            w = blocks.times(cols, vals, rows, n)
+            total += w.T @ w
+        yield pd.DataFrame({"i": np.arange(width), "row": list(total)})
+
+    def add(pdf):
+        return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "row": [np.sum(pdf["row"].tolist(), axis=0)]})
+
+    schema = "i int, row array<double>"
+    out = np.zeros((width, width))
+    for r in arrays.mapInPandas(partial, schema).groupBy("i").applyInPandas(add, schema).collect():
+        out[r["i"]] = r["row"]
+    blocks.unpersist()
+    return out
+
+
+def _orthonormal(z: np.ndarray) -> np.ndarray:
+    """Orthonormal columns that span those of ``z`` (fewer, if they are dependent): scaled, then turned
+    by the eigenvectors of their l x l Gram matrix, twice for full precision."""
+    for _ in range(2):
+        size = np.sqrt(np.einsum("ij,ij->j", z, z))
+        z = z[:, size > 0] / size[size > 0]
+        values, turn = np.linalg.eigh(z.T @ z)
+        keep = values > 1e-13 * values.max(initial=0.0)
+        z = z @ (turn[:, keep] / np.sqrt(values[keep]))
     return z
 
 
@@ -146,11 +224,10 @@ def _fit_randomized(arrays: DataFrame, n_terms: int, k: int, n_iter: int,
                     oversample: int, seed: int, n_parts: int) -> SvdModel:
     width = min(n_terms, k + oversample)
     rng = np.random.default_rng(seed)
-    q, _ = np.linalg.qr(rng.standard_normal((n_terms, width)))
+    q = _orthonormal(rng.standard_normal((n_terms, width)))
     for _ in range(n_iter):
-        q, _ = np.linalg.qr(_gram_pass(arrays, q, n_parts))
-    z = _gram_pass(arrays, q, n_parts)
-    evals, w = np.linalg.eigh(q.T @ z)                # small width x width problem
+        q = _orthonormal(_gram_pass(arrays, q, n_parts))
+    evals, w = np.linalg.eigh(_small_gram(arrays, q))     # small width x width problem
     order = np.argsort(evals)[::-1][:k]
     v = fix_signs(q @ w[:, order])
     return SvdModel(v, np.sqrt(np.clip(evals[order], 0.0, None)), n_terms)
@@ -166,8 +243,8 @@ def fit(arrays: DataFrame, n_terms: int, k: int, method: str = "randomized",
         if method == "randomized":
             # no more than n_rows singular values differ from zero: the rest is filled with zeros
             rank = max(1, min(k, n_rows))
-            got = _fit_randomized(src, n_terms, rank, n_iter, min(oversample, max(0, n_rows - rank)), seed,
-                                  src.rdd.getNumPartitions())
+            parts = src.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0
+            got = _fit_randomized(src, n_terms, rank, n_iter, min(oversample, max(0, n_rows - rank)), seed, parts + 1)
             more = k - len(got.singular_values)
             return SvdModel(np.pad(got.components, ((0, 0), (0, more))),
                             np.pad(got.singular_values, (0, more)), n_terms)
@@ -195,21 +272,15 @@ def _fit_exact(src: DataFrame, n_terms: int, k: int) -> SvdModel:
 def project(model: SvdModel, docs: DataFrame, arrays: DataFrame, id_col: str = "review_id",
             out: str = "features") -> DataFrame:
     """``X V`` for every row of ``docs``; rows without a known term get zeros."""
-    spark = docs.sparkSession
-    bv = spark.sparkContext.broadcast(model.components.astype(np.float64))
-    k = model.components.shape[1]
+    blocks = _Blocks(docs.sparkSession, model.components.astype(np.float64))
     joined = docs.join(arrays, id_col, "left")
     from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
     schema = StructType(joined.schema.fields + [StructField(out, ArrayType(FloatType()))])
 
     def run(batches):
-        v = bv.value
         for pdf in batches:
-            feats = np.zeros((len(pdf), k), np.float32)
-            cols, vals, rows = _sparse(pdf["idx"].tolist(), pdf["val"].tolist())
-            for cut, starts in _pieces(rows, k):
-                feats[rows[cut][starts]] = _times(cols[cut], vals[cut], starts, v)
-            pdf[out] = list(feats)
+            feats = blocks.times(*_sparse(pdf["idx"].tolist(), pdf["val"].tolist()), len(pdf))
+            pdf[out] = list(feats.astype(np.float32))
             yield pdf
 
     return joined.mapInPandas(run, schema).drop("idx", "val")

@@ -712,6 +712,20 @@ def q_svd_energy(spark, sf_dir):
                                 F.lit(off).alias("off_unit"))
 
 
+@query("svd_truncated")
+def q_svd_truncated(spark, sf_dir):
+    """M4, truncated: customers as rows with one entry, 0.5 ^ nation in their nation's column. Columns are
+    orthogonal, so the singular values are those weights times the root of the customers."""
+    from revlens.operators import svd as SVD
+    nation = F.col("c_nationkey").cast("int")
+    rows = V.table(spark, sf_dir, "customer").where("c_nationkey is not null").select(
+        F.array(nation).alias("idx"), F.array(F.pow(F.lit(0.5), nation)).alias("val"))
+    n = rows.agg(F.max(F.col("idx")[0])).first()[0] or 0
+    values = [(i + 1, float(v)) for i, v in enumerate(SVD.fit(rows, n + 1, 8).singular_values)]
+    out = spark.createDataFrame(values, "rank int, value double")           # eight values
+    return out.select("rank", F.round("value", 6).alias("singular_value"))
+
+
 @query("lr_optimum")
 def q_lr_optimum(spark, sf_dir):
     """M9: at the optimum the unpenalised intercept makes the weighted mean of

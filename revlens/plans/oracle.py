@@ -540,3 +540,7 @@ oracle("ablation_counts", f"""
 WITH {S.split_cte()}
 SELECT unnest(['base', 'sublinear', 'dims-600', 'terms-50k', 'penalty-quarter']) AS run_name, n, true AS delta_ok
 FROM (SELECT count(*) AS n FROM split WHERE split = 'test')""")
+oracle("svd_truncated", """
+WITH s AS (SELECT pow(0.5::DOUBLE, c_nationkey) * sqrt(count(*)) AS v FROM customer GROUP BY c_nationkey)
+SELECT CAST(row_number() OVER (ORDER BY v DESC) AS INTEGER) AS rank, round(v, 6) AS singular_value
+FROM (SELECT v FROM s ORDER BY v DESC LIMIT 8)""")

@@ -102,6 +102,23 @@ def test_gram_pass_tree_sum_many_partitions(spark, monkeypatch):
     assert np.allclose(got, x.T @ (x @ q), rtol=1e-9, atol=1e-9)
 
 
+def test_blocks_and_orthonormal_columns(spark, monkeypatch):
+    """Products by blocks equal the whole product; dependent columns are dropped."""
+    monkeypatch.setattr(SVD, "BLOCK_TERMS", 10)
+    rng = np.random.default_rng(2)
+    m = rng.standard_normal((64, 5))
+    blocks = SVD._Blocks(spark, m)
+    assert len(blocks.parts) == 7
+    dense = rng.standard_normal((9, 64)) * (rng.random((9, 64)) < 0.2)
+    dense[4] = 0
+    rows, cols = np.nonzero(dense)
+    assert np.allclose(blocks.times(cols, dense[rows, cols], rows, 9), dense @ m)
+    z = np.hstack([m, m @ rng.standard_normal((5, 2)), np.zeros((64, 1))]) * np.array([1, 1e-6, 1e5, 1, 1, 1, 1, 1])
+    q = SVD._orthonormal(z)
+    assert q.shape == (64, 5) and np.allclose(q.T @ q, np.eye(5), atol=1e-12)
+    assert np.allclose(q @ (q.T @ m), m, atol=1e-6)
+
+
 def test_to_vectors_equals_vectorize_and_keeps_empty_docs(spark):
     from revlens.operators import tfidf as TF
     rows = [(1, "good tasty snack good", 1), (2, "stale awful snack", 0), (3, "q", 0), (4, "good good", 1)]

@@ -101,18 +101,22 @@ def maybe_member(df: DataFrame, key: str, members: DataFrame, out: str = "_maybe
 
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of the nodes of ``links`` (a, b: long), component = smallest
-    node id reachable. Alternating large-star / small-star steps: every step is a
-    group minimum (combined on the map side) and a join back, no group is ever
-    gathered in one place; each round is written under the checkpoint folder."""
+    node id reachable. Alternating large-star / small-star steps: every step is a group
+    minimum (combined on the map side), written, and a join of the edges with that table: it is
+    broadcast while it is small; beyond that both sides of the join are plain shuffles, so
+    adaptive execution splits the edges of a hub among tasks. No group is gathered in one
+    place, and each round is written under the checkpoint folder."""
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"),
                                                      F.least("a", "b").alias("v")).distinct(), name)
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name + "-low")
+        # a hub that is the least of its neighbours keeps its edges: they need no join
+        large = (edges.join(low.where("m < u"), edges["v"] == low["u"], "left")
+                 .select(edges["u"], F.coalesce("m", edges["v"]).alias("v")).where("u <> v").distinct())
+        large = materialize(large, name + "-large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), name + "-low")
         small = large.join(low, "u")
         step = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())

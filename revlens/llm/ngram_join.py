@@ -1,8 +1,12 @@
 """N-gram Jaccard join: all links of similar documents, as connected groups.
 
 Documents are sets of word shingles (64-bit hashes). Shingles are ordered rare first
-by a fixed-size frequency table over the whole corpus, and each document offers only
-its prefix: the shingles of which two similar documents must share at least one.
+by a frequency table over the whole corpus, and each document offers only its prefix:
+the shingles of which two similar documents must share at least one. The table counts
+hash slots; it has about as many as there are documents, within bounds (TABLE_BITS): a
+slot's count is the shingle's own plus the average load of a slot, so frequent shingles
+stand out at any size, while the order among shingles rarer than that load's spread (its
+square root) is arbitrary and their candidate lists may be that long.
 
 1. Documents with the same set collapse into one class (128-bit set digest).
 2. Round one pairs every class with a few centres per prefix shingle and verifies:
@@ -40,8 +44,8 @@ from revlens.llm.common import SPACES, ascii_lower, connected_components, maybe_
 from revlens import session
 from revlens.session import materialize
 
-#: entries of the frequency table (2^18 longs: 2 MB whatever the corpus holds)
-TABLE_BITS = 18
+#: bounds of the frequency table's size (2^18 to 2^22 longs: 2 to 32 MB)
+TABLE_BITS = (18, 22)
 SIGNATURE_BITS = 256
 SIGNATURE = ("s0", "s1", "s2", "s3")
 #: round one: centres per prefix shingle
@@ -65,25 +69,28 @@ def _lists(column) -> Iterator[np.ndarray]:
         yield np.unique(values[a:b])
 
 
-def _slot(values: np.ndarray) -> np.ndarray:
-    return (values.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def _slot(values: np.ndarray, size: int) -> np.ndarray:
+    """Slots of the hashes in a table of ``size`` (a power of two)."""
+    return (values.view(np.uint64) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
 def frequency_table(docs: DataFrame, text: str, n: int) -> np.ndarray:
     """Documents per hash slot. A task adds its own documents up first; what reaches
-    the driver is the fixed-size table."""
+    the driver is the table of bounded size."""
+    size = 1 << min(max(docs.count().bit_length(), TABLE_BITS[0]), TABLE_BITS[1])
+
     def count(batches):
-        total = np.zeros(1 << TABLE_BITS, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
             for values in _lists(batch.column(0)):
-                np.add.at(total, _slot(values), 1)
+                np.add.at(total, _slot(values, size), 1)
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["slot", "n"])
 
     found = (docs.select(shingles(F.col(text), n).alias("g")).mapInArrow(count, "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")))
     got = found.toArrow()
-    out = np.zeros(1 << TABLE_BITS, np.int64)
+    out = np.zeros(size, np.int64)
     out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
     return out
 
@@ -113,7 +120,7 @@ def prefixes(docs: DataFrame, table: np.ndarray, text: str, key: str, n: int, pe
                     continue
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
                 keep = m - -(-percent * m // 100) + 1
-                order = np.argsort(freq[_slot(values)], kind="stable")[:keep]
+                order = np.argsort(freq[_slot(values, len(freq))], kind="stable")[:keep]
                 heads.append(values[order])
             bits = np.packbits(parity, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(

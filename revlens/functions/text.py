@@ -82,6 +82,12 @@ def heavy_tokens(col) -> Column:
                     lambda t: (t != F.lit("")) & ~t.isin(list(STOPWORDS)))
 
 
+def has_heavy_token(col) -> Column:
+    """Does the heavy cleaner leave a token? Stops at the first one (NULL stays NULL)."""
+    alone = rf"(?<![a-z0-9])(?!(?:{'|'.join(STOPWORDS)})(?![a-z0-9]))[a-z0-9]"
+    return strip_html(F.lower(_c(col))).rlike(alone)
+
+
 def heavy_clean(col) -> Column:
     """the TF-IDF input text."""
     return F.array_join(heavy_tokens(col), " ")

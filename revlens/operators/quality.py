@@ -7,8 +7,9 @@ Physical shape: equal texts meet by a 128-bit digest. Every row is reduced to it
 digest, its key and a few numbers and flags; those are hash-aggregated (map side
 first, so a text that holds a third of all rows is one row per task). No text is
 sorted or shuffled by the report, the ledger or duplicate counting; clean-and-label
-joins the table of *repeated* digests back to the rows, which is broadcast while it is
-small and otherwise shuffles each text once.
+writes keys and digests once, finds the keys of *repeated* texts there, and drops them from
+the rows: that table of numbers is broadcast while it is small, otherwise each text is
+shuffled once by its key.
 """
 
 from __future__ import annotations
@@ -61,13 +62,14 @@ def text_digest(text="review_text"):
 def first_per_text(df: DataFrame, key: str = "review_key") -> DataFrame:
     """Keep the row of smallest ``key`` (unique) of every distinct review_text.
 
-    Only digests with more than one row can lose any; that table is written first, so
-    its real size decides whether the rows are shuffled to meet it."""
-    tagged = df.withColumn("_digest", text_digest())
-    repeated = materialize(tagged.groupBy("_digest").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
-                           .where("_n > 1").select("_digest", "_first"), "repeated-texts")
-    both = tagged.join(repeated.withColumnRenamed("_digest", "_d"), F.col("_digest").eqNullSafe(F.col("_d")), "left")
-    return both.where(F.col("_first").isNull() | (F.col(key) == F.col("_first"))).select(*df.columns)
+    One pass of the texts gives (key, digest), written; the rows that lose are found there and
+    written as keys, so the rows meet a table of numbers (its real size decides how) and no
+    text is hashed twice or compared."""
+    digests = materialize(df.select(F.col(key).alias("_key"), text_digest().alias("_digest")), "text-digests")
+    repeated = (digests.groupBy("_digest").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1").select(F.col("_digest").alias("_d"), "_first"))
+    losers = digests.join(repeated, F.col("_digest").eqNullSafe(F.col("_d"))).where("_key <> _first").select("_key")
+    return df.join(materialize(losers, "repeated-texts"), F.col(key) == F.col("_key"), "left_anti").select(*df.columns)
 
 
 def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
@@ -93,14 +95,17 @@ def clean_and_label(df: DataFrame, key: str = "review_key") -> DataFrame:
 def _per_text(df: DataFrame, key: str, heavy: bool = False) -> DataFrame:
     """One narrow row per distinct review_text (NULL is one group): counts, the first
     key of usable rows, and the text's own numbers. Longs only, so it hash-aggregates."""
-    r, t = F.col("rating"), F.col("review_text")
-    blank = t.isNotNull() & T.is_blank("review_text")
-    usable = t.isNotNull() & r.isNotNull() & ~T.is_blank("review_text")
-    rows = df.select(
-        F.col(key).alias("_k"), text_digest().alias("_digest"), r.alias("rating"),
-        t.isNull().cast("int").alias("no_text"), F.coalesce(blank, F.lit(False)).cast("int").alias("blank"),
-        F.coalesce(usable, F.lit(False)).alias("usable"), T.word_count("review_text").alias("words"),
-        *([(F.size(T.heavy_tokens("review_text")) == 0).cast("int").alias("heavy_empty")] if heavy else []))
+    r, t, words = F.col("rating"), F.col("review_text"), F.col("words")
+    # words are counted once per row; a text without one is blank
+    counted = df.select(
+        F.col(key).alias("_k"), text_digest().alias("_digest"), r, t.isNull().alias("_none"),
+        T.word_count("review_text").alias("words"),
+        *([(~T.has_heavy_token("review_text")).cast("int").alias("heavy_empty")] if heavy else []))
+    none = F.col("_none")
+    rows = counted.select(
+        "_k", "_digest", "rating", "words", none.cast("int").alias("no_text"),
+        (~none & (words == 0)).cast("int").alias("blank"), (~none & (words > 0) & r.isNotNull()).alias("usable"),
+        *(["heavy_empty"] if heavy else []))
     r = F.col("rating")
     return rows.groupBy("_digest").agg(
         F.count(F.lit(1)).alias("n"),

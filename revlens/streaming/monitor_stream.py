@@ -1,8 +1,9 @@
 """R2 + R3 + R4 as a Structured Streaming job: per-model count window.
 
-State per model is the newest ``WINDOW`` predictions ordered by (ts, id),
-held in ``applyInPandasWithState`` (bounded: at most WINDOW rows per model).
-Each micro-batch merges its rows into the state and emits the model's current
+State per model is the newest ``WINDOW`` predictions ordered by (ts, id), held by
+``transformWithState`` as a list state of rows (at most WINDOW per model) and a counter, in
+the RocksDB state store; rows are Avro-encoded, so a later version may add columns
+to a running monitor's state. Each micro-batch merges its rows into the state and emits the model's current
 signals, stamped with a per-model emission counter (and the window's newest
 (ts, id)), so downstream code can keep the latest row per model. Rows older than the window's oldest member are
 dropped on arrival - the window is a fixed count, not event time.
@@ -17,14 +18,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from revlens.operators.monitor import LOW_CONFIDENCE, WINDOW
 
 LOG_SCHEMA = ("id long, ts timestamp_ntz, model string, label string, confidence double, "
               "word_count int, latency_ms double")
-STATE_SCHEMA = ("ids array<long>, ts array<long>, label array<string>, conf array<double>, "
-                "words array<int>, latency array<double>, seq long")
+STATE_SCHEMA = "ids long, ts long, label string, conf double, words int, latency double"
+#: what the state operator needs of the session while its query runs
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.encodingFormat": "avro",
+}
 OUT_SCHEMA = ("model string, predictions long, mean_confidence double, low_confidence_rate double, "
               "positive_share double, median_word_count double, p95_latency_ms double, "
               "newest_ts long, newest_id long, seq long")
@@ -131,11 +137,49 @@ def window_function(window: int = WINDOW, low: float = LOW_CONFIDENCE):
     return update
 
 
-def monitor_query(log_stream: DataFrame, window: int = WINDOW) -> DataFrame:
+def window_processor(window: int = WINDOW, low: float = LOW_CONFIDENCE, added: tuple[str, ...] = ()):
+    """``window_function`` over a list state of rows and an emission counter. ``added`` names columns
+    ("channel string") that a later version puts behind the state's own; rows written
+    before hold NULL there. Made inside a function so that it ships to the Python workers by
+    value, like the function it calls."""
+    update, schema, own = window_function(window, low), ", ".join((STATE_SCHEMA, *added)), len(STATE_SCHEMA.split(","))
+
+    class Held:
+        """The two states as the function sees them: columns of the window, then the counter."""
+
+        def __init__(self, rows, count):
+            self.rows, self.count = rows, count
+
+        @property
+        def exists(self):
+            return self.count.exists()
+
+        @property
+        def get(self):
+            return (*list(zip(*self.rows.get()))[:own], self.count.get()[0])
+
+        def update(self, value):
+            *columns, seq = value
+            self.rows.put([(*row, *(None,) * len(added)) for row in zip(*columns)])
+            self.count.update((seq,))
+
+    class WindowProcessor(StatefulProcessor):
+        def init(self, handle):
+            self.held = Held(handle.getListState("window", schema), handle.getValueState("emissions", "seq long"))
+
+        def handleInputRows(self, key, rows, timerValues):
+            yield from update(key, rows, self.held)
+
+        def close(self):
+            pass
+
+    return WindowProcessor()
+
+
+def monitor_query(log_stream: DataFrame, window: int = WINDOW, added: tuple[str, ...] = ()) -> DataFrame:
     """Streaming signals per model (append output; latest row per model wins)."""
     cut = log_stream.mapInArrow(newest_per_task(window), log_stream.schema)
-    return cut.groupBy("model").applyInPandasWithState(
-        window_function(window), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    return cut.groupBy("model").transformWithStateInPandas(window_processor(window, added=added), OUT_SCHEMA, "append", "None")
 
 
 def latest(signals: DataFrame) -> DataFrame:
@@ -149,12 +193,19 @@ def latest(signals: DataFrame) -> DataFrame:
 
 
 def run_to_table(spark: SparkSession, log_dir: str, out_dir: str, ckpt_dir: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, added: tuple[str, ...] = ()) -> DataFrame:
     """Run the monitor over every log file present now (availableNow trigger),
     write emitted signals to parquet, return the latest signals per model."""
     stream = log_stream(spark, log_dir, max_files_per_trigger)
-    q = (monitor_query(stream).writeStream.format("parquet")
-         .option("path", out_dir).option("checkpointLocation", ckpt_dir)
-         .outputMode("append").trigger(availableNow=True).start())
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    try:
+        for k, v in STATE_STORE.items():
+            spark.conf.set(k, v)
+        q = (monitor_query(stream, added=added).writeStream.format("parquet")
+             .option("path", out_dir).option("checkpointLocation", ckpt_dir)
+             .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        for k, v in before.items():      # the query keeps what it started with
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     return latest(spark.read.parquet(out_dir))

@@ -171,3 +171,28 @@ def test_repeat_state_expires():
     assert st.value == (4,) and st.timeout == 1000
     st.hasTimedOut = True
     assert list(mark((7,), iter([]), st)) == [] and not st.exists
+
+
+def test_monitor_goes_on_from_its_checkpoint(spark):
+    """Stopped and started again, the stream ends where the batch twin over the whole log does."""
+    import uuid
+
+    from revlens.operators import monitor as MO
+    from revlens.session import scratch_path
+    from revlens.sources import sinks
+    from revlens.sources import tables as V
+    from revlens.streaming import monitor_stream as MS
+    from tests.conftest import SF001
+    base = scratch_path(spark, f"test-restart-{uuid.uuid4().hex}")
+    log = V.prediction_log(spark, SF001)
+    for part in range(3):
+        sinks.append_log(log.where(f"id % 3 = {part}"), f"{base}/log")
+        # the last start is a version whose state has a column more
+        got = MS.run_to_table(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt", added=("channel string",) * (part == 2))
+        want = MO.signals(MO.last_n(log.where(f"id % 3 <= {part}")))
+        cols = ["model", "predictions", "mean_confidence", "low_confidence_rate", "positive_share", "p95_latency_ms"]
+        a, b = (sorted([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in d.select(*cols).collect()])
+                for d in (got, want))
+        assert a == b and len(a) > 1
+    seqs = spark.read.parquet(f"{base}/out").groupBy("model").max("seq").collect()
+    assert all(r[1] == 2 for r in seqs)

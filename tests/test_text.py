@@ -85,6 +85,14 @@ def test_cleaners_property(spark, texts):
         assert [w for w in re.findall("[a-z0-9]+", r["l"].lower()) if w not in T.STOPWORDS] == tokens
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from([*T.STOPWORDS, "The", "ab", "i9", "a1", "thea"]), st.text(alphabet=_ALPHABET, max_size=6)),
+                         max_size=7).map(lambda parts: " ".join(parts)), min_size=1, max_size=8))
+def test_has_heavy_token_is_heavy_text_not_empty(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert all(r["a"] == (r["h"] != "") for r in df.select(T.has_heavy_token("t").alias("a"), T.heavy_clean("t").alias("h")).collect())
+
+
 def test_trigrams(spark):
     df = spark.createDataFrame([("ab cd ef gh",), ("ab",)], "t string")
     out = [r[0] for r in df.select(T.ngrams(T.tfidf_tokens("t"), 3)).collect()]

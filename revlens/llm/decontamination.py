@@ -7,7 +7,9 @@
 4. ``intersect``: positions minus item offsets give alignments (doc, item, shift);
    an alignment survives when the lists of all rare terms of a window meet in it.
 5. ``phrase_hits``: survivors are compared word by word with the document's own
-   words (exact), ``proximity_hits``: windows whose rare terms stand within a span.
+   words (exact).
+6. ``proximity_hits``: windows whose rarest terms all stand within SLOP words of a document, in
+   any order, found by one sort of the index by document and position.
 
 Built-in functions only. Term and position lists are keyed by (doc, item, shift), so
 a passage found in a third of all documents is spread like its documents; side tables
@@ -16,7 +18,8 @@ from the benchmark are broadcast only after their rows were counted, else shuffl
 Defined cases: null text has no word (nothing hit, not contaminated); items without
 words are ignored; an item under 13 words is one window; items with equal id are
 listed once, a null item id is listed as the empty string; documents with equal or
-null ids are judged row by row.
+null ids are judged row by row, but for proximity: there rows of one id are one document, and
+rows without an id are not searched (no match).
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from revlens.session import materialize
 
 WINDOW = 13
 RARE = 3
+SLOP = 20
 
 
 def match_words(text: Column) -> Column:
@@ -97,41 +101,31 @@ def intersect(index: DataFrame, rare: DataFrame) -> DataFrame:
     return aligned.join(small_side(spans), "item").where(whole).select("doc", "item", "shift")
 
 
-def proximity_hits(index: DataFrame, rare: DataFrame, slop: int = 20) -> DataFrame:
-    """(doc, item, start, first, last): windows all of whose rare terms occur, in any
-    order, within ``slop`` words; one row per position of the rarest such list."""
-    need = rare.groupBy("item", "start").agg(F.countDistinct("term").alias("need"),
-                                             F.min("term").alias("lead"))
-    slots = rare.select("item", "start", "term").distinct()
-    at = index.join(slots, "term").select("doc", "item", "start", "term", "pos")
-    lead = (at.join(need, ["item", "start"]).where(F.col("term") == F.col("lead"))
-            .select("doc", "item", "start", "need", F.col("pos").alias("anchor")))
-    # positions meet only in the same or the next block of ``slop`` words
-    block = F.floor(F.col("pos") / slop)
-    lead = lead.select("*", F.explode(F.array(F.floor(F.col("anchor") / slop) - 1,
-                                              F.floor(F.col("anchor") / slop),
-                                              F.floor(F.col("anchor") / slop) + 1)).alias("block"))
-    both = (lead.join(at.withColumn("block", block), ["doc", "item", "start", "block"])
-            .where(F.abs(F.col("pos") - F.col("anchor")) <= slop))
-    # the nearest position of every term on each side of the anchor
-    side = (both.groupBy("doc", "item", "start", "need", "anchor", "term")
-            .agg(F.max(F.when(F.col("pos") <= F.col("anchor"), F.col("pos"))).alias("left"),
-                 F.min(F.when(F.col("pos") >= F.col("anchor"), F.col("pos"))).alias("right")))
-    terms = F.collect_list(F.struct("left", "right"))
-    got = (side.groupBy("doc", "item", "start", "need", "anchor").agg(terms.alias("t"))
-           .where(F.size("t") == F.col("need")))
-    # every choice of the span's first position is some term's left neighbour or the anchor
-    starts = F.array_distinct(F.concat(F.array("anchor"), F.array_compact(F.transform("t", lambda x: x["left"]))))
-
-    def last_for(lo):
-        return F.array_max(F.transform("t", lambda x: F.when(x["left"] >= lo, F.col("anchor"))
-                                       .otherwise(F.coalesce(x["right"], F.lit(1 << 30)))))
-
-    spans = F.transform(starts, lambda lo: F.struct((last_for(lo) - lo).alias("w"), lo.alias("first"),
-                                                    last_for(lo).alias("last")))
-    return (got.withColumn("b", F.array_min(spans)).where(F.col("b.w") < slop)
-            .select("doc", "item", "start", F.col("b.first").alias("first"), F.col("b.last").alias("last"))
-            .distinct())
+def proximity_hits(index: DataFrame, rare: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(doc, item, first, last): spans of fewer than ``slop`` words that hold all rare terms of one of the
+    item's windows, in any order; one row per end of such a span, with its latest beginning.
+
+    Windows with the same rare terms are one set. Positions are kept only where as many different
+    terms stand around them as the smallest set of their term needs; what is left meets the
+    sets, and a running maximum per term gives the latest place of each before every position."""
+    sets = rare.groupBy("item", "start").agg(F.array_sort(F.collect_set("term")).alias("terms")) \
+        .select("item", "terms").distinct()
+    sets = materialize(sets.select("item", F.xxhash64("terms").alias("set"), F.size("terms").alias("size"),
+                                   F.posexplode("terms").alias("k", "term")), "near-sets")
+    need = materialize(sets.groupBy("term").agg(F.min("size").alias("need")), "near-needs")
+    around = Window.partitionBy("doc").orderBy("pos").rangeBetween(-(slop - 1), slop - 1)
+    dense = (index.where("doc is not null").select("doc", "pos", "term").join(small_side(need), "term")
+             .withColumn("around", F.size(F.collect_set("term").over(around))).where("around >= need"))
+    most = sets.agg(F.max("size")).first()[0] or 0
+    at = materialize(dense.select("doc", "pos", "term"), "near-places").join(small_side(sets), "term")
+    before = Window.partitionBy("doc", "item", "set").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = [F.when(F.col("size") > j, F.max(F.when(F.col("k") == j, F.col("pos"))).over(before)).otherwise(F.col("pos"))
+            for j in range(most)]
+    whole, first = F.lit(most > 0), F.col("pos")
+    for seen in last:
+        whole, first = whole & seen.isNotNull(), F.least(first, seen)
+    spans = at.select("doc", "item", F.col("pos").alias("last"), F.when(whole, first).alias("first"))
+    return spans.where(F.col("last") - F.col("first") < slop).select("doc", "item", "first", "last").distinct()
 
 
 def _found(ws: Column, item: Column, shift: Column, window: int) -> Column:
@@ -145,40 +139,52 @@ def _found(ws: Column, item: Column, shift: Column, window: int) -> Column:
 
 
 def phrase_hits(docs: DataFrame, survivors: DataFrame, items: DataFrame, text: str = "text",
-                key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+                key: str = "doc_id", window: int = WINDOW, near: DataFrame | None = None) -> DataFrame:
     """Every input row (struct ``_row``) with n_words, hits (array of item, first and
-    end word position of each occurring window), checked against the row's own words."""
+    end word position of each occurring window), checked against the row's own words, and n_near
+    (items that ``near``, the proximity matches, has for its id)."""
+    # places by item first: an item's words stand once beside them, however often it may occur
+    places = survivors.groupBy("doc", "item").agg(F.collect_set("shift").alias("shifts"))
     cands = materialize(
-        survivors.join(small_side(items.select("item", "item_id", "words")), "item")
-        .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "shift")).alias("_c")), "candidates")
+        places.join(small_side(items.select("item", "item_id", "words")), "item")
+        .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("_c")), "candidates")
+    if near is None:
+        cands = cands.withColumn("_n", F.lit(0).cast("long"))
+    else:
+        of_doc = near.join(small_side(items.select("item", "item_id")), "item").groupBy(F.col("doc").alias("_nd")).agg(
+            F.countDistinct("item_id").alias("_n"))
+        cands = materialize(cands.join(of_doc, F.col("doc") == F.col("_nd"), "full_outer").select(
+            F.coalesce("doc", "_nd").alias("doc"), "_c", F.coalesce("_n", F.lit(0).cast("long")).alias("_n")), "candidates")
     # most documents have no candidate: they are set aside by a fixed-size bit table
     # and only the others' texts travel to their candidates
     rows = maybe_member(packed(docs).withColumn("doc", F.col("_row")[key]), "doc", membership(cands, "doc"))
     rest = rows.where(~F.col("_maybe")).select("_row", F.size(match_words(F.col("_row")[text])).cast("long").alias("n_words"))
     both = rows.where("_maybe").join(cands.withColumnRenamed("doc", "_d"), F.col("doc").eqNullSafe(F.col("_d")), "left")
-    both = both.select("_row", "_c", match_words(F.col("_row")[text]).alias("_w"))
-    spans = F.flatten(F.transform("_c", lambda c: F.transform(
-        _found(F.col("_w"), c["words"], c["shift"], window),
-        lambda s: F.struct(c["item_id"].alias("item_id"), (c["shift"] + s).alias("first"),
-                           (c["shift"] + s + F.least(F.lit(window), F.size(c["words"]))).alias("end")))))
-    found = both.select("_row", F.size("_w").cast("long").alias("n_words"),
+    both = both.select("_row", "_c", F.coalesce("_n", F.lit(0).cast("long")).alias("_n"), match_words(F.col("_row")[text]).alias("_w"))
+    spans = F.flatten(F.transform("_c", lambda c: F.flatten(F.transform(c["shifts"], lambda shift: F.transform(
+        _found(F.col("_w"), c["words"], shift, window),
+        lambda s: F.struct(c["item_id"].alias("item_id"), (shift + s).alias("first"),
+                           (shift + s + F.least(F.lit(window), F.size(c["words"]))).alias("end")))))))
+    found = both.select("_row", F.col("_n").alias("n_near"), F.size("_w").cast("long").alias("n_words"),
                         F.when(F.col("_c").isNotNull(), F.array_distinct(spans)).alias("hits"))
     none = F.lit(None).cast(found.schema["hits"].dataType)
     # the one-row generator keeps filters on the result above the word comparison,
     # which they would otherwise repeat for each of its uses
-    found = found.select("_row", F.explode(F.array(F.struct("n_words", "hits"))).alias("_f")) \
-        .select("_row", "_f.n_words", "_f.hits")
-    return found.unionByName(rest.withColumn("hits", none))
+    found = found.select("_row", "n_near", F.explode(F.array(F.struct("n_words", "hits"))).alias("_f")) \
+        .select("_row", "n_near", "_f.n_words", "_f.hits")
+    return found.unionByName(rest.withColumn("hits", none).withColumn("n_near", F.lit(0).cast("long")))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id",
-           min_share: int = 20, window: int = WINDOW) -> DataFrame:
+           min_share: int = 20, window: int = WINDOW, slop: int | None = SLOP) -> DataFrame:
     """``phrase_hits`` of the whole corpus plus n_hit (words inside a window), items
-    (ids, sorted as strings) and contaminated (n_hit > 0 and min_share * n_hit >= n_words)."""
+    (ids, sorted as strings), contaminated (n_hit > 0 and min_share * n_hit >= n_words) and n_near (items
+    with a proximity match; ``slop`` None: not searched)."""
     items = benchmark_items(benchmark)
     rare = materialize(rare_terms(items, document_frequency(docs, items, text, key), window), "rare")
-    survivors = intersect(postings(docs, rare, text, key), rare)
-    hits = phrase_hits(docs, survivors, items, text, key, window)
+    index = postings(docs, rare, text, key)
+    near = None if slop is None else materialize(proximity_hits(index, rare, slop), "near")
+    hits = phrase_hits(docs, intersect(index, rare), items, text, key, window, near)
     at = F.flatten(F.transform("hits", lambda h: F.sequence(h["first"], h["end"] - 1)))
     n_hit = F.coalesce(F.size(F.array_distinct(at)).cast("long"), F.lit(0).cast("long"))
     ids = F.coalesce(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"]))),

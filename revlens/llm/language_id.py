@@ -10,7 +10,8 @@ and markup don't drown the evidence.
 
 Defined cases: null text or no letter -> ``und``, score 0, rejected; a tie goes to
 the language with more labelled rows (then by name) and is rejected; with no
-labelled row at all every text is ``und``.
+labelled row at all every text is ``und``. Dictionaries take at most ``max_langs`` x
+``docs_per_lang`` x ``clip`` characters.
 """
 
 from __future__ import annotations
@@ -48,16 +49,17 @@ def letter_words(text: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        docs_per_lang: int = 64, clip: int = 1024) -> LanguageModel:
-    """Dictionaries from a bounded sample of labelled rows: per language the
-    ``docs_per_lang`` rows of smallest key hash, ``clip`` characters of each.
+        docs_per_lang: int = 64, clip: int = 1024, max_langs: int = 512) -> LanguageModel:
+    """Dictionaries from a bounded sample of labelled rows: per language (the ``max_langs`` with most
+    rows, ties by name) the ``docs_per_lang`` rows of smallest key hash, ``clip`` characters of each.
     Languages are counted first; only rows in the lowest part of the hashes are ranked."""
     rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"),
                            F.col(text).alias("text")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in
-              rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     if not counts:
         return LanguageModel((), ())
+    rows = rows.where(F.col("lang").isin(list(counts)))
     known = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
     part = F.pmod("h", F.lit(1 << 31))
     order = Window.partitionBy("lang").orderBy(part, "h", "text")

@@ -84,11 +84,28 @@ hit AS (SELECT dw.doc_id, dw.i, dw.z, win.item_id FROM dw JOIN win ON dw.g = win
 pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + z)) AS p FROM hit)
         GROUP BY doc_id),
 ids AS (SELECT doc_id, count(*) AS n, string_agg(t, ',' ORDER BY t) AS t
-        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS t FROM hit) GROUP BY doc_id)
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS t FROM hit) GROUP BY doc_id),
+tok AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
+cf AS (SELECT t, count(*) AS c FROM tok WHERE t IN (SELECT unnest(w) FROM b) GROUP BY t),
+bw AS (SELECT item_id, w, z, i, unnest(w[i:i + z - 1]) AS t, unnest(range(z)) AS o FROM
+       (SELECT item_id, w, least(13, len(w)) AS z, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+wt AS (SELECT item_id, w, z, i, t, min(o) AS o, count(*) AS k, min(c) AS c FROM bw JOIN cf USING (t) GROUP BY item_id, w, z, i, t),
+rk AS (SELECT *, sum(k) OVER s AS present, row_number() OVER (s ORDER BY c, o) AS r FROM wt
+       WINDOW s AS (PARTITION BY item_id, w, i)),
+sets AS (SELECT DISTINCT item_id, l[1] AS t1, l[least(2, len(l))] AS t2, l[least(3, len(l))] AS t3 FROM
+         (SELECT item_id, list(t ORDER BY t) AS l FROM
+          (SELECT item_id, w, i, t, r FROM rk
+           QUALIFY sum(k) OVER (PARTITION BY item_id, w, i) = z) WHERE r <= 3 GROUP BY item_id, w, i)),
+place AS (SELECT doc_id, t, p FROM tok WHERE t IN (SELECT t1 FROM sets UNION SELECT t2 FROM sets UNION SELECT t3 FROM sets)),
+near AS (SELECT x.doc_id, count(DISTINCT s.item_id) AS n FROM sets s JOIN place x ON x.t = s.t1
+         JOIN place y ON y.doc_id = x.doc_id AND y.t = s.t2 AND abs(y.p - x.p) < 20
+         JOIN place q ON q.doc_id = x.doc_id AND q.t = s.t3 AND abs(q.p - x.p) < 20 AND abs(q.p - y.p) < 20
+         GROUP BY x.doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
        sha256(coalesce(ids.t, '')) AS items_sha256,
-       coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+       coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(w) AS contaminated, coalesce(near.n, 0) AS n_near
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 def _codes() -> str:
@@ -124,7 +141,10 @@ FROM c
 
 _MIDDLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
-                  regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+                  regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u
            FROM documents),
 g AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
              ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),

@@ -86,7 +86,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontamination.report(read(spark, sf_dir, "documents").select("doc_id", "text"),
                                   read(spark, sf_dir, "benchmark"))
     return rows.select("_row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,6 +47,7 @@ def sf(spark, tmp_path_factory):
 def test_language_id(spark, hard, none):
     model = language_id.fit(hard)
     assert set(model.languages) <= {"en", "de", "fr", "ja"}
+    assert language_id.fit(hard, max_langs=2).languages == ("en", "de")
     marks = hard.limit(1).withColumn("text", F.lit("\u0301\u0302 \u0301")).withColumn("language", F.lit("mine"))
     marks = marks.withColumn("_row", F.lit(1))
     r = language_id.predict(marks, model).first()

@@ -355,6 +355,31 @@ def test_proximity(spark):
     assert got == {(1, 0, 3), (2, 0, 6)}
 
 
+def test_proximity_against_brute_force(spark):
+    """Every window's three rarest terms in every span of fewer than 6 words, random texts over few words."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(9)]
+    docs = {i: [r.choices(words, weights=range(1, 10))[0] for _ in range(r.randrange(0, 60))] for i in range(60)}
+    texts = [(i, " ".join(t)) for i, t in docs.items()] + [(None, " ".join(docs[1])), (61, None)]
+    items = {10: docs[3][:20], 11: ["w0", "w1"], 12: ["w0", "zz", "w1"], 13: ["w2"], 14: [], 15: r.choices(words, k=15)}
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {x["_row"]["doc_id"]: x["n_near"] for x in decontamination.report(df, bench, window=5, slop=6).collect()}
+    count = Counter(w for _, t in texts if t for w in t.split())
+    want = Counter()
+    for t in items.values():
+        z = min(5, len(t))
+        sets = set()
+        for i in range(len(t) - z + 1) if t else ():
+            window = t[i:i + z]
+            if all(count[w] for w in window):
+                sets.add(frozenset(sorted(set(window), key=lambda w: (count[w], window.index(w)))[:3]))
+        for d, doc in docs.items():
+            want[d] += any(s <= set(doc[p:p + 6]) for s in sets for p in range(len(doc)))
+    assert got.pop(None) == 0 and got.pop(61) == 0
+    assert got == {d: want[d] for d in docs} and len(set(got.values())) > 2
+
+
 def test_pipeline_against_stages_by_hand(spark):
     docs = {r["doc_id"]: r for r in read(spark, SF001, "documents").collect()}
     out = docs

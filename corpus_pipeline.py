@@ -86,7 +86,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth stands in the benchmark. Null and empty texts
     stand in none and stay."""
-    return _rows(decontamination.report(docs, read(spark, sf_dir, "benchmark")).where(~F.col("contaminated")))
+    return _rows(decontamination.report(docs, read(spark, sf_dir, "benchmark"), slop=None).where(~F.col("contaminated")))
 
 
 @_stage

@@ -180,9 +180,10 @@ def split_checks(ided: DataFrame, split: DataFrame) -> DataFrame:
         for c in (*names, "leaked_test_rows")])))
 
 
-def assert_split_ok(ided: DataFrame, split: DataFrame) -> None:
-    """Halt when the split does not line up with the table or leaks texts."""
-    bad = {r["check"]: r["value"] for r in split_checks(ided, split).collect()
-           if r["check"] not in ("train_rows", "test_rows") and r["value"]}
+def assert_split_ok(ided: DataFrame, split: DataFrame) -> dict[str, int]:
+    """Halt when the split does not line up with the table or leaks texts; returns its row counts."""
+    got = {r["check"]: r["value"] for r in split_checks(ided, split).collect()}
+    bad = {k: v for k, v in got.items() if k not in ("train_rows", "test_rows") and v}
     if bad:
         raise ValueError(f"split does not line up with the table: {bad}")
+    return {"train": got["train_rows"], "test": got["test_rows"]}

@@ -4,6 +4,9 @@ a lost executor) restarts from files, not from raw input."""
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,24 +23,29 @@ from revlens.sources import ingest, sinks
 def data_job(spark: SparkSession, raw: DataFrame, out_dir: str, min_rows: int = 100,
              expected_split: dict | None = None) -> dict:
     """Validate (halts on critical rules), write the report, clean and label,
-    write the cleaned table, assign ids, split, gate the counts, write the split."""
+    write the cleaned table, assign ids, split, gate the counts, write the split.
+
+    After the gates the report and the cleaning are independent passes over the input, so
+    they run as concurrent Spark jobs."""
     Q.gate(raw, min_rows)                                               # P2, P1
-    sinks.write_json_one(Q.validation_report_nested(raw), f"{out_dir}/validation_report")   # A1-A6
-    report = ingest.read_manifest(spark, f"{out_dir}/validation_report")
-    cleaned = Q.clean_and_label(raw)
-    sinks.write_cleaned(cleaned, f"{out_dir}/cleaned")                  # S6
-    cleaned = spark.read.parquet(f"{out_dir}/cleaned")
-    split = S.ids_and_split(cleaned)                                    # W1, W5
-    if expected_split:
-        split = materialize(split, "ids-and-split")
-        S.check_split_counts(split, expected_split)                     # P11
-    cleaned.join(split, "review_key").write.mode("overwrite").partitionBy("split") \
-        .parquet(f"{out_dir}/reviews_split")                            # S7
-    stored = spark.read.parquet(f"{out_dir}/reviews_split")
-    S.assert_split_ok(stored.drop("split"), stored.select("review_id", "split"))  # J2, U2, J8
-    counts = {r["split"]: r["n"] for r in
-              stored.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {"report": report, "split_counts": counts}
+
+    def report() -> dict:
+        sinks.write_json_one(Q.validation_report_nested(raw), f"{out_dir}/validation_report")   # A1-A6
+        return ingest.read_manifest(spark, f"{out_dir}/validation_report")
+
+    with ThreadPool(1) as pool:
+        reported = pool.apply_async(inheritable_thread_target(spark)(report))
+        sinks.write_cleaned(Q.clean_and_label(raw), f"{out_dir}/cleaned")   # S6
+        cleaned = spark.read.parquet(f"{out_dir}/cleaned")
+        split = S.ids_and_split(cleaned)                                # W1, W5
+        if expected_split:
+            split = materialize(split, "ids-and-split")
+            S.check_split_counts(split, expected_split)                 # P11
+        cleaned.join(split, "review_key").write.mode("overwrite").partitionBy("split") \
+            .parquet(f"{out_dir}/reviews_split")                        # S7
+        stored = spark.read.parquet(f"{out_dir}/reviews_split")
+        counts = S.assert_split_ok(stored.drop("split"), stored.select("review_id", "split"))  # J2, U2, J8
+        return {"report": reported.get(), "split_counts": counts}
 
 
 def feature_job(spark: SparkSession, data_dir: str, out_dir: str, **settings) -> dict:

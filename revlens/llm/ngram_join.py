@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import SPACES, ascii_lower, connected_components, maybe_member, membership, words
+from revlens.llm.common import SPACES, arrow_rows, ascii_lower, connected_components, maybe_member, membership, words
 from revlens import session
 from revlens.session import materialize
 
@@ -50,6 +50,8 @@ SIGNATURE_BITS = 256
 SIGNATURE = ("s0", "s1", "s2", "s3")
 #: round one: centres per prefix shingle
 CENTRES = 8
+#: documents (or pairs) whose shingle lists are in a Python worker at a time
+BATCH = 500
 
 
 def shingles(text: Column, n: int) -> Column:
@@ -188,6 +190,11 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
     """(doc, n_shingles, component, row, group) of every row; documents whose shingle sets have
     100 * overlap >= percent * union are linked, component = smallest id of the group; row is
     the hash of id and text, group the smallest one of a group's (null without a shingle)."""
+    with arrow_rows(docs.sparkSession, BATCH):       # every step with Python is executed in here
+        return _link(docs, text, key, n, percent)
+
+
+def _link(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
     wide = materialize(prefixes(docs, frequency_table(docs, text, n), text, key, n, percent), "sets")
     written = session._WRITTEN[-1]
     base = materialize(wide.select("doc", "row", "n", "set"), "set-names")

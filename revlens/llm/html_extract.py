@@ -16,7 +16,7 @@ stands beside them in a declared region.
 Only line hashes take part in ordering and pairing: pages of a host with the same lines
 are one class (placed at its smallest path), so that copies meet their nearest different
 page; classes are range-partitioned by (host, path), so a host with a third of all pages spreads over many partitions, and
-neighbours across partition ends are joined by partition number.
+neighbours across partition ends are joined by running number.
 
 Omitted end tags (p, li, dt, dd, option, table parts, head) are closed as HTML says, so a
 mark ends with its own element.
@@ -279,13 +279,20 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     here = F.struct("host", "path", "hashes", "body")
     inside = Window.partitionBy("part").orderBy(*order)
     steps = range(1, AROUND + 1)
+    # running numbers: a partition's rows follow those of the partitions before it (one row of two
+    # numbers per partition)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = materialize(sizes.select(F.col("part").alias("_part"), "n", (F.sum("n").over(Window.orderBy("part")) - F.col("n"))
+                                      .alias("before")), "page-parts")
+    numbered = ranged.withColumn("i", F.row_number().over(inside)).join(before, F.col("part") == F.col("_part"))
     # the outermost rows of every partition: what precedes and follows them lies among them
-    numbered = ranged.withColumn("i", F.row_number().over(inside)) \
-        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("part")))
-    across = Window.orderBy("part", "i")           # a few rows per partition
-    ends = numbered.where((F.col("i") <= AROUND) | (F.col("i") > F.col("n") - AROUND)).select(
-        F.col("host").alias("_h"), F.col("same").alias("_s"), *[F.lag(here, k).over(across).alias(f"b{k}") for k in steps],
-        *[F.lead(here, k).over(across).alias(f"a{k}") for k in steps])
+    ends = materialize(numbered.where((F.col("i") <= AROUND) | (F.col("i") > F.col("n") - AROUND)).select(
+        F.col("host").alias("_h"), F.col("same").alias("_s"), (F.col("before") + F.col("i")).alias("at"), here.alias("there")),
+        "page-ends")
+    wanted = ends.select("_h", "_s", "at", F.explode(F.array(*[F.lit(d) for k in steps for d in (-k, k)])).alias("d"))
+    ends = wanted.join(ends.select((F.col("at")).alias("_at"), "there"), F.col("at") + F.col("d") == F.col("_at")) \
+        .groupBy("_h", "_s").agg(*[F.first(F.when(F.col("d") == side * k, F.col("there")), ignorenulls=True).alias(f"{name}{k}")
+                                   for name, side in (("b", -1), ("a", 1)) for k in steps])
     near = ranged.select("*", *[F.lag(here, k).over(inside).alias(f"p{k}") for k in steps],
                          *[F.lead(here, k).over(inside).alias(f"q{k}") for k in steps])
     near = near.join(small_side(materialize(ends, "page-ends")),

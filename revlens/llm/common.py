@@ -6,12 +6,10 @@ counters (row counts, convergence sums) or objects of a stated fixed size.
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.session import materialize
+from revlens.session import arrow_rows, materialize  # noqa: F401 (arrow_rows: for the operators)
 
 # Fixed values of the word rules (Java and RE2 spelling are the same).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -61,19 +59,6 @@ def hash_share(h: Column, rows: Column | int, wanted: int) -> Column:
     return part * rows < wanted + 8 * wanted ** 0.5 + 16
 
 
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Arrow batches of at most ``rows`` rows for what is executed inside: rows with long lists
-    are held a few at a time on both sides of the Python boundary."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(old), rows) if int(old) > 0 else rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def written_bytes(df: DataFrame) -> int:
     """Size of the files a frame over written tables reads."""
     spark = df.sparkSession

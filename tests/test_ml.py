@@ -155,3 +155,46 @@ def test_nested_stores_equal_separate_ones(spark):
         y = np.array([got[i]["features"] for i in sorted(want)])
         assert np.allclose((x ** 2).sum(axis=0), (y ** 2).sum(axis=0), rtol=0.02)
         assert np.allclose(x[:, :2], y[:, :2], atol=0.02)
+
+
+def test_gram_pass_by_one_group_shuffles_nothing_and_leaves_no_files(spark):
+    """One group's sums cover all its partitions, the result does not depend on the groups, and no broadcast file stays."""
+    import os
+    rng = np.random.default_rng(5)
+    rows = [(i, sorted(rng.choice(300, 12, replace=False).tolist()), rng.random(12).tolist()) for i in range(200)]
+    arr = spark.createDataFrame(rows + [(200, [], []), (201, None, None)], "review_id long, idx array<int>, val array<double>").repartition(7)
+    x = np.zeros((300, 202))
+    for i, idx, val in rows:
+        x[idx, i] = val
+    q = rng.standard_normal((300, 9))
+    folder = spark.sparkContext._temp_dir
+    before = len(os.listdir(folder))
+    one = SVD._gram_pass(arr, q, 1)
+    assert len(os.listdir(folder)) == before
+    assert np.allclose(one, x @ (x.T @ q), rtol=1e-9, atol=1e-12)
+    assert np.allclose(one, SVD._gram_pass(arr, q, 5), rtol=1e-9, atol=1e-12)
+    m = SVD.fit(arr, 300, 5, n_iter=30)
+    assert np.allclose(m.singular_values, np.linalg.svd(x)[1][:5], rtol=1e-3)
+    assert len(os.listdir(folder)) == before
+
+
+def test_groups_sum_up_little_beside_the_rows():
+    # 1,000 entries of 20,000 x 600: one group; many entries: at most an eighth of their bytes, or GROUP entries each
+    assert SVD._groups(1000, 20_000 * 600, 32) == 1
+    assert SVD._groups(3_000_000, 64 * 64, 32) == 32
+    assert SVD._groups(10 * SVD.GROUP, 20_000 * 600, 1000) == 10
+
+
+def test_projection_sends_components_once_and_releases_them(spark):
+    import os
+    m = SVD.SvdModel(np.pad(np.eye(6)[:, :2], ((0, 0), (0, 3))), np.ones(5), 6)
+    arr = spark.createDataFrame([(1, [0, 4], [2.0, 1.0]), (2, [1], [3.0])], "review_id long, idx array<int>, val array<double>")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "review_id long")
+    folder = spark.sparkContext._temp_dir
+    before = len(os.listdir(folder))
+    for _ in range(3):
+        got = {r["review_id"]: r["features"] for r in SVD.project(m, ids, arr).collect()}
+        assert got == {1: [2, 0, 0, 0, 0], 2: [0, 3, 0, 0, 0], 3: [0] * 5}
+    assert len(os.listdir(folder)) == before + 1
+    m.release()
+    assert len(os.listdir(folder)) == before

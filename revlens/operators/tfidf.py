@@ -5,7 +5,8 @@ Shape of the plan:
 * tokens and n-grams are array expressions; ``explode`` + ``groupBy(doc, term)``
   counts term frequencies. The documents are hash-partitioned by id once, and
   that partitioning satisfies both the (doc, term) grouping and the per-doc
-  norm window, so neither adds an exchange;
+  norm window, so neither adds an exchange. There are as many partitions as the texts
+  need at TASK_CHARS each: a task's tables and sorts don't grow with the input;
 * term statistics are one ``groupBy(term)`` with map-side partial
   aggregation, so a term present in every document is pre-summed per task;
 * the vocabulary is capped with a top-k (``orderBy(...).limit(k)`` plans as a
@@ -29,6 +30,9 @@ from revlens.operators import windows as W
 from revlens.session import materialize
 
 
+TASK_CHARS = 4_000_000     # characters of text that one task counts
+
+
 @dataclass
 class TfidfModel:
     """A fitted vocabulary: ``vocab(term, idx, cf, df, idf)`` and settings."""
@@ -39,6 +43,12 @@ class TfidfModel:
     max_features: int | None
 
 
+def text_parts(docs: DataFrame, text_col: str = "text_heavy_clean") -> int:
+    """Partitions of at most about TASK_CHARS characters each (one pass over the text column)."""
+    chars = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    return max(1, -(-chars // TASK_CHARS))
+
+
 def term_counts(docs: DataFrame, id_col: str = "review_id",
                 text_col: str = "text_heavy_clean", ngram_max: int = 1) -> DataFrame:
     """(id, term, tf) for every term occurrence in heavy-cleaned text.
@@ -49,7 +59,7 @@ def term_counts(docs: DataFrame, id_col: str = "review_id",
     """
     # tokens are projected once; the generator then reuses the column instead of
     # re-splitting the text for every reference inside the n-gram expression
-    return (docs.select(id_col, text_col).repartition(id_col)
+    return (docs.select(id_col, text_col).repartition(text_parts(docs, text_col), id_col)
             .select(id_col, T.tfidf_tokens(text_col).alias("_tok"))
             .select(id_col, F.explode(T.ngrams(F.col("_tok"), ngram_max)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))

@@ -198,3 +198,17 @@ def test_projection_sends_components_once_and_releases_them(spark):
     assert len(os.listdir(folder)) == before + 1
     m.release()
     assert len(os.listdir(folder)) == before
+
+
+def test_term_counts_get_partitions_by_text(spark, monkeypatch):
+    """A task counts a bounded amount of text, whatever the session's shuffle partitions; counts stay the same."""
+    from revlens.operators import tfidf as TF
+    rows = [(i, "good tasty snack good" if i % 3 else "stale awful snack") for i in range(40)] + [(40, None), (41, "")]
+    docs = spark.createDataFrame(rows, "review_id long, text_heavy_clean string")
+    want = sorted(map(tuple, TF.term_counts(docs, ngram_max=2).collect()))
+    monkeypatch.setattr(TF, "TASK_CHARS", 50)
+    counts = TF.term_counts(docs, ngram_max=2)
+    assert TF.text_parts(docs) == -(-sum(len(t or "") for _, t in rows) // 50) > 10
+    assert counts.rdd.getNumPartitions() == TF.text_parts(docs)
+    assert sorted(map(tuple, counts.collect())) == want and len(want) == 26 * 6 + 14 * 5
+    assert TF.text_parts(docs.where("review_id = 40")) == 1

@@ -137,6 +137,13 @@ def term_model(tfidf: TF.TfidfModel, coefficients: DataFrame, intercept: float =
     return PipelineModel([TermScorer(tfidf, coefficients, intercept), Verdict()])
 
 
+def release(model: PipelineModel) -> None:
+    """Drop what served batches left behind; what is made of them must have been written."""
+    for stage in model.stages:
+        if isinstance(stage, ReviewFeatures):
+            stage.fitted.svd.release()
+
+
 def serve(model: PipelineModel, requests: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
     """Raw text in; label, confidence and the lightly cleaned text out. ``id_col`` must be
     unique: two texts under one id would be counted as one document."""

@@ -92,6 +92,7 @@ def start(spark: SparkSession, model, model_name: str, in_dir: str, log_dir: str
             log.unpersist()
         finally:
             batch.unpersist()
+            SV.release(model)
 
     reader = spark.readStream.schema(BODY_SCHEMA)
     if max_files_per_trigger:

@@ -200,6 +200,31 @@ def test_projection_sends_components_once_and_releases_them(spark):
     assert len(os.listdir(folder)) == before
 
 
+def test_projection_sends_a_block_of_columns_at_a_time(spark, monkeypatch):
+    """Components above the bound are never broadcast whole, and no broadcast or earlier table stays."""
+    import os
+
+    from revlens import session as RS
+    rng = np.random.default_rng(3)
+    v = np.pad(rng.standard_normal((40, 7)), ((0, 0), (0, 2)))
+    rows = [(i, sorted(rng.choice(40, 6, replace=False).tolist()), rng.random(6).tolist()) for i in range(30)]
+    arr = spark.createDataFrame(rows, "review_id long, idx array<int>, val array<double>")
+    ids = spark.createDataFrame([(i, f"t{i}") for i in range(31)] + [(4, "again"), (None, "none")], "review_id long, t string")
+    want = {r["t"]: r["features"] for r in SVD.project(SVD.SvdModel(v, np.ones(9), 40), ids, arr).collect()}
+    folder, sent, written = spark.sparkContext._temp_dir, [], len(RS._WRITTEN)
+    before = len(os.listdir(folder))
+    plain = SVD._Blocks.__init__
+    monkeypatch.setattr(SVD._Blocks, "__init__", lambda self, s, m: (sent.append(m.size), plain(self, s, m))[1])
+    monkeypatch.setattr(SVD, "SENT_CELLS", 120)
+    m = SVD.SvdModel(v, np.ones(9), 40)
+    out = SVD.project(m, ids, arr)
+    assert sent == [120, 120, 40] and len(os.listdir(folder)) == before and len(RS._WRITTEN) == written + 1
+    got = {r["t"]: r["features"] for r in out.collect()}
+    assert got == want and len(got) == 33 and got["none"] == got["t30"] == [0.0] * 9 and out.columns == ["review_id", "t", "features"]
+    m.release()
+    assert len(RS._WRITTEN) == written and not os.path.exists(out._written_path.removeprefix("file:"))
+
+
 def test_term_counts_get_partitions_by_text(spark, monkeypatch):
     """A task counts a bounded amount of text, whatever the session's shuffle partitions; counts stay the same."""
     from revlens.operators import tfidf as TF

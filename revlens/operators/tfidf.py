@@ -8,7 +8,8 @@ Shape of the plan:
   norm window, so neither adds an exchange. There are as many partitions as the texts
   need at TASK_CHARS each: a task's tables and sorts don't grow with the input;
 * term statistics are one ``groupBy(term)`` with map-side partial
-  aggregation, so a term present in every document is pre-summed per task;
+  aggregation, so a term present in every document is pre-summed per task; it is executed with
+  as many shuffle partitions as the texts need, so a task's terms don't grow with the input;
 * the vocabulary is capped with a top-k (``orderBy(...).limit(k)`` plans as a
   per-task partial top-k), so it is bounded by ``max_features`` rows, and only
   that bounded table is broadcast into the weight join;
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 from revlens.operators import windows as W
-from revlens.session import materialize
+from revlens.session import materialize, shuffle_partitions
 
 
 TASK_CHARS = 4_000_000     # characters of text that one task counts
@@ -71,6 +72,12 @@ def term_stats(counts: DataFrame) -> DataFrame:
                                       F.count(F.lit(1)).alias("df"))
 
 
+def written_stats(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_clean", ngram_max: int = 1) -> DataFrame:
+    """A20 of ``docs`` as a written table, counted in partitions by the text's size."""
+    with shuffle_partitions(docs.sparkSession, text_parts(docs, text_col)):
+        return materialize(term_stats(term_counts(docs, id_col, text_col, ngram_max)), "term-stats")
+
+
 def cap_vocab(stats: DataFrame, max_features: int | None) -> DataFrame:
     """Top ``max_features`` terms by collection frequency (ties by term)."""
     if max_features is None:
@@ -97,7 +104,8 @@ def fit(docs: DataFrame, id_col: str = "review_id", text_col: str = "text_heavy_
         ranked = W.row_numbers(capped, [], [F.col("term")], out="_rn")
     idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
     vocab = ranked.select("term", (F.col("_rn") - 1).cast("int").alias("idx"), "cf", "df", idf.alias("idf"))
-    vocab = materialize(vocab, "vocab")       # written once; every transform reuses it
+    with shuffle_partitions(docs.sparkSession, text_parts(docs, text_col)):
+        vocab = materialize(vocab, "vocab")   # written once; every transform reuses it
     return TfidfModel(vocab, n, ngram_max, sublinear, max_features)
 
 

@@ -27,7 +27,7 @@ from revlens.operators import vectors as VEC
 from revlens.sources import fingerprint as FP
 import uuid
 
-from revlens.session import drop_written, input_stamp, materialize, memo_get, memo_put, scratch_path, written
+from revlens.session import drop_written, input_stamp, materialize, memo_get, memo_put, scratch_path, shuffle_partitions, written
 from revlens.sources import tables as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -112,8 +112,10 @@ def review_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = written(spark, "reviews_split", stamp)
     if found is not None:
         return found
-    cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned")
-    store = materialize(cleaned.join(S.ids_and_split(cleaned), "review_key"), "reviews_split", memo=stamp, partition_by="split")
+    # a task joins and sorts a bounded amount of text
+    with shuffle_partitions(spark, TF.text_parts(V.table(spark, sf_dir, "documents"), "text")):
+        cleaned = materialize(cleaned_reviews(spark, sf_dir), "cleaned")
+        store = materialize(cleaned.join(S.ids_and_split(cleaned), "review_key"), "reviews_split", memo=stamp, partition_by="split")
     drop_written(cleaned)
     return store
 
@@ -181,7 +183,7 @@ def fitted(spark, sf_dir, **kw):
 @query("term_stats")
 def q_term_stats(spark, sf_dir):
     _, train = train_test_docs(spark, sf_dir)
-    return TF.term_stats(TF.term_counts(train, ngram_max=2))
+    return TF.written_stats(train, ngram_max=2)
 
 
 @query("vocab_topn")

@@ -143,6 +143,19 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, old)
 
 
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, least: int):
+    """At least so many shuffle partitions for what is executed inside: a task's share of a table that
+    grows with the input stays what it is (small partitions are merged by the adaptive planner)."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(old), least)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def drop_tables(tables) -> None:
     """Delete written tables, given as (session, path)."""
     for spark, path in tables:

@@ -237,3 +237,18 @@ def test_term_counts_get_partitions_by_text(spark, monkeypatch):
     assert counts.rdd.getNumPartitions() == TF.text_parts(docs)
     assert sorted(map(tuple, counts.collect())) == want and len(want) == 26 * 6 + 14 * 5
     assert TF.text_parts(docs.where("review_id = 40")) == 1
+
+
+def test_term_statistics_get_partitions_by_text(spark, monkeypatch):
+    """The shuffle by term follows the text's size, not the session's setting, which comes back as it was."""
+    from revlens.operators import tfidf as TF
+    docs = spark.createDataFrame([(i, f"word{i} snack good") for i in range(40)] + [(40, None)], "review_id long, text_heavy_clean string")
+    want = sorted(map(tuple, TF.term_stats(TF.term_counts(docs)).collect()))
+    used, key = [], "spark.sql.shuffle.partitions"
+    plain = TF.materialize
+    monkeypatch.setattr(TF, "TASK_CHARS", 50)
+    monkeypatch.setattr(TF, "materialize", lambda df, name, **kw: (used.append(int(spark.conf.get(key))), plain(df, name, **kw))[1])
+    before = spark.conf.get(key)
+    assert sorted(map(tuple, TF.written_stats(docs).collect())) == want and len(want) == 42
+    assert {r["term"] for r in TF.fit(docs, max_features=30).vocab.collect()} >= {"snack", "good"}
+    assert used == [TF.text_parts(docs)] * 2 and used[0] > int(before) and spark.conf.get(key) == before

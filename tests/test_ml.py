@@ -225,6 +225,31 @@ def test_projection_sends_a_block_of_columns_at_a_time(spark, monkeypatch):
     assert len(RS._WRITTEN) == written and not os.path.exists(out._written_path.removeprefix("file:"))
 
 
+def test_projection_in_blocks_writes_texts_once(spark, monkeypatch):
+    """Tables between the blocks hold products only: neither what else the rows hold nor the sparse rows again;
+    the sparse rows go before the result is written."""
+    import os
+    v = np.random.default_rng(5).standard_normal((8, 6))
+    rows = [(i, [i % 8], [1.0]) for i in range(20)]
+    arr = SVD.materialize(spark.createDataFrame(rows, "review_id long, idx array<int>, val array<double>"), "rows")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "review_id long, t string")
+    plain, columns, there = SVD.materialize, [], []
+
+    def noted(df, name, *more, **kw):
+        columns.append(df.columns)
+        there.append(os.path.exists(arr._written_path.removeprefix("file:")))
+        return plain(df, name, *more, **kw)
+
+    monkeypatch.setattr(SVD, "SENT_CELLS", 16)
+    monkeypatch.setattr(SVD, "materialize", noted)
+    m = SVD.SvdModel(v, np.ones(6), 8, tables=[arr])
+    got = {r["review_id"]: r["features"] for r in SVD.project(m, docs, arr).collect()}
+    assert columns == [["review_id", "at", "part"]] * 3 + [["review_id", "t", "features"]]
+    assert there == [True] * 3 + [False]
+    assert all(got[i] == v[i % 8].astype(np.float32).tolist() for i in range(20))
+    m.release()
+
+
 def test_term_counts_get_partitions_by_text(spark, monkeypatch):
     """A task counts a bounded amount of text, whatever the session's shuffle partitions; counts stay the same."""
     from revlens.operators import tfidf as TF

@@ -39,13 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ByteType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from revlens.llm.common import packed, small_side
+from revlens.llm.common import arrow_rows, packed, small_side
 from revlens.llm.url_rules import host_of, path_of
 from revlens.session import materialize
 
 DECLARED, OPEN, CHROME = 2, 1, 0
 #: pages looked at on either side of a page
 AROUND = 3
+#: pages that cross to Python at a time while lines are compared: a worker keeps what its largest batch took
+BATCH = 256
 
 # HTML element and hint names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -268,7 +270,8 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
                         path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
     lines = rows.where((F.col("host") != "") & F.col("html").isNotNull()).select(
         "page", "host", "path", _line_hashes("html").alias("l")).select("page", "host", "path", "l.*")
-    lines = materialize(lines.dropDuplicates(["page", "host", "path"]), "page-lines")
+    with arrow_rows(pages.sparkSession, BATCH):
+        lines = materialize(lines.dropDuplicates(["page", "host", "path"]), "page-lines")
     look = F.struct("hashes", "marks", "sizes")
     classes = lines.groupBy("host", "same").agg(F.min("path").alias("path"), F.min_by(look, "page").alias("l")) \
         .select("host", "path", "same", "l.*")
@@ -314,8 +317,9 @@ def template_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     picked = near.select("host", "same", "hashes", "marks", "sizes", F.filter(
         others, lambda o: F.coalesce(o["host"] == F.col("host"), F.lit(False))).alias("o")).where(F.size("o") > 0)
     got = picked.select("host", "same", _shared("hashes", "marks", "sizes", F.col("o")[0]["hashes"], F.col("o.body")).alias("at"))
-    got = materialize(got.select("host", "same", "at.*").where((F.size("near") > 0) | (F.size("several") > 0)),
-                      "class-lines")
+    with arrow_rows(pages.sparkSession, BATCH):
+        got = materialize(got.select("host", "same", "at.*").where((F.size("near") > 0) | (F.size("several") > 0)),
+                          "class-lines")
     # every copy by its own marks: equal lines may stand in different elements
     each = lines.join(got, ["host", "same"]).select("page", F.concat(
         F.filter("near", lambda i: F.get("marks", i) == OPEN),

@@ -142,6 +142,22 @@ def test_page_differencing_deletes_the_template(spark):
     assert got[101] == got[0] and got[100] == "Site name\nAbout us\nonly\nContact\nImprint"
 
 
+def test_pages_are_compared_in_small_batches(spark, monkeypatch):
+    """Both steps that hold the lines of many pages in Python at once run on small batches."""
+    key, plain, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", html_extract.materialize, {}
+
+    def noted(df, name, *more, **kw):
+        rows[name] = int(df.sparkSession.conf.get(key))
+        return plain(df, name, *more, **kw)
+
+    monkeypatch.setattr(html_extract, "materialize", noted)
+    before = spark.conf.get(key)
+    pages = [(i, f"https://h.com/{i}", f"<div>Site</div><p>own {i}</p>") for i in range(6)]
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted(r["text"] for r in got) == [f"own {i}" for i in range(6)]
+    assert max(rows["page-lines"], rows["class-lines"]) <= html_extract.BATCH <= 256 and spark.conf.get(key) == before
+
+
 def test_page_chrome_and_blocks():
     page = """<!doctype html><html><head><title>T</title><script>var a="</p><p>no";</script></head><body class="has-sidebar">
       <header><h1>Site</h1></header><nav><ul><li>Home</ul></nav><div class="cookie-notice">We use cookies</div>

@@ -277,3 +277,22 @@ def test_term_statistics_get_partitions_by_text(spark, monkeypatch):
     assert sorted(map(tuple, TF.written_stats(docs).collect())) == want and len(want) == 42
     assert {r["term"] for r in TF.fit(docs, max_features=30).vocab.collect()} >= {"snack", "good"}
     assert used == [TF.text_parts(docs)] * 2 and used[0] > int(before) and spark.conf.get(key) == before
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """A stage table's shuffle files go when it is written, not at the driver's next garbage collection."""
+    import time
+    from revlens.session import materialize
+
+    def files():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in every.mkString(" ").split() if "/shuffle_" in x}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old, before = spark.conf.get(key, None), files()
+    got = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.collect_list("id").alias("l")), "rows")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert got.count() == 7 and not files() - before and spark.conf.get(key, None) == old

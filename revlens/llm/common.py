@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.session import arrow_rows, materialize  # noqa: F401 (arrow_rows: for the operators)
+from revlens.session import arrow_rows, drop_written, materialize  # noqa: F401 (arrow_rows: for the operators)
 
 # Fixed values of the word rules (Java and RE2 spelling are the same).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -111,16 +111,18 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name + "-low")
+        first = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name + "-low")
         # a hub that is the least of its neighbours keeps its edges: they need no join
-        large = (edges.join(low.where("m < u"), edges["v"] == low["u"], "left")
+        large = (edges.join(first.where("m < u"), edges["v"] == first["u"], "left")
                  .select(edges["u"], F.coalesce("m", edges["v"]).alias("v")).where("u <> v").distinct())
         large = materialize(large, name + "-large")
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), name + "-low")
         small = large.join(low, "u")
         step = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = materialize(step, name)
+        before, edges = edges, materialize(step, name)
+        for table in (before, first, large, low):
+            drop_written(table)
         mark = edges.agg(F.count(F.lit(1)).alias("n"),
                          F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if tuple(mark) == seen:

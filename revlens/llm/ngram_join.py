@@ -41,8 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm.common import SPACES, arrow_rows, ascii_lower, connected_components, maybe_member, membership, words
-from revlens import session
-from revlens.session import materialize
+from revlens.session import drop_written, materialize
 
 #: bounds of the frequency table's size (2^18 to 2^22 longs: 2 to 32 MB)
 TABLE_BITS = (18, 22)
@@ -153,8 +152,8 @@ def _passes(percent: int) -> Column:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, each computed once. Only texts
-    of candidate documents are kept, one row per id and text."""
+    """The pairs (a, b) whose sets reach the similarity, each computed once, as a written table. Only
+    texts of candidate documents are kept, one row per id and text, until it is written."""
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "pair-ids")
     texts = docs.select(_row_hash(key, text).alias("row"), F.col(text).alias("t"))
     # a fixed-size bit table drops nearly all other texts before the shuffle
@@ -172,8 +171,11 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, n: int, perce
                 ok.append(len(np.intersect1d(x, y, assume_unique=True)) >= least)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", shingles(F.col("ta"), n).alias("x"), shingles(F.col("tb"), n).alias("y")) \
-        .mapInArrow(compare, "a long, b long")
+    links = materialize(both.select("a", "b", shingles(F.col("ta"), n).alias("x"), shingles(F.col("tb"), n).alias("y"))
+                        .mapInArrow(compare, "a long, b long"), "links")
+    drop_written(ids)
+    drop_written(texts)
+    return links
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Column | None = None) -> DataFrame:
@@ -196,13 +198,12 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5,
 
 def _link(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
     wide = materialize(prefixes(docs, frequency_table(docs, text, n), text, key, n, percent), "sets")
-    written = session._WRITTEN[-1]
     base = materialize(wide.select("doc", "row", "n", "set"), "set-names")
     # a class is all rows with one set; the smallest row hash stands for it
     classes = materialize(wide.where("n > 0").groupBy("set").agg(
         F.min("row").alias("row"), F.min("doc").alias("rep"), F.first("n").alias("n"),
         *[F.first(c).alias(c) for c in SIGNATURE], F.first("prefix").alias("prefix")), "classes")
-    session.drop_tables([written])     # the prefixes live on in the classes
+    drop_written(wide)     # the prefixes live on in the classes
     post = classes.select("row", F.posexplode("prefix").alias("i", "token"))
     # the rank limit is applied in every task before the shuffle, so a hot shingle sends a few rows
     by_hash = Window.partitionBy("token").orderBy(F.xxhash64("row", "token"), "row")
@@ -214,22 +215,28 @@ def _link(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFra
     details = classes.select("row", "n", *SIGNATURE)
     shared = materialize(post.join(common, "token", "left_semi").join(details, "row"), "postings")
     middle = materialize(centres.drop("k").join(details, "row"), "centres")
+    drop_written(centres)
 
     first = materialize(_pairs(shared, middle, percent), "pairs")
-    links = materialize(verify(first, docs, text, key, n, percent), "links")
+    drop_written(middle)
+    links = verify(first, docs, text, key, n, percent)
     comp = materialize(connected_components(links), "groups")
 
     grouped = materialize(shared.join(comp, shared["row"] == comp["node"], "left").select(
         *shared.columns, F.coalesce("component", "row").alias("comp")), "grouped")
+    drop_written(shared)
     counts = grouped.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"),
                                         F.count(F.lit(1)).alias("groups")).where("groups > 1")
     rest = materialize(grouped.join(mixed.select("token", "main"), "token"), "rest")
+    drop_written(grouped)
     # one side: classes outside the token's main group; a pair of two such classes once
     across = (F.col("a.comp") != F.col("b.comp")) & (
         (F.col("b.comp") == F.col("b.main")) | (F.col("a.row") < F.col("b.row")))
     second = _pairs(rest.where("comp <> main"), rest, percent, across).join(first, ["a", "b"], "left_anti")
-    more = verify(materialize(second, "pairs"), docs, text, key, n, percent)
+    second = materialize(second, "pairs")
+    drop_written(rest)
+    more = verify(second, docs, text, key, n, percent)
     comp = connected_components(links.unionByName(more))
 
     nodes = classes.select("set", "row", "rep").join(

@@ -360,6 +360,19 @@ def test_join_loses_no_link(spark, n, percent):
     assert {r["doc"]: (r["n_shingles"], r["component"]) for r in got} == {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def test_link_drops_tables_that_are_no_longer_read(spark):
+    """Texts, postings and the rounds of the components go as soon as their successors are written."""
+    import os
+    from revlens import session
+    before = len(session._WRITTEN)
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(i, base + f" {i % 3}") for i in range(30)] + [(i, f"{i} own words only") for i in range(30, 40)]
+    got = ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=80)
+    left = {os.path.basename(p).rsplit("-", 1)[0] for _, p in session._WRITTEN[before:]}
+    assert {r["component"] for r in got.collect()} == {0, *range(30, 40)}
+    assert not left & {"sets", "centres", "postings", "grouped", "rest", "pair-ids", "pair-texts", "components-low", "components-large"}
+
+
 def test_proximity(spark):
     texts = {1: "alpha beta gamma delta", 2: "gamma x beta y alpha z delta", 3: "alpha " + "x " * 40 + "beta gamma delta",
              4: "alpha beta gamma"}

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.session import materialize
+from revlens.session import arrow_rows, materialize
 
 MIN_UNIT = 3          # a word needs that many sightings to be a unit of its own
 ENDING = 3            # bytes of a word that name its group
@@ -49,6 +49,7 @@ BLOCK = 1 << 18       # words looked up at a time
 HELD = 1 << 19        # different words or pairs a task holds before it passes them on
 PORTIONS = 4          # rounds of a sweep
 SHIFT = 24            # bits of the second unit in a pair key
+BATCH = 1000          # texts (or units with their neighbours) that cross to Python at a time
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -403,9 +404,10 @@ class ClassModel:
 
 def fit(train: DataFrame, text: str = "text", classes: int = 64, sweeps: int = 2, max_known: int = 1 << 18,
         max_units: int = 1 << 14, groups: int = 512) -> ClassModel:
-    words = count_words(train, text, max_known, max_units, groups)
-    counts = words.unit_counts
-    cls, matrix = exchange(neighbours(train, words, text), len(counts), classes, sweeps)
+    with arrow_rows(train.sparkSession, BATCH):
+        words = count_words(train, text, max_known, max_units, groups)
+        counts = words.unit_counts
+        cls, matrix = exchange(neighbours(train, words, text), len(counts), classes, sweeps)
     # endings without a training word join the class that holds most tokens of the others
     ending = np.arange(len(counts)) > words.n_units
     rare = np.bincount(cls[ending], counts[ending], classes + 1)[1:classes]
@@ -479,6 +481,8 @@ def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "
                         (F.col("base") + k * F.log10(F.coalesce(F.col("c"), F.lit(0)) + 1.0)).alias("base"),
                         (F.col("score") + k * F.when(seen, F.log10(F.col("c") - discount)).otherwise(unknown)).alias("score"))
     per = parts.groupBy("key", "h").agg(*[F.sum(c).alias(c) for c in ("heads", "n", "known", "base", "score")])
+    with arrow_rows(spark, BATCH):      # executed in here; a few numbers a text
+        per = materialize(per, "lm-scores")
     one = per.select("key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("heads"))).alias("_copy"),
                      (F.col("n") / F.col("heads")).cast("long").alias("n_tokens"),
                      (F.col("known") / F.col("heads")).cast("long").alias("n_known"),

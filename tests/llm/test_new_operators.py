@@ -86,6 +86,21 @@ def test_class_lm_against_brute_force(spark, monkeypatch, max_known, max_units):
         assert r["perplexity"] == pytest.approx(10 ** (-r["score"] / r["n_tokens"]))
 
 
+def test_class_lm_reads_small_batches(spark, monkeypatch):
+    """Texts and neighbour lists cross to Python a bounded number at a time, in training and scoring."""
+    key, plain, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", class_lm.materialize, {}
+
+    def noted(df, name, *more, **kw):
+        rows[name] = int(df.sparkSession.conf.get(key))
+        return plain(df, name, *more, **kw)
+
+    monkeypatch.setattr(class_lm, "materialize", noted)
+    before, (df, want) = spark.conf.get(key), _corpus(spark)
+    got = class_lm.score(df, class_lm.fit(df, classes=6, groups=16)).count()
+    assert got == len(want) and spark.conf.get(key) == before
+    assert {"lm-words", "lm-neighbours", "lm-scores"} <= set(rows) and max(rows.values()) <= class_lm.BATCH <= 1000
+
+
 def test_class_lm_distributions_sum_to_one(spark):
     df, _ = _corpus(spark)
     model = class_lm.fit(df, classes=6, max_known=8, max_units=6, groups=16)

@@ -295,4 +295,5 @@ def test_written_tables_leave_no_shuffle_files(spark):
         if not files() - before:
             break
         time.sleep(0.1)
-    assert got.count() == 7 and not files() - before and spark.conf.get(key, None) == old
+    left = files() - before
+    assert not left and got.count() == 7 and spark.conf.get(key, None) == old

@@ -40,13 +40,14 @@ from pyspark.sql import functions as F
 from revlens.session import arrow_rows, drop_written, materialize
 
 CHUNK_ROWS = 128       # term rows of one summed block
+SENT_CHUNKS = 32       # blocks that leave Python together
 RADIX = 256            # blocks that one task adds up
-CELLS = 4_000_000      # doubles of a work array
+CELLS = 1 << 16        # doubles of a work array: it stays in the processor's cache
 BLOCK_TERMS = 2048     # terms whose factors a worker holds at a time (projection)
-BLOCK_CELLS = 1 << 20  # doubles of a block of columns (power passes)
-SENT_CELLS = 1 << 21   # doubles of factors that are broadcast at a time
-PACK = 1 << 19         # entries of the sparse rows packed into one row
-BATCH = 4              # packs that cross to Python at a time
+BLOCK_CELLS = 1 << 22  # doubles of a block of columns (power passes)
+SENT_CELLS = 1 << 22   # doubles of factors that are broadcast at a time
+PACK = 1 << 21         # entries of the sparse rows packed into one row
+BATCH = 1              # packs that cross to Python at a time
 GROUP = 1 << 25        # entries that one task multiplies at most
 SHARE = 1 / 8          # what the groups' sums may be of the sparse rows
 
@@ -116,22 +117,31 @@ def _sparse(idx, val) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cols, vals, np.repeat(np.arange(len(idx)), sizes)
 
 
-def _pieces(keys: np.ndarray, width: int):
-    """Slices of whole runs of equal keys with at most CELLS / width entries (one run at least),
-    and the starts of the runs inside each."""
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    at, most = 0, max(1, CELLS // width)
-    ends = np.r_[starts[1:], len(keys)].astype(np.int64) if len(starts) else starts
-    while at < len(starts):
-        last = max(at + 1, int(np.searchsorted(ends, starts[at] + most, "right")))
-        yield slice(int(starts[at]), int(ends[last - 1])), starts[at:last] - starts[at]
-        at = last
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal keys, short runs first."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[starts, len(keys)])
+    order = np.argsort(sizes, kind="stable")
+    return starts[order], sizes[order]
 
 
 def _run_sums(vals, of, factors, keys):
-    """(key, sum of vals * factors[of]) of every run of equal keys, a bounded piece at a time."""
-    for cut, starts in _pieces(keys, factors.shape[1]):
-        yield keys[cut][starts], np.add.reduceat(vals[cut, None] * factors[of[cut]], starts)
+    """(keys, sums of vals * factors[of]) of the runs of equal keys, a bounded piece at a time: runs of one
+    length are one stacked matrix product, and a run longer than CELLS / width comes in pieces, so a key
+    may come more than once (never twice in one yield)."""
+    starts, sizes = _runs(keys)
+    most = max(1, CELLS // factors.shape[1])
+    ends = np.r_[np.flatnonzero(sizes[1:] != sizes[:-1]) + 1, len(sizes)].tolist() if len(sizes) else []
+    for first, end in zip([0, *ends], ends):
+        size = int(sizes[first])
+        for lo in range(0, size, most):
+            span = np.arange(lo, min(size, lo + most))
+            for at in range(first, end, max(1, most // len(span))):
+                here = starts[at:min(end, at + max(1, most // len(span)))]
+                entries = here[:, None] + span
+                yield keys[here], np.matmul(vals[entries][:, None, :], factors.take(of[entries], axis=0))[:, 0]
 
 
 class _Blocks:
@@ -204,6 +214,7 @@ def _gram_blocks(arrays: DataFrame, q: np.ndarray, groups: int):
     from multiprocessing.pool import ThreadPool
 
     import pandas as pd
+    import pyarrow as pa
     from pyspark import inheritable_thread_target
     spark, chunk = arrays.sparkSession, CHUNK_ROWS
     n_terms, width = q.shape
@@ -215,22 +226,25 @@ def _gram_blocks(arrays: DataFrame, q: np.ndarray, groups: int):
         def run(batches):
             from pyspark import TaskContext
             factors, total = None, None
-            for pdf in batches:
-                for n, cols, rows, vals, order in pdf.itertuples(index=False, name=None):
+            for batch in batches:
+                for i in range(batch.num_rows):
                     if total is None:
                         factors = block.value
                         total = np.zeros_like(factors)
-                    cols, rows, order = (np.frombuffer(x, np.int32) for x in (cols, rows, order))
-                    vals, w = np.frombuffer(vals), np.zeros((n, factors.shape[1]))
+                    cols, rows, order = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in ("cols", "rows", "order"))
+                    vals, w = np.frombuffer(batch.column("vals")[i].as_buffer()), np.zeros((batch.column("n")[i].as_py(), factors.shape[1]))
                     for r, sums in _run_sums(vals, cols, factors, rows):
-                        w[r] = sums
+                        w[r] += sums
                     for t, sums in _run_sums(vals[order], rows[order], w, cols[order]):
                         total[t] += sums
             if total is not None:
                 grp = TaskContext.get().partitionId()
-                for c in range(0, n_terms, chunk):
-                    if total[c:c + chunk].any():
-                        yield pd.DataFrame({"chunk": [c // chunk], "grp": [grp], "data": [total[c:c + chunk].tobytes()]})
+                some = [c for c in range(0, n_terms, chunk) if total[c:c + chunk].any()]
+                for at in range(0, len(some), SENT_CHUNKS):
+                    part = some[at:at + SENT_CHUNKS]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c // chunk for c in part], pa.int32()), pa.array([grp] * len(part), pa.int32()),
+                         pa.array([total[c:c + chunk].tobytes() for c in part], pa.binary())], ["chunk", "grp", "data"])
         return run
 
     def add(pdf):
@@ -243,7 +257,7 @@ def _gram_blocks(arrays: DataFrame, q: np.ndarray, groups: int):
         block = spark.sparkContext.broadcast(np.ascontiguousarray(q[:, at:at + step]))
         try:
             schema, left = "chunk int, grp int, data binary", groups
-            summed = packs.mapInPandas(partial(block), schema)
+            summed = packs.mapInArrow(partial(block), schema)
             while left > 1:
                 summed = summed.withColumn("grp", F.floor(F.col("grp") / RADIX).cast("int")) \
                     .groupBy("chunk", "grp").applyInPandas(add, schema)

@@ -297,3 +297,33 @@ def test_written_tables_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     left = files() - before
     assert not left and got.count() == 7 and spark.conf.get(key, None) == old
+
+
+def test_run_sums_are_stacked_products_of_bounded_pieces(monkeypatch):
+    """Runs of one length are one product; a work array holds CELLS doubles also where one run is longer."""
+    monkeypatch.setattr(SVD, "CELLS", 40)
+    rng = np.random.default_rng(9)
+    sizes = [1, 3, 3, 1, 50, 3, 1]
+    keys = np.repeat(np.arange(7) * 2, sizes)
+    of, vals, factors = rng.integers(0, 11, len(keys)), rng.random(len(keys)), rng.standard_normal((11, 5))
+    got, seen = np.zeros((13, 5)), []
+    for k, sums in SVD._run_sums(vals, of, factors, keys):
+        assert len(set(k.tolist())) == len(k)
+        got[k] += sums
+        seen.append(k.tolist())
+    want = np.zeros((13, 5))
+    np.add.at(want, keys, vals[:, None] * factors[of])
+    assert np.allclose(got, want, rtol=1e-12) and seen.count([8]) == 7 and [0, 6, 12] in seen
+    assert not list(SVD._run_sums(vals[:0], of[:0], factors, keys[:0]))
+
+
+def test_power_pass_takes_few_wide_blocks(spark, monkeypatch):
+    """20,000 terms by 610 columns on four cores: 12 blocks of 52 columns, not 24 of 26."""
+    arr = spark.createDataFrame([(1, [0, 19_999], [1.0, 2.0]), (2, [5], [3.0])], "review_id long, idx array<int>, val array<double>")
+    q = np.random.default_rng(4).standard_normal((20_000, 610))
+    sent = []
+    broadcast = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: (sent.append(x.shape), broadcast(x))[1])
+    got = SVD._gram_pass(arr, q, 1)
+    assert len(sent) == -(-610 // (SVD.SENT_CELLS // spark.sparkContext.defaultParallelism // 20_000)) <= 12
+    assert np.allclose(got[0], q[0] + 2 * q[-1]) and np.allclose(got[5], 9 * q[5]) and not got[6].any()

@@ -30,6 +30,8 @@ MSG_NO_ID = "request_id is missing"
 def repeat_marker(keep_ms: int | None = None):
     """State function of one request id: every row after its first is a repeat. An id is forgotten
     ``keep_ms`` after its last row (never, by default)."""
+    import pandas as pd
+
     def mark(key, frames, state):
         if state.hasTimedOut:
             state.remove()
@@ -38,7 +40,8 @@ def repeat_marker(keep_ms: int | None = None):
         for rows in frames:
             repeat = [key[0] is not None and seen + i > 0 for i in range(len(rows))]
             seen += len(rows)
-            yield rows[["request_id", "body"]].assign(repeat=repeat)
+            # one frame per id: built once, its columns not copied
+            yield pd.DataFrame({"request_id": rows["request_id"].array, "body": rows["body"].array, "repeat": repeat}, copy=False)
         state.update((seen,))
         if keep_ms:
             state.setTimeoutDuration(keep_ms)

@@ -196,3 +196,19 @@ def test_monitor_goes_on_from_its_checkpoint(spark):
         assert a == b and len(a) > 1
     seqs = spark.read.parquet(f"{base}/out").groupBy("model").max("seq").collect()
     assert all(r[1] == 2 for r in seqs)
+
+
+def test_repeat_marker_copies_no_bodies():
+    """One frame is built per id and micro-batch, over the columns as they came."""
+    import numpy as np
+    from revlens.streaming.scoring_stream import repeat_marker
+
+    class State(FakeState):
+        hasTimedOut = False
+
+    rows = pd.DataFrame({"request_id": np.array([7, 7]), "body": np.array(["a", "b"], object)})
+    got, = repeat_marker()((7,), iter([rows]), State())
+    assert list(got.columns) == ["request_id", "body", "repeat"] and list(got["repeat"]) == [False, True]
+    assert list(got["body"]) == ["a", "b"] and list(got["request_id"]) == [7, 7] and list(rows.columns) == ["request_id", "body"]
+    assert np.shares_memory(got["body"].to_numpy(), rows["body"].to_numpy())
+    assert np.shares_memory(got["request_id"].to_numpy(), rows["request_id"].to_numpy())

@@ -176,7 +176,7 @@ class _Blocks:
             b.destroy()
 
 
-PACKED = "n int, cols binary, rows binary, vals binary, order binary"
+PACKED = "n int, cols binary, sizes binary, vals binary, order binary"
 
 
 def _pack(batches):
@@ -190,7 +190,7 @@ def _pack(batches):
             cols, vals, rows = _sparse(idx[at:end], val[at:end])
             order = np.argsort(cols, kind="stable")
             yield pd.DataFrame({"n": [int(end - at)], "cols": [cols.astype(np.int32).tobytes()],
-                                "rows": [rows.astype(np.int32).tobytes()], "vals": [vals.tobytes()],
+                                "sizes": [np.bincount(rows, minlength=end - at).astype(np.int32).tobytes()], "vals": [vals.tobytes()],
                                 "order": [order.astype(np.int32).tobytes()]})
 
 
@@ -231,8 +231,9 @@ def _gram_blocks(arrays: DataFrame, q: np.ndarray, groups: int):
                     if total is None:
                         factors = block.value
                         total = np.zeros_like(factors)
-                    cols, rows, order = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in ("cols", "rows", "order"))
-                    vals, w = np.frombuffer(batch.column("vals")[i].as_buffer()), np.zeros((batch.column("n")[i].as_py(), factors.shape[1]))
+                    cols, sizes, order = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in ("cols", "sizes", "order"))
+                    vals, rows = np.frombuffer(batch.column("vals")[i].as_buffer()), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+                    w = np.zeros((len(sizes), factors.shape[1]))
                     for r, sums in _run_sums(vals, cols, factors, rows):
                         w[r] += sums
                     for t, sums in _run_sums(vals[order], rows[order], w, cols[order]):

@@ -327,3 +327,18 @@ def test_power_pass_takes_few_wide_blocks(spark, monkeypatch):
     got = SVD._gram_pass(arr, q, 1)
     assert len(sent) == -(-610 // (SVD.SENT_CELLS // spark.sparkContext.defaultParallelism // 20_000)) <= 12
     assert np.allclose(got[0], q[0] + 2 * q[-1]) and np.allclose(got[5], 9 * q[5]) and not got[6].any()
+
+
+def test_lr_caches_the_rows_once(spark, monkeypatch):
+    """Beside the solver's own blocks only the weighted rows are cached, and nothing stays cached."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    rng = np.random.default_rng(6)
+    rows = [(x.tolist(), int(x[0] + 0.3 * rng.standard_normal() > 0)) for x in rng.standard_normal((60, 3))]
+    train = spark.createDataFrame(rows, "f array<double>, label int").select(array_to_vector("f").alias("features"), "label")
+    plain, cached = Classic.persist, []
+    monkeypatch.setattr(Classic, "persist", lambda self, *a: (cached.append(self.columns), plain(self, *a))[1])
+    there = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    both = MD.fit_lrs(train, [True, False])
+    assert cached == [["features", "label", "w_balanced", "w_plain"]] and len(both) == 2
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == there
